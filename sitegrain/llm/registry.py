@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import fingerprint, mixing
+from . import fingerprint, huffman, mixing, packing, separators
 
 QUERIES = {
     "op1_fingerprint": fingerprint.query,
     "op2_mixing": mixing.query,
+    "op3_huffman": huffman.query,
+    "op4_packing": packing.query,
+    "op9_separators": separators.query,
 }
 
 ORACLES: dict[str, str] = {}
