@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import fingerprint, huffman, mixing, packing, separators
+from . import fingerprint, huffman, mixing, packing, separators, simhash
 
 QUERIES = {
     "op1_fingerprint": fingerprint.query,
     "op2_mixing": mixing.query,
     "op3_huffman": huffman.query,
     "op4_packing": packing.query,
+    "op6_simhash": simhash.query,
     "op9_separators": separators.query,
 }
 
