@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fingerprint, huffman, mixing, packing, separators, simhash
+from . import fingerprint, huffman, language, mixing, packing, separators, simhash, toxicity
 
 QUERIES = {
     "op1_fingerprint": fingerprint.query,
@@ -10,7 +10,9 @@ QUERIES = {
     "op3_huffman": huffman.query,
     "op4_packing": packing.query,
     "op6_simhash": simhash.query,
+    "op7_language": language.query,
     "op9_separators": separators.query,
+    "op10_toxicity": toxicity.query,
 }
 
 ORACLES: dict[str, str] = {}
