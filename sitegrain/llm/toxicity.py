@@ -183,12 +183,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, id_col: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v for v, _ in out], pa.list_(pa.int32())), pa.array([sorted(place[w] for w in h if w in place) for _, h in out], pa.list_(pa.int32()))], names=["toxic", "votes", "hits"])
 
     seen = sample.select("toxic", raw("text")).mapInArrow(look, "toxic int, votes array<int>, hits array<int>").collect()  # at most about FIT_ROWS short rows
-    if not seen:  # nothing to learn from: the given voters, as made-up rows
-        m = len(GIVEN) + len(found) + 1
-        votes = np.vstack([np.eye(m, dtype=int)[: m - 1], -np.eye(m, dtype=int)[m - 1 :]])
-        gold, hits = np.array([1] * (m - 1) + [-1]), [[] for _ in range(m)]
-    else:
-        votes, gold, hits = np.array([r.votes for r in seen]), np.array([1 if r.toxic else -1 for r in seen]), [r.hits for r in seen]
+    if not seen:  # nothing to learn from: any given voter decides
+        return {"found": [], "lexicon": [], "w": np.full(len(GIVEN) + 1, 4.0), "b": -2.0, "n_votes": len(GIVEN) + 1, "label_model": {}}
+    votes, gold, hits = np.array([r.votes for r in seen]), np.array([1 if r.toxic else -1 for r in seen]), [r.hits for r in seen]
     posterior, model = label_model(np.column_stack([votes, gold]))
     x = np.zeros((len(votes), votes.shape[1] + len(lexicon)))
     x[:, : votes.shape[1]] = votes
