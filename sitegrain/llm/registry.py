@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fingerprint, huffman, language, mixing, packing, separators, simhash, toxicity
+from . import fingerprint, huffman, language, mixing, neighbours, packing, separators, simhash, toxicity
 
 QUERIES = {
     "op1_fingerprint": fingerprint.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_packing": packing.query,
     "op6_simhash": simhash.query,
     "op7_language": language.query,
+    "op8_neighbours": neighbours.query,
     "op9_separators": separators.query,
     "op10_toxicity": toxicity.query,
 }
