@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import fingerprint, huffman, language, mixing, neighbours, packing, separators, simhash, toxicity
+from . import fingerprint, huffman, language, mixing, neighbours, packing, pii, separators, simhash, toxicity
 
 QUERIES = {
     "op1_fingerprint": fingerprint.query,
     "op2_mixing": mixing.query,
     "op3_huffman": huffman.query,
     "op4_packing": packing.query,
+    "op5_pii": pii.query,
     "op6_simhash": simhash.query,
     "op7_language": language.query,
     "op8_neighbours": neighbours.query,
