@@ -22,6 +22,8 @@ from .common import Workspace, read_table
 #: Hash bits a refinement uses; three levels leave a bucket of 2**-36 of the hash range.
 LEVEL_BITS = 12
 LEVELS = 3
+#: Sources up to which the table of thresholds is broadcast (a row of a few numbers each).
+SOURCES = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -63,8 +65,13 @@ def mix_plan(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most:
     return [(name, s, t) for (name, s), t in zip(rows, targets)]
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies``: how often the mix takes each document.
+def prefix(h: Column, bits: int = LEVEL_BITS * LEVELS) -> Column:
+    """The first bits of a hash in unsigned order: flip the sign bit, then take bits from the top."""
+    return F.shiftrightunsigned(h.bitwiseXOR(F.lit(-(2**63))), 64 - bits)
+
+
+def thresholds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents as ``doc_id, source, size, h``, goals (``goal, source_size, target, whole, rest``) and cuts (``g0, cut``).
 
     One pass over the texts counts words into a narrow written table; all
     histograms run on that. Hot sources cost nothing special: histograms are
@@ -74,21 +81,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     work = Workspace(spark, "mix")
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size_of(text_col).alias("size"), F.xxhash64(F.col(id_col)).alias("h"))
     slim = work.write(slim, "slim")
-    plan = mix_plan(slim, weights, share, most)
-    plan = [(name, s, t, int(t // s) if s else 0, t - (t // s) * s if s else 0.0) for name, s, t in plan]
-    goals = spark.createDataFrame(plan, "source string, source_size long, target double, whole int, rest double") if plan else spark.createDataFrame([], "source string, source_size long, target double, whole int, rest double")
-    # the table of goals holds a row a source; the plan above was built on the driver from as many
-    goals = goals.withColumnRenamed("source", "goal")
+    plan = [(name, s, t, int(t // s) if s else 0, t - (t // s) * s if s else 0.0) for name, s, t in mix_plan(slim, weights, share, most)]
+    goals = spark.createDataFrame(plan, "goal string, source_size long, target double, whole int, rest double")
     same = F.col("source").eqNullSafe(F.col("goal"))
-    rows = slim.join(F.broadcast(goals) if len(plan) <= 100_000 else goals, same).drop("goal")
-    # unsigned order of the hash: flip the sign bit, then take bits from the top
-    key = F.col("h").bitwiseXOR(F.lit(-(2**63)))
     # cut: per source the prefix of hash bits below which all is taken; left: budget that remains inside the boundary bucket
     cuts = goals.select("goal", F.col("rest").alias("left"), F.lit(0).cast("long").alias("cut"))
     for level in range(1, LEVELS + 1):
-        kept = 64 - LEVEL_BITS * level
-        fine = F.shiftrightunsigned(key, kept)
-        inside = slim.join(F.broadcast(cuts) if len(plan) <= 100_000 else cuts, same).filter(F.shiftrightunsigned(fine, LEVEL_BITS) == F.col("cut") if level > 1 else F.lit(True))
+        fine = prefix(F.col("h"), LEVEL_BITS * level)
+        inside = slim.join(F.broadcast(cuts) if len(plan) <= SOURCES else cuts, same)
+        if level > 1:
+            inside = inside.filter(F.shiftrightunsigned(fine, LEVEL_BITS) == F.col("cut"))
         histogram = inside.groupBy("goal", "left", fine.alias("bucket")).agg(F.sum("size").alias("s"))
         running = F.sum("s").over(Window.partitionBy("goal").orderBy("bucket"))
         # the first bucket whose running sum exceeds the budget is the boundary; without one, everything inside is taken
@@ -98,11 +100,31 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         closer = (F.col("b.left") * 2 >= F.col("b.s")).cast("int") if level == LEVELS else F.lit(0)
         cuts = cuts.withColumnRenamed("goal", "g0").join(over, F.col("g0").eqNullSafe(F.col("goal")), "left").select(F.col("g0").alias("goal"), F.coalesce("b.left", "left").cast("double").alias("left"), F.coalesce(F.col("b.bucket") + closer, top).cast("long").alias("cut"))
         cuts = work.write(cuts, f"cuts{level}")
-    cuts = cuts.select(F.col("goal").alias("g0"), "cut")
-    rows = rows.join(F.broadcast(cuts) if len(plan) <= 100_000 else cuts, F.col("source").eqNullSafe(F.col("g0")))
-    below = F.shiftrightunsigned(key, 64 - LEVEL_BITS * LEVELS) < F.col("cut")
-    copies = F.col("whole") + below.cast("int")
-    return rows.select("doc_id", "source", "size", "source_size", "target", F.least(copies, F.lit(int(most))).alias("copies"))
+    return slim, goals, cuts.select(F.col("goal").alias("g0"), "cut")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """``doc_id, source, size, source_size, target, copies``: how often the mix takes each document."""
+    slim, goals, cuts = thresholds(docs, id_col, text_col, source_col, weights, share, most)
+    plan = goals.join(cuts, F.col("goal").eqNullSafe(F.col("g0")))
+    rows = slim.join(F.broadcast(plan) if goals.count() <= SOURCES else plan, F.col("source").eqNullSafe(F.col("goal")))
+    copies = F.least(F.col("whole") + (prefix(F.col("h")) < F.col("cut")).cast("int"), F.lit(int(most)))
+    return rows.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"))
+
+
+def repeated(docs: DataFrame, **options) -> DataFrame:
+    """The documents as often as the mix takes them, all columns kept.
+
+    Decides by doc_id and source alone, so the texts aren't shuffled: the whole
+    repeats and the threshold of each source join as a small table.
+    """
+    _, goals, cuts = thresholds(docs, **options)
+    same = F.col("source").eqNullSafe(F.col("__sg_goal"))
+    plan = goals.join(cuts, F.col("goal").eqNullSafe(F.col("g0"))).select(F.col("goal").alias("__sg_goal"), F.col("whole").alias("__sg_whole"), F.col("cut").alias("__sg_cut"))
+    rows = docs.join(F.broadcast(plan) if goals.count() <= SOURCES else plan, same)
+    copies = F.least(F.col("__sg_whole") + (prefix(F.xxhash64("doc_id")) < F.col("__sg_cut")).cast("int"), F.lit(2))
+    rows = rows.withColumn("__sg_copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies)).otherwise(F.array().cast("array<int>"))))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(spark, sf_dir):

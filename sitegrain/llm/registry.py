@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import fingerprint, huffman, language, mixing, neighbours, packing, pii, separators, simhash, toxicity
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_fingerprint": fingerprint.query,
     "op2_mixing": mixing.query,
     "op3_huffman": huffman.query,
