@@ -32,8 +32,9 @@ def percent(part: Column, whole: Column) -> Column:
 
 def title(text: Column | str) -> Column:
     """Every run of letters with a capital first ("o'brien" as "O'Brien")."""
-    marked = F.regexp_replace(F.lower(_col(text)), r"([a-z]+)", " $1 ")
-    return F.regexp_replace(F.initcap(F.regexp_replace(marked, " ", "  ")), r"  ?([A-Za-z]+)  ?", "$1")
+    held = F.replace(F.lower(_col(text)), F.lit(" "), F.lit("\x02"))  # initcap parts words at spaces alone
+    marked = F.initcap(F.regexp_replace(held, r"(\p{L}+)", " $1 "))
+    return F.replace(F.replace(marked, F.lit(" "), F.lit("")), F.lit("\x02"), F.lit(" "))
 
 
 BUSINESS_SUFFIX = r"(?i)[, ]+(?:llc|inc|pa|pc|pllc|dds|dmd|ltd|corp)\.?$"

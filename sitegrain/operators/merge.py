@@ -53,7 +53,7 @@ def monotone(rows: DataFrame, key: list[str], flags: list[str] = FLAGS, counts:
 
 def fill_last(left: DataFrame, source: DataFrame, key: str, column: str, order: str = "pos", policy: str = "dedup") -> DataFrame:
     """Blank cells of a column filled by key; of several, the last source row that isn't blank. Adds ``filled``: filled, no_match or skipped."""
-    ok = ~is_missing(F.col(column), policy)
+    ok = ~is_missing(F.trim(column), policy)
     last = source.groupBy(F.col(key).alias("__k")).agg(F.max_by(F.when(ok, F.trim(column)), F.when(ok, F.col(order))).alias("__v"))
     rows = left.join(last, F.col(key) == F.col("__k"), "left")
     blank = is_missing(F.trim(column), policy)
