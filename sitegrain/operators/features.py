@@ -36,22 +36,32 @@ def page_count(body: Column, full: Column, words: list[str], policy: str) -> Col
     return f
 
 
-def service_counts(pages: DataFrame, key: list[str], policy: str = "scrape", services: dict[str, list[str]] = SERVICES, body: str = "body_text", full: str = "text", augmented: str = "aug_text", url: str = "url", order: str = "page_ord") -> DataFrame:
-    """A row a key: mentions of every category over its distinct pages."""
+def page_counts(policy: str = "scrape", services: dict[str, list[str]] = SERVICES, body: str = "body_text", full: str = "text", augmented: str = "aug_text", columns: list[str] | None = None) -> list[Column]:
+    """A page's mentions of every category, as columns under the categories' names."""
+    whole = augmented if COUNT_POLICIES[policy]["augmented"] and (columns is None or augmented in columns) else full
+    return [page_count(F.lower(body), F.lower(whole), words, policy).cast("long").alias(c) for c, words in services.items()]
+
+
+def sum_counts(pages: DataFrame, key: list[str], policy: str, categories: list[str], url: str = "url", order: str = "page_ord") -> DataFrame:
+    """A row a key: the counts of its distinct pages summed, and capped where the policy says."""
     p = COUNT_POLICIES[policy]
-    whole = augmented if p["augmented"] and augmented in pages.columns else full
-    rows = one_per_page(pages.select(*key, url, order, *dict.fromkeys([body, whole])), key, policy, url, order)
-    sums = [F.sum(page_count(F.lower(body), F.lower(whole), words, policy)).cast("long").alias(c) for c, words in services.items()]
-    out = rows.groupBy(*key).agg(*sums)
+    rows = one_per_page(pages.select(*key, url, order, *categories), key, policy, url, order)
+    out = rows.groupBy(*key).agg(*[F.sum(c).cast("long").alias(c) for c in categories])
     if "field_cap" in p:
-        out = out.select(*key, *[F.least(F.greatest(F.col(c), F.lit(p.get("least", 0))), F.lit(p["field_cap"])).cast("long").alias(c) for c in services])
+        out = out.select(*key, *[F.least(F.greatest(F.col(c), F.lit(p.get("least", 0))), F.lit(p["field_cap"])).cast("long").alias(c) for c in categories])
     return out
 
 
-def technology_flags(pages: DataFrame, key: list[str], policy: str = "scrape", technology: dict[str, list[str]] = TECHNOLOGY, texts: tuple[str, ...] = ("text", "aug_text"), whole_words: dict[str, str] = WHOLE_WORDS) -> DataFrame:
-    """A row a key: whether any page speaks of each category. Text and words take the same form first."""
+def service_counts(pages: DataFrame, key: list[str], policy: str = "scrape", services: dict[str, list[str]] = SERVICES, body: str = "body_text", full: str = "text", augmented: str = "aug_text", url: str = "url", order: str = "page_ord") -> DataFrame:
+    """A row a key: mentions of every category over its distinct pages."""
+    rows = pages.select(*key, url, order, *page_counts(policy, services, body, full, augmented, pages.columns))
+    return sum_counts(rows, key, policy, list(services), url, order)
+
+
+def page_flags(policy: str = "scrape", technology: dict[str, list[str]] = TECHNOLOGY, texts: tuple[str, ...] = ("text", "aug_text"), whole_words: dict[str, str] = WHOLE_WORDS) -> list[Column]:
+    """Whether a page speaks of each category. Text and words take the same form first."""
     p = FLAG_POLICIES[policy]
-    text = F.concat_ws(" ", *[F.col(t) for t in texts if t in pages.columns])
+    text = F.concat_ws(" ", *[F.col(t) for t in texts])
     text = spaced(text) if p["spaced"] else F.lower(text)
     form = (lambda w: w.lower().replace("-", " ")) if p["spaced"] else str.lower
     flags = []
@@ -59,24 +69,38 @@ def technology_flags(pages: DataFrame, key: list[str], policy: str = "scrape", t
         hit = any_keyword(text, [form(w) for w in words])
         if p["whole_words"] and c in whole_words:
             hit = hit | whole_word(text, whole_words[c])
-        flags.append(F.max(hit).alias(c))
-    return pages.groupBy(*key).agg(*flags)
+        flags.append(hit.alias(c))
+    return flags
+
+
+def technology_flags(pages: DataFrame, key: list[str], policy: str = "scrape", technology: dict[str, list[str]] = TECHNOLOGY, texts: tuple[str, ...] = ("text", "aug_text"), whole_words: dict[str, str] = WHOLE_WORDS) -> DataFrame:
+    """A row a key: whether any of its pages speaks of each category."""
+    rows = pages.select(*key, *page_flags(policy, technology, tuple(t for t in texts if t in pages.columns), whole_words))
+    return rows.groupBy(*key).agg(*[F.max(c).alias(c) for c in technology])
 
 
 def mentioned(count: Column) -> Column:
     return F.when(count > 0, F.lit("Mentioned")).otherwise(F.lit(""))
 
 
-def testimonials(pages: DataFrame, key: list[str], policy: str = "scrape") -> DataFrame:
-    """Distinct testimonials a key, by the begin of their text; quotes count where no marked element does."""
+def page_testimonials(policy: str = "scrape") -> Column:
+    """A page's testimonials: whether marked as such, and the begin of the text."""
     p = TESTIMONIAL_POLICIES[policy]
     marked = F.filter("reviews", lambda r: r["tag"].isin(*p["tags"]) & any_keyword(r["mark"], list(p["marks"])))
     begin = lambda t: F.left(F.lower(F.trim(t)), F.lit(p["prefix"]))
-    rows = pages.select(*key, F.explode(F.concat(F.transform(marked, lambda r: F.struct(F.lit(True).alias("m"), begin(r["text"]).alias("t"))), F.transform("quotes", lambda q: F.struct(F.lit(False).alias("m"), begin(q).alias("t"))))).alias("x"))
-    rows = rows.select(*key, "x.m", "x.t").filter("t != ''").distinct()
+    return F.array_distinct(F.concat(F.transform(marked, lambda r: F.struct(F.lit(True).alias("m"), begin(r["text"]).alias("t"))), F.transform("quotes", lambda q: F.struct(F.lit(False).alias("m"), begin(q).alias("t")))))
+
+
+def count_testimonials(pages: DataFrame, key: list[str], column: str = "said") -> DataFrame:
+    """Distinct testimonials a key; quotes count where no marked element does."""
+    rows = pages.select(*key, F.explode(column).alias("x")).select(*key, "x.m", "x.t").filter("t != ''").distinct()
     return rows.groupBy(*key).agg(F.when(F.count_if("m") > 0, F.count_if("m")).otherwise(F.count(F.lit(1))).cast("int").alias("testimonials"))
 
 
+def testimonials(pages: DataFrame, key: list[str], policy: str = "scrape") -> DataFrame:
+    return count_testimonials(pages.select(*key, page_testimonials(policy).alias("said")), key)
+
+
 HYGIENIST = r"^([A-Z][A-Za-z'-]+(?: [A-Z][A-Za-z'-]+)?)"
 
 

@@ -18,19 +18,21 @@ def first_value(value: Column, order: Column | str, policy: str) -> Column:
     return F.min_by(present(value, policy), F.when(~is_missing(value, policy), o))
 
 
-def best_value(value: Column, order: Column | str, policy: str = "qa") -> Column:
-    """Aggregate: if the first value is a number, the largest (the first of equals); else the first."""
-    o = F.col(order) if isinstance(order, str) else order
-    ok = ~is_missing(value, policy)
-    number = whole_number(value)
-    first_number = F.min_by(number.isNotNull(), F.when(ok, o))
-    largest = F.max_by(F.when(ok, value), F.when(ok & number.isNotNull(), F.struct(number, -o)))
-    return F.when(first_number, largest).otherwise(first_value(value, o, policy))
-
-
 def rollup(rows: DataFrame, key: str, fields: list[str], order: str = "pos", policy: str = "qa") -> DataFrame:
-    """A row a key: best value of every field, rows, distinct order of doctors, first name and website."""
-    return rows.groupBy(key).agg(*[best_value(F.col(f).cast("string"), order, policy).alias(f) for f in fields], F.count(F.lit(1)).alias("row_count"))
+    """A row a key: the best value of every field, and the number of rows.
+
+    Best: if the first value that isn't missing is a number, the largest number
+    (the first of equals); else that first value. Missing tests and numbers are
+    worked out once a row, before the aggregation.
+    """
+    known = rows.select(key, F.col(order).alias("__o"), *[present(F.col(f).cast("string"), policy).alias(f) for f in fields])
+    known = known.select(key, "__o", *fields, *[whole_number(f).alias(f"__n_{f}") for f in fields])
+    aggs = []
+    for f in fields:
+        aggs.append(F.min_by(F.struct(F.col(f).alias("v"), F.col(f"__n_{f}").isNotNull().alias("num")), F.when(F.col(f).isNotNull(), F.col("__o"))).alias(f"__f_{f}"))
+        aggs.append(F.max_by(F.col(f), F.when(F.col(f"__n_{f}").isNotNull(), F.struct(F.col(f"__n_{f}"), -F.col("__o")))).alias(f"__m_{f}"))
+    out = known.groupBy(key).agg(*aggs, F.count(F.lit(1)).alias("row_count"))
+    return out.select(key, *[F.when(F.col(f"__f_{f}.num"), F.col(f"__m_{f}")).otherwise(F.col(f"__f_{f}.v")).alias(f) for f in fields], "row_count")
 
 
 def template(rows: DataFrame, key: str, fields: list[str], order: str = "pos", keep: tuple[str, ...] = (), policy: str = "dedup") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,35 +37,41 @@ def doctors(parsed: DataFrame, key: list[str]) -> DataFrame:
     return staff(parsed, key).select(*key, "rank", "name", F.nullif(features.specialty(F.col("bio"), policy="all"), F.lit("")).alias("specialty"), features.associations(F.col("bio")).alias("associations"))
 
 
-def socials(parsed: DataFrame, key: list[str]) -> DataFrame:
-    """The first valid profile address a site, by page and link order."""
-    links = parsed.select(*key, "page_ord", F.posexplode("links").alias("l_ord", "l"))
-    aggs = [F.min_by(F.when(is_profile("l.href", s), F.col("l.href")), F.when(is_profile("l.href", s), F.struct("page_ord", "l_ord"))).alias(f"{s}_url") for s in PROFILE_HOSTS]
-    return links.groupBy(*key).agg(*aggs)
+SITES = list(PROFILE_HOSTS)
 
 
-def contact(parsed: DataFrame, key: list[str]) -> DataFrame:
-    """Email by priority (hidden link, mailto, text), phone, places, hygienists; the first page that has one."""
+def page_socials() -> list[Column]:
+    """A page's first valid profile address of each site, by link order."""
+    first = lambda s: F.try_element_at(F.transform(F.filter("links", lambda x: is_profile(x["href"], s)), lambda x: x["href"]), F.lit(1)).alias(f"{s}_url")
+    return [first(s) for s in SITES]
+
+
+def page_contact() -> list[Column]:
+    """A page's email by priority (hidden link, mailto, text), phone, places, hygienists."""
     from ..functions.text import decode_hidden_email, is_bad_email
 
     good = lambda e: F.when(~is_bad_email(e), e)
     email = F.coalesce(good(decode_hidden_email(F.try_element_at("hidden", F.lit(1)))), good(F.try_element_at("mailtos", F.lit(1))), first_email("text"))
-    rows = parsed.select(*key, "page_ord", email.alias("email"), first_phone("text").alias("phone"), locations("text").alias("loc"), hygienists("text").alias("hyg"))
-    first = lambda c, test: F.min_by(F.when(test, F.col(c)), F.when(test, F.col("page_ord"))).alias(c)
-    return rows.groupBy(*key).agg(first("email", F.col("email").isNotNull()), first("phone", F.col("phone").isNotNull()), F.coalesce(F.min_by(F.when(F.col("loc") != "1", F.col("loc")), F.when(F.col("loc") != "1", F.col("page_ord"))), F.lit("1")).alias("locations_count"), F.max("hyg").alias("hygienists"))
+    return [email.alias("email"), first_phone("text").alias("phone"), F.nullif(locations("text"), F.lit("1")).alias("locations_count"), hygienists("text").alias("hygienists")]
 
 
 def extract(pages: DataFrame, key: list[str] = ["practice_id"], policy: str = "scrape") -> DataFrame:  # noqa: B006
-    """Re-extraction: one row a practice with counts, flags, contact, socials, testimonials and doctors, out of stored pages."""
+    """Re-extraction: one row a practice with counts, flags, contact, socials, testimonials and doctors, out of stored pages.
+
+    Each page is parsed once; what later steps need of it (numbers, addresses,
+    headings, begins of testimonials, no texts) is kept, on disk where memory
+    is short, and aggregated.
+    """
+    from ..rules import SERVICES, TECHNOLOGY
+
     parsed = parse_pages(pages)
-    counts = features.service_counts(parsed, key, policy)
-    counts = counts.withColumn("dental_plan", features.mentioned(F.col("dental_plan")))
-    flags = features.technology_flags(parsed, key, policy)
-    people = doctors(parsed, key).groupBy(*key).agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "name", "specialty", "associations"))), lambda d: F.struct(d["name"].alias("name"), d["specialty"].alias("specialty"), d["associations"].alias("associations"))).alias("doctors"))
-    out = counts.join(flags, key, "left")
-    for part in (contact(parsed, key), socials(parsed, key), features.testimonials(parsed, key, policy), people):
-        out = out.join(part, key, "left")
-    return out
+    slim = parsed.select(*key, "url", "page_ord", "headings", *features.page_counts(policy), *features.page_flags(policy), *page_contact(), *page_socials(), features.page_testimonials(policy).alias("said"))
+    slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
+    counts = features.sum_counts(slim, key, policy, list(SERVICES)).withColumn("dental_plan", features.mentioned(F.col("dental_plan")))
+    firsts = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col("page_ord"))).alias(c) for c in ("email", "phone", "locations_count", *[f"{s}_url" for s in SITES])]
+    rest = slim.groupBy(*key).agg(*[F.max(c).alias(c) for c in TECHNOLOGY], F.max("hygienists").alias("hygienists"), *firsts).withColumn("locations_count", F.coalesce("locations_count", F.lit("1")))
+    people = doctors(slim, key).groupBy(*key).agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "name", "specialty", "associations"))), lambda d: F.struct(d["name"].alias("name"), d["specialty"].alias("specialty"), d["associations"].alias("associations"))).alias("doctors"))
+    return counts.join(rest, key, "left").join(features.count_testimonials(slim, key), key, "left").join(people, key, "left")
 
 
 def refresh(batch: DataFrame, extracted: DataFrame, key: str = "idx") -> tuple[DataFrame, DataFrame]:
