@@ -102,6 +102,14 @@ def estimate(query: np.ndarray, centre_score: float | np.ndarray, codes: np.ndar
     return centre_score + length * bits / f, length * spread
 
 
+def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of rows, summed in order of the components: the same double on every machine."""
+    total = np.zeros(len(a))
+    for k in range(a.shape[1]):
+        total += a[:, k] * b[:, k]
+    return total
+
+
 def search_block(query_ids, queries, floor, ids, vectors, codes, length, factor, centroid, turn, k: int) -> Iterator[tuple]:
     """``(query id, vector id, score)`` of each query's best k in the block; floor: scores below can't matter."""
     for at in range(0, len(queries), AT_ONCE):
@@ -116,7 +124,7 @@ def search_block(query_ids, queries, floor, ids, vectors, codes, length, factor,
         r, c = np.nonzero((guess + bound >= (cut - 1e-9 * np.abs(np.where(np.isfinite(cut), cut, 0)))[:, None]) & ~self_)
         score = np.empty(len(r))
         for s in range(0, len(r), 1 << 18):
-            score[s : s + (1 << 18)] = np.einsum("ij,ij->i", q[r[s : s + (1 << 18)]], vectors[c[s : s + (1 << 18)]])
+            score[s : s + (1 << 18)] = inner(q[r[s : s + (1 << 18)]], vectors[c[s : s + (1 << 18)]])
         order = np.lexsort((ids[c], -score, r))
         r, c, score = r[order], c[order], score[order]
         keep = np.arange(len(r)) - np.searchsorted(r, r, "left") < k
@@ -211,6 +219,14 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, id_col
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+FINE = "embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) = (SELECT len(embedding) FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 DESC LIMIT 1) AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0"
+ORACLE = f"""
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE {FINE}),
+ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 20"""
+
+
 def query(spark, sf_dir):
     """op8: the 20 nearest vectors of every vector whose id is divisible by 20."""
     return nearest_neighbours(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
