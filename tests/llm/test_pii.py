@@ -40,10 +40,10 @@ def noise(rng):
 
 def data(seed):
     rng = random.Random(seed)
-    return [(i, noise(rng), None, None, None) for i in range(400)]
+    return [(i, noise(rng), None, None, None) for i in range(250)]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_base_spans_against_brute_force(spark, tmp_path, seed):
     own = data(seed) + rows()
     got = {}
