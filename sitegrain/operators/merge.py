@@ -107,3 +107,17 @@ def override(rows: DataFrame, key: str, column: str, values: dict) -> DataFrame:
 def replace_rows(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """The rows of keys that are in ``new`` are replaced by it; other keys keep theirs."""
     return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new, allowMissingColumns=True)
+
+
+def runs(rows: DataFrame, value: str, order: str = "pos") -> DataFrame:
+    """Rows in a row with the same value: ``run`` numbers them, so a value that comes again later is another run.
+
+    Partitioned by the value (gaps and islands), no global sort: rows of a
+    value are in one run as long as their positions follow each other.
+    """
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(value).orderBy(order)
+    numbered = rows.withColumn("__gap", F.col(order) - F.row_number().over(w))
+    first = Window.partitionBy(value, "__gap")
+    return numbered.withColumn("run", F.min(order).over(first)).drop("__gap")

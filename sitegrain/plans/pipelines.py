@@ -132,3 +132,24 @@ def supplement(have: Column, found: Column, most: int = 5) -> Column:
     from ..operators.match import union_names
 
     return F.when(F.size(have) >= most, have).otherwise(union_names(have, found))
+
+
+def chain_locations(pages: DataFrame, states: DataFrame, people: DataFrame | None = None, key: str = "idx") -> DataFrame:
+    """A chain's locations: each field from the embedded state, else from JSON-LD, else from the page's address; people likewise, else from the text, else from the registry.
+
+    ``pages`` are parsed pages with ``jsonld``, ``text`` and ``url``; ``states``
+    has the key and a JSON text ``state``.
+    """
+    from ..functions.people import names_in
+    from ..functions.structured import organisations, page_states
+    from ..functions.urls import place_parts, slug_address
+
+    fields = ["phone", "street", "city", "state", "zip", "rating", "reviews"]
+    place = place_parts("url")
+    own = pages.select(key, first_phone("text").alias("phone"), F.nullif(slug_address(place["slug"]), F.lit("")).alias("street"), place["city"].alias("city"), place["state"].alias("state"), F.lit(None).cast("string").alias("zip"), F.lit(None).cast("double").alias("rating"), F.lit(None).cast("long").alias("reviews"))
+    told = merge.fill_empty(page_states(states, [key]).select(key, *fields), organisations(pages, [key]).select(key, *fields), own, key=[key])
+    rows = told.join(page_states(states, [key]).select(key, F.col("people").alias("a")), key, "left").join(organisations(pages, [key]).select(key, F.col("people").alias("b")), key, "left").join(pages.select(key, names_in("text").alias("c")), key, "left")
+    if people is not None:
+        rows = rows.join(people.groupBy(key).agg(F.sort_array(F.collect_set("person")).alias("d")), key, "left")
+    lists = [F.when(F.size(c) > 0, F.col(c)) for c in ("a", "b", "c", *(["d"] if people is not None else []))]
+    return rows.select(key, *fields, F.coalesce(*lists, F.array().cast("array<string>")).alias("people"))
