@@ -531,6 +531,74 @@ def _(spark, sf):
     return windowed_mentions(load(spark, sf, "events")).withColumn("total", F.round("total", 4))
 
 
+# ---- extractors, on markup made of the driver's keys --------------------------------------------------
+
+MARKUP = """
+SELECT o_orderkey AS k, CASE o_orderkey % 6
+  WHEN 0 THEN '{"ratingValue":"4.' || CAST(o_orderkey % 10 AS STRING) || '","reviewCount":"1,' || CAST(100 + o_orderkey % 900 AS STRING) || '"}'
+  WHEN 1 THEN '<span aria-label="4.' || CAST(o_orderkey % 10 AS STRING) || ' stars, ' || CAST(o_orderkey AS STRING) || ' reviews">'
+  WHEN 2 THEN '<b>3.' || CAST(o_orderkey % 10 AS STRING) || ' (' || CAST(o_orderkey AS STRING) || ')</b>'
+  WHEN 3 THEN 'an 1.1 hour visit, ' || CAST(o_orderkey % 50 AS STRING) || ' reviews; all in all 4.6 in many years: ' || CAST(60 + o_orderkey AS STRING) || ' reviews'
+  WHEN 4 THEN '"follower_count": 0, ' || CAST(o_orderkey % 90 + 1 AS STRING) || '.5K followers <a href="https://www.instagram.com/p/x"></a><a href="https://www.instagram.com/smile' || CAST(o_orderkey AS STRING) || '"></a>'
+  ELSE 'We have ' || CAST(o_orderkey % 40 AS STRING) || ' locations and ' || CAST(o_orderkey % 9 + 1 AS STRING) || ' dental hygienists' END AS html
+FROM orders"""
+
+
+def markup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(MARKUP.replace("{", "{{").replace("}", "}}").replace("FROM orders", "FROM {orders}"), orders=load(spark, sf_dir, "orders"))
+
+
+@query("rating_cascade", "SELECT o_orderkey AS k, CASE o_orderkey % 6 WHEN 0 THEN 4 + (o_orderkey % 10) / 10.0 WHEN 1 THEN 4 + (o_orderkey % 10) / 10.0 WHEN 2 THEN 3 + (o_orderkey % 10) / 10.0 WHEN 3 THEN 4.6 END::DOUBLE AS rating, CAST(CASE o_orderkey % 6 WHEN 0 THEN 1100 + o_orderkey % 900 WHEN 1 THEN o_orderkey WHEN 2 THEN o_orderkey WHEN 3 THEN 60 + o_orderkey END AS BIGINT) AS reviews, CASE o_orderkey % 6 WHEN 0 THEN 'jsonld' WHEN 1 THEN 'label' WHEN 2 THEN 'brackets' WHEN 3 THEN 'nearest' END AS method FROM orders")
+def _(spark, sf):
+    return markup(spark, sf).select("k", signals.rating("html").alias("r")).select("k", "r.rating", "r.reviews", "r.method")
+
+
+@query("social_signals", "SELECT o_orderkey AS k, CAST(CASE WHEN o_orderkey % 6 = 4 THEN (o_orderkey % 90 + 1) * 1000 + 500 END AS BIGINT) AS followers, CASE WHEN o_orderkey % 6 = 4 THEN 'https://www.instagram.com/smile' || o_orderkey END AS profile FROM orders")
+def _(spark, sf):
+    return markup(spark, sf).select("k", signals.facebook_followers("html").alias("followers"), urls.first_profile("html", "instagram").alias("profile"))
+
+
+@query("site_counts", "SELECT o_orderkey AS k, CASE WHEN o_orderkey % 6 = 5 AND o_orderkey % 40 BETWEEN 1 AND 25 THEN CAST(o_orderkey % 40 AS VARCHAR) ELSE '1' END AS locations, CAST(CASE WHEN o_orderkey % 6 = 5 THEN o_orderkey % 9 + 1 END AS BIGINT) AS hygienists FROM orders")
+def _(spark, sf):
+    return markup(spark, sf).select("k", text.locations("html").alias("locations"), signals.hygienists("html").alias("hygienists"))
+
+
+@query("place_pick", "SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'b' ELSE 'a' END AS place, CASE WHEN s_suppkey % 3 = 0 THEN 4.5 WHEN s_suppkey % 3 = 1 THEN NULL ELSE 4.1 END::DOUBLE AS rating FROM supplier")
+def _(spark, sf):
+    own = lambda name, address, rating: F.struct(F.lit(name).alias("place_id"), address.alias("formatted_address"), rating.cast("double").alias("rating"))
+    k = F.col("s_suppkey") % 3
+    rows = load(spark, sf, "supplier").select("s_suppkey", F.array(own("a", F.when(k == 2, "1 Oak St, Waco, TX").otherwise("9 Far Rd, Reno, NV"), F.when(k != 1, 4.1)), own("b", F.when(k == 0, "2 Elm St, WACO, TX").otherwise("8 Far Rd, Reno, NV"), F.lit(4.5))).alias("c"))
+    return rows.select("s_suppkey", signals.place_pick("c", F.lit("Waco"), F.lit("TX")).alias("p")).select("s_suppkey", F.col("p.place_id").alias("place"), "p.rating")
+
+
+@query("hidden_emails", "SELECT c_custkey, 'u' || c_custkey || '@site.org' AS email FROM customer")
+def _(spark, sf):
+    plain = F.concat(F.lit("u"), F.col("c_custkey").cast("string"), F.lit("@site.org"))
+    key = (F.col("c_custkey") % 200 + 20).cast("int")
+    byte = lambda n: F.lpad(F.lower(F.hex(n.cast("long"))), 2, "0")
+    code = F.concat(byte(key), F.array_join(F.transform(F.split(plain, ""), lambda ch: byte(F.ascii(ch).bitwiseXOR(key))), ""))
+    return load(spark, sf, "customer").select("c_custkey", text.decode_hidden_email(code).alias("email"))
+
+
+@query("status_runs", "SELECT o_orderstatus, min(o_orderkey) AS run, count(*) AS rows FROM (SELECT o_orderstatus, o_orderkey, o_orderkey - row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS gap FROM orders) GROUP BY o_orderstatus, gap")
+def _(spark, sf):
+    return merge.runs(load(spark, sf, "orders").select("o_orderstatus", "o_orderkey"), "o_orderstatus", "o_orderkey").groupBy("o_orderstatus", "run").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("link_scores", f"WITH b AS ({BATCH}) SELECT pos, CASE WHEN doctor_name = 'Dr. Anna Weber' THEN 38 ELSE 3 + CASE WHEN doctor_name = 'JOHN SMITH' THEN 0 ELSE 0 END END AS score FROM b WHERE doctor_name IN ('Dr. Anna Weber', 'JOHN SMITH')")
+def _(spark, sf):
+    rows = batch(spark, sf).filter("doctor_name IN ('Dr. Anna Weber', 'JOHN SMITH')")
+    is_anna = F.col("doctor_name") == "Dr. Anna Weber"
+    return rows.select("pos", names.link_score("doctor_name", F.when(is_anna, "/team/anna-weber").otherwise("/team/x"), F.when(is_anna, "Dr. Weber").otherwise("more")).alias("score"))
+
+
+@query("listing_cards", "WITH c AS (SELECT p_partkey % 40 AS idx, p_partkey // 40 AS pos, p_name AS title FROM part WHERE p_partkey // 40 <= 8), s AS (SELECT *, len(list_intersect(list_distinct(string_split(title, ' ')), ['red', 'small', 'bolt'])) AS score FROM c) SELECT idx, arg_min(title, {'s': -score, 'p': pos}) AS title, max(score) AS score FROM s WHERE score > 0 GROUP BY idx")
+def _(spark, sf):
+    cards = load(spark, sf, "part").select((F.col("p_partkey") % 40).alias("idx"), F.floor(F.col("p_partkey") / 40).alias("pos"), F.col("p_name").alias("title"))
+    places = cards.select("idx").distinct().withColumn("practice_name", F.lit("The Red small bolt of"))
+    return match.match_cards(places, cards).select("idx", "title", F.col("score").cast("long").alias("score"))
+
+
 # ---- what SQL can't express: parser, clusters (tested against brute force) ----------------------------
 
 
