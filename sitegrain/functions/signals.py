@@ -56,23 +56,31 @@ def rating(html: Column | str) -> Column:
         ("stars", _one(low, RATING + r" stars? [^0-9]{0,20}[0-9,]+ (?:reviews|ratings)"), _one(low, r"[1-5]\.[0-9] stars? [^0-9]{0,20}([0-9,]+) (?:reviews|ratings)")),
         ("rated", _one(low, r"rated " + RATING + r" (?:out of|/) ?5"), _one(low, r"(?:based on|from) ([0-9,]+) (?:reviews|ratings)")),
     ]
+    tried = [_bound(F.struct(v.try_cast("double").alias("rating"), _count(n).alias("reviews"), F.lit(name).alias("method")), _is_rating) for name, v, n in pairs]
     counts = F.transform(located(low, REVIEWS), lambda x: F.struct(_count(x["value"]).alias("n"), (-x["at"]).alias("back")))
-    most = F.array_max(counts)  # the largest count, the first of equals
     marks = located(low, RATING)
-    nearest = F.array_min(F.transform(marks, lambda m: F.struct(F.abs(m["at"] + most["back"]).alias("d"), m["at"].alias("at"), m["value"].alias("value"))))
-    pairs.append(("nearest", F.when(F.size(counts) > 0, nearest["value"]), most["n"].cast("string")))
-    found = None
-    for name, value, n in pairs:
-        score = value.try_cast("double")
-        one = F.struct(score.alias("rating"), _count(n).alias("reviews"), F.lit(name).alias("method"))
-        test = score.between(1, 5)
-        found = F.when(test, one) if found is None else found.when(test, one)
-    return found
+
+    def nearest(most: Column) -> Column:
+        best = F.array_min(F.transform(marks, lambda m: F.struct(F.abs(m["at"] + most["back"]).alias("d"), m["at"].alias("at"), m["value"].alias("value"))))
+        return F.struct(best["value"].try_cast("double").alias("rating"), most["n"].alias("reviews"), F.lit("nearest").alias("method"))
+
+    # the largest count, the first of equals, worked out once
+    last = F.filter(F.transform(F.array(F.array_max(counts)), lambda most: F.when(most.isNotNull(), nearest(most))), lambda s: s.isNotNull() & _is_rating(s))
+    return F.coalesce(*tried, F.try_element_at(last, F.lit(1)))
+
+
+def _is_rating(s: Column) -> Column:
+    return F.coalesce(s["rating"].between(1, 5), F.lit(False))
+
+
+def _bound(value: Column, test) -> Column:
+    """A value if it passes a test, else NULL; worked out once (a column used twice is worked out twice)."""
+    return F.try_element_at(F.filter(F.array(value), test), F.lit(1))
 
 
 def search_rating(html: Column | str) -> Column:
     """The shorter cascade for search result pages: structured data, label, data value, microdata, text."""
-    return F.when(rating(html)["method"].isin("jsonld", "label", "data", "microdata", "brackets", "stars"), rating(html))
+    return _bound(rating(html), lambda r: r["method"].isin("jsonld", "label", "data", "microdata", "brackets", "stars"))
 
 
 def yelp_rating(html: Column | str) -> Column:

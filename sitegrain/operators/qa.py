@@ -7,6 +7,7 @@ small group-bys of the reports.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,7 +58,11 @@ def threshold(scored: DataFrame) -> DataFrame:
 
 
 def flagged(scored: DataFrame) -> DataFrame:
-    """Adds ``low`` and ``flags`` (status and LOW DATA, joined by " | "). The threshold is one row."""
+    """Adds ``low`` and ``flags`` (status and LOW DATA, joined by " | "). The threshold is one row.
+
+    The scores are read twice, for the threshold and for the flags, so they are kept.
+    """
+    scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     rows = scored.crossJoin(F.broadcast(threshold(scored)))
     low = (F.col("fill") < F.col("low_threshold")) & (F.col("status") != "NOT SCRAPED")
     return rows.withColumn("low", low).withColumn("flags", F.concat_ws(" | ", F.col("status"), F.when(low, F.lit("LOW DATA"))))
