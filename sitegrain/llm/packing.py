@@ -36,6 +36,8 @@ from .tokens import END, default_path, encoder
 TIERS = (512, 1024, 2048, 4096)
 #: Ids gathered before tails are packed.
 POOL = 1 << 20
+#: Ids in an output batch.
+BATCH = 1 << 20
 #: Tokens of a step group, and groups dealt at once.
 GROUP, ROUND = 32 * 4096, 8
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, window long, step_group long, ids binary"
@@ -139,7 +141,7 @@ class Dealer:
         if last:
             for size in sorted(self.waiting):
                 self.deal(size)
-        if self.out and (last or len(self.out) >= 5000):
+        if self.out and (last or len(self.out) >= 5000 or self.with_ids and sum(r[2] for r in self.out) >= BATCH):
             kinds = [pa.int64()] * 9 + [pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*self.out), kinds)], names=NAMES)
             self.out = []

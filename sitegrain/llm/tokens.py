@@ -19,8 +19,8 @@ from array import array
 
 import numpy as np
 
-#: Pieces remembered by a worker; 800,000 take about 160 MB.
-REMEMBERED = 800_000
+#: Pieces remembered by a worker; 300,000 take about 60 MB.
+REMEMBERED = 300_000
 #: Longer pieces aren't remembered.
 LONG = 64
 DEFAULT = "word_bpe_49k.json"
