@@ -11,8 +11,15 @@ import zipfile
 from pyspark.sql import SparkSession
 
 
+#: Rows of an Arrow batch: texts and pages may be long, so batches are short (10,000 by default).
+BATCH_ROWS = 512
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Give executors this package, once a Spark context: Python workers import it, wherever the driver was started."""
+    """Give executors this package, once a Spark context: Python workers import it, wherever the driver was started.
+
+    Also shortens Arrow batches, where they have their default length.
+    """
     context = spark.sparkContext
     if not getattr(context, "_sitegrain_shipped", False):
         root = os.path.dirname(os.path.abspath(__file__))
@@ -27,4 +34,6 @@ def ship(spark: SparkSession) -> SparkSession:
                         z.write(full, os.path.relpath(full, os.path.dirname(root)))
         context.addPyFile(target)
         context._sitegrain_shipped = True
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
