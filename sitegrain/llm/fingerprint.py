@@ -65,32 +65,36 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def exact_classes(docs: DataFrame, prints: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = DIGEST_BITS) -> DataFrame:
-    """Classes of equal documents: ``id_col, fingerprint, class_id`` (the smallest id of the class).
-
-    ``prints`` has ``id_col, fingerprint`` for every document. Only documents
-    whose digest occurs more than once have their bytes compared: per digest
-    the smallest and the largest canonical text are aggregated map-side first,
-    so a digest that a third of all rows share sends one row a task. Where
-    they differ (a hash collision), classes are formed by the bytes
-    themselves and the fingerprint gets the class's rank as a suffix.
+    """Classes of equal documents: the columns of ``prints`` and ``class_id`` (the smallest id of the class).
+
+    ``prints`` has ``id_col, fingerprint`` for every document, and perhaps more.
+    Only documents whose digest occurs more than once have their bytes
+    compared: per digest the smallest and the largest canonical text are
+    aggregated map-side first, so a digest that a third of all rows share sends
+    one row a task. Where they differ (a hash collision), classes are formed by
+    the bytes themselves and the fingerprint gets the class's rank as a suffix.
     """
-    spark = docs.sparkSession
-    per = prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"), F.min(id_col).alias("class_id"))
-    repeated = prints.join(per.filter("n > 1").select("fingerprint"), "fingerprint", "left_semi").select(F.col(id_col).alias("__id")).distinct()
-    few = repeated.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    chosen = docs.select(id_col, text_col).join(F.broadcast(repeated) if few else repeated, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+    work = Workspace(docs.sparkSession, "classes")
+    # digests that occur more than once, as a table of their own: joins with it are broadcast while it is small, or may be split by AQE
+    repeated = work.write(prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"), F.min(id_col).alias("class_id")).filter("n > 1").drop("n"), "repeated")
+    small = repeated.count() <= BROADCAST_ROWS
+    hint = F.broadcast if small else (lambda df: df)
+    ids = work.write(prints.join(hint(repeated.select("fingerprint")), "fingerprint", "left_semi").select(F.col(id_col).alias("__id")).distinct(), "ids")
+    few = ids.count() <= BROADCAST_ROWS
+    chosen = docs.select(id_col, text_col).join(F.broadcast(ids) if few else ids, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
     whole = fingerprints(chosen, id_col, text_col, bits)
-    apart = whole.groupBy("fingerprint").agg(F.min("canon").alias("low"), F.max("canon").alias("high")).filter("low != high").select("fingerprint")
-    apart = Workspace(spark, "fingerprint").write(apart, "collisions")
+    apart = work.write(whole.groupBy("fingerprint").agg(F.min("canon").alias("low"), F.max("canon").alias("high")).filter("low != high").select("fingerprint"), "collisions")
+    merged = prints.join(hint(repeated), "fingerprint", "left").select(*prints.columns, F.coalesce("class_id", id_col).alias("class_id"))
     if apart.isEmpty():
-        return prints.join(per.drop("n"), "fingerprint").select(id_col, "fingerprint", "class_id")
+        return merged
     split = whole.join(apart, "fingerprint", "left_semi")
     classes = split.groupBy("fingerprint", "canon").agg(F.min(id_col).alias("class_id"))
     rank = classes.groupBy("fingerprint").agg(F.sort_array(F.collect_list("canon")).alias("all"))
-    classes = classes.join(rank, "fingerprint").withColumn("suffix", F.concat(F.lit("-"), (F.array_position("all", F.col("canon"))).cast("string"))).drop("all")
-    told = split.join(classes, ["fingerprint", "canon"]).select(id_col, F.concat("fingerprint", "suffix").alias("fingerprint"), "class_id")
-    sure = prints.join(apart, "fingerprint", "left_anti").join(per.drop("n"), "fingerprint").select(id_col, "fingerprint", "class_id")
-    return sure.unionByName(told)
+    classes = classes.join(rank, "fingerprint").select("fingerprint", "canon", F.col("class_id").alias("__class"), F.concat(F.lit("-"), F.array_position("all", F.col("canon")).cast("string")).alias("__suffix"))
+    told = split.join(classes, ["fingerprint", "canon"]).groupBy(F.col(id_col).alias("__id"), F.col("fingerprint").alias("__print")).agg(F.min("__suffix").alias("__suffix"), F.min("__class").alias("__class"))
+    rows = merged.join(told, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("fingerprint") == F.col("__print")), "left")
+    new = {"fingerprint": F.concat("fingerprint", F.coalesce("__suffix", F.lit(""))).alias("fingerprint"), "class_id": F.coalesce("__class", "class_id").alias("class_id")}
+    return rows.select(*[new.get(c, F.col(c)) for c in merged.columns])
 
 
 def spliced_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = DIGEST_BITS) -> DataFrame:
@@ -158,5 +162,4 @@ def query(spark, sf_dir):
     """op1: every document's fingerprint, that of its splice with the next one, and its class of equal documents."""
     docs = read_table(spark, sf_dir, "documents")
     rows = Workspace(spark, "op1").write(spliced_with_next(docs), "rows")
-    classes = exact_classes(docs, rows.select("doc_id", "fingerprint")).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
-    return rows.join(classes, "doc_id", "left").select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "class_id")
+    return exact_classes(docs, rows).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "class_id")
