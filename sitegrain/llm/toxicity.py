@@ -3,7 +3,8 @@
 Voters are lexicons and patterns, each voting toxic, clean or nothing on a
 document. Some are given (insults in four languages, threats, shouting at a
 reader); some lexicons are found in labelled rows: words much more frequent in
-toxic ones, cut into a few voters by strength. The label model estimates each
+toxic ones, cut into a few voters by strength, and stems of which a toxic
+document holds several words (insults are inflected and compounded). The label model estimates each
 voter's rates of votes under either class by expectation-maximisation over
 vote patterns, and down-weights voters that correlate beyond what the classes
 explain. Labels are one more voter, so wrong labels can be outvoted. A logistic
@@ -29,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_of, raw, read_table
+from .common import Workspace, bucket_of, raw, read_table
 
 FIT_ROWS = 20_000
 #: Words a found lexicon may have; toxic documents a word must be in; twice the log-likelihood ratio it must reach.
 LEXICON, SUPPORT, CHANCE = 400, 4, 30.0
+#: Lengths of stems.
+STEMS = (5, 6, 7)
 
 # Common insults, by language.
 INSULTS = {
@@ -57,7 +60,18 @@ _SPACED = re.compile(r"\b(?:[a-z][ .\-*_]){3,}[a-z]\b")
 GIVEN = [*INSULTS, "masked", *PATTERNS, "shout"]
 
 
-def evidence(text: str, words: set[str], found: list[frozenset]) -> tuple[list[int], set[str]]:
+def several(words: set[str]) -> set[str]:
+    """Stems with which at least two words begin and go on."""
+    once, twice = set(), set()
+    for w in words:
+        for k in STEMS:
+            if len(w) > k:
+                stem = w[:k]
+                (twice if stem in once else once).add(stem)
+    return twice
+
+
+def evidence(text: str, words: dict, found: list[frozenset], stems: frozenset = frozenset()) -> tuple[list[int], set[str]]:
     """Votes (1 toxic, 0 none, -1 clean) of all voters; the lexicon words in the text."""
     low = text.lower()
     own = set(_WORD.findall(low))
@@ -78,6 +92,13 @@ def evidence(text: str, words: set[str], found: list[frozenset]) -> tuple[list[i
     shouted = hits and any(w.upper() in text for w in hits if len(w) > 3)
     votes.append(int(bool(shouted)))
     votes += [int(not own.isdisjoint(v)) for v in found]
+    if stems:
+        once: dict[str, int] = {}
+        for w in own:
+            for k in STEMS:
+                if len(w) > k and w[:k] in stems:
+                    once[w[:k]] = once.get(w[:k], 0) + 1
+        votes.append(int(any(n > 1 for n in once.values())))
     # a voter for clean: nothing of any lexicon
     votes.append(-1 if not any(votes) else 0)
     return votes, (hits | masked | {w for v in found for w in own & v})
@@ -97,17 +118,37 @@ def find_lexicons(labelled: DataFrame, n_toxic: int, n_clean: int, text_col: str
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"(?U)([\p{L}]{3,})"), 1))
     one = labelled.select("toxic", words.alias("words")).withColumn("copy", F.array_max(F.transform("words", lambda w: F.struct(F.length(w), w))))
     counts = one.select("toxic", "copy", F.explode("words").alias("word")).groupBy("word", "copy").agg(F.max("toxic").alias("toxic")).groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).filter(F.col("t") >= SUPPORT)
-    # likelihood ratio against equal rates, large enough to stand among all words of a corpus
-    n, rate = F.col("t") + F.col("c"), n_toxic / (n_toxic + n_clean)
-    part = lambda k, share: F.when(k > 0, k * F.log(k / (n * share))).otherwise(0.0)
-    ratio = 2 * (part(F.col("t"), rate) + part(F.col("c"), 1 - rate))
-    best = counts.withColumn("ratio", ratio).filter((F.col("ratio") >= CHANCE) & (F.col("t") > 2 * n * rate)).orderBy(F.desc("ratio"), "word").limit(LEXICON).collect()
-    if not best:
-        return []
+    best = telling(counts, n_toxic, n_clean)
     strong, weak = ([r.word for r in best if (r.ratio >= 3 * CHANCE) is x] for x in (True, False))
     return [frozenset(v) for v in (strong, weak) if v]
 
 
+def find_stems(labelled: DataFrame, n_toxic: int, n_clean: int) -> frozenset:
+    """Stems of which toxic rows hold several words much more often. Near copies count once, as for words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = set(_WORD.findall(text.decode("utf-8", "replace").lower()))
+                copy = max(own, key=lambda w: (len(w), w), default="")
+                rows += [(toxic, copy, stem) for stem in several(own)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.string(), pa.string()))], names=["toxic", "copy", "word"])
+
+    held = labelled.select("toxic", raw("text")).mapInArrow(run, "toxic int, copy string, word string").groupBy("word", "copy").agg(F.max("toxic").alias("toxic"))
+    counts = held.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).filter(F.col("t") >= SUPPORT)
+    return frozenset(r.word for r in telling(counts, n_toxic, n_clean) if r.ratio >= 2 * CHANCE)
+
+
+def telling(counts: DataFrame, n_toxic: int, n_clean: int) -> list:
+    """Words (``word, t, c``) whose rates differ beyond chance among all words of a corpus, the most telling first."""
+    n, rate = F.col("t") + F.col("c"), n_toxic / (n_toxic + n_clean)
+    part = lambda k, share: F.when(k > 0, k * F.log(k / (n * share))).otherwise(0.0)
+    ratio = 2 * (part(F.col("t"), rate) + part(F.col("c"), 1 - rate))  # likelihood ratio against equal rates
+    return counts.withColumn("ratio", ratio).filter((F.col("ratio") >= CHANCE) & (F.col("t") > 2 * n * rate)).orderBy(F.desc("ratio"), "word").limit(LEXICON).collect()
+
+
 def label_model(votes: np.ndarray, anchors: int = 1, rounds: int = 60) -> tuple[np.ndarray, dict]:
     """Posterior probability of toxic for each row of votes; rates, prior and weights.
 
@@ -170,21 +211,23 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, id_col: str =
     n = told.count()
     unit = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit("toxicity")), 11) / float(1 << 53)
     told = told.filter(unit < rows / max(1, n)).groupBy(F.col(id_col).alias("__sg_id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
-    sample = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(told), F.col(id_col) == F.col("__sg_id")).select("toxic", "text")  # at most about FIT_ROWS
+    sample = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(told), F.col(id_col) == F.col("__sg_id")).select("toxic", "text")
+    sample = Workspace(docs.sparkSession, "toxicity").write(sample, "sample")  # at most about FIT_ROWS texts, read three times
     base = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     found = find_lexicons(sample, base.get(1, 0), base.get(0, 0)) if base.get(1) and base.get(0) else []
+    stems = find_stems(sample, base.get(1, 0), base.get(0, 0)) if base.get(1) and base.get(0) else frozenset()
     words = given_words()
     lexicon = sorted(words["all"].union(*found))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {w: k for k, w in enumerate(lexicon)}
         for batch in batches:
-            out = [evidence(t.decode("utf-8", "replace"), words, found) for t in batch.column(1).to_pylist()]
+            out = [evidence(t.decode("utf-8", "replace"), words, found, stems) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v for v, _ in out], pa.list_(pa.int32())), pa.array([sorted(place[w] for w in h if w in place) for _, h in out], pa.list_(pa.int32()))], names=["toxic", "votes", "hits"])
 
     seen = sample.select("toxic", raw("text")).mapInArrow(look, "toxic int, votes array<int>, hits array<int>").collect()  # at most about FIT_ROWS short rows
     if not seen:  # nothing to learn from: any given voter decides
-        return {"found": [], "lexicon": [], "w": np.full(len(GIVEN) + 1, 4.0), "b": -2.0, "n_votes": len(GIVEN) + 1, "label_model": {}}
+        return {"found": [], "stems": frozenset(), "lexicon": [], "w": np.full(len(GIVEN) + 1, 4.0), "b": -2.0, "n_votes": len(GIVEN) + 1, "label_model": {}}
     votes, gold, hits = np.array([r.votes for r in seen]), np.array([1 if r.toxic else -1 for r in seen]), [r.hits for r in seen]
     posterior, model = label_model(np.column_stack([votes, gold]))
     x = np.zeros((len(votes), votes.shape[1] + len(lexicon)))
@@ -192,7 +235,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, id_col: str =
     for k, own in enumerate(hits):
         x[k, votes.shape[1] + np.array(own, int)] = 1
     w, b = logistic(x, posterior)
-    return {"found": found, "lexicon": lexicon, "w": w, "b": b, "n_votes": votes.shape[1], "label_model": model}
+    return {"found": found, "stems": stems, "lexicon": lexicon, "w": w, "b": b, "n_votes": votes.shape[1], "label_model": model}
 
 
 def score(docs: DataFrame, model: dict, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -205,7 +248,7 @@ def score(docs: DataFrame, model: dict, keep: list[str], text_col: str = "text")
         for batch in batches:
             out = []
             for data in batch.column(batch.num_columns - 1).to_pylist():
-                votes, hits = evidence(data.decode("utf-8", "replace"), words, model["found"])
+                votes, hits = evidence(data.decode("utf-8", "replace"), words, model["found"], model["stems"])
                 z = b + float(w[: model["n_votes"]] @ votes) + sum(w[place[h]] for h in sorted(hits) if h in place)
                 out.append(1 / (1 + np.exp(-min(30.0, max(-30.0, z)))))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.float64())], names=[*keep, "toxicity"])
