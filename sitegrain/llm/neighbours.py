@@ -102,16 +102,17 @@ def estimate(query: np.ndarray, centre_score: float | np.ndarray, codes: np.ndar
     return centre_score + length * bits / f, length * spread
 
 
-def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of rows, summed in order of the components: the same double on every machine."""
-    total = np.zeros(len(a))
-    for k in range(a.shape[1]):
-        total += a[:, k] * b[:, k]
+def inner(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of columns i of a and j of b, summed in order of the components: the same double on every machine."""
+    total = np.zeros(len(i))
+    for x, y in zip(a, b):
+        total += x[i] * y[j]
     return total
 
 
 def search_block(query_ids, queries, floor, ids, vectors, codes, length, factor, centroid, turn, k: int) -> Iterator[tuple]:
     """``(query id, vector id, score)`` of each query's best k in the block; floor: scores below can't matter."""
+    down = np.ascontiguousarray(vectors.T)
     for at in range(0, len(queries), AT_ONCE):
         q, own = queries[at : at + AT_ONCE], query_ids[at : at + AT_ONCE]
         guess, bound = estimate(q, (q @ centroid)[:, None], codes, length, factor, turn)
@@ -122,9 +123,11 @@ def search_block(query_ids, queries, floor, ids, vectors, codes, length, factor,
             cut = np.maximum(cut, -np.partition(-least, k - 1, axis=1)[:, k - 1])
         # a hair of slack: the floor is exact, the sums round
         r, c = np.nonzero((guess + bound >= (cut - 1e-9 * np.abs(np.where(np.isfinite(cut), cut, 0)))[:, None]) & ~self_)
-        score = np.empty(len(r))
+        score, across = np.empty(len(r)), np.ascontiguousarray(q.T)
         for s in range(0, len(r), 1 << 18):
-            score[s : s + (1 << 18)] = inner(q[r[s : s + (1 << 18)]], vectors[c[s : s + (1 << 18)]])
+            score[s : s + (1 << 18)] = inner(across, r[s : s + (1 << 18)], down, c[s : s + (1 << 18)])
+        reach = score >= floor[at : at + AT_ONCE][r]  # what an earlier search has outdone needn't be told
+        r, c, score = r[reach], c[reach], score[reach]
         order = np.lexsort((ids[c], -score, r))
         r, c, score = r[order], c[order], score[order]
         keep = np.arange(len(r)) - np.searchsorted(r, r, "left") < k
