@@ -246,9 +246,21 @@ def query(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents whose doc_id is the smallest of their component; the first of rows that repeat it; rows without a doc_id stay."""
-    found = near_duplicates(docs)
-    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("__sg_id")).distinct()
+def one_row_each(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row of every kept doc_id (``__sg_id``, distinct), of rows that repeat it that of the smallest hash; rows without a doc_id stay."""
     few = kept.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(kept) if few else kept, (F.col("doc_id") == F.col("__sg_id")), "left_semi").unionByName(docs.filter("doc_id IS NULL"))
+    rows = docs.join(F.broadcast(kept) if few else kept, F.col("doc_id") == F.col("__sg_id"), "left_semi")
+    twice = docs.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__sg_id")).count().filter("count > 1").select("__sg_id")
+    many = twice.limit(BROADCAST_ROWS + 1).count()
+    if many:
+        twice = F.broadcast(twice) if many <= BROADCAST_ROWS else twice
+        every = [F.col(f"`{c}`") for c in docs.columns]
+        again = rows.join(twice, F.col("doc_id") == F.col("__sg_id"), "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*every), F.xxhash64(*every)).alias("__sg_row"))
+        rows = rows.join(twice, F.col("doc_id") == F.col("__sg_id"), "left_anti").unionByName(again.select("__sg_row.*"))
+    return rows.unionByName(docs.filter("doc_id IS NULL"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of every doc_id that is the smallest of its component; rows without a doc_id stay."""
+    kept = near_duplicates(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("__sg_id")).distinct()
+    return one_row_each(docs, kept)

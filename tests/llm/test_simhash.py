@@ -105,3 +105,11 @@ def test_keep_one(spark, tmp_path):
     assert kept.columns == docs.columns
     want = brute_components([(i, brute_print(t)) for i, t, *_ in varied()])
     assert {r.doc_id for r in kept.collect()} == set(want.values()) | {None}
+
+
+def test_keep_one_row_of_a_repeated_id(spark, tmp_path):
+    data = rows() + [(900, "a row repeated as it is, many times over", "en", "hot", None)] * 30 + [(None, "no id", None, None, None)] * 2
+    docs = spark.read.parquet(save(spark, tmp_path, data) + "/documents.parquet")
+    got = [r.doc_id for r in s.keep_one(docs).collect()]
+    assert got.count(None) == 2 and got.count(900) == got.count(505) == 1
+    assert len(got) - 2 == len(set(got) - {None})
