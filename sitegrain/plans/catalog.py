@@ -610,6 +610,14 @@ def _(spark, sf):
     return parse_pages(pages, keep=["page_id", "url"]).select("page_id", "title", F.length("text").alias("n_text"), F.length("body_text").alias("n_body"), F.length("aug_text").alias("n_aug"), F.size("links").alias("n_links"), F.size("headings").alias("n_headings"))
 
 
+@query("link_scores_all")
+def _(spark, sf):
+    """Every row of the batch with one of three links; ``link_scores`` shows two of the nine names only."""
+    link = (F.floor(F.col("pos") / 9) % 3).cast("int")
+    of = lambda *values: F.element_at(F.array(*[F.lit(v) for v in values]), link + 1)
+    return batch(spark, sf).select("pos", names.link_score("doctor_name", of("/team/anna-weber", "/doctors/maria-de-la-cruz", "/john-smith/carter"), of("Dr. Weber", "meet Dr. Cruz", "Single Carter")).alias("score"))
+
+
 @query("person_dedupe")
 def _(spark, sf):
     return entity.person(batch(spark, sf).select("idx", "pos", F.col("doctor_name").alias("name")), "idx")
