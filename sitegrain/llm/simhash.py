@@ -231,12 +231,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``doc_id, fp, component_id``: every document's fingerprint and the smallest doc_id it is linked to, over any number of links."""
     work = Workspace(docs.sparkSession, "simhash")
     prints = work.write(fingerprints(docs, id_col, text_col, words), "prints")
-    nodes = work.write(prints.groupBy("fp").agg(F.min("doc_id").alias("node")).filter("node IS NOT NULL"), "nodes")
-    # a doc_id on rows of different texts is one node: its fingerprints are linked by it
-    twice = prints.filter("doc_id IS NOT NULL").join(nodes, "fp").filter("doc_id != node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    twice = twice.join(nodes.select(F.col("node").alias("a")), "a", "left_semi")
-    comps = components(links(nodes, nodes.count(), radius).union(twice), work)
-    told = nodes.join(comps, "node", "left").select("fp", F.coalesce("component_id", "node").alias("component_id"))
+    owned = prints.filter("doc_id IS NOT NULL")
+    nodes = work.write(owned.groupBy("fp").agg(F.min("doc_id").alias("low")).select(F.col("fp").alias("node"), "fp", "low"), "nodes")
+    # a doc_id on rows of different texts links their fingerprints
+    by_id = owned.groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).filter("a != z").select("doc_id", "a")
+    twice = owned.join(by_id, "doc_id").filter("a != fp").select("a", F.col("fp").alias("b")).distinct()
+    comps = components(links(nodes.select("node", "fp"), nodes.count(), radius).union(twice), work)
+    parts = nodes.join(comps, "node", "left").select("fp", "low", F.coalesce("component_id", "node").alias("part"))
+    told = parts.join(parts.groupBy("part").agg(F.min("low").alias("component_id")), "part").select("fp", "component_id")
     return prints.join(told, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 

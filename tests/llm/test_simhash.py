@@ -113,3 +113,13 @@ def test_keep_one_row_of_a_repeated_id(spark, tmp_path):
     got = [r.doc_id for r in s.keep_one(docs).collect()]
     assert got.count(None) == 2 and got.count(900) == got.count(505) == 1
     assert len(got) - 2 == len(set(got) - {None})
+
+
+def test_ids_with_different_texts_link_whole_components(spark, tmp_path):
+    a, b, c = ("one text of some words " * 9, "quite another story told here " * 9, "third thing, unlike the others " * 9)
+    prints = [brute_print(x) for x in (a, b, c)]
+    assert min((prints[0] ^ prints[1]).bit_count(), (prints[0] ^ prints[2]).bit_count(), (prints[1] ^ prints[2]).bit_count()) > 4
+    data = [(i, t, "en", "a", None) for i, t in [(3, a), (4, b), (7, a), (7, b), (9, c), (None, c)]]
+    got = s.query(spark, save(spark, tmp_path, data)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got if r.doc_id is not None) == [(3, 3), (4, 3), (7, 3), (7, 3), (9, 9)]
+    assert [r.component_id for r in got if r.doc_id is None] == [None]
