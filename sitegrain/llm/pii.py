@@ -50,6 +50,11 @@ CANDIDATES = (
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}+(?: ?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])"),
     ("name", rf"(?<![A-Za-zÀ-ÿ])(?:(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Sr|Sra|Mme)\.? |(?:[Mm]y name is|[Ii]ch hei(?:ß|ss)e|[Jj]e m'appelle|[Mm]e llamo) ){_NAME}(?: {_NAME})?+"),
 )
+#: In every text with a candidate, whatever the alternative: others aren't searched.
+SIGN = (
+    r"[0-9]{3}[ .)-]|[0-9]{4}|\[at\]|\(at\)| dot |\[dot\]|\(dot\)|(?:[0-9][ -]?){13}[0-9]|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3}"
+    r"|(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Sr|Sra|Mme)\.? [A-ZÀ-Þ]|y name is|ch hei|'appelle|e llamo"
+)
 # Gazetteers and context words.
 TLDS = ("com", "org", "net", "edu", "gov", "info", "io", "co", "de", "fr", "es", "uk", "eu")
 FIRST_NAMES = ("james", "mary", "john", "linda", "robert", "anna", "maria", "peter", "hans", "karl", "sophie", "marie", "jean", "pierre", "jose", "juan", "carmen", "luis", "david", "sarah", "michael", "laura", "thomas", "julia")
@@ -155,7 +160,7 @@ def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds ``__sg_more``: candidates that don't overlap a certain span, as ``start, rank, end, kind, v0..v4``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     pattern = "|".join(f"(?:{p})" for _, p in CANDIDATES)
-    sign = text.rlike(r"[0-9]{3}[ .)-]|[0-9]{4}|\[at\]|\(at\)| dot |(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Sr|Sra|Mme)\.? [A-ZÀ-Þ]|y name is|ch hei|'appelle|e llamo")
+    sign = text.rlike(SIGN)
     docs = docs.withColumn("__sg_found", F.when(sign, matches(text, pattern)).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,value:string,before:string>>")))
 
     def kind_of(v: Column) -> Column:
