@@ -115,7 +115,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], te
             return pred, prob
         held, sizes, at = [], [], []
 
-        def flush() -> None:
+        def flush(again: int = 0) -> None:  # again: leading letters of a piece that the piece before has told, for n-grams across the cut
             if not held:
                 return
             # documents in a row, parted by a mark; n-grams that touch a mark fall into the empty bin
@@ -127,6 +127,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], te
                 bad = mark[: len(g)].copy()
                 for k in range(1, n + 1):
                     bad |= mark[k : k + len(g)]
+                bad[: max(0, again - n)] = True
                 rows = table[np.where(bad, bins, g)]
                 total += np.add.reduceat(rows, begins, axis=0, dtype=np.float64)
             total += prior
@@ -149,8 +150,9 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], te
                 parts[i] = np.zeros(len(names))
                 flush()
                 for k in range(0, len(chars), AT_ONCE):
-                    held.append(chars[k : k + AT_ONCE]), sizes.append(len(held[-1])), at.append(i)
-                    flush()
+                    again = min(k, ORDERS - 1)
+                    held.append(chars[k - again : k + AT_ONCE]), sizes.append(len(held[-1])), at.append(i)
+                    flush(again)
                 best = int((parts[i] + prior).argmax())
                 odds = np.exp(parts[i] + prior - (parts[i] + prior).max())
                 pred[i], prob[i] = names[best], float(odds[best] / odds.sum())

@@ -106,3 +106,12 @@ def test_folds_are_crc32(spark):
 
     df = spark.createDataFrame([(5,), (None,)], "doc_id long").select("doc_id", bucket_of("doc_id", 5).alias("b"))
     assert {r.doc_id: r.b for r in df.collect()} == {5: zlib.crc32(b"5") % 5, None: 0}
+
+
+def test_long_texts_lose_no_ngram_at_the_cuts(spark):
+    text = "a" * (language.AT_ONCE - 1) + "bc" + "a" * 10  # the cut lies between b and c
+    table = np.zeros((language.BINS, 2))
+    for gram, odds in (("bc", (3, 1)), ("abc", (5, 1)), ("bca", (7, 1)), ("b", (1, 2)), ("ab", (1, 2)), ("c", (1, 11))):
+        table[language.grams(language.letters(gram), language.BINS)[len(gram) - 1][0]] += np.log(odds)
+    r = language.predict(frame(spark, [(1, text, None, "a", None)], extra=False), (["x", "y"], table, np.zeros(2))).first()
+    assert r.lang_pred == "x" and abs(r.lang_score - 105 / (105 + 44)) < 1e-4
