@@ -28,11 +28,13 @@ REVIEW_CLASS = re.compile(r"testimonial|review|quote|feedback")
 CARD_CLASS = re.compile(r"team|staff|member|provider|doctor|bio|person|profile")
 ATTRIBUTES = ("title", "aria-label", "alt", "placeholder", "data-title", "data-label")
 META = ("description", "keywords", "og:title", "og:description", "twitter:title", "twitter:description")
+CONTACT_CLASS = re.compile(r"contact|footer|info")
+EMAIL = re.compile(r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}")
 HIDDEN = re.compile(r"(?:data-cfemail=\"|/email-protection#)([0-9a-fA-F]+)")
 
 SCHEMA = (
     "title string, text string, body_text string, aug_text string, headings array<struct<level:int,text:string,after:string>>, links array<struct<href:string,text:string,same_host:boolean>>,"
-    " mailtos array<string>, hidden array<string>, jsonld array<string>, reviews array<struct<tag:string,mark:string,text:string>>, quotes array<string>, cards array<string>"
+    " mailtos array<string>, hidden array<string>, jsonld array<string>, reviews array<struct<tag:string,mark:string,text:string>>, quotes array<string>, cards array<string>, contacts array<string>"
 )
 SPACE = re.compile(r"\s+")
 
@@ -57,7 +59,7 @@ class Page(HTMLParser):
         self.silent, self.script = 0, None
         self.text, self.body, self.extra = [], [], []
         self.title, self.headings, self.links, self.mailtos, self.hidden = [], [], [], [], []
-        self.jsonld, self.reviews, self.quotes, self.cards = [], [], [], []
+        self.jsonld, self.reviews, self.quotes, self.cards, self.contacts = [], [], [], [], []
 
     def handle_starttag(self, tag, attrs):
         own = {k: v or "" for k, v in attrs}
@@ -143,6 +145,8 @@ class Page(HTMLParser):
                 self.reviews.append((tag, mark, text))
             if tag == "blockquote":
                 self.quotes.append(text)
+            if tag in ("div", "section", "footer") and CONTACT_CLASS.search(attrs.get("class", "").lower()) and (found := EMAIL.search(text)):
+                self.contacts.append(found.group())
             if 20 <= len(text) <= 700 and CARD_CLASS.search(attrs.get("class", "").lower()):
                 self.cards.append(text)
 
@@ -198,7 +202,7 @@ def parse(html: str | None, url: str | None = "") -> dict:
     return {
         "title": " ".join(page.title) or None, "text": text, "body_text": " ".join(page.body).lower(), "aug_text": squeeze(" ".join([text, *page.extra])).lower(),
         "headings": [{"level": a, "text": b, "after": c.strip()} for a, b, c in page.headings], "links": [{"href": a, "text": b, "same_host": c} for a, b, c in page.links],
-        "mailtos": page.mailtos, "hidden": page.hidden, "jsonld": page.jsonld, "reviews": [{"tag": a, "mark": b, "text": c} for a, b, c in page.reviews], "quotes": page.quotes, "cards": page.cards,
+        "mailtos": page.mailtos, "hidden": page.hidden, "jsonld": page.jsonld, "reviews": [{"tag": a, "mark": b, "text": c} for a, b, c in page.reviews], "quotes": page.quotes, "cards": page.cards, "contacts": page.contacts,
     }
 
 

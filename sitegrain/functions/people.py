@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .names import is_person, last_name
+from .names import is_found_name, last_name
 
 NAME = r"[A-ZÀ-Þ][a-zà-ÿ'-]+(?: [A-ZÀ-Þ]\.?)?(?: [A-ZÀ-Þ][a-zà-ÿ'-]+){1,2}"
 TITLED = rf"Dr\.? +({NAME})"
@@ -24,7 +24,7 @@ def names_in(text: Column | str, most: int = 6) -> Column:
     """Distinct names with a title, then with a credential, in text order; those that can be people's, at most ``most``."""
     t = F.coalesce(_col(text), F.lit(""))
     found = F.concat(*[F.regexp_extract_all(t, F.lit(p), F.lit(1)) for p in (TITLED, CREDENTIALED)])
-    found = F.filter(F.transform(found, lambda n: F.trim(n)), lambda n: is_person(n, 2, False))
+    found = F.filter(F.transform(found, lambda n: F.trim(n)), is_found_name)
     distinct = F.aggregate(found, F.array().cast("array<string>"), lambda out, n: F.when(F.exists(out, lambda o: F.lower(o) == F.lower(n)), out).otherwise(F.concat(out, F.array(n))))
     return F.slice(distinct, 1, most)
 

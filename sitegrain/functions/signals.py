@@ -9,6 +9,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+from .text import once
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -139,25 +142,26 @@ def profile_api_counts(answer: Column | str) -> Column:
 
 
 # Provider tiers, best first.
-TIERS = ("Diamond Plus", "Diamond", "Platinum Plus", "Platinum", "Gold Plus", "Gold", "Silver Plus", "Silver", "Bronze", "Preferred")
-
-
-def _in(words: Column, text: Column) -> Column:
-    return F.exists(words, lambda w: F.contains(text, w))
+TIERS = ("Diamond Plus", "Diamond", "Platinum Plus", "Platinum", "Gold Plus", "Gold", "Silver Plus", "Silver", "Bronze Plus", "Bronze")
 
 
 def tier(text: Column | str, name: Column | str, reach: int = 600) -> Column:
-    """The first tier near a word of the name (four letters or more); else the first tier at all, to be verified."""
-    t = F.coalesce(_col(text), F.lit(""))
-    low = F.lower(t)
-    words = F.filter(F.split(F.lower(_col(name)), "[^a-z]+"), lambda w: F.length(w) >= 4)
-    near, any_ = [], []
-    for label in TIERS:
-        at = F.instr(t, label)
-        around = F.substring(low, F.greatest(at - reach, F.lit(1)), F.lit(2 * reach + len(label)))
-        near.append(F.when((at > 0) & _in(words, around), F.lit(label)))
-        any_.append(F.when(at > 0, F.lit(f"{label} (verify)")))
-    return F.coalesce(*near, *any_)
+    """The first tier that stands anywhere near a word of the name (four letters or more); else the first tier at all, to be verified; NULL if there is none."""
+    words = F.filter(F.split(F.lower(_col(name)), r"\s+"), lambda w: F.length(w) >= 4)
+
+    def told(s: Column) -> Column:
+        near, any_ = [], []
+        for label in TIERS:
+            low = label.lower()
+            parts = F.split(s["low"], low, -1)
+            # where the label stands: before it are the parts up to it and the labels between them
+            places = F.aggregate(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), F.array().cast("array<int>"), lambda out, p: F.concat(out, F.array(F.coalesce(F.try_element_at(out, F.lit(-1)) + len(low), F.lit(0)) + F.length(p))))
+            around = lambda at: F.substring(s["low"], F.greatest(at - reach, F.lit(0)) + 1, F.least(at, F.lit(reach)) + reach)  # noqa: B023, E731
+            near.append(F.when(F.exists(places, lambda at: once(around(at), lambda c: F.exists(s["words"], lambda w: F.contains(c, w)))), F.lit(label)))
+            any_.append(F.when(F.contains(s["low"], F.lit(low)), F.lit(f"{label} (verify name match)")))
+        return F.coalesce(*near, *any_)
+
+    return once(F.struct(F.lower(F.coalesce(_col(text), F.lit(""))).alias("low"), words.alias("words")), told)
 
 
 def hygienists(text: Column | str) -> Column:

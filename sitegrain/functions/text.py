@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .missing import is_missing  # noqa: F401  (callers take both from here)
 
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# What an email looks like, and marks of those that nobody answers: domains, begins, parts of sample addresses.
+EMAIL = r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"
+BAD_EMAIL_DOMAINS = ("godaddy.com", "example.com", "yourdomain.com", "domain.com", "yourwebsite.com", "website.com", "email.com", "test.com", "placeholder.com", "sampleemail.com")
+BAD_EMAIL_PREFIXES = ("filler", "placeholder", "test", "demo", "admin@example", "info@example", "noreply", "no-reply", "donotreply")
+PLACEHOLDER_PARTS = ("email@", "name@", "user@")
 PHONE = r"\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-][0-9]{4}"
 STREET = r"[0-9]{1,6} (?:[A-Z][A-Za-z0-9.]* ){1,4}(?:Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Drive|Dr|Lane|Ln|Way|Court|Ct|Place|Pl|Parkway|Pkwy|Highway|Hwy)"
-# Marks of addresses that nobody answers.
-BAD_EMAIL_DOMAINS = ("example.com", "sentry.io", "wixpress.com", "domain.com", "yourdomain.com", "email.com")
-BAD_EMAIL_PREFIXES = ("noreply", "no-reply", "donotreply", "webmaster", "postmaster", "abuse", "privacy")
-PLACEHOLDER_LOCALS = ("email@", "name@", "user@")
+#: A whole address: number, street, city, state, zip code.
+ADDRESS = r"\b[0-9]{2,5}\s+[A-Z][a-z]+(?:\s+[A-Z][a-z]+){0,3}\s*,\s*[A-Z][a-zA-Z\s]+,\s*[A-Z]{2}\s+[0-9]{5}"
 
 #: Order matters: whole elements first, then tags, then white space.
 STRIP = (r"(?is)<script[^>]*>.*?</script>", r"(?is)<style[^>]*>.*?</style>", r"(?is)<noscript[^>]*>.*?</noscript>", r"(?s)<!--.*?-->")
@@ -66,13 +70,15 @@ def whole_word(text: Column | str, word: str) -> Column:
 
 
 def is_bad_email(email: Column, placeholders: bool = False) -> Column:
-    low = F.lower(email)
-    hit = F.lit(False)
-    for d in BAD_EMAIL_DOMAINS:
-        hit = hit | low.endswith("@" + d) | low.endswith("." + d)
-    for p in BAD_EMAIL_PREFIXES + (PLACEHOLDER_LOCALS if placeholders else ()):
-        hit = hit | low.startswith(p)
-    return hit
+    """Whether an address is on the blocklist: its domain, its begin; with ``placeholders`` also parts of sample addresses."""
+    domains, begins = ("|".join(x.replace(".", "[.]") for x in xs) for xs in (BAD_EMAIL_DOMAINS, BAD_EMAIL_PREFIXES))
+    bad = rf"(?i)^(?:{begins})|@(?:{domains})$" + (f"|{'|'.join(PLACEHOLDER_PARTS)}" if placeholders else "")
+    return F.trim(email).rlike(bad)
+
+
+def once(value: Column, make: Callable[[Column], Column]) -> Column:
+    """An expression of a value that is worked out once, however often it occurs there."""
+    return F.element_at(F.transform(F.array(value), make), 1)
 
 
 def emails(text: Column | str) -> Column:
@@ -86,12 +92,10 @@ def first_email(text: Column | str, policy: str = "first") -> Column:
     if it isn't on the blocklist (later ones aren't tried). ``plain``: the
     first match without a blocklist.
     """
-    found = emails(text)
     if policy == "any":
-        found = F.filter(found, lambda e: ~is_bad_email(e, True))
-        return F.when(F.size(found) > 0, F.element_at(found, 1))
-    one = F.when(F.size(found) > 0, F.element_at(found, 1))
-    return one if policy == "plain" else F.when(~is_bad_email(one), one)
+        return F.try_element_at(F.filter(emails(text), lambda e: ~is_bad_email(e, True)), F.lit(1))
+    one = F.nullif(F.regexp_extract(F.coalesce(_col(text), F.lit("")), EMAIL, 0), F.lit(""))
+    return one if policy == "plain" else once(one, lambda e: F.when(~is_bad_email(e), e))
 
 
 def decode_hidden_email(code: Column | str) -> Column:
@@ -104,10 +108,10 @@ def decode_hidden_email(code: Column | str) -> Column:
     return F.when(c.rlike("^(?:[0-9a-f]{2}){2,}$"), text)
 
 
-def email_by_priority(hidden: Column, mailto: Column, text: Column, blocks: Column) -> Column:
-    """Hidden link, then mailto link, then the first in the text, then the first in contact blocks; bad ones give way."""
-    good = lambda e: F.when(~is_bad_email(e), e)
-    return F.coalesce(good(decode_hidden_email(hidden)), good(F.regexp_extract(mailto, r"(?i)^mailto:([^?]+)", 1).try_cast("string")), first_email(text), first_email(blocks, "any"))
+def email_by_priority(hidden: Column, mailtos: Column, text: Column, blocks: Column) -> Column:
+    """The first good one of hidden links, then of mail links, then the first in the text, then of contact blocks; bad ones give way."""
+    good = lambda es: F.try_element_at(F.filter(es, lambda e: F.contains(e, F.lit("@")) & ~is_bad_email(e)), F.lit(1))
+    return F.coalesce(good(F.transform(hidden, decode_hidden_email)), good(F.transform(mailtos, F.trim)), once(first_email(text, "plain"), lambda e: F.when(~is_bad_email(e), e)), good(blocks))
 
 
 def first_phone(text: Column | str) -> Column:
@@ -120,14 +124,20 @@ def first_street(text: Column | str) -> Column:
 
 # Statuses and marks of pages that a guard put in the page's place.
 BLOCKED_STATUS = (202, 403, 429, 503)
-CHALLENGE_MARKS = ("just a moment", "checking your browser", "verify you are human", "attention required", "access denied", "enable javascript and cookies")
+CHALLENGE_MARKS = ("sgcaptcha", "robot challenge", "just a moment", "checking your browser", "cloudflare", "cf-ray", "enable javascript", "web server is returning an unknown error")
 LOGIN_MARKS = {"facebook": ("you must log in to continue", "log in to facebook"), "instagram": ("log in to instagram", "loginform")}
 
 
-def is_challenge(html: Column | str, status: Column | None = None, reach: int = 2000) -> Column:
-    head = F.lower(F.substring(F.coalesce(_col(html), F.lit("")), 1, reach))
-    hit = any_keyword(head, list(CHALLENGE_MARKS))
-    return hit | F.coalesce(status.isin(*BLOCKED_STATUS), F.lit(False)) if status is not None else hit
+def is_challenge(html: Column | str, status: Column | None = None, url: Column | None = None, reach: int = 2000) -> Column:
+    """Whether a page is a guard's: by status, by the begin of an answer (200, or an error of the server), by its address."""
+    marked = once(F.lower(F.substring(F.coalesce(_col(html), F.lit("")), 1, reach)), lambda head: any_keyword(head, list(CHALLENGE_MARKS)))
+    hit = marked
+    if status is not None:
+        hit = F.coalesce(status.isin(*BLOCKED_STATUS), F.lit(False)) | (marked & F.coalesce((status == 200) | (status >= 500), F.lit(True)))
+    if url is not None:
+        u = F.lower(F.coalesce(url, F.lit("")))
+        hit = hit | F.contains(u, F.lit("sgcaptcha")) | (F.contains(u, F.lit("captcha")) & F.contains(u, F.lit("challenge")))
+    return hit
 
 
 def is_script_shell(html: Column | str) -> Column:
@@ -140,15 +150,27 @@ def is_login_wall(html: Column | str, site: str) -> Column:
     return any_keyword(F.lower(F.coalesce(_col(html), F.lit(""))), list(LOGIN_MARKS[site]))
 
 
-def locations(text: Column | str) -> Column:
-    """How many places a site speaks of: "N locations" (1 to 25), a number word, "multiple" phrases, several street addresses, else 1."""
-    t = F.lower(F.coalesce(_col(text), F.lit("")))
-    said = F.regexp_extract(t, r"([0-9]{1,2}) (?:convenient )?(?:locations|offices)", 1).try_cast("int")
+# Phrases that speak of several places, link texts and paths of a page of places.
+PLACE_PHRASES = (
+    "multiple locations", "multiple offices", "multiple clinics", "two locations", "three locations", "four locations", "five locations", "six locations", "seven locations", "all locations", "all offices",
+    "our locations", "find a location", "find our offices", "locate an office", "2 convenient", "3 convenient", "4 convenient", "5 convenient", "visit us at either", "both of our", "all of our locations",
+    "serving multiple", "several locations", "many locations", "locations near you", "offices near you", "choose your location", "select your location",
+)
+PLACE_LINK, PLACE_PATH = r"(?i)^(?:locations?|our\s+offices?|find\s+us)$", r"(?i)/(?:locations?|offices?|our-offices?|find-us|clinics?)/?$"
+
+
+def locations(text: Column | str, links: Column | str | None = None) -> Column:
+    """How many places a site speaks of: "3 locations" (2 to 25, or 1), a number word, "Multiple" by a phrase, whole addresses (cased text), "Multiple" by a link, else 1."""
+    t = F.coalesce(_col(text), F.lit(""))
+    kinds = r"\s+(?:convenient\s+)?(?:locations?|offices?|clinics?|sites?)\b"
     words = ("two", "three", "four", "five", "six", "seven", "eight", "nine", "ten")
-    word = F.regexp_extract(t, rf"({'|'.join(words)}) (?:convenient )?(?:locations|offices)", 1)
-    number = F.array_position(F.array(*[F.lit(w) for w in words]), word) + 1
-    many = any_keyword(t, ["multiple locations", "several locations", "our locations", "locations across"])
-    streets = F.size(F.array_distinct(F.regexp_extract_all(F.coalesce(_col(text), F.lit("")), F.lit(f"({STREET})"), F.lit(1))))
-    return (
-        F.when(said.between(1, 25), said.cast("string")).when(word != "", number.cast("string")).when(many, F.lit("Multiple")).when(streets >= 2, streets.cast("string")).otherwise(F.lit("1"))
-    )
+
+    def told(low: Column) -> Column:
+        said = F.regexp_extract(low, rf"\b([0-9]{{1,2}}){kinds}", 1).try_cast("int")
+        word = F.regexp_extract(low, rf"\b({'|'.join(words)}){kinds}", 1)
+        number = F.array_position(F.array(*[F.lit(w) for w in words]), word) + 1
+        return F.when(said.between(1, 25), said.cast("string")).when(word != "", number.cast("string")).when(any_keyword(low, list(PLACE_PHRASES)), F.lit("Multiple"))
+
+    streets = F.size(F.regexp_extract_all(t, F.lit(f"({ADDRESS})"), F.lit(1)))
+    linked = F.exists(links, lambda x: F.trim(x["text"]).rlike(PLACE_LINK) | x["href"].rlike(PLACE_PATH)) if links is not None else F.lit(False)
+    return F.coalesce(once(F.lower(t), told), F.when(streets >= 2, streets.cast("string")), F.when(linked, F.lit("Multiple")), F.lit("1"))

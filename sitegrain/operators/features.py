@@ -10,59 +10,96 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import any_keyword, count_keyword, keyword_sum, spaced, whole_word
+from ..functions.formats import title
+from ..functions.text import any_keyword, count_keyword, keyword_sum, once, whole_word
 from ..functions.urls import without_fragment
-from ..rules import ASSOCIATIONS, BROAD_SPECIALTIES, CASED_CODES, COUNT_POLICIES, FLAG_POLICIES, SERVICES, SPECIALTIES, TECHNOLOGY, TESTIMONIAL_POLICIES, WHOLE_WORDS
+from ..rules import ASSOCIATIONS, BROAD_SPECIALTIES, CASED_CODES, COUNT_POLICIES, EDUCATION, EDUCATION_WORDS, FALLBACK, FLAG_POLICIES, NO_CODES, SERVICES, SPECIALTIES, TECHNOLOGY, TESTIMONIAL_POLICIES, WHOLE_WORDS
 
 
 def one_per_page(pages: DataFrame, key: list[str], policy: str, url: str = "url", order: str = "page_ord") -> DataFrame:
-    """One row for each page of a key; pages are the same by address, with or without its fragment. The first by order stays."""
+    """One row for each page of a key; pages are the same by address, with or without its fragment. The first by order stays.
+
+    The whole rows go through the aggregation, so they should be narrow (counts, no texts).
+    """
     page = without_fragment(url) if COUNT_POLICIES[policy]["page_key"] == "no_fragment" else F.col(url)
     others = [c for c in pages.columns if c not in key]
     kept = pages.withColumn("__page", F.coalesce(page, F.col(order).cast("string"))).groupBy(*key, "__page").agg(F.min_by(F.struct(*others), F.struct(F.col(order), F.xxhash64(*others))).alias("__first"))
     return kept.select(*key, "__first.*")
 
 
-def page_count(body: Column, full: Column, words: list[str], policy: str) -> Column:
-    """Mentions of a category on one page."""
-    p = COUNT_POLICIES[policy]
-    b, f = (keyword_sum(c, words, cap) for c, cap in ((body, p["body_cap"]), (full, p["full_cap"])))
-    if p["combine"] == "max":  # word by word, the larger of the two
-        return F.aggregate(F.array(*[F.lit(w) for w in words]), F.lit(0).cast("long"), lambda a, w: a + F.greatest(count_keyword(body, w, p["body_cap"]), count_keyword(full, w, p["full_cap"])))
-    if p["combine"] == "body_first":
-        return F.aggregate(F.array(*[F.lit(w) for w in words]), F.lit(0).cast("long"), lambda a, w: a + F.when(count_keyword(body, w) > 0, count_keyword(body, w, p["body_cap"])).otherwise(count_keyword(full, w, p["full_cap"])))
-    if p["combine"] == "best_word":
-        return F.array_max(F.transform(F.array(*[F.lit(w) for w in words]), lambda w: count_keyword(full, w, p["full_cap"])))
-    return f
+def prepared(pages: DataFrame, body: str = "body_text", full: str = "text", augmented: str = "aug_text") -> DataFrame:
+    """Adds the texts that keywords are looked for in, each made once a page: ``__body``, ``__full``, ``__aug`` lower-cased, ``__spaced`` with hyphens as spaces."""
+    whole = F.col(augmented) if augmented in pages.columns else F.col(full)
+    rows = pages.withColumns({"__body": F.lower(body), "__full": F.lower(full), "__aug": F.lower(whole)})
+    return rows.withColumn("__spaced", F.regexp_replace("__aug", "-", " "))
 
 
-def page_counts(policy: str = "scrape", services: dict[str, list[str]] = SERVICES, body: str = "body_text", full: str = "text", augmented: str = "aug_text", columns: list[str] | None = None) -> list[Column]:
-    """A page's mentions of every category, as columns under the categories' names."""
-    whole = augmented if COUNT_POLICIES[policy]["augmented"] and (columns is None or augmented in columns) else full
-    return [page_count(F.lower(body), F.lower(whole), words, policy).cast("long").alias(c) for c, words in services.items()]
+def page_counts(policy: str, services: dict[str, list[str]] = SERVICES) -> list[Column]:
+    """A prepared page's capped mentions: ``b_<category>`` in its body, ``f_<category>`` in its whole text; ``words``: every word's count in the whole text, where a policy asks for it."""
+    p = COUNT_POLICIES[policy]
+    whole = "__aug" if p["augmented"] else "__full"
+    if p["combine"] == "best_word":
+        return [F.array_max(F.transform(F.array(*[F.lit(w) for w in words]), lambda w: count_keyword(whole, w, p["full_cap"]))).alias(f"f_{c}") for c, words in services.items()]
+    out = [keyword_sum(whole, words, p["full_cap"]).alias(f"f_{c}") for c, words in services.items()]
+    if p["combine"] != "full":
+        out += [keyword_sum("__body", words, p["body_cap"]).alias(f"b_{c}") for c, words in services.items()]
+    if p.get("extra_page"):
+        most = max(p["body_cap"], p["full_cap"])
+        flat = [F.struct(F.lit(c).alias("c"), F.lit(w).alias("w")) for c, words in services.items() for w in words]
+        counted = F.transform(F.array(*flat), lambda x: F.struct(x["c"].alias("c"), x["w"].alias("w"), count_keyword("__full", x["w"], most).alias("n")))
+        out.append(F.filter(counted, lambda x: x["n"] > 0).alias("words"))
+    return out
 
 
 def sum_counts(pages: DataFrame, key: list[str], policy: str, categories: list[str], url: str = "url", order: str = "page_ord") -> DataFrame:
-    """A row a key: the counts of its distinct pages summed, and capped where the policy says."""
+    """A row a key: the counts of its distinct pages summed, then body and whole text combined, and capped where the policy says.
+
+    The extra page of all texts together counts each word up to its cap: the
+    words that pages have are summed by key and word (small rows, added up
+    before the shuffle).
+    """
     p = COUNT_POLICIES[policy]
-    rows = one_per_page(pages.select(*key, url, order, *categories), key, policy, url, order)
-    out = rows.groupBy(*key).agg(*[F.sum(c).cast("long").alias(c) for c in categories])
-    if "field_cap" in p:
-        out = out.select(*key, *[F.least(F.greatest(F.col(c), F.lit(p.get("least", 0))), F.lit(p["field_cap"])).cast("long").alias(c) for c in categories])
-    return out
+    sums = [c for c in pages.columns if c[:2] in ("b_", "f_")]
+    rows = one_per_page(pages.select(*key, url, order, *sums, *(["words"] if p.get("extra_page") else [])), key, policy, url, order)
+    top = F.max if p["combine"] == "best_word" else F.sum
+    if p.get("extra_page"):
+        spread = rows.select(*key, *sums, F.explode(F.concat(F.array(F.struct(F.lit(None).cast("string").alias("c"), F.lit(None).cast("string").alias("w"), F.lit(0).cast("long").alias("n"))), F.col("words"))).alias("x"))
+        first = F.col("x.c").isNull()
+        per_word = spread.groupBy(*key, F.col("x.c").alias("c"), F.col("x.w").alias("w")).agg(*[F.sum(F.when(first, F.col(s))).alias(s) for s in sums], F.sum("x.n").alias("n"))
+        capped = {"b": F.least("n", F.lit(p["body_cap"])), "f": F.least("n", F.lit(p["full_cap"]))}
+        own = per_word.groupBy(*key).agg(*[(F.coalesce(F.sum(s), F.lit(0)) + F.coalesce(F.sum(F.when(F.col("c") == s[2:], capped[s[0]])), F.lit(0))).alias(s) for s in sums])
+    else:
+        own = rows.groupBy(*key).agg(*[top(s).alias(s) for s in sums])
+
+    def both(c: str) -> Column:
+        whole = F.col(f"f_{c}")
+        if p["combine"] == "max":
+            whole = F.greatest(F.col(f"b_{c}"), whole)
+        elif p["combine"] == "body_first":
+            whole = F.when(F.col(f"b_{c}") > 0, F.col(f"b_{c}")).otherwise(whole)
+        if "field_cap" in p:
+            whole = F.least(F.greatest(whole, F.lit(p.get("least", 0))), F.lit(p["field_cap"]))
+        return F.coalesce(whole, F.lit(0)).cast("long").alias(c)
+
+    return own.select(*key, *[both(c) for c in categories])
 
 
 def service_counts(pages: DataFrame, key: list[str], policy: str = "scrape", services: dict[str, list[str]] = SERVICES, body: str = "body_text", full: str = "text", augmented: str = "aug_text", url: str = "url", order: str = "page_ord") -> DataFrame:
     """A row a key: mentions of every category over its distinct pages."""
-    rows = pages.select(*key, url, order, *page_counts(policy, services, body, full, augmented, pages.columns))
+    rows = prepared(pages, body, full, augmented).select(*key, url, order, *page_counts(policy, services))
     return sum_counts(rows, key, policy, list(services), url, order)
 
 
-def page_flags(policy: str = "scrape", technology: dict[str, list[str]] = TECHNOLOGY, texts: tuple[str, ...] = ("text", "aug_text"), whole_words: dict[str, str] = WHOLE_WORDS) -> list[Column]:
-    """Whether a page speaks of each category. Text and words take the same form first."""
+def fallback_counts(page: Column | str, known: dict[str, Column], terms: dict[str, tuple[list[str], int]] = FALLBACK) -> list[Column]:
+    """Counts that are 0 or unknown, from one page's lower-cased text: mentions of a field's words, capped a field; known counts stay."""
+    own = lambda f, words, cap: F.least(keyword_sum(page, words), F.lit(cap)).cast("long")
+    return [F.when(F.coalesce(known[f].cast("long"), F.lit(0)) == 0, own(f, *terms[f])).otherwise(known[f].cast("long")).alias(f) for f in known if f in terms]
+
+
+def page_flags(policy: str = "scrape", technology: dict[str, list[str]] = TECHNOLOGY, whole_words: dict[str, str] = WHOLE_WORDS) -> list[Column]:
+    """Whether a prepared page speaks of each category. Text and words take the same form."""
     p = FLAG_POLICIES[policy]
-    text = F.concat_ws(" ", *[F.col(t) for t in texts])
-    text = spaced(text) if p["spaced"] else F.lower(text)
+    text = "__spaced" if p["spaced"] else "__full"
     form = (lambda w: w.lower().replace("-", " ")) if p["spaced"] else str.lower
     flags = []
     for c, words in technology.items():
@@ -73,9 +110,9 @@ def page_flags(policy: str = "scrape", technology: dict[str, list[str]] = TECHNO
     return flags
 
 
-def technology_flags(pages: DataFrame, key: list[str], policy: str = "scrape", technology: dict[str, list[str]] = TECHNOLOGY, texts: tuple[str, ...] = ("text", "aug_text"), whole_words: dict[str, str] = WHOLE_WORDS) -> DataFrame:
+def technology_flags(pages: DataFrame, key: list[str], policy: str = "scrape", technology: dict[str, list[str]] = TECHNOLOGY, whole_words: dict[str, str] = WHOLE_WORDS, body: str = "body_text", full: str = "text", augmented: str = "aug_text") -> DataFrame:
     """A row a key: whether any of its pages speaks of each category."""
-    rows = pages.select(*key, *page_flags(policy, technology, tuple(t for t in texts if t in pages.columns), whole_words))
+    rows = prepared(pages, body, full, augmented).select(*key, *page_flags(policy, technology, whole_words))
     return rows.groupBy(*key).agg(*[F.max(c).alias(c) for c in technology])
 
 
@@ -104,55 +141,63 @@ def testimonials(pages: DataFrame, key: list[str], policy: str = "scrape") -> Da
 HYGIENIST = r"^([A-Z][A-Za-z'-]+(?: [A-Z][A-Za-z'-]+)?)"
 
 
-def team_hygienists(pages: DataFrame, key: list[str]) -> DataFrame:
-    """Distinct hygienists out of team cards: a name first, the role soon after."""
-    card = F.explode("cards")
-    rows = pages.select(*key, card.alias("card")).filter(F.lower("card").rlike("hygienist|rdh"))
-    name = F.lower(F.regexp_extract("card", HYGIENIST, 1))
-    return rows.select(*key, name.alias("name")).filter("name != ''").distinct().groupBy(*key).agg(F.count(F.lit(1)).cast("int").alias("hygienists"))
-
-
-def associations(text: Column, rules: dict[str, list[str]] = ASSOCIATIONS, member_phrases: bool = False) -> Column:
-    """Codes whose code stands alone in capitals or whose full name occurs, in rule order; with ``member_phrases`` also what "member of the ..." names."""
-    t = F.coalesce(text, F.lit(""))
-    low, up = F.lower(t), F.upper(t)
-    out = []
-    for code, names in rules.items():
-        own = t if code in CASED_CODES else up
-        hit = own.rlike(f"(^|[^A-Za-z0-9]){code if code in CASED_CODES else code.upper()}([^A-Za-z0-9]|$)") | any_keyword(low, names)
-        out.append(F.when(hit, F.lit(code)))
-    found = F.array_compact(F.array(*out))
-    if member_phrases:
-        said = F.regexp_extract_all(t, F.lit(r"(?i:member|fellow|diplomate) of (?:the )?((?:American|International|National|State) [A-Z][A-Za-z]+(?: (?:of|and|for|[A-Z][A-Za-z]+))*)"), F.lit(1))
-        found = F.concat(found, said)
-    return F.array_distinct(found)
-
-
-# Schools and hospitals count only beside a word of membership.
-EDUCATION = {"Harvard": "harvard", "UCLA": "ucla", "NYU": "nyu", "Tufts": "tufts"}
+def card_hygienists(cards: Column | str) -> Column:
+    """Distinct names on staff cards that speak of a hygienist: the name first, the role after it."""
+    own = F.filter(cards, lambda c: F.lower(c).rlike(r"hygienist|\brdh\b"))
+    return F.array_distinct(F.filter(F.transform(own, lambda c: F.lower(F.regexp_extract(c, HYGIENIST, 1))), lambda n: n != ""))
 
 
-def education(text: Column) -> Column:
-    low = F.lower(F.coalesce(text, F.lit("")))
-    return F.array_compact(F.array(*[F.when(low.rlike(rf"(?:faculty|alumni|fellow|member|graduate|residency)[^.]{{0,60}}(?:^|[^a-z]){w}(?:[^a-z]|$)"), F.lit(c)) for c, w in EDUCATION.items()]))
+def associations(text: Column, rules: dict[str, list[str]] = ASSOCIATIONS, sections: bool = False) -> Column:
+    """Codes of memberships a text names: a code alone in capitals or a full name, in rule order; then schools, in a text about somebody's education.
 
+    With ``sections``, also every word of two to seven capitals in what follows
+    a heading of memberships (cased text is needed), common words apart.
+    """
 
-PHRASES = (r"speciali[sz](?:es|ing) in ([a-z][a-z ,&-]{2,80})", r"practice (?:is )?(?:limited to|focused on) ([a-z][a-z ,&-]{2,80})", r"(?:focus(?:es)? on|expert in|expertise in) ([a-z][a-z ,&-]{2,80})", r"board[- ]certified (?:in )?([a-z][a-z -]{2,60})")
-FILLER = ("providing", "helping", "making", "all", "our", "your", "the", "patient", "patients", "quality", "care")
-
+    def told(s: Column) -> Column:
+        code_in = lambda code: F.array_contains(s["cased"], code) if code in CASED_CODES else F.array_contains(s["capitals"], code.upper())
+        hit = lambda rules: F.array_compact(F.array(*[F.when(code_in(code) | any_keyword(s["low"], names), F.lit(code)) for code, names in rules.items()]))
+        schooled = s["low"].rlike(rf"\b(?:{'|'.join(EDUCATION_WORDS[:10])})\b|\b(?:{'|'.join(EDUCATION_WORDS[10:])})")
+        found = F.concat(hit(rules), F.when(schooled, hit(EDUCATION)).otherwise(F.array().cast("array<string>")))
+        if sections:
+            words = F.flatten(F.transform(F.regexp_extract_all(s["text"], F.lit(SECTION), F.lit(1)), lambda x: F.regexp_extract_all(x, F.lit(r"\b([A-Z]{2,7})\b"), F.lit(1))))
+            found = F.concat(found, F.filter(words, lambda w: ~w.isin(*NO_CODES)))
+        return F.array_distinct(found)
 
-def specialty_phrase(text: Column, cap: int = 80, words: int | None = 9) -> Column:
-    """The first phrase in which a text names its field: cut at a conjunction, without filler, of limited length."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    tried = []
-    for p in PHRASES:
-        raw = F.trim(F.regexp_replace(F.regexp_extract(low, p, 1), r" (?:and|with|as well|while|who|that|for|to)( .*)?$", ""))
-        raw = F.left(raw, F.lit(cap))
-        fine = (raw != "") & ~F.element_at(F.split(raw, " "), 1).isin(*FILLER) & raw.rlike("dent|dont|implant|surg|orth|cosmetic|smile|tooth|teeth|root|gum")
-        if words:
-            fine = fine & (F.size(F.split(raw, " ")) <= words)
-        tried.append(F.when(fine, raw))
-    return F.initcap(F.coalesce(*tried))
+    t = F.coalesce(text, F.lit(""))
+    return once(F.struct(t.alias("text"), F.lower(t).alias("low"), F.split(F.upper(t), "[^A-Z0-9_]+").alias("capitals"), F.split(t, "[^A-Za-z0-9_]+").alias("cased")), told)
+
+
+#: A heading of memberships and up to twenty lines after it.
+SECTION = r"(?i)(?:member(?:ship)?s?|associations?|affiliations?|credentials?|professional organi[sz]ations?)(?:\s+(?:of|in))?\s*[:–-]?\s*((?:[^\n]{2,200}\n?){1,20})"
+
+# Phrases that name a field (the text after them, and how long it may be), what it must speak of, and what it can't be.
+PHRASES = (
+    (r"(?:earned?|completed?|received?|holds?|has)\s+certificat(?:es?|ation)?\s+in\s+", 120), (r"certificat(?:es?|ation)?\s+in\s+", 120), (r"certif(?:ied|ication)\s+in\s+", 100), (r"additional\s+training\s+in\s+", 100),
+    (r"training\s+in\s+", 100), (r"continuing\s+education\s+in\s+", 100), (r"areas?\s+of\s+(?:specialty|specialization|focus|interest|expertise)[:\s]+(?:includes?\s+)?", 90), (r"specializ(?:es?|ing|ation)\s+in\s+", 80),
+    (r"specialty\s+(?:is\b|includes?\b|:)\s*", 70), (r"specialist\s+in\s+", 70), (r"board[- ]certified\s+(?:in\s+)?", 70), (r"expertise\s+in\s+", 70),
+)
+FIELD_WORDS = (
+    r"implant|cosmetic|esthetic|orthodont|invisalign|aligner|periodon|endodon|prosthodon|oral\s+surg|pediat|sleep\s+apnea|tmj|root\s+canal|extract|veneer|whitening|crown|bridge|laser|sedation|restorat|preventi|preventa|"
+    r"biomimetic|holistic|biolog|clear\s+aligner|dental\s+implant"
+)
+NO_FIELD = (
+    r"dr\.|dds|dmd|md\b|c-fnp|np\b|pa\b|lisw|lcsw|aprn|view\s+profile|healthsource|schedule|appointment|aspects\b|every\s+age|every\s+patient|for\s+all\s+ages|of\s+all\s+ages|all\s+ages|highest\s+standard|highest\s+level|"
+    r"constant\s+pursuit|committed\s+to|commitment\s+to|continuing\s+education\b|patient\s+care|our\s+team|our\s+practice|throughout\s+my|throughout\s+her|throughout\s+his|i\s+have\s+found|career\b|rewarding|challenging|"
+    r"from\s+the|at\s+the|institute\b|university\b|and\s+is\s+committ|and\s+has\s+spoken|quote\b|passionate\s+about|dedicated\s+to|mission\s+is|believe\s+in|goal\s+is|philosophy|i\s+am\s+very"
+)
+FILLER = ("dentistry", "dental care", "dental health", "patients", "all patients", "our patients", "patient care", "the best care", "quality care", "comprehensive care", "the community")
+PHRASE_END = r"\s+(?:while|as well as|in addition to|for every|when\s+(?:he|she|they)\b|and\s+is\b|and\s+has\b|and\s+was\b).*$"
+
+
+def specialty_phrase(text: Column, cap: int = 80, words: int = 9) -> Column:
+    """The first phrase in which a text names its field, of each pattern's first match: cut where a sentence goes on, of a field, no prose, of limited length."""
+    trimmed = lambda c: F.regexp_replace(F.trim(c), "[ ,;.]+$", "")
+    found = once(F.lower(F.coalesce(text, F.lit(""))), lambda low: F.array(*[trimmed(F.regexp_extract(low, rf"{p}([^.;\n]{{5,{n}}})", 1)) for p, n in PHRASES]))
+    whole = F.filter(found, lambda c: (F.length(c) >= 5) & ~c.isin(*FILLER))
+    cut = F.transform(whole, lambda c: trimmed(F.left(F.regexp_replace(c, PHRASE_END, ""), F.lit(cap))))
+    fine = F.filter(cut, lambda c: ~c.rlike(rf"\b(?:{NO_FIELD})\b") & c.rlike(rf"\b(?:{FIELD_WORDS})\b") & (F.size(F.split(c, r"\s+")) <= words))
+    return title(F.try_element_at(fine, F.lit(1)))
 
 
 def specialty(text: Column, rules: list[tuple[str, list[str]]] = SPECIALTIES, policy: str = "labels5") -> Column:
@@ -161,15 +206,9 @@ def specialty(text: Column, rules: list[tuple[str, list[str]]] = SPECIALTIES, po
     ``labels5``: a phrase wins; the broad labels go where two others are; five
     at most; "Not Found" if none. ``all``: every label, "" if none.
     """
-    low = F.lower(F.coalesce(text, F.lit("")))
-    found = F.array_compact(F.array(*[F.when(any_keyword(low, words), F.lit(label)) for label, words in rules]))
+    found = once(F.lower(F.coalesce(text, F.lit(""))), lambda low: F.array_compact(F.array(*[F.when(any_keyword(low, words), F.lit(label)) for label, words in rules])))
     if policy == "all":
         return F.array_join(found, " / ")
     narrow = F.filter(found, lambda x: ~x.isin(*BROAD_SPECIALTIES))
     labels = F.array_join(F.slice(F.when(F.size(narrow) >= 2, narrow).otherwise(found), 1, 5), " / ")
     return F.coalesce(specialty_phrase(text), F.nullif(labels, F.lit("")), F.lit("Not Found"))
-
-
-def first_by(pages: DataFrame, key: list[str], value: Column, name: str, order: Column | str = "page_ord") -> DataFrame:
-    """A row a key: the first value by page order that is there."""
-    return pages.select(*key, F.col(order).alias("__o") if isinstance(order, str) else order.alias("__o"), value.alias("__v")).groupBy(*key).agg(F.min_by(F.when(F.col("__v").isNotNull() & (F.col("__v") != ""), F.col("__v")), F.when(F.col("__v").isNotNull() & (F.col("__v") != ""), F.col("__o"))).alias(name))

@@ -2,7 +2,8 @@
 
 Listings are derived from the driver's tables by portable SQL (``INPUTS``), so
 both sides start from the same rows; the Spark side then goes through the
-operators, the other side is plain SQL.
+operators, the other side is plain SQL with values of its own: nothing that an
+operator decides by is taken from the operators' modules.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import formats, names, signals, text, urls
-from ..functions.missing import POLICIES, is_missing, render
+from ..functions.missing import is_missing, render
 from ..operators import diff, entity, features, frontier, match, merge, qa
 from ..sources import listings, sinks
 
@@ -50,9 +51,10 @@ SELECT c_custkey AS pos, CAST(floor(c_custkey / 3.0) AS INT) AS idx,
   CAST(c_custkey % 3 AS STRING) AS testimonials,
   CASE WHEN c_custkey % 10 < 4 THEN 'X' ELSE '' END AS cerec, CASE WHEN c_custkey % 10 = 7 THEN 'X' ELSE '' END AS cbct,
   CAST(c_custkey % 5 AS STRING) AS invisalign, CASE WHEN c_custkey % 4 = 1 THEN '7' ELSE '' END AS implants, '' AS veneers,
-  CASE WHEN c_custkey % 2 = 0 THEN 'Mentioned' ELSE '' END AS dental_plan, 'City' || CAST(c_nationkey AS STRING) AS city
+  CASE WHEN c_custkey % 2 = 0 THEN 'Mentioned' ELSE '' END AS dental_plan, 'City' || CAST(c_nationkey AS STRING) AS city,
+  CASE WHEN c_custkey % 11 < 6 THEN 'https://instagram.com/p' || CAST(c_custkey AS STRING) ELSE 'Not Found' END AS instagram_url, CASE WHEN c_custkey % 4 = 2 THEN '3.5' ELSE 'N/A' END AS yelp_rating, CASE WHEN c_custkey % 2 = 0 THEN 'Multiple' ELSE '1' END AS locations_count
 FROM customer"""
-FIELDS = ["practice_name", "website", "email", "hygienists", "specialty", "google_rating", "google_reviews", "associations", "facebook_url", "testimonials", "cerec", "cbct", "invisalign", "implants", "veneers", "dental_plan", "city", "doctor_name"]
+FIELDS = ["practice_name", "website", "email", "hygienists", "specialty", "google_rating", "google_reviews", "associations", "facebook_url", "testimonials", "cerec", "cbct", "invisalign", "implants", "veneers", "dental_plan", "city", "doctor_name", "instagram_url", "yelp_rating", "locations_count"]
 VISITS = """
 SELECT o_custkey AS idx, o_orderkey AS pos, o_orderpriority AS status, o_totalprice AS total,
   o_totalprice > 300000 AS cerec, o_totalprice < 2000 AS cbct, CAST(floor(o_totalprice) AS BIGINT) % 7 AS invisalign, CAST(floor(o_totalprice) AS BIGINT) % 11 AS implants,
@@ -72,9 +74,20 @@ def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+#: Tokens that stand for "missing" and how they are compared, as the SQL side states them.
+MISSING = {
+    "qa": ("either", "'', 'Not Found', 'N/A', 'nan', 'None', 'none', 'ERROR', 'N/A – Not Offered', '0', 'not found', 'n/a'"),
+    "patch": ("lower", "'', 'not found', 'n/a', 'none', 'error', '-'"),
+    "social": ("lower", "'', 'not found', 'n/a', 'none', 'false', 'no', 'blocked', '0'"),
+    "rating": ("exact", "'Not Found', 'See Website', 'See Profile', 'Blocked', 'ERROR', '', 'N/A'"),
+    "dedup": ("exact", "'', 'Not Found', 'ERROR'"),
+    "bypass": ("lower", "'not found', '', 'none', 'n/a', '0'"),
+    "refresh": ("exact", "'', 'Not Found', 'ERROR'"),
+}
+
+
 def sql_missing(col: str, policy: str = "qa") -> str:
-    mode, tokens = POLICIES[policy]
-    own = ", ".join(map(lit, tokens))
+    mode, own = MISSING[policy]
     c = f"CAST({col} AS VARCHAR)"
     test = {"lower": f"lower(trim({c})) IN ({own})", "either": f"(trim({c}) IN ({own}) OR lower(trim({c})) IN ({own}))", "exact": f"{c} IN ({own})"}[mode]
     return f"({col} IS NULL OR {test})"
@@ -85,8 +98,11 @@ def sql_missing(col: str, policy: str = "qa") -> str:
 
 def sql_strip(html: str, body: bool = False) -> str:
     c = f"coalesce({html}, '')"
-    for p in text.STRIP + (text.CHROME if body else ()):
-        c = f"regexp_replace({c}, {lit(p)}, ' ', 'g')"
+    for tag in ["script", "style", "noscript"]:
+        c = f"regexp_replace({c}, '(?is)<{tag}[^>]*>.*?</{tag}>', ' ', 'g')"
+    c = f"regexp_replace({c}, '(?s)<!--.*?-->', ' ', 'g')"
+    for tag in ["nav", "header", "footer"] if body else []:
+        c = f"regexp_replace({c}, '(?is)<{tag}[^>]*>.*?</{tag}>', ' ', 'g')"
     return rf"lower(trim(regexp_replace(regexp_replace({c}, '<[^>]*>', ' ', 'g'), '[ \t\n\r\f]+', ' ', 'g')))"
 
 
@@ -113,31 +129,29 @@ def _(spark, sf):
     return page_texts(spark, sf).select("page_ord", F.length("text").cast("long").alias("n_chars"), F.length("body_text").cast("long").alias("n_body"), n.cast("long").alias("n_words"))
 
 
-def _mentions_sql(policy: str) -> str:
-    from ..rules import COUNT_POLICIES
-
-    p = COUNT_POLICIES[policy]
-    page = "regexp_replace(url, '#.*$', '')" if p["page_key"] == "no_fragment" else "url"
-    cols = []
+def _mentions_sql(page: str, whole: str, body_cap: int | None, full_cap: int | None, extra: bool = False, best: bool = False) -> str:
+    """Counts by host: ``whole`` combines the body's sum ``b`` and the whole text's sum ``f`` of a category."""
+    cols, inner = [], []
     for c, words in PACK.items():
-        b, f = ([sql_count(t, w, cap) for w in words] for t, cap in (("body_text", p["body_cap"]), ("text", p["full_cap"])))
-        if p["combine"] == "max":
-            e = " + ".join(f"greatest({x}, {y})" for x, y in zip(b, f))
-        elif p["combine"] == "body_first":
-            e = " + ".join(f"CASE WHEN {sql_count('body_text', w, None)} > 0 THEN {x} ELSE {y} END" for w, x, y in zip(words, b, f))
-        elif p["combine"] == "best_word":
-            e = f"greatest({', '.join(f)})"
-        else:
-            e = " + ".join(f)
-        s = f"sum({e})"
-        if "field_cap" in p:
-            s = f"least(greatest({s}, {p.get('least', 0)}), {p['field_cap']})"
-        cols.append(f"CAST({s} AS BIGINT) AS {c}")
-    return f"WITH t AS ({TEXTS}), one AS (SELECT host, {page} AS page, arg_min(text, page_ord) AS text, arg_min(body_text, page_ord) AS body_text FROM t GROUP BY 1, 2) SELECT host, {', '.join(cols)} FROM one GROUP BY host"
-
-
-for _policy in ("scrape", "reprocess", "refresh", "fill", "hint", "chain"):
-    query(f"keyword_mentions_{_policy}", _mentions_sql(_policy))(lambda spark, sf, p=_policy: features.service_counts(page_texts(spark, sf), ["host"], p, PACK))
+        b, f = ([sql_count(t, w, cap) for w in words] for t, cap in (("body_text", body_cap), ("text", full_cap)))
+        inner += [f"({' + '.join(b)}) AS b_{c}", f"({' + '.join(f)}) AS f_{c}" if not best else f"greatest({', '.join(f)}) AS f_{c}"]
+        plus = lambda cap: " + ".join(f"least(sum({sql_count('text', w, None)}), {cap})" for w in words)  # noqa: B023, E731
+        top = "max" if best else "sum"
+        e = whole.replace("<b>", f"(sum(b_{c})" + (f" + {plus(body_cap)})" if extra else ")")).replace("<f>", f"({top}(f_{c})" + (f" + {plus(full_cap)})" if extra else ")"))
+        cols.append(f"CAST({e} AS BIGINT) AS {c}")
+    return f"WITH t AS ({TEXTS}), one AS (SELECT host, {page} AS page, arg_min(text, page_ord) AS text, arg_min(body_text, page_ord) AS body_text FROM t GROUP BY 1, 2), n AS (SELECT host, text, {', '.join(inner)} FROM one) SELECT host, {', '.join(cols)} FROM n GROUP BY host"
+
+
+NO_FRAGMENT = "regexp_replace(url, '#.*$', '')"
+for _policy, _sql in {
+    "scrape": _mentions_sql(NO_FRAGMENT, "greatest(<b>, <f>)", 5, 3, extra=True),
+    "reprocess": _mentions_sql(NO_FRAGMENT, "CASE WHEN <b> > 0 THEN <b> ELSE <f> END", 3, 2),
+    "refresh": _mentions_sql("url", "greatest(<b>, <f>)", 5, 3),
+    "fill": _mentions_sql("url", "least(<f>, 99)", None, None),
+    "hint": _mentions_sql("url", "<f>", 5, 5, best=True),
+    "chain": _mentions_sql("url", "least(greatest(<f>, 1), 20)", None, None),
+}.items():
+    query(f"keyword_mentions_{_policy}", _sql)(lambda spark, sf, p=_policy: features.service_counts(page_texts(spark, sf), ["host"], p, PACK))
 
 
 def _flags_sql(spaced: bool) -> str:
@@ -148,7 +162,7 @@ def _flags_sql(spaced: bool) -> str:
 
 
 for _policy, _spaced in (("scrape", True), ("reprocess", False)):
-    query(f"technology_flags_{_policy}", _flags_sql(_spaced))(lambda spark, sf, p=_policy: features.technology_flags(page_texts(spark, sf), ["host"], p, TECH, ("text",), {}))
+    query(f"technology_flags_{_policy}", _flags_sql(_spaced))(lambda spark, sf, p=_policy: features.technology_flags(page_texts(spark, sf), ["host"], p, TECH, {}))
 
 
 @query("page_title_h1", r"SELECT page_id, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title, length(regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1)) AS h1_chars FROM pages")
@@ -162,7 +176,7 @@ def _(spark, sf):
     return load(spark, sf, "pages").groupBy(urls.domain_key("url").alias("host")).agg(F.count(F.lit(1)).alias("pages"), F.sum(n).cast("long").alias("links"))
 
 
-@query("url_parts", f"SELECT page_id, {HOST} AS host, regexp_extract(url, '^([a-zA-Z]+)://', 1) || '://' || {NETLOC} || '/' AS home, regexp_replace(url, '#.*$', '') AS page, regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_matches(lower(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1)), {lit(urls.CONTENT_PATH)}) AS content FROM pages")
+@query("url_parts", f"SELECT page_id, {HOST} AS host, regexp_extract(url, '^([a-zA-Z]+)://', 1) || '://' || {NETLOC} || '/' AS home, regexp_replace(url, '#.*$', '') AS page, regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_matches(lower(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1)), '/(?:blog|news|article|articles|post|posts|press|category|tag|author)(?:/|$)|/20[0-9]{{2}}/') AS content FROM pages")
 def _(spark, sf):
     return load(spark, sf, "pages").select("page_id", urls.domain_key("url").alias("host"), urls.homepage("url").alias("home"), urls.without_fragment("url").alias("page"), urls.path("url").alias("path"), urls.is_content("url").alias("content"))
 
@@ -172,19 +186,24 @@ def _(spark, sf):
     return load(spark, sf, "pages").groupBy(urls.domain_key("url").alias("host"), urls.path("url").alias("path")).agg(F.min("page_id").alias("first_page"), F.count(F.lit(1)).alias("copies"))
 
 
-@query("url_variants", f"SELECT page_id, list_aggregate(list_distinct([url, 'https://www.' || {HOST} || p, 'https://' || {HOST} || p, 'http://www.' || {HOST} || p, 'http://' || {HOST} || p]), 'count') AS n FROM (SELECT *, regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1) AS p FROM pages)")
+@query("url_variants", f"SELECT page_id, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ' ') AS spellings FROM (SELECT page_id, [url, 'https://www.' || {HOST} || p, 'https://' || {HOST} || p, 'http://www.' || {HOST} || p, 'http://' || {HOST} || p] AS l FROM (SELECT *, regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1) AS p FROM pages))")
 def _(spark, sf):
-    return load(spark, sf, "pages").select("page_id", F.size(urls.variants("url")).cast("long").alias("n"))
+    return load(spark, sf, "pages").select("page_id", F.array_join(urls.variants("url"), " ").alias("spellings"))
 
 
-@query("page_challenges", f"SELECT page_id, {' OR '.join(f'contains(lower(substr(html, 1, 2000)), {lit(m)})' for m in text.CHALLENGE_MARKS)} AS challenge, regexp_matches(html, {lit('(?is)<div[^>]*id=.(root|app|__next).[^>]*> *</div>')}) AND false AS shell FROM pages")
+@query("page_challenges", """SELECT page_id, list_aggregate(list_transform(['sgcaptcha', 'robot challenge', 'just a moment', 'checking your browser', 'cloudflare', 'cf-ray', 'enable javascript', 'web server is returning an unknown error'], lambda m: contains(lower(substr(h, 1, 2000)), m)), 'bool_or') AS challenge,
+ regexp_matches(h, '(?is)<div[^>]*id=["''](root|app|__next)["''][^>]*>[ \t\n\r\f]*</div>') AND length(h) < 50000 AND length(%s) < 300 AS shell
+FROM (SELECT page_id, CASE page_id %% 5 WHEN 0 THEN '<title>Just a Moment</title>' || html WHEN 1 THEN '<div id="root"></div><script>' || substr(html, 1, 400) || '</script>' WHEN 2 THEN '<div id="app"> </div>' || html ELSE html END AS h FROM pages)""" % sql_strip("h"))
 def _(spark, sf):
-    return load(spark, sf, "pages").select("page_id", text.is_challenge("html").alias("challenge"), text.is_script_shell("html").alias("shell"))
+    """Every page, some of them behind a made-up guard or with a shell's markup."""
+    k, h = F.col("page_id") % 5, F.col("html")
+    made = F.when(k == 0, F.concat(F.lit("<title>Just a Moment</title>"), h)).when(k == 1, F.concat(F.lit('<div id="root"></div><script>'), F.substring(h, 1, 400), F.lit("</script>"))).when(k == 2, F.concat(F.lit('<div id="app"> </div>'), h)).otherwise(h)
+    return load(spark, sf, "pages").select("page_id", made.alias("h")).select("page_id", text.is_challenge("h").alias("challenge"), text.is_script_shell("h").alias("shell"))
 
 
 @query("link_frontier", f"""
 WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="(/[^"#?]+)', 1)) AS href FROM pages),
- p AS (SELECT DISTINCT page_id, href AS url, CASE WHEN regexp_matches(lower(href), {lit(frontier.SERVICE)}) THEN 1 WHEN regexp_matches(lower(href), {lit(frontier.TEAM)}) THEN 2 WHEN regexp_matches(lower(href), {lit(frontier.TESTIMONIAL)}) THEN 3 ELSE 9 END AS priority FROM l WHERE NOT regexp_matches(lower(href), {lit(frontier.UNWANTED)})),
+ p AS (SELECT DISTINCT page_id, href AS url, CASE WHEN regexp_matches(lower(href), 'service|treatment|procedure|implant|cosmetic|invisalign|technolog') THEN 1 WHEN regexp_matches(lower(href), 'team|doctor|staff|about|meet|provider|dentist') THEN 2 WHEN regexp_matches(lower(href), 'testimonial|review') THEN 3 ELSE 9 END AS priority FROM l WHERE NOT regexp_matches(lower(href), '\\.(?:pdf|jpe?g|png|gif|svg|webp|zip|docx?|mp4)(?:$|\\?)|/(?:wp-login|cart|checkout|login|feed)')),
  r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY priority, url) AS rank FROM p) SELECT page_id, url, priority, rank FROM r WHERE rank <= 5""")
 def _(spark, sf):
     links = load(spark, sf, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="(/[^"#?]+)'), F.lit(1))).alias("href")).withColumn("text", F.lit(""))
@@ -193,15 +212,20 @@ def _(spark, sf):
 
 # ---- documents: contact, categories ------------------------------------------------------------------
 
-BAD = "(" + " OR ".join([f"(ends_with(lower(e), '@{d}') OR ends_with(lower(e), '.{d}'))" for d in text.BAD_EMAIL_DOMAINS] + [f"starts_with(lower(e), {lit(p)})" for p in text.BAD_EMAIL_PREFIXES + text.PLACEHOLDER_LOCALS]) + ")"
+MAIL = "'[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+[.][a-zA-Z]{2,}'"
+BAD = """(regexp_extract(lower(e), '[^@]*$', 0) IN ('godaddy.com', 'example.com', 'yourdomain.com', 'domain.com', 'yourwebsite.com', 'website.com', 'email.com', 'test.com', 'placeholder.com', 'sampleemail.com')
+ OR regexp_matches(lower(e), '^(filler|placeholder|test|demo|admin@example|info@example|noreply|no-reply|donotreply)') OR contains(lower(e), 'email@') OR contains(lower(e), 'name@') OR contains(lower(e), 'user@'))"""
 
 
-@query("doc_email", f"SELECT doc_id, nullif(regexp_extract(text, {lit(text.EMAIL)}, 0), '') AS plain, list_extract(list_filter(regexp_extract_all(text, {lit(text.EMAIL)}, 0), lambda e: NOT {BAD}), 1) AS wanted, len(regexp_extract_all(text, {lit(text.EMAIL)}, 0)) AS n FROM documents")
+@query("doc_email", f"SELECT doc_id, nullif(regexp_extract(text, {MAIL}, 0), '') AS plain, list_extract(list_filter(regexp_extract_all(text, {MAIL}, 0), lambda e: NOT {BAD}), 1) AS wanted, len(regexp_extract_all(text, {MAIL}, 0)) AS n FROM documents")
 def _(spark, sf):
     return load(spark, sf, "documents").select("doc_id", text.first_email("text", "plain").alias("plain"), text.first_email("text", "any").alias("wanted"), F.size(text.emails("text")).cast("long").alias("n"))
 
 
-@query("doc_phone_street", f"SELECT doc_id, nullif(regexp_extract(text, {lit(text.PHONE)}, 0), '') AS phone, nullif(regexp_extract(text, {lit(text.STREET)}, 0), '') AS street FROM documents")
+STREETS = "'[0-9]{1,6} (?:[A-Z][A-Za-z0-9.]* ){1,4}(?:Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Drive|Dr|Lane|Ln|Way|Court|Ct|Place|Pl|Parkway|Pkwy|Highway|Hwy)'"
+
+
+@query("doc_phone_street", rf"SELECT doc_id, nullif(regexp_extract(text, '\(?[0-9]{{3}}\)?[ .-]?[0-9]{{3}}[ .-][0-9]{{4}}', 0), '') AS phone, nullif(regexp_extract(text, {STREETS}, 0), '') AS street FROM documents")
 def _(spark, sf):
     return load(spark, sf, "documents").select("doc_id", text.first_phone("text").alias("phone"), text.first_street("text").alias("street"))
 
@@ -252,9 +276,9 @@ def _(spark, sf):
     return listings.targets(batch(spark, sf), load(spark, sf, "orders").filter("o_totalprice > 450000").select(F.col("o_custkey").alias("pos")), "pos").select("pos", "idx")
 
 
-@query("missing_policies", f"WITH b AS ({BATCH}) SELECT pos, " + ", ".join(f"{sql_missing('hygienists', p)} AS {p}_hyg, {sql_missing('website', p)} AS {p}_web" for p in POLICIES) + " FROM b")
+@query("missing_policies", f"WITH b AS ({BATCH}) SELECT pos, " + ", ".join(f"{sql_missing('hygienists', p)} AS {p}_hyg, {sql_missing('website', p)} AS {p}_web" for p in MISSING) + " FROM b")
 def _(spark, sf):
-    return batch(spark, sf).select("pos", *[is_missing(c, p).alias(f"{p}_{n}") for p in POLICIES for c, n in (("hygienists", "hyg"), ("website", "web"))])
+    return batch(spark, sf).select("pos", *[is_missing(c, p).alias(f"{p}_{n}") for p in MISSING for c, n in (("hygienists", "hyg"), ("website", "web"))])
 
 
 @query("blocked_and_empty_rows", f"WITH b AS ({BATCH}) SELECT pos, NOT {sql_missing('website', 'bypass')} AND {sql_missing('doctor_name', 'bypass')} AND {sql_missing('email', 'bypass')} AS blocked, {sql_missing('doctor_name', 'bypass')} AND {sql_missing('email', 'bypass')} AND coalesce(try_cast(implants AS INT), 0) + coalesce(try_cast(veneers AS INT), 0) + coalesce(try_cast(invisalign AS INT), 0) = 0 AS empty FROM b")
@@ -370,21 +394,38 @@ def _(spark, sf):
 
 # ---- quality analysis --------------------------------------------------------------------------------
 
-SPEC = [(f, t) for f, t in qa.QA_SPEC if f in FIELDS]
-_by = lambda *tiers: [f for f, t in SPEC if t in tiers]
-_scored = _by("critical", "important", "optional")
-_list = lambda fs: "list_filter([" + ", ".join(f"CASE WHEN {sql_missing(f)} THEN {lit(f)} END" for f in fs) + "], lambda x: x IS NOT NULL)"
-_any = lambda fs: "(" + " OR ".join(f"NOT {sql_missing(f)}" for f in fs) + ")"
+#: The fields of the analysis as the SQL side states them: tier, and the header under which a report shows them. NULL: the made-up batch has no such column.
+TIERS = {
+    "critical": {"doctor_name": "Doctor Name", "email": "Practice Email", "google_rating": "Google Reviews Ranking", "google_reviews": "Total # of Google Reviews"},
+    "important": {"hygienists": "# of Hygienists", "facebook_url": "Facebook URL", "associations": "Associations / Memberships", "specialty": "Doctor Specialty"},
+    "optional": {"instagram_url": "Instagram URL", "tiktok_url": "TikTok URL", "linkedin_url": "LinkedIn URL", "yelp_rating": "Yelp Rating", "yelp_reviews": "Total # of Yelp Reviews", "testimonials": "Testimonials (Number of)", "locations_count": "# of Locations"},
+    "tech": ["cerec", "cbct", "lasers", "ai", "intraoral"],
+    "service": ["invisalign", "clear_aligners", "veneers", "implants", "smile_makeovers", "whitening", "sedation", "holistic", "dental_plan", "cancer_screening"],
+    "info": ["facebook_posts", "facebook_followers", "instagram_posts", "instagram_followers", "tiktok_posts", "tiktok_followers", "linkedin_posts", "linkedin_followers", "invisalign_tier"],
+}
+_gone = lambda f: sql_missing(f) if f in FIELDS else "true"
+_list = lambda t: "list_filter([" + ", ".join(f"CASE WHEN {_gone(f)} THEN {lit(f)} END" for f in TIERS[t]) + "], lambda x: x IS NOT NULL)"
+_any = lambda t: "(" + " OR ".join(f"NOT {_gone(f)}" for f in TIERS[t]) + ")"
 _pct = lambda a, b: f"CAST(CASE WHEN {b} > 0 THEN round_even(CAST({a} AS DOUBLE) * 100.0 / CAST({b} AS DOUBLE), 0) ELSE 0 END AS BIGINT)"
-SCORED = f"""SELECT *, {_pct(f'{len(_scored)} - len(cm) - len(im) - len(om)', len(_scored))} AS fill,
- CASE WHEN NOT {sql_missing('website')} AND {' AND '.join(sql_missing(f) for f in qa.REACHED if f in FIELDS)} AND NOT tech_any AND NOT service_any THEN 'NOT SCRAPED' WHEN len(cm) > 0 THEN 'FAIL' WHEN len(im) >= 2 OR NOT tech_any OR NOT service_any THEN 'REVIEW' ELSE 'PASS' END AS status
- FROM (SELECT *, {_list(_by('critical'))} AS cm, {_list(_by('important'))} AS im, {_list(_by('optional'))} AS om, {_any(_by('tech'))} AS tech_any, {_any(_by('service'))} AS service_any FROM ({ROLLUP}))"""
+SCORED = f"""SELECT *, {_pct('15 - len(cm) - len(im) - len(om)', '15')} AS fill,
+ CASE WHEN NOT {sql_missing('website')} AND {sql_missing('email')} AND {sql_missing('google_rating')} AND {sql_missing('google_reviews')} AND {sql_missing('specialty')} AND {sql_missing('associations')} AND NOT tech_any AND NOT service_any THEN 'NOT SCRAPED'
+  WHEN len(cm) > 0 THEN 'FAIL' WHEN len(im) >= 2 OR NOT tech_any OR NOT service_any THEN 'REVIEW' ELSE 'PASS' END AS status
+ FROM (SELECT *, {_list('critical')} AS cm, {_list('important')} AS im, {_list('optional')} AS om, {_any('tech')} AS tech_any, {_any('service')} AS service_any FROM ({ROLLUP}))"""
 FLAGGED = f"WITH s AS ({SCORED}), t AS (SELECT CASE WHEN count(*) < 5 THEN 40.0 ELSE greatest(20.0, avg(fill) - stddev_samp(fill)) END AS low_threshold FROM s) SELECT s.*, t.low_threshold, fill < low_threshold AND status <> 'NOT SCRAPED' AS low FROM s, t"
-REASON = f"""CASE WHEN trim(d) = '' THEN 'empty' WHEN regexp_matches(trim(d), '@|https?:|www\\.') THEN 'address' WHEN regexp_matches(d, '[0-9]') THEN 'digits' WHEN upper(trim(d)) = trim(d) AND length(trim(d)) > 4 THEN 'all caps'
- WHEN len(list_filter(string_split(trim(regexp_replace(trim(d), '(?i)^(?:dr|doctor)\\.? +', '')), ' '), lambda w: w <> '')) = 1 THEN 'single word' WHEN len(list_filter(string_split(trim(regexp_replace(trim(d), '(?i)^(?:dr|doctor)\\.? +', '')), ' '), lambda w: w <> '')) >= 6 THEN 'too long' WHEN {' OR '.join(f'contains(lower(d), {lit(w)})' for w in names.BUSINESS_WORDS)} THEN 'business term' END"""
-BADNAMES = f"SELECT idx, arg_min(d, pos) AS doctor_name, min(reason) AS reason FROM (SELECT idx, pos, d, {REASON} AS reason FROM (SELECT idx, pos, coalesce(doctor_name, '') AS d FROM ({BATCH}))) WHERE reason IS NOT NULL GROUP BY idx, lower(trim(d))"
-STATS = "SELECT field, tier, count(*) AS n, count(*) FILTER (filled) AS filled, count(*) FILTER (has_site) AS n_site, count(*) FILTER (filled AND has_site) AS filled_site FROM (" + " UNION ALL ".join(f"SELECT {lit(f)} AS field, {lit(t)} AS tier, NOT {sql_missing(f)} AS filled, NOT {sql_missing('website')} AS has_site FROM r" for f, t in SPEC) + ") GROUP BY 1, 2"
-RATES = f"WITH r AS ({ROLLUP}), s AS ({STATS}) SELECT *, {_pct('filled', 'n')} AS rate, {_pct('filled_site', 'n_site')} AS rate_site, {_pct('filled_site', 'n_site')} - {_pct('filled', 'n')} AS gap, CASE WHEN {_pct('filled', 'n')} >= 80 THEN 'Good' WHEN {_pct('filled', 'n')} >= 50 THEN 'Review' ELSE 'Low' END AS grade FROM s"
+REASON = r"""CASE WHEN n IN ('', 'Not Found', 'N/A', 'nan', 'None', 'none', 'ERROR', 'N/A – Not Offered', '0', 'not found', 'n/a') THEN 'Empty / Not Found'
+ WHEN contains(lower(n), 'http') OR contains(n, '@') OR contains(lower(n), '.com') OR contains(lower(n), '.org') THEN 'URL or email in name field'
+ WHEN regexp_matches(n, '[0-9]') THEN 'Contains digits'
+ WHEN length(regexp_replace(n, '[^a-zA-Z]', '', 'g')) > 4 AND NOT regexp_matches(n, '[a-z]') THEN 'All uppercase'
+ WHEN len(words) = 1 THEN 'Single word — no first + last name'
+ WHEN len(words) >= 6 THEN 'Too long (' || len(words) || ' words) — possibly a practice/office name'
+ WHEN len(biz) > 0 THEN 'Business term(s): ' || array_to_string(biz, ', ') END"""
+BIZ = "['dental', 'dentistry', 'dentist', 'care', 'group', 'center', 'centre', 'clinic', 'practice', 'office', 'associates', 'health', 'wellness', 'smile', 'smiles', 'studio', 'family', 'general', 'orthodontic', 'implant', 'cosmetic', 'pediatric', 'oral', 'surgery', 'specialist', 'specialists', 'advanced', 'premier', 'excellence', 'professional', 'and', 'the', 'of', 'for', 'at', 'your', 'our', 'team', 'services']"
+NAMED = f"SELECT *, {REASON} AS reason FROM (SELECT *, list_filter(words, lambda w: list_contains({BIZ}, lower(w))) AS biz FROM (SELECT idx, pos, n, list_filter(list_transform(string_split(n, ' '), lambda w: trim(w, '.,;')), lambda w: length(w) > 1) AS words FROM (SELECT idx, pos, trim(coalesce(doctor_name, '')) AS n FROM ({BATCH}))))"
+BADNAMES = f"SELECT idx, n AS doctor_name, min(pos) AS first, min(reason) AS reason FROM ({NAMED}) WHERE reason IS NOT NULL GROUP BY idx, n"
+STATS = "SELECT field, tier, place, count(*) AS n, count(*) FILTER (filled) AS filled, count(*) FILTER (has_site) AS n_site, count(*) FILTER (filled AND has_site) AS filled_site FROM (" + " UNION ALL ".join(f"SELECT {lit(f)} AS field, {lit(t)} AS tier, {k} AS place, NOT {_gone(f)} AS filled, NOT {sql_missing('website')} AS has_site FROM r" for k, (t, f) in enumerate((t, f) for t in TIERS for f in TIERS[t])) + ") GROUP BY 1, 2, 3"
+RATES = f"WITH r AS ({ROLLUP}), s AS ({STATS}) SELECT *, {_pct('filled', 'n')} AS rate, {_pct('filled_site', 'n_site')} AS rate_site, n_site - filled_site AS gap, CASE WHEN {_pct('filled', 'n')} >= 80 THEN 'Good' WHEN {_pct('filled', 'n')} >= 50 THEN 'Review' ELSE 'Low' END AS grade FROM s"
+_heads = "MAP {" + ", ".join(f"{lit(f)}: {lit(h)}" for t in ("critical", "important", "optional") for f, h in TIERS[t].items()) + "}"
+_shown = lambda c: f"coalesce(nullif(array_to_string(list_transform({c}, lambda f: {_heads}[f]), ', '), ''), '—')"
 
 
 def scored(spark, sf) -> DataFrame:
@@ -406,9 +447,18 @@ def _(spark, sf):
     return qa.flagged(scored(spark, sf)).agg(F.round(F.max("low_threshold"), 6).alias("low_threshold"), F.count_if("low").alias("low"))
 
 
-@query("qa_issues", f"WITH f AS ({FLAGGED}), b AS (SELECT idx, count(*) AS bad, array_to_string(list_slice(list_sort(list(doctor_name)), 1, 3), ', ') AS bad_names FROM ({BADNAMES}) GROUP BY idx) SELECT idx, status || CASE WHEN low THEN ' | LOW DATA' ELSE '' END AS flags, fill, coalesce(array_to_string(cm, ', '), '') AS critical, coalesce(array_to_string(im, ', '), '') AS important, coalesce(array_to_string(list_slice(om, 1, 4), ', '), '') AS optional, coalesce(bad, 0) AS bad, coalesce(bad_names, '') AS bad_names FROM f LEFT JOIN b USING (idx) WHERE status <> 'PASS' OR low OR coalesce(bad, 0) > 0")
+@query("qa_flags", f"SELECT idx, coalesce(nullif(concat_ws(' | ', CASE WHEN low THEN 'LOW DATA' END, CASE WHEN status = 'NOT SCRAPED' THEN 'NOT SCRAPED' END, CASE WHEN {sql_missing('website')} THEN 'NO WEBSITE' END), ''), '—') AS flags FROM ({FLAGGED})")
+def _(spark, sf):
+    return qa.flagged(scored(spark, sf)).select("idx", "flags")
+
+
+@query("qa_issues", f"""WITH f AS ({FLAGGED}), x AS (SELECT idx, pos, chr(39) || n || chr(39) || ' (' || reason || ')' AS told FROM ({NAMED}) WHERE reason IS NOT NULL AND reason <> 'Empty / Not Found'),
+ b AS (SELECT idx, count(*) AS bad, array_to_string(list_slice(list(told ORDER BY pos), 1, 3), '; ') AS bad_names FROM x GROUP BY idx)
+SELECT idx, status, fill || '%' AS fill, coalesce(nullif(concat_ws(' | ', CASE WHEN low THEN 'LOW DATA' END, CASE WHEN status = 'NOT SCRAPED' THEN 'NOT SCRAPED' END, CASE WHEN {sql_missing('website')} THEN 'NO WEBSITE' END, CASE WHEN bad > 0 THEN 'BAD NAMES' END), ''), '—') AS flags,
+ {_shown('cm')} AS critical, {_shown('im')} AS important, {_shown('list_slice(om, 1, 4)')} AS optional, CASE WHEN tech_any THEN '✓' ELSE '✗ None' END AS tech, CASE WHEN service_any THEN '✓' ELSE '✗ None' END AS services, coalesce(bad_names, '—') AS bad_names
+FROM f LEFT JOIN b USING (idx) WHERE status <> 'PASS' OR low OR bad > 0""")
 def _(spark, sf):
-    return qa.issues(qa.flagged(scored(spark, sf)), qa.bad_names(batch(spark, sf), "idx"))
+    return qa.issues(qa.flagged(scored(spark, sf)), batch(spark, sf))
 
 
 @query("qa_bad_names", BADNAMES)
@@ -416,19 +466,29 @@ def _(spark, sf):
     return qa.bad_names(batch(spark, sf), "idx")
 
 
-@query("field_fill_rates", RATES)
+@query("field_fill_rates", f"SELECT * EXCLUDE (place) FROM ({RATES})")
 def _(spark, sf):
     return qa.field_stats(merge.rollup(batch(spark, sf), "idx", FIELDS))
 
 
-@query("lowest_fields", f"SELECT field, rate FROM ({RATES}) ORDER BY rate, field LIMIT 6")
+@query("missing_data", f"SELECT field, tier, filled, n, rate, filled_site, n_site, rate_site, CASE WHEN gap > 0 THEN gap || ' practices have website but field is empty' ELSE '—' END AS gap FROM ({RATES}) WHERE tier <> 'info'")
+def _(spark, sf):
+    return qa.missing_data(qa.field_stats(merge.rollup(batch(spark, sf), "idx", FIELDS)))
+
+
+@query("lowest_fields", f"SELECT field, rate FROM ({RATES}) WHERE tier <> 'info' ORDER BY filled / n, CASE field WHEN 'invisalign' THEN -1 ELSE 0 END + place LIMIT 6")
 def _(spark, sf):
     return qa.lowest(qa.field_stats(merge.rollup(batch(spark, sf), "idx", FIELDS)))
 
 
-@query("qa_cells", f"WITH r AS ({ROLLUP}) SELECT idx, CASE WHEN {sql_missing('email')} THEN '✗' WHEN try_cast(email AS INT) > 0 THEN CAST(try_cast(email AS INT) AS VARCHAR) ELSE '✓' END AS email, CASE WHEN {sql_missing('invisalign')} THEN '–' WHEN try_cast(invisalign AS INT) > 0 THEN CAST(try_cast(invisalign AS INT) AS VARCHAR) ELSE '✓' END AS invisalign FROM r")
+def _cell_sql(c: str, gone: str) -> str:
+    return f"CASE WHEN {sql_missing(c)} THEN '{gone}' WHEN try_cast({c} AS DOUBLE) >= 1 THEN CAST(CAST(floor(try_cast({c} AS DOUBLE)) AS BIGINT) AS VARCHAR) WHEN try_cast({c} AS DOUBLE) IS NOT NULL OR length(trim({c})) > 20 THEN '✓' ELSE trim({c}) END AS {c}"
+
+
+@query("qa_cells", f"WITH r AS ({ROLLUP}) SELECT idx, {_cell_sql('email', '✗')}, {_cell_sql('invisalign', '–')}, {_cell_sql('google_rating', '✗')}, {_cell_sql('facebook_url', '✗')}, {_cell_sql('dental_plan', '–')} FROM r")
 def _(spark, sf):
-    return merge.rollup(batch(spark, sf), "idx", FIELDS).select("idx", qa.cell(F.col("email"), "critical").alias("email"), qa.cell(F.col("invisalign"), "service").alias("invisalign"))
+    tiers = {"email": "critical", "invisalign": "service", "google_rating": "critical", "facebook_url": "important", "dental_plan": "service"}
+    return merge.rollup(batch(spark, sf), "idx", FIELDS).select("idx", *[qa.cell(F.col(c), t).alias(c) for c, t in tiers.items()])
 
 
 # ---- rows of doctors, ranking, sets ------------------------------------------------------------------
@@ -464,14 +524,17 @@ def _(spark, sf):
     return entity.exact(batch(spark, sf), ["idx"], "doctor_name").select("idx", "pos")
 
 
-@query("name_forms", f"WITH b AS ({BATCH}) SELECT pos, coalesce(array_to_string(list_filter(string_split(regexp_replace(lower(doctor_name), '[^a-zà-öø-ÿ ]+', ' ', 'g'), ' '), lambda w: w <> '' AND w NOT IN ({', '.join(map(lit, names.TITLES + names.CREDENTIALS))})), ' '), '') AS plain, regexp_matches(doctor_name, '^Dr\\.? +[A-Z]') OR regexp_matches(upper(doctor_name), '[ ,](?:DDS|DMD|MD|D\\.D\\.S\\.|D\\.M\\.D\\.)\\.?$') AS titled, len(list_filter(string_split(doctor_name, ' '), lambda w: w <> '')) + CASE WHEN regexp_matches(doctor_name, '^(?:Dr|Doctor)\\.? ') THEN 4 ELSE 0 END + CASE WHEN regexp_matches(doctor_name, '(?:^| )[A-Z]\\.?(?: |$)') THEN 2 ELSE 0 END + CASE WHEN regexp_matches(upper(doctor_name), '(?:^|[ ,])(?:{'|'.join(names.CREDENTIALS).upper()})(?:[ ,.]|$)') THEN 3 ELSE 0 END AS score FROM b")
+PLAIN = r"array_to_string(list_transform(list_filter(string_split(regexp_replace(regexp_replace(lower(coalesce(doctor_name, '')), '\b(dr|d[.]?d[.]?s|d[.]?m[.]?d|m[.]?d|rdh|ph[.]?d|dpm|do|nmd|fagd|magd|ficoi|facd|ficd|aacd|abgd|fellow)\b', '', 'g'), '[,.-]', ' ', 'g'), ' '), lambda w: w <> ''), lambda w: CASE WHEN length(w) > 3 AND w[-1] = w[-2] THEN w[:-2] ELSE w END), ' ')"
+
+
+@query("name_forms", f"WITH b AS ({BATCH}) SELECT pos, {PLAIN} AS plain, regexp_matches(doctor_name, '^Dr\\.? +[A-Z]') OR regexp_matches(upper(doctor_name), '[ ,](?:DDS|DMD|MD|D\\.D\\.S\\.|D\\.M\\.D\\.)\\.?$') AS titled, len(list_filter(string_split(doctor_name, ' '), lambda w: w <> '')) + CASE WHEN regexp_matches(doctor_name, '^[Dd][Rr]\\.? ') THEN 4 ELSE 0 END + CASE WHEN regexp_matches(doctor_name, ' [A-Z][.]( |$)') THEN 2 ELSE 0 END + CASE WHEN regexp_matches(lower(doctor_name), ', *(dds|dmd|md|ms|fagd|magd|ficoi|facd|ficd|aacd)') THEN 3 ELSE 0 END AS score FROM b")
 def _(spark, sf):
     return batch(spark, sf).select("pos", names.normalised("doctor_name").alias("plain"), names.looks_titled("doctor_name").alias("titled"), names.completeness("doctor_name").cast("long").alias("score"))
 
 
-@query("name_overlap", "SELECT p_partkey, len(list_intersect(list_filter(string_split(lower(p_name), ' '), lambda w: w <> ''), ['red', 'small', 'widget', 'bolt'])) AS score FROM part")
+@query("name_overlap", "SELECT p_partkey, len(list_intersect(list_filter(string_split(lower(p_name), ' '), lambda w: w <> ''), ['red', 'small', 'widget', 'bolt', 'office'])) AS score FROM part")
 def _(spark, sf):
-    return load(spark, sf, "part").select("p_partkey", names.overlap("p_name", F.lit("Red small WIDGET bolt")).cast("long").alias("score"))
+    return load(spark, sf, "part").select("p_partkey", names.overlap("p_name", F.lit("The Red small Dental WIDGET bolt office, LLC of Family")).cast("long").alias("score"))
 
 
 @query("compact_numbers", "SELECT o_orderkey, CASE WHEN x >= 1000000 THEN format('{:.1f}', round_even(x / 1000000, 1)) || 'M' WHEN x >= 1000 THEN format('{:.1f}', round_even(x / 1000, 1)) || 'K' ELSE CAST(CAST(floor(x) AS BIGINT) AS VARCHAR) END AS shown FROM (SELECT o_orderkey, CAST(floor(o_totalprice) AS DOUBLE) * CASE WHEN o_orderkey % 3 = 0 THEN 10 WHEN o_orderkey % 3 = 1 THEN 1 ELSE 0.001 END AS x FROM (SELECT o_orderkey, floor(o_totalprice) - floor(o_totalprice) % 50 AS o_totalprice FROM orders))")
@@ -585,11 +648,15 @@ def _(spark, sf):
     return merge.runs(load(spark, sf, "orders").select("o_orderstatus", "o_orderkey"), "o_orderstatus", "o_orderkey").groupBy("o_orderstatus", "run").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("link_scores", f"WITH b AS ({BATCH}) SELECT pos, CASE WHEN doctor_name = 'Dr. Anna Weber' THEN 38 ELSE 3 + CASE WHEN doctor_name = 'JOHN SMITH' THEN 0 ELSE 0 END END AS score FROM b WHERE doctor_name IN ('Dr. Anna Weber', 'JOHN SMITH')")
+@query("link_scores", f"""WITH b AS (SELECT pos, {PLAIN} AS plain, CAST(floor(pos / 9) AS BIGINT) % 3 + 1 AS k FROM ({BATCH})),
+ l AS (SELECT pos, plain, string_split(plain, ' ')[-1] AS last, replace(plain, ' ', '-') AS slug, ['/team/anna-weber', '/doctors/maria-de-la-cruz', '/john-smith/carter'][k] AS href, ['dr. weber', 'meet dr. cruz', 'single carter'][k] AS txt FROM b)
+SELECT pos, CASE WHEN last <> '' AND contains(href, last) THEN 10 ELSE 0 END + CASE WHEN last <> '' AND contains(txt, last) THEN 8 ELSE 0 END + CASE WHEN slug <> '' AND contains(href, slug) THEN 15 ELSE 0 END
+ + CASE WHEN regexp_matches(href, 'doctor|team|staff|about|provider|bio') THEN 3 ELSE 0 END + CASE WHEN regexp_matches(' ' || txt, ' dr[.]? ') THEN 2 ELSE 0 END AS score FROM l""")
 def _(spark, sf):
-    rows = batch(spark, sf).filter("doctor_name IN ('Dr. Anna Weber', 'JOHN SMITH')")
-    is_anna = F.col("doctor_name") == "Dr. Anna Weber"
-    return rows.select("pos", names.link_score("doctor_name", F.when(is_anna, "/team/anna-weber").otherwise("/team/x"), F.when(is_anna, "Dr. Weber").otherwise("more")).alias("score"))
+    """Every row of the batch with one of three links."""
+    link = (F.floor(F.col("pos") / 9) % 3).cast("int")
+    of = lambda *values: F.element_at(F.array(*[F.lit(v) for v in values]), link + 1)
+    return batch(spark, sf).select("pos", names.link_score("doctor_name", of("/team/anna-weber", "/doctors/maria-de-la-cruz", "/john-smith/carter"), of("Dr. Weber", "meet Dr. Cruz", "Single Carter")).alias("score"))
 
 
 @query("listing_cards", "WITH c AS (SELECT p_partkey % 40 AS idx, p_partkey // 40 AS pos, p_name AS title FROM part WHERE p_partkey // 40 <= 8), s AS (SELECT *, len(list_intersect(list_distinct(string_split(title, ' ')), ['red', 'small', 'bolt'])) AS score FROM c) SELECT idx, arg_min(title, {'s': -score, 'p': pos}) AS title, max(score) AS score FROM s WHERE score > 0 GROUP BY idx")
@@ -610,14 +677,6 @@ def _(spark, sf):
     return parse_pages(pages, keep=["page_id", "url"]).select("page_id", "title", F.length("text").alias("n_text"), F.length("body_text").alias("n_body"), F.length("aug_text").alias("n_aug"), F.size("links").alias("n_links"), F.size("headings").alias("n_headings"))
 
 
-@query("link_scores_all")
-def _(spark, sf):
-    """Every row of the batch with one of three links; ``link_scores`` shows two of the nine names only."""
-    link = (F.floor(F.col("pos") / 9) % 3).cast("int")
-    of = lambda *values: F.element_at(F.array(*[F.lit(v) for v in values]), link + 1)
-    return batch(spark, sf).select("pos", names.link_score("doctor_name", of("/team/anna-weber", "/doctors/maria-de-la-cruz", "/john-smith/carter"), of("Dr. Weber", "meet Dr. Cruz", "Single Carter")).alias("score"))
-
-
 @query("person_dedupe")
 def _(spark, sf):
     return entity.person(batch(spark, sf).select("idx", "pos", F.col("doctor_name").alias("name")), "idx")
@@ -633,7 +692,7 @@ def _(spark, sf):
 def _(spark, sf):
     from .pipelines import extract
 
-    pages = load(spark, sf, "pages").select(urls.domain_key("url").alias("host"), "url", "html", F.col("page_id").cast("int").alias("page_ord"))
+    pages = load(spark, sf, "pages").select(urls.domain_key("url").alias("host"), "url", "html", F.col("page_id").alias("page_ord"))
     out = extract(pages, ["host"])
     return out.select("host", *[c for c in out.columns if c not in ("host", "doctors")], F.size("doctors").alias("n_doctors"))
 

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from ..functions import names as nm
 from ..functions.html import parse_pages
+from ..functions.people import names_in
 from ..functions.signals import hygienists, rating
-from ..functions.text import first_email, first_phone, locations
+from ..functions.text import email_by_priority, first_phone, locations
 from ..functions.urls import PROFILE_HOSTS, is_content, is_profile
 from ..operators import entity, features, merge
 from ..operators.diff import field_diff, roster_diff
@@ -19,13 +20,21 @@ DOCTOR_HEADING = r"^(?:Dr\.? +)?([A-ZÀ-Þ][A-Za-zÀ-ÿ'.-]+(?: [A-ZÀ-Þ][A-Za-
 
 
 def staff(parsed: DataFrame, key: list[str], cap: int = 30) -> DataFrame:
-    """People named by headings with a title or credential, a row a person and key: name, what follows the heading, page order. No blogs."""
-    rows = parsed.filter(~is_content("url")).select(*key, "url", "page_ord", F.posexplode("headings").alias("h_ord", "h"))
-    rows = rows.filter(nm.looks_titled("h.text"))
-    name = F.trim(F.regexp_replace(F.regexp_extract("h.text", DOCTOR_HEADING, 1), r"\s+", " "))
-    rows = rows.select(*key, "url", (F.col("page_ord") * 1000 + F.col("h_ord")).cast("long").alias("pos"), name.alias("name"), F.col("h.after").alias("bio")).filter(nm.is_person("name", 2))
-    rows = rows.withColumn("score", nm.completeness("name"))
-    lists = rows.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("pos", "name", "bio", "url"))).alias("all"))
+    """People named by headings with a title or credential, then by cards of staff; a row a person and key: name, what is said, page order. No blogs.
+
+    The same spelling is taken once a key (its first place) before the names of
+    a key come together, so a key's list is as long as its people are many.
+    """
+    rows = parsed.filter(~is_content("url"))
+    heads = rows.select(*key, "url", F.col("page_ord").cast("long").alias("page_ord"), F.posexplode("headings").alias("ord", "h")).filter(nm.looks_titled("h.text"))
+    heads = heads.select(*key, "url", F.struct("page_ord", F.lit(0).alias("kind"), "ord").alias("pos"), F.trim(F.regexp_replace(F.regexp_extract("h.text", DOCTOR_HEADING, 1), r"\s+", " ")).alias("name"), F.col("h.after").alias("bio"))
+    if "cards" in parsed.columns:
+        cards = rows.select(*key, "url", F.col("page_ord").cast("long").alias("page_ord"), F.posexplode("cards").alias("ord", "card"))
+        cards = cards.select(*key, "url", F.struct("page_ord", F.lit(1).alias("kind"), "ord").alias("pos"), F.try_element_at(names_in("card", 1), F.lit(1)).alias("name"), F.col("card").alias("bio")).filter("name IS NOT NULL")
+        heads = heads.unionByName(cards)
+    named = heads.filter(nm.is_found_name("name"))
+    once = named.groupBy(*key, F.lower("name").alias("__low")).agg(F.min_by(F.struct("pos", "name", "bio", "url"), "pos").alias("x"))
+    lists = once.groupBy(*key).agg(F.sort_array(F.collect_list("x")).alias("all"))
     kept = entity.subset(F.transform("all", lambda x: x["name"]))
     out = lists.select(*key, "all", F.posexplode(F.slice(kept, 1, cap)).alias("rank", "name"))
     first = F.element_at(F.filter("all", lambda x: x["name"] == F.col("name")), 1)
@@ -34,7 +43,7 @@ def staff(parsed: DataFrame, key: list[str], cap: int = 30) -> DataFrame:
 
 def doctors(parsed: DataFrame, key: list[str]) -> DataFrame:
     """Per-doctor fields: specialty and memberships out of the text that belongs to the person alone."""
-    return staff(parsed, key).select(*key, "rank", "name", F.nullif(features.specialty(F.col("bio"), policy="all"), F.lit("")).alias("specialty"), features.associations(F.col("bio")).alias("associations"))
+    return staff(parsed, key).select(*key, "rank", "name", F.nullif(features.specialty(F.col("bio"), policy="all"), F.lit("")).alias("specialty"), features.associations(F.col("bio"), sections=True).alias("associations"))
 
 
 SITES = list(PROFILE_HOSTS)
@@ -47,29 +56,32 @@ def page_socials() -> list[Column]:
 
 
 def page_contact() -> list[Column]:
-    """A page's email by priority (hidden link, mailto, text), phone, places, hygienists."""
-    from ..functions.text import decode_hidden_email, is_bad_email
-
-    good = lambda e: F.when(~is_bad_email(e), e)
-    email = F.coalesce(good(decode_hidden_email(F.try_element_at("hidden", F.lit(1)))), good(F.try_element_at("mailtos", F.lit(1))), first_email("text"))
-    return [email.alias("email"), first_phone("text").alias("phone"), F.nullif(locations("text"), F.lit("1")).alias("locations_count"), hygienists("text").alias("hygienists")]
+    """A page's email by priority (hidden links, mail links, text, contact blocks), phone, places, hygienists in its text and on its cards."""
+    return [
+        email_by_priority(F.col("hidden"), F.col("mailtos"), F.col("text"), F.col("contacts")).alias("email"), first_phone("text").alias("phone"), F.nullif(locations("text", F.col("links")), F.lit("1")).alias("locations_count"),
+        hygienists("text").alias("hygienists"), features.card_hygienists("cards").alias("team"),
+    ]
 
 
 def extract(pages: DataFrame, key: list[str] = ["practice_id"], policy: str = "scrape") -> DataFrame:  # noqa: B006
     """Re-extraction: one row a practice with counts, flags, contact, socials, testimonials and doctors, out of stored pages.
 
     Each page is parsed once; what later steps need of it (numbers, addresses,
-    headings, begins of testimonials, no texts) is kept, on disk where memory
-    is short, and aggregated.
+    headings, cards, begins of testimonials, no texts) is kept, on disk where
+    memory is short, and aggregated. The caller frees it by ``spark.catalog.clearCache``
+    once the result is written. Hygienists on staff cards win over those in texts.
     """
     from ..rules import SERVICES, TECHNOLOGY
 
-    parsed = parse_pages(pages)
-    slim = parsed.select(*key, "url", "page_ord", "headings", *features.page_counts(policy), *features.page_flags(policy), *page_contact(), *page_socials(), features.page_testimonials(policy).alias("said"))
+    parsed = features.prepared(parse_pages(pages))
+    counts_of = features.page_counts(policy)
+    slim = parsed.select(*key, "url", "page_ord", "headings", "cards", *counts_of, *features.page_flags(policy), *page_contact(), *page_socials(), features.page_testimonials(policy).alias("said"))
     slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
     counts = features.sum_counts(slim, key, policy, list(SERVICES)).withColumn("dental_plan", features.mentioned(F.col("dental_plan")))
     firsts = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col("page_ord"))).alias(c) for c in ("email", "phone", "locations_count", *[f"{s}_url" for s in SITES])]
-    rest = slim.groupBy(*key).agg(*[F.max(c).alias(c) for c in TECHNOLOGY], F.max("hygienists").alias("hygienists"), *firsts).withColumn("locations_count", F.coalesce("locations_count", F.lit("1")))
+    rest = slim.groupBy(*key).agg(*[F.max(c).alias(c) for c in TECHNOLOGY], F.max("hygienists").alias("__told"), *firsts).withColumn("locations_count", F.coalesce("locations_count", F.lit("1")))
+    team = slim.select(*key, F.explode("team").alias("who")).distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("__team"))
+    rest = rest.join(team, key, "left").withColumn("hygienists", F.coalesce("__team", "__told")).drop("__team", "__told")
     people = doctors(slim, key).groupBy(*key).agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "name", "specialty", "associations"))), lambda d: F.struct(d["name"].alias("name"), d["specialty"].alias("specialty"), d["associations"].alias("associations"))).alias("doctors"))
     return counts.join(rest, key, "left").join(features.count_testimonials(slim, key), key, "left").join(people, key, "left")
 
@@ -87,7 +99,7 @@ def refresh_doctors(batch: DataFrame, people: DataFrame, key: str = "idx") -> tu
     """Practices for which doctors were found get a row for each, on their first row as a template; the others keep theirs."""
     first = batch.groupBy(key).agg(F.min_by(F.struct(*[c for c in batch.columns if c != key]), "pos").alias("t"))
     new = first.join(people.select(key, "rank", "name", "specialty", "associations"), key)
-    cells = {"doctor_name": F.col("name"), "specialty": F.coalesce("specialty", F.lit("Not Found")), "associations": F.coalesce(F.nullif(F.array_join("associations", ", "), F.lit("")), F.lit("Not Found")), "pos": (F.col("t.pos") * 1000 + F.col("rank")).cast("long")}
+    cells = {"doctor_name": F.col("name"), "specialty": F.coalesce("specialty", F.lit("Not Found")), "associations": F.coalesce(F.nullif(F.array_join("associations", ", "), F.lit("")), F.lit("Not Found")), "pos": F.col("t.pos").cast("long") * 1000 + F.col("rank")}
     rows = new.select(*[cells[c].alias(c) if c in cells else F.col(key) if c == key else F.col(f"t.{c}").alias(c) for c in batch.columns])
     after = merge.replace_rows(batch.withColumn("pos", F.col("pos").cast("long") * 1000), rows, key)
     return after, roster_diff(batch, after, key)
@@ -95,8 +107,7 @@ def refresh_doctors(batch: DataFrame, people: DataFrame, key: str = "idx") -> tu
 
 def dedup_doctors(batch: DataFrame, key: str = "idx") -> DataFrame:
     """A batch with one row a person: names that are the practice's go if others are there; clusters by PERSON; practice cells from the first row, filled from later ones."""
-    practice = F.lower(F.trim(F.coalesce("practice_name", F.lit(""))))
-    marked = batch.withColumn("__own", practice == F.lower(F.trim(F.coalesce("doctor_name", F.lit("")))))
+    marked = batch.withColumn("__own", nm.person_form("practice_name") == nm.person_form("doctor_name"))
     alone = marked.groupBy(key).agg(F.min("__own").alias("__all"))
     rows = marked.join(alone, key).filter(~F.col("__own") | F.col("__all")).drop("__own", "__all")
     people = entity.person(rows.select(key, "pos", F.col("doctor_name").alias("name"), "specialty", "associations"), key)
@@ -140,7 +151,6 @@ def chain_locations(pages: DataFrame, states: DataFrame, people: DataFrame | Non
     ``pages`` are parsed pages with ``jsonld``, ``text`` and ``url``; ``states``
     has the key and a JSON text ``state``.
     """
-    from ..functions.people import names_in
     from ..functions.structured import organisations, page_states
     from ..functions.urls import place_parts, slug_address
 

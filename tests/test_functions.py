@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sitegrain.functions import formats, html, missing, names, signals, text, urls
+from sitegrain.operators import entity
 
 
 def one(spark, *cols, **values):
@@ -45,10 +46,13 @@ def test_visible_text(spark):
 
 
 def test_emails(spark):
-    values = ["write to NOREPLY@x.com or joe@site.org", "no mail", None, "a@example.com"]
-    assert many(spark, values, lambda c: text.first_email(c, "first")) == [None, None, None, None]
-    assert many(spark, values, lambda c: text.first_email(c, "any")) == ["joe@site.org", None, None, None]
-    assert many(spark, values, lambda c: text.first_email(c, "plain")) == ["NOREPLY@x.com", None, None, "a@example.com"]
+    values = ["write to NOREPLY@x.com or joe@site.org", "no mail", None, "a@example.com", "a@my.example.com", "your.name@site.org demo1@x.org joe@x.org"]
+    assert many(spark, values, lambda c: text.first_email(c, "first")) == [None, None, None, None, "a@my.example.com", "your.name@site.org"]
+    assert many(spark, values, lambda c: text.first_email(c, "any")) == ["joe@site.org", None, None, None, "a@my.example.com", "joe@x.org"]
+    assert many(spark, values, lambda c: text.first_email(c, "plain")) == ["NOREPLY@x.com", None, None, "a@example.com", "a@my.example.com", "your.name@site.org"]
+    a = "array<string>"
+    ranked = spark.createDataFrame([(["zz"], ["noreply@x.org", "ok@x.org"], "in@text.org", []), ([], [], "noreply@x.org in@text.org", ["test@a.org", "foot@x.org"])], f"h {a}, m {a}, t string, b {a}")
+    assert [r[0] for r in ranked.select(text.email_by_priority(F.col("h"), F.col("m"), F.col("t"), F.col("b"))).collect()] == ["ok@x.org", "foot@x.org"]
     key = 0x5A
     hidden = f"{key:02x}" + "".join(f"{ord(ch) ^ key:02x}" for ch in "who@where.net")
     assert many(spark, [hidden, "zz", "5a", None], text.decode_hidden_email) == ["who@where.net", None, None, None]
@@ -57,7 +61,9 @@ def test_emails(spark):
 def test_contact_and_pages(spark):
     assert many(spark, ["call (210) 555-0100 now", "x", None], text.first_phone) == ["(210) 555-0100", None, None]
     assert many(spark, ["at 12 North Main Street, ok", "x"], text.first_street) == ["12 North Main Street", None]
-    assert many(spark, ["We have 3 convenient locations", "our four offices", "at multiple locations", "1 Oak Street and 2 Elm Street", "one office", "99 locations"], text.locations) == ["3", "4", "Multiple", "2", "1", "1"]
+    assert many(spark, ["We have 3 convenient locations", "our four offices", "at multiple locations", "12 Oak Street, Waco, TX 76701 and 21 Elm Street, Waco, TX 76702", "one office", "99 locations", "1 location", "find us at all offices"], text.locations) == ["3", "4", "Multiple", "2", "1", "1", "1", "Multiple"]
+    linked = spark.createDataFrame([([("https://x.com/our-offices/", "go")],), ([("https://x.com/team", " Locations ")],), ([("https://x.com/team", "x")],)], "l array<struct<href:string,text:string>>")
+    assert [r[0] for r in linked.select(text.locations(F.lit("x"), F.col("l"))).collect()] == ["Multiple", "Multiple", "1"]
     assert many(spark, ["Just a moment...", "<p>fine</p>", None], text.is_challenge) == [True, False, False]
     assert many(spark, ['<body><div id="root"></div></body>', '<div id="root">' + "text " * 90 + "</div>"], text.is_script_shell) == [True, False]
     assert many(spark, ["You must log in to continue."], lambda c: text.is_login_wall(c, "facebook")) == [True]
@@ -87,10 +93,19 @@ def test_formats(spark):
 
 
 def test_names(spark):
-    assert many(spark, ["Dr. Jane A. Smith, DDS", "jane a smith", None], names.normalised) == ["jane a smith", "jane a smith", ""]
-    assert many(spark, ["Dr. Jane A. Smith, DDS", "Jane Smith"], names.completeness) == [14, 2]
-    assert many(spark, ["Jane Smith", "Meet The Team", "Family Care", "JOHN SMITH III", "John Smith III", "Jane Periodontics", ""], names.is_person) == [True, False, False, False, True, False, False]
-    assert many(spark, ["", "a@b.co", "Room 12", "JOHN SMITH", "Cher", "a b c d e f", "Bright Dental", "Jane Smith", None], names.bad_reason) == ["empty", "address", "digits", "all caps", "single word", "too long", "business term", None, "empty"]
+    given_ = ["Dr. Jane A. Smith, DDS", "jane a smith", None, "Robertss Ann-Lee D.D.S.", "Ann O'Neill Ph.D.", "Doo Woo"]
+    assert many(spark, given_, names.normalised) == ["jane a smith", "jane a smith", "", "roberts ann lee", "ann o'neil", "doo woo"] == [entity.normalise(n) for n in given_]
+    given_ = ["Dr. Jane A. Smith, DDS", "jane  smith PLLC", None, "Smile Inc.", "DR Ann Lee MS, PhD"]
+    assert many(spark, given_, names.person_form) == ["jane a smith", "jane smith", "", "smile", "ann lee"] == [entity.person_form(n) for n in given_]
+    assert many(spark, ["Dr. Jane A. Smith, DDS", "Jane Smith", "dr jane smith", "Jane Smith DDS", "J. Smith"], names.completeness) == [14, 2, 7, 3, 2]
+    assert many(spark, ["Jane Smith", "Meet The Team", "Family Care", "JOHN SMITH III", "John Smith III", "Jane Periodontics", "", "Dr. Anna May, DDS", "Anna Membership", "A. Lee", "Rockville General"], names.is_person) == [True, False, True, False, True, False, False, False, False, True, False]
+    assert many(spark, ["Jane Smith", "Family Care", "Room 1 Two", "A. Lee", "Dr. Anna Li, DDS"], names.is_found_name) == [True, False, False, False, True]
+    bad = {
+        "": "Empty / Not Found", "Not Found": "Empty / Not Found", None: "Empty / Not Found", "a@b.co": "URL or email in name field", "Smiles.com": "URL or email in name field", "Room 12": "Contains digits", "JOHN SMITH": "All uppercase",
+        "JO LI": None, "Cher": "Single word — no first + last name", "J. Smith": "Single word — no first + last name", "ab cd ef gh ij kl": "Too long (6 words) — possibly a practice/office name", "Bright Dental Care": "Business term(s): Dental, Care",
+        "Jane Smith": None, "Dr. Smith": None, "Anna Carey": None, "Maria Officer": None, "not found": "Empty / Not Found",
+    }
+    assert dict(zip(bad, many(spark, list(bad), names.bad_reason))) == bad
     assert many(spark, ["Austin Smiles", "Jane Doe"], lambda c: names.in_host(c, F.lit("austinfamily.com"))) == [True, False]
     assert one(spark, names.link_score("n", "h", "t"), n="Dr. Jane Smith", h="/team/jane-smith", t="Dr. Smith") == 38
     assert len(one(spark, names.bio_addresses("h", "n"), h="https://x.com/", n="Jane Smith")) == 10
@@ -117,7 +132,10 @@ def test_signals(spark):
     assert tuple(one(spark, signals.tiktok_counts("h"), h='"videoCount":7,"followerCount":99')) == (7, 99)
     assert tuple(one(spark, signals.profile_api_counts("h"), h='{"data":{"user":{"media_count":0,"follower_count":5}}}')) == (0, 5)
     assert one(spark, signals.tier("t", "n"), t="x" * 900 + " Gold " + "Smithson " + "x" * 900 + "Diamond", n="Jane Smithson") == "Gold"
-    assert one(spark, signals.tier("t", "n"), t="Silver only", n="Jane Smithson") == "Silver (verify)"
+    assert one(spark, signals.tier("t", "n"), t="silver only", n="Jane Smithson") == "Silver (verify name match)"
+    assert one(spark, signals.tier("t", "n"), t="Gold " + "x" * 900 + " Gold Plus by Smithson; Bronze Plus", n="Jane Smithson") == "Gold Plus"
+    assert one(spark, signals.tier("t", "n"), t="Gold " + "x" * 900 + " gold and Smithson", n="Jane Smithson") == "Gold"
+    assert one(spark, signals.tier("t", "n"), t="nothing", n="Jane Smithson") is None
     assert many(spark, ["we have two dental hygienists", "Anna Lee, RDH and Bo Ray, RDH; Anna Lee, RDH", "Anna, RDH", "our gentle dental hygienist"], signals.hygienists) == [2, 2, 1, None]
     assert one(spark, signals.json_find("j", "phone", ("$.a.phone",)), j='{"b":{"phone":"555"}}') == "555"
     c = "array<struct<formatted_address:string,rating:double>>"

@@ -42,10 +42,27 @@ def test_best_value_first_number_or_first(spark):
     assert {r.k: r.v for r in merge.rollup(rows, "k", ["v"]).collect()} == {1: "9", 2: "abc", 3: None}
 
 
+def brute_clusters(names):
+    """Every name against every member of every cluster, in order."""
+    clusters, out = [], []
+    for n in map(entity.person_form, names):
+        k = next((i for i, own in enumerate(clusters) if any(entity.same_person(n, m) for m in own)), len(clusters))
+        clusters[k : k + 1] = [[*(clusters[k] if k < len(clusters) else []), n]]
+        out.append(k)
+    return out
+
+
 def test_person_clusters_are_greedy_and_ordered():
     assert entity.person_clusters(["Dr. Jane Smith", "J Smith", "Bob Ray", "Jane A. Smith, DDS", "Smith"]) == [0, 0, 1, 0, 0]
-    assert not entity.same_person("jane smith", "john smith") and entity.same_person("jane smith", "jan smiths")
-    assert not entity.same_person("", "x") and entity.same_person("ray", "bob ray")
+    same = entity.same_person
+    assert not same("jane smith", "john smith") and same("jane smith", "jan smiths") and not same("", "x") and same("ray", "bob ray")
+    assert not same("anna smith", "anna smitt") and not same("jo lee", "jo leo") and same("jo smiths", "smithso") and same("smith", "anna smiths") and not same("jo lee", "jo leem") is False
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["Ann", "Ann Lee", "An Lee", "Bo Lee", "Bo Leeson", "B Leesons", "Lees", "Dr. Ann Leeson", "", "Bo Ray", "Ray"]), max_size=12))
+def test_person_clusters_against_brute_force(names):
+    assert entity.person_clusters(names) == brute_clusters(names)
 
 
 def test_entity_policies(spark):
@@ -76,11 +93,19 @@ def test_threshold_of_few_and_many(spark):
 
 
 def test_status_precedence(spark):
-    cols = ["practice_name", "doctor_name", "website", "email", "hygienists", "specialty", "google_rating", "google_reviews", "cerec", "implants"]
-    full = ["P", "D", "w", "e@x.y", "2", "GP", "4.5", "10", "X", "3"]
-    rows = [full, [*full[:3], None, None, None, None, None, "", "0"], [None, *full[1:]], [*full[:4], None, "Not Found", *full[6:]], [*full[:8], "", "3"]]
+    cols = ["doctor_name", "website", "email", "google_rating", "google_reviews", "hygienists", "facebook_url", "associations", "specialty", "cerec", "implants"]
+    full = ["D", "w", "e@x.y", "4.5", "10", "2", "f", "ADA", "GP", "X", "3"]
+    gone = ["D", "w", None, "Not Found", "", "2", "f", "N/A", "0", "", "0"]
+    rows = [full, gone, [None, *full[1:]], [*full[:5], None, "Not Found", *full[7:]], [*full[:9], "", "3"], [*gone[:1], "", *gone[2:]]]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "idx int, " + ", ".join(f"{c} string" for c in cols))
-    assert [r.status for r in qa.score(df).orderBy("idx").collect()] == ["PASS", "NOT SCRAPED", "FAIL", "REVIEW", "REVIEW"]
+    got = qa.score(df).orderBy("idx").collect()
+    assert [r.status for r in got] == ["PASS", "NOT SCRAPED", "FAIL", "REVIEW", "REVIEW", "FAIL"]
+    assert got[0].fill == 53 and got[0].optional_missing == ["instagram_url", "tiktok_url", "linkedin_url", "yelp_rating", "yelp_reviews", "testimonials", "locations_count"]
+    assert [r.flags for r in qa.flagged(qa.score(df)).orderBy("idx").collect()] == ["—", "NOT SCRAPED", "—", "—", "—", "LOW DATA | NO WEBSITE"]
+    names = spark.createDataFrame([(0, 1, "O'Neil Dental"), (0, 2, "Single"), (0, 3, "O'Neil Dental"), (0, 4, "Other"), (1, 5, "")], "idx int, pos int, doctor_name string")
+    told = {r.idx: r for r in qa.issues(qa.flagged(qa.score(df)), names).collect()}
+    assert told[0].bad_names == '"O\'Neil Dental" (Business term(s): Dental); \'Single\' (Single word — no first + last name); "O\'Neil Dental" (Business term(s): Dental)' and told[0].flags == "BAD NAMES"
+    assert (told[1].critical, told[1].optional, told[1].tech, told[1].bad_names) == ("Practice Email, Google Reviews Ranking, Total # of Google Reviews", "Instagram URL, TikTok URL, LinkedIn URL, Yelp Rating", "✗ None", "—")
 
 
 def pages(spark):
@@ -92,7 +117,8 @@ def pages(spark):
 def test_extraction_of_stored_pages(spark):
     rows = {r.practice_id: r for r in pipelines.extract(pages(spark)).collect()}
     one = rows[1]
-    assert one.implants == 5 + 1 and one.veneers == 1 and one.cerec and one.cbct and not one.lasers
+    # implant: 5 in the body of a page and 5 in all texts together; veneers and veneer: one each, twice; no page's whole text has more
+    assert one.implants == 10 and one.veneers == 4 and one.cerec and one.cbct and not one.lasers and one.hygienists == 1
     assert one.email == "front@smile.co" and one.facebook_url == "https://facebook.com/smileco" and one.testimonials == 2
     assert [(d.name, d.specialty, d.associations) for d in one.doctors] == [("Jane A. Smith", "Endodontics / General Dentistry", ["ADA"]), ("Bob Ray", "Orthodontics", ["AGD"])]
     assert rows[2].implants == 0 and rows[2].doctors is None and not rows[2].cerec
@@ -103,7 +129,20 @@ def test_count_policies_differ_as_stated(spark):
 
     parsed = parse_pages(pages(spark))
     got = {p: {r.practice_id: r.implants for r in features.service_counts(parsed, ["practice_id"], p).collect()}[1] for p in rules.COUNT_POLICIES}
-    assert got["scrape"] == 6 and got["reprocess"] == 4 and got["refresh"] == 12 and got["hint"] == 10 and got["fill"] > 12 and got["chain"] <= 20
+    assert got == {"scrape": 10, "reprocess": 3, "refresh": 10, "fill": 18, "hint": 5, "chain": 18}
+
+
+def test_counts_are_summed_before_they_are_combined(spark):
+    """Two pages: one has the word in its body (7), the other in its menu alone (2)."""
+    rows = spark.createDataFrame([(1, "https://x.com/a", 1, "w w w w w w w", "w w w w w w w"), (1, "https://x.com/b", 2, "", "w w z")], "k int, url string, page_ord int, body_text string, text string")
+    got = {p: tuple(features.service_counts(rows, ["k"], p, {"c": ["w", "z"]}).first()) for p in ("refresh", "reprocess", "scrape")}
+    # refresh: body 5, whole 3 + 2 + 1; reprocess: body 3; scrape: body 5 + (5 + 1), whole 6 + (3 + 1)
+    assert got == {"refresh": (1, 6), "reprocess": (1, 3), "scrape": (1, 11)}
+
+
+def test_fallback_counts(spark):
+    df = spark.createDataFrame([("dental implant and implant, laser laser laser laser laser laser", 0, None, 2)], "t string, implants int, lasers int, veneers int")
+    assert tuple(df.select(*features.fallback_counts("t", {c: F.col(c) for c in ("implants", "lasers", "veneers")})).first()) == (3, 5, 2)
 
 
 def test_refresh_and_rosters(spark):
@@ -179,15 +218,22 @@ def test_registry_levels(spark):
 
 
 def test_specialty_policies(spark):
-    t = "we do root canal, braces, general dentistry and family dentistry"
-    row = spark.createDataFrame([(t, "specializes in cosmetic dentistry and more", "nothing")], "a string, b string, c string").select(features.specialty(F.col("a")), features.specialty(F.col("a"), policy="all"), features.specialty(F.col("b")), features.specialty(F.col("c")), features.specialty(F.col("c"), policy="all")).first()
-    assert tuple(row) == ("Orthodontics / Endodontics", "Orthodontics / Endodontics / General Dentistry / Family Dentistry", "Cosmetic Dentistry", "Not Found", "")
+    t = "we do root canal therapy, are orthodontists, for general dentistry and family dentistry"
+    row = spark.createDataFrame([(t, "She specializes in cosmetic fillings as well as more. She has a degree", "nothing")], "a string, b string, c string").select(features.specialty(F.col("a")), features.specialty(F.col("a"), policy="all"), features.specialty(F.col("b")), features.specialty(F.col("c")), features.specialty(F.col("c"), policy="all")).first()
+    assert tuple(row) == ("Orthodontics / Endodontics", "Orthodontics / Endodontics / Family Dentistry / General Dentistry", "Cosmetic Fillings", "Not Found", "")
+    said = {
+        "he holds certificates in conscious sedation dentistry; and": "Conscious Sedation Dentistry", "board certified in pediatric dentistry": None, "areas of focus: include cosmetic work": "Cosmetic Work", "expertise in gardening": None,
+        "specialist in laser surgery for all ages": None, "training in implant placement while living abroad": "Implant Placement", "specializes in one two three four five six seven eight implant": "One Two Three Four Five Six Seven Eight Implant", "specializes in one two three four five six seven eight nine implant": None,
+    }
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(said)], "k int, t string")
+    got = [r[0] for r in df.orderBy("k").select(features.specialty_phrase(F.col("t"))).collect()]
+    assert dict(zip(said, got)) == said
 
 
 def test_associations(spark):
-    df = spark.createDataFrame([("Member, ADA and the Academy of Cosmetic Dentistry; adaptive AzDA. Fellow of the American College of Dentists",)], "t string")
-    assert df.select(features.associations(F.col("t"))).first()[0] == ["ADA", "AACD", "AzDA"]
-    assert "American College of Dentists" in df.select(features.associations(F.col("t"), member_phrases=True)).first()[0]
+    df = spark.createDataFrame([("Member, ADA and the American Academy of Cosmetic Dentistry; adaptive AzDA. Fellow of the American College of Dentists", "UCLA fans", "graduated at UCLA, or the Ohio State University", "Memberships: XYZW, ADA, AND Seattle Study Club\nABC", "azda MIDA")], "a string, b string, c string, d string, e string")
+    row = df.select(*[features.associations(F.col(c)) for c in "abcde"], features.associations(F.col("d"), sections=True)).first()
+    assert list(row) == [["ADA", "AACD", "FACD", "ACD", "AzDA"], [], ["OSU", "UCLA"], ["ADA"], [], ["ADA", "XYZW", "ABC"]]
 
 
 def test_stream_merges_snapshots_once(spark, tmp_path):
@@ -200,10 +246,10 @@ def test_stream_merges_snapshots_once(spark, tmp_path):
     pages(spark).withColumn("html", F.lit("<p>laser</p>")).filter("page_type = 'homepage'").coalesce(1).write.mode("append").parquet(src)
     snapshots.start(spark, src, table, at).awaitTermination()
     got = {r.practice_id: r for r in spark.read.parquet(f"{table}/v=1").collect()}
-    assert got[1].implants == 6 and got[1].lasers and got[1].cerec and got[2].lasers and not got[2].cerec
+    assert got[1].implants == 10 and got[1].lasers and got[1].cerec and got[2].lasers and not got[2].cerec
     snapshots.merge_batch(table)(pages(spark).filter("practice_id = 1"), 2)
     again = {r.practice_id: r.implants for r in spark.read.parquet(f"{table}/v=2").collect()}
-    assert again[1] == 6
+    assert again[1] == 10
 
 
 def test_unions_of_names(spark):
