@@ -44,7 +44,7 @@ def count_keyword(text: Column | str, word: Column | str, cap: int | None = None
     """How often a literal occurs, left to right without overlaps; at most ``cap``."""
     t, w = _col(text), F.lit(word) if isinstance(word, str) else word
     n = ((F.length(t) - F.length(F.replace(t, w, F.lit("")))) / F.length(w)).cast("long")
-    n = F.coalesce(n, F.lit(0)).cast("long")
+    n = F.when(F.contains(t, w), n).otherwise(F.lit(0)).cast("long")  # a search is far cheaper than a replacement; most words aren't there
     return F.least(n, F.lit(cap)).cast("long") if cap is not None else n
 
 
