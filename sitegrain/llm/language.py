@@ -13,7 +13,8 @@ here; counting and scoring are distributed.
 Edge cases: a null text, or one without a letter, is ``und`` with score 0;
 without any labelled row every text is ``und``; ties go to the first language
 by name; an empty table gives an empty result; extra columns are ignored (or
-kept, by ``keep``).
+kept, by ``keep``; one under the name of a result gives way to it, and the
+pipeline's stage uses names of its own, so there every column stays).
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ ORDERS, BINS = 3, 1 << 16
 #: Labelled rows a language that the model learns from, at most.
 FIT_ROWS = 4000
 MODEL_NUMBERS = 1 << 26
-#: Characters scored at once.
-AT_ONCE = 1 << 20
+#: Characters scored at once; characters times languages, of which each takes a number.
+AT_ONCE, SCORED = 1 << 20, 1 << 25
 NONE = "und"
 
 
@@ -100,13 +101,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return names, np.log(smooth / smooth.sum(0)), np.log(n / n.sum())
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns of ``keep`` (all, by default) with ``lang_pred`` and ``lang_score``, its posterior probability."""
+def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], text_col: str = "text", keep: list[str] | None = None, told: tuple[str, str] = ("lang_pred", "lang_score")) -> DataFrame:
+    """The columns of ``keep`` (all, by default) with the predicted language and its posterior probability, under the names ``told``; columns of ``docs`` under those names give way."""
     names, table, prior = model
     bins = len(table)
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast((names, np.vstack([table, np.zeros(len(names))]).astype(np.float32), prior))  # at most MODEL_NUMBERS
-    keep = docs.columns if keep is None else keep
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in told]
+    at_once = max(1 << 12, min(AT_ONCE, SCORED // max(1, len(names))))
 
     def score(texts: list[bytes]) -> tuple[list[str], list[float]]:
         names, table, prior = sent.value
@@ -146,19 +148,19 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], te
             chars = letters(data.decode("utf-8", "replace"))
             if not len(chars):
                 continue
-            if len(chars) > AT_ONCE:  # a very long text, piece by piece; pieces overlap by what n-grams need
+            if len(chars) > at_once:  # a very long text, piece by piece; pieces overlap by what n-grams need
                 parts[i] = np.zeros(len(names))
                 flush()
-                for k in range(0, len(chars), AT_ONCE):
+                for k in range(0, len(chars), at_once):
                     again = min(k, ORDERS - 1)
-                    held.append(chars[k - again : k + AT_ONCE]), sizes.append(len(held[-1])), at.append(i)
+                    held.append(chars[k - again : k + at_once]), sizes.append(len(held[-1])), at.append(i)
                     flush(again)
                 best = int((parts[i] + prior).argmax())
                 odds = np.exp(parts[i] + prior - (parts[i] + prior).max())
                 pred[i], prob[i] = names[best], float(odds[best] / odds.sum())
                 continue
             held.append(chars), sizes.append(len(chars)), at.append(i)
-            if sum(sizes) >= AT_ONCE:
+            if sum(sizes) >= at_once:
                 flush()
         flush()
         return pred, prob
@@ -166,10 +168,10 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pred, prob = score(batch.column(batch.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(pred, pa.string()), pa.array(prob, pa.float64())], names=[*keep, "lang_pred", "lang_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(pred, pa.string()), pa.array(prob, pa.float64())], names=[*keep, *told])
 
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], raw(text_col).alias("__sg_text"))
-    schema = rows.drop("__sg_text").schema.add("lang_pred", "string").add("lang_score", "double")
+    schema = rows.drop("__sg_text").schema.add(told[0], "string").add(told[1], "double")
     return rows.mapInArrow(run, schema)
 
 

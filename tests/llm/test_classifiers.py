@@ -25,9 +25,11 @@ def texts(n=240, seed=3):
 
 
 def test_language_query(spark, tmp_path):
-    data = texts() + [(9000, None, "en", None, None), (9001, "12 + 3 = 15 !!", "en", None, None), (9002, "Der schöne Baum " * 60_000, None, None, None), (9002, "", "de", None, 0)]
+    data = texts() + [(9000, None, "en", None, None), (9001, "12 + 3 = 15 !!", "en", None, None), (9002, "Der schöne Baum " * 60_000, None, None, None), (9002, "", "de", None, 0), (None, "Der schöne Baum", None, None, 3)]
     got = language.query(spark, save(spark, tmp_path, data)).collect()
     assert len(got) == len(data)
+    assert [r.lang_pred for r in got if r.doc_id is None] == ['de']
+    got = [r for r in got if r.doc_id is not None]
     by = {r.doc_id: r for r in got if r.doc_id < 9000}
     assert all(by[i].lang_pred == lang for i, _, lang, *_ in texts()) and all(0 <= r.score <= 1 for r in got)
     odd = sorted((r.doc_id, r.lang_pred, r.score) for r in got if r.doc_id >= 9000)
@@ -60,14 +62,14 @@ def test_letters_fold_other_characters():
 
 def test_toxicity_query(spark, tmp_path):
     data = texts(400)
-    path = save(spark, tmp_path, data + rows()[-8:])
+    path = save(spark, tmp_path, data + rows()[-8:] + [(None, "a fine day", None, None, None)])
     labels = [(i, 1, int(i % 5 == 0)) for i, *_ in data if i % 3] + [(500, 1, None), (None, 1, 1), (1, 0, 0), (77_777, 1, 1)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
     got = toxicity.query(spark, path).collect()
-    assert len(got) == len(data) + 8 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
-    own = {r.doc_id: r.predicted for r in got if r.doc_id < 400}
+    assert len(got) == len(data) + 9 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
+    own = {r.doc_id: r.predicted for r in got if r.doc_id is not None and r.doc_id < 400}
     assert sum(own[i] == int(i % 5 == 0) for i in own) >= 0.98 * len(own)
-    assert all(r.predicted == 0 for r in got if r.doc_id >= 500)
+    assert all(r.predicted == 0 for r in got if r.doc_id is None or r.doc_id >= 500)
 
 
 def test_toxicity_without_labels(spark, tmp_path):
@@ -115,3 +117,11 @@ def test_long_texts_lose_no_ngram_at_the_cuts(spark):
         table[language.grams(language.letters(gram), language.BINS)[len(gram) - 1][0]] += np.log(odds)
     r = language.predict(frame(spark, [(1, text, None, "a", None)], extra=False), (["x", "y"], table, np.zeros(2))).first()
     assert r.lang_pred == "x" and abs(r.lang_score - 105 / (105 + 44)) < 1e-4
+
+
+def test_columns_of_the_results_names_give_way(spark):
+    docs = frame(spark, texts(30))
+    got = language.predict(docs, language.fit(docs))
+    assert sorted(got.columns) == sorted(docs.columns) and {r.lang_pred for r in got.collect()} <= set(WORDS)
+    kept = language.predict(docs, language.fit(docs), told=("__x", "__y"))
+    assert kept.columns == [*docs.columns, "__x", "__y"] and {r.lang_pred for r in kept.collect()} == {"clash"}

@@ -24,8 +24,9 @@ def test_query(spark, tmp_path):
     for total, target in by_total.items():
         own = [r for r in got if r.source_size == total]
         assert all(abs(r.target - target) < 1e-6 and 0 <= r.taken <= 2 * r.size for r in own)
-        assert abs(sum(r.taken for r in own) - target) <= max([r.size for r in own])
-    assert sorted(map(tuple, got)) == sorted(map(tuple, mixing.query(spark, path).collect()))
+        most = max(r.size for r in own)  # source c is one long document but for a few hundred words: it comes once or twice
+        assert abs(sum(r.taken for r in own) - target) <= (most / 2 if most > total / 2 else 5)
+    assert sorted(map(str, got)) == sorted(map(str, mixing.query(spark, path).collect()))
 
 
 def test_larger_budgets_are_supersets(spark):
@@ -34,5 +35,65 @@ def test_larger_budgets_are_supersets(spark):
     assert all(a[i] <= b[i] for a, b in zip(taken, taken[1:]) for i in a)
 
 
+def brute(rows, weights, share, most):
+    """Copies of every row by hash, from the rows' hashes: a walk over the sorted rows of a source, then the offers."""
+    by = {}
+    for r in rows:
+        by.setdefault(r.source, []).append(r)
+    order = sorted(by, key=lambda s: (s is None, s or ""))
+    sizes = [sum(r["size"] for r in by[s]) for s in order]
+    out = {}
+    for s, size, target in zip(order, sizes, mixing.water_fill(sizes, [weights[k % len(weights)] for k in range(len(order))], share * sum(sizes), most)):
+        whole = int(target // size) if size else 0
+        left, own, k = target - whole * size, sorted(by[s], key=lambda r: r.h), 0
+        while k < len(own) and own[k]["size"] <= left:
+            left -= own[k]["size"]
+            k += 1
+        taken = {r.h for r in own[:k]}
+        offers = [r for r in own[k:] if r["size"]][: mixing.OFFER]
+        rest, extra = left, set()
+        for r in sorted(offers, key=lambda r: (-r["size"], -r.h)):
+            if r["size"] <= rest:
+                rest -= r["size"]
+                extra.add(r.h)
+        if offers and abs(offers[0]["size"] - left) < rest:
+            extra = {offers[0].h}
+        for r in own:
+            out[r.h] = min(int(most), whole + (r.h in taken | extra))
+    return out
+
+
+def test_choice_against_brute_force(spark):
+    import random
+
+    for seed in (1, 2):
+        rng = random.Random(seed)
+        data = [(i, "w " * rng.choice([0, 1, 5, 30, 400]), None, rng.choice(["a", "b", "c", None]), None) for i in range(400)] + [(None, "copy of a row", None, "a", None)] * 300 + [(7, "other text", None, "b", None)] * 30
+        for options in ({}, {"weights": (1.0, 5.0), "share": 0.4, "most": 1.0}, {"share": 2.5, "most": 3.0}):
+            got = mixing.mix(frame(spark, data), **options).collect()
+            assert len(got) == len(data) == len({r.h for r in got})
+            want = brute(got, options.get("weights", (3.0, 1.0, 2.0)), options.get("share", 1.5), options.get("most", 2.0))
+            assert {r.h: r.copies for r in got} == want
+            for s in {r.source for r in got}:  # copies of a row are parted, targets are met
+                own = [r for r in got if r.source == s]
+                assert abs(sum(r["size"] * r.copies for r in own) - own[0].target) <= 200
+
+
+def test_repeated_takes_the_same(spark, tmp_path):
+    data = [(i % 50, "w " * (i % 7) + str(i % 3), None, "ab"[i % 2], None) for i in range(400)] + [(None, "copy", None, "a", None)] * 200
+    frame(spark, data).selectExpr("doc_id AS key", "text AS body", "source AS origin", "n").repartition(5).write.parquet(f"{tmp_path}/t.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/t.parquet")
+    options = {"id_col": "key", "text_col": "body", "source_col": "origin", "share": 2.2, "most": 3.0}
+    want, got = {}, {}
+    for r in mixing.mix(docs, **options).collect():
+        want[r.doc_id, r.source, r["size"]] = want.get((r.doc_id, r.source, r["size"]), 0) + r.copies
+    again = mixing.repeated(docs, **options)
+    assert again.columns == docs.columns
+    for r in again.collect():
+        k = (r.key, r.origin, len(r.body.split()))
+        got[k] = got.get(k, 0) + 1
+    assert got == {k: n for k, n in want.items() if n}
+
+
 def test_empty(spark, tmp_path):
     assert mixing.query(spark, save(spark, tmp_path, [])).collect() == []
