@@ -105,7 +105,7 @@ def thresholds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         inside = slim.join(_small(cuts.select("goal", "left", "cut"), len(plan)), same)
         if level > 1:
             inside = inside.filter(F.shiftrightunsigned(fine, LEVEL_BITS) == F.col("cut"))
-        histogram = inside.groupBy("goal", "left", fine.alias("bucket")).agg(F.sum("size").alias("s"), F.count(F.lit(1)).alias("n"))
+        histogram = inside.groupBy("goal", "left", fine.alias("bucket")).agg(F.sum("size").alias("s"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("size") > 0).alias("filled"))
         if level == 1:
             histogram = first = work.write(histogram, "histogram")
         running = F.sum("s").over(Window.partitionBy("goal").orderBy("bucket"))
@@ -119,8 +119,8 @@ def thresholds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cuts = cuts.select(F.col("goal").alias("g0"), "left", F.shiftleft("cut", whole_range - LEVEL_BITS * level).alias("cut"))
     # the buckets of the first histogram from the cut on that hold enough rows to offer the rest to
     begin = F.shiftrightunsigned("cut", whole_range - LEVEL_BITS)
-    counted = first.select("goal", "bucket", "n").join(_small(cuts, len(plan)), F.col("goal").eqNullSafe(F.col("g0"))).filter(F.col("bucket") >= begin)
-    upto = F.sum(F.when(F.col("bucket") > begin, F.col("n")).otherwise(0)).over(Window.partitionBy("goal").orderBy("bucket"))
+    counted = first.select("goal", "bucket", "filled").join(_small(cuts, len(plan)), F.col("goal").eqNullSafe(F.col("g0"))).filter(F.col("bucket") >= begin)
+    upto = F.sum(F.when(F.col("bucket") > begin, F.col("filled")).otherwise(0)).over(Window.partitionBy("goal").orderBy("bucket"))
     until = counted.withColumn("upto", upto).groupBy("g0", "left", "cut").agg(F.min(F.when(F.col("upto") >= OFFER, F.col("bucket"))).alias("until"))
     near = slim.join(_small(until, len(plan)), F.col("source").eqNullSafe(F.col("g0"))).filter((F.col("h") >= F.col("cut")) & (F.col("size") > 0) & (F.col("until").isNull() | (F.shiftrightunsigned("h", whole_range - LEVEL_BITS) <= F.col("until"))))
     offers = near.withColumn("k", F.row_number().over(Window.partitionBy("g0").orderBy("h", "size"))).filter(F.col("k") <= OFFER)

@@ -8,10 +8,12 @@ its inner product with a code is a sum of pop-counts; the scalars turn that
 into an estimate with an error bound, and only vectors whose upper bound
 reaches the best lower bounds are compared exactly, in double precision.
 
-Lists are cut into blocks of bounded size, so one popular list or vector makes
-more blocks, not a larger task. A query first searches its nearest list; its
-twentieth score there rules out every list whose own bound (centroid and
-radius) stays below. No list is dropped without that bound.
+Lists are cut into blocks of bounded size, and the queries that a block has to
+answer into chunks: a task holds one block and one chunk, however popular a
+list or a vector is. A query first searches one block of its nearest list; its
+twentieth score there, its floor, rules out every list whose own bound
+(centroid and radius) stays below, and later searches tell only what reaches
+it. No list is dropped without that bound.
 
 Edge cases: vectors that are null, zero, of another length than most, or hold
 null or non-finite components take no part, nor do rows without a vec_id;
@@ -29,11 +31,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Workspace, read_table
+from .common import BROADCAST_ROWS, Workspace, read_table
 
 SAMPLE, LIST_ROWS, LISTS = 8192, 4096, 1024
-#: Rows of a block; queries compared with it at once.
-BLOCK, AT_ONCE = 8192, 64
+#: Rows of a block; queries of a task; queries compared with a block at once.
+BLOCK, CHUNK, AT_ONCE = 2048, 4096, 64
 #: Bit planes of a query; standard errors that the bound takes.
 PLANES, SIGMAS = 7, 3.0
 SEED = 8
@@ -172,26 +174,30 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, id_col
     cuts = np.array([-(-per.get(i, (0, 0))[0] // BLOCK) for i in range(lists)])
     first = np.cumsum(cuts) - cuts  # a list's blocks are numbered in a row
     radius = np.array([per.get(i, (0, 0.0))[1] for i in range(lists)])
-    place = F.create_map(*[F.lit(x) for i in range(lists) if cuts[i] for x in (i, int(first[i]))])
-    width = F.create_map(*[F.lit(x) for i in range(lists) if cuts[i] for x in (i, int(cuts[i]))])
-    blocked = indexed.withColumn("block", place[F.col("list")] + F.pmod(F.xxhash64("id", F.lit("block")), width[F.col("list")]).cast("int"))
+    of_list = lambda values: F.element_at(F.array(*[F.lit(int(v)) for v in values]), F.col("list") + 1)
+    spread = F.pmod(F.xxhash64("id", F.lit("block")), F.greatest(of_list(cuts), F.lit(1))).cast("int")
+    blocked = indexed.select("id", "vec", "code", "length", "factor", "list", (of_list(first) + spread).alias("block"))
     owner = np.repeat(np.arange(lists), cuts)
 
     def bounds(x: np.ndarray) -> np.ndarray:
         top = x @ centroids.T + np.sqrt((x**2).sum(1, keepdims=True)) * radius
         return np.where(cuts > 0, top, -np.inf)
 
+    def home_of(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """One block of the nearest list, dealt by the query's id."""
+        best = np.where(cuts > 0, x @ centroids.T, -np.inf).argmax(1)
+        return first[best] + keys.astype(np.uint64) % cuts[best].astype(np.uint64)
+
     def route(home: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 x, floor = matrix(batch.column(1), d), batch.column(2).to_numpy(zero_copy_only=False)
-                score = np.where(cuts > 0, x @ centroids.T, -np.inf)
-                best = score.argmax(1)
+                own = home_of(batch.column(0).to_numpy(), x).tolist()
                 if home:
-                    wanted = np.arange(lists)[None, :] == best[:, None]
+                    blocks = [[b] for b in own]
                 else:
-                    wanted = (bounds(x) >= (floor - 1e-9 * np.abs(np.where(np.isfinite(floor), floor, 0)))[:, None]) & (np.arange(lists)[None, :] != best[:, None]) & (cuts > 0)
-                blocks = [[int(b) for i in np.flatnonzero(row) for b in range(first[i], first[i] + cuts[i])] for row in wanted]
+                    reach = bounds(x) >= (floor - 1e-9 * np.abs(np.where(np.isfinite(floor), floor, 0)))[:, None]
+                    blocks = [[int(b) for i in np.flatnonzero(row & (cuts > 0)) for b in range(first[i], first[i] + cuts[i]) if b != h] for row, h in zip(reach, own)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(blocks, pa.list_(pa.int32()))], names=["id", "vec", "floor", "blocks"])
 
         return run
@@ -207,15 +213,20 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, id_col
         return pa.table({"query_id": np.concatenate(out[0]).astype(np.int64), "vec_id": np.concatenate(out[1]).astype(np.int64), "score": np.concatenate(out[2]).astype(np.float64)})
 
     def search(queries: DataFrame, home: bool) -> DataFrame:
-        routed = queries.mapInArrow(route(home), "id long, vec array<double>, floor double, blocks array<int>")
-        asked = routed.select("id", "vec", "floor", F.explode("blocks").alias("block"))
-        pairs = asked.groupBy("block").cogroup(blocked.select("id", "vec", "code", "length", "factor", "block").groupBy("block"))
+        name = "home" if home else "others"
+        routed = work.write(queries.mapInArrow(route(home), "id long, vec array<double>, floor double, blocks array<int>"), f"{name}_routed")
+        # a block that many queries reach is compared chunk by chunk
+        need = work.write(routed.select(F.explode("blocks").alias("block")).groupBy("block").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks")), f"{name}_need")
+        need = F.broadcast(need) if need.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else need
+        asked = routed.select("id", "vec", "floor", F.explode("blocks").alias("block")).join(need, "block").withColumn("chunk", F.pmod(F.xxhash64("id", F.lit("chunk")), F.col("chunks")).cast("int"))
+        held = blocked.select("id", "vec", "code", "length", "factor", "block").join(need, "block").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        pairs = asked.select("id", "vec", "floor", "block", "chunk").groupBy("block", "chunk").cogroup(held.drop("chunks").groupBy("block", "chunk"))
         return pairs.applyInArrow(compare, "query_id long, vec_id long, score double")
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     queries = indexed.filter("asks").groupBy("id").agg(F.min("vec").alias("vec"))
     found = work.write(search(queries.withColumn("floor", F.lit(float("-inf"))), True), "near")
-    if lists > 1:
+    if cuts.sum() > 1:
         floor = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
         asked = queries.join(floor, "id", "left").select("id", "vec", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
         found = found.unionByName(search(asked, False))
