@@ -10,10 +10,12 @@ reaches the best lower bounds are compared exactly, in double precision.
 
 Lists are cut into blocks of bounded size, and the queries that a block has to
 answer into chunks: a task holds one block and one chunk, however popular a
-list or a vector is. A query first searches one block of its nearest list; its
-twentieth score there, its floor, rules out every list whose own bound
-(centroid and radius) stays below, and later searches tell only what reaches
-it. No list is dropped without that bound.
+list or a vector is. A query first searches its nearest list; its twentieth
+score there, its floor, rules out every list whose own bound (centroid and
+radius) stays below, and the second search tells only what reaches it. No
+list is dropped without that bound. (Blocks of a quarter of the size, with a
+first search in one of them, tell far more: the floor is then that of few
+vectors, and each block has its own twenty above it.)
 
 Edge cases: vectors that are null, zero, of another length than most, or hold
 null or non-finite components take no part, nor do rows without a vec_id;
@@ -35,7 +37,7 @@ from .common import BROADCAST_ROWS, Workspace, read_table
 
 SAMPLE, LIST_ROWS, LISTS = 8192, 4096, 1024
 #: Rows of a block; queries of a task; queries compared with a block at once.
-BLOCK, CHUNK, AT_ONCE = 2048, 4096, 64
+BLOCK, CHUNK, AT_ONCE = 8192, 4096, 64
 #: Bit planes of a query; standard errors that the bound takes.
 PLANES, SIGMAS = 7, 3.0
 SEED = 8
@@ -183,21 +185,15 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, id_col
         top = x @ centroids.T + np.sqrt((x**2).sum(1, keepdims=True)) * radius
         return np.where(cuts > 0, top, -np.inf)
 
-    def home_of(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
-        """One block of the nearest list, dealt by the query's id."""
-        best = np.where(cuts > 0, x @ centroids.T, -np.inf).argmax(1)
-        return first[best] + keys.astype(np.uint64) % cuts[best].astype(np.uint64)
-
     def route(home: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 x, floor = matrix(batch.column(1), d), batch.column(2).to_numpy(zero_copy_only=False)
-                own = home_of(batch.column(0).to_numpy(), x).tolist()
-                if home:
-                    blocks = [[b] for b in own]
-                else:
-                    reach = bounds(x) >= (floor - 1e-9 * np.abs(np.where(np.isfinite(floor), floor, 0)))[:, None]
-                    blocks = [[int(b) for i in np.flatnonzero(row & (cuts > 0)) for b in range(first[i], first[i] + cuts[i]) if b != h] for row, h in zip(reach, own)]
+                best = np.where(cuts > 0, x @ centroids.T, -np.inf).argmax(1)
+                wanted = np.arange(lists)[None, :] == best[:, None]
+                if not home:
+                    wanted = (bounds(x) >= (floor - 1e-9 * np.abs(np.where(np.isfinite(floor), floor, 0)))[:, None]) & ~wanted & (cuts > 0)
+                blocks = [[int(b) for i in np.flatnonzero(row) for b in range(first[i], first[i] + cuts[i])] for row in wanted]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(blocks, pa.list_(pa.int32()))], names=["id", "vec", "floor", "blocks"])
 
         return run
@@ -226,7 +222,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, id_col
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     queries = indexed.filter("asks").groupBy("id").agg(F.min("vec").alias("vec"))
     found = work.write(search(queries.withColumn("floor", F.lit(float("-inf"))), True), "near")
-    if cuts.sum() > 1:
+    if lists > 1:
         floor = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
         asked = queries.join(floor, "id", "left").select("id", "vec", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
         found = found.unionByName(search(asked, False))

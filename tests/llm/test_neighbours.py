@@ -24,6 +24,7 @@ def table(spark, path, rows, kind="array<float>"):
 def test_recall_against_brute_force(spark, tmp_path, monkeypatch, kind):
     monkeypatch.setattr(nn, "LIST_ROWS", 200)
     monkeypatch.setattr(nn, "BLOCK", 150)
+    monkeypatch.setattr(nn, "CHUNK", 7)  # a block's queries come in many chunks
     rng = np.random.default_rng(1)
     x = rng.standard_normal((1500, 24)).astype(np.float32)
     if kind == "clustered":
