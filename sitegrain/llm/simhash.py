@@ -14,7 +14,8 @@ its pairs.
 
 Edge cases: a text without words (null included) has fingerprint zero and is
 linked like any other; rows that repeat a doc_id are separate rows of one
-document id; rows with a null doc_id get a fingerprint but no links; an empty
+document id; rows with a null doc_id link like others, but name no component:
+theirs is the smallest doc_id they reach, null if there is none; an empty
 table gives an empty result; extra columns are ignored.
 """
 
@@ -36,6 +37,8 @@ BITS, RADIUS, WORDS, SEED = 64, 4, 4, 42
 BUCKET = 512
 #: Rows of a comparison task; pairs of a row and a block compared at once.
 TASK_ROWS, AT_ONCE = 2_000_000, 1 << 17
+#: Rows whose buckets are compared together; rows of a bucket that one task may hold.
+TOGETHER, LARGE = 1 << 17, 1 << 16
 #: Shingles of a text counted at once.
 CHUNK = 1 << 16
 
@@ -168,8 +171,15 @@ def forest(bounds: np.ndarray, fp: np.ndarray, order: list[int], radius: int = R
     return np.array(links, np.int64).reshape(-1, 2)
 
 
-def links(nodes: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
-    """``a, b``: links that span the components among distinct fingerprints (``node`` long, ``fp`` long); n: their number."""
+def links(nodes: DataFrame, n: int, work: Workspace, radius: int = RADIUS) -> DataFrame:
+    """``a, b``: links that span the components among distinct fingerprints (``node`` long, ``fp`` long); n: their number.
+
+    A task streams over sorted rows and holds the buckets of ``TOGETHER`` rows.
+    A bucket of more than ``LARGE`` rows (a family of fingerprints that share
+    its bits) is compared in a second step, part by part over many tasks; what
+    that takes grows with the square of the bucket, but no task holds more
+    than about ``LARGE`` rows.
+    """
     blocks, choices = blocking(n, radius)
     keys = []
     for c in choices:
@@ -178,26 +188,88 @@ def links(nodes: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
             first, width = blocks[k]
             key = F.shiftleft(key, width).bitwiseOR(F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1)))
         keys.append(key)
-    parts = max(shuffle_partitions(nodes.sparkSession), -(-n * len(choices) // TASK_ROWS))
-    rows = nodes.select("node", "fp", F.posexplode(F.array(*keys)).alias("choice", "key")).repartition(parts, "choice", "key")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [tuple(c.to_numpy(zero_copy_only=False) for c in b.columns) for b in batches if b.num_rows]
-        if not held:
-            return
-        node, fp, choice, key = (np.concatenate(x) for x in zip(*held))
-        for c in np.unique(choice):
-            own = np.flatnonzero(choice == c)
-            own = own[np.argsort(key[own], kind="stable")]
-            ends = np.flatnonzero(np.diff(key[own])) + 1
-            bounds = np.append(ends, len(own))[np.searchsorted(ends, np.arange(len(own)), "right")]
-            # bits of the key agree, so the others come first
-            inside = {b for k in choices[c] for b in range(blocks[k][0], sum(blocks[k]))}
-            found = forest(bounds, fp[own].view(np.uint64), [b for b in range(BITS) if b not in inside], radius)
-            if len(found):
-                yield pa.RecordBatch.from_arrays([pa.array(node[own[found[:, 0]]], pa.int64()), pa.array(node[own[found[:, 1]]], pa.int64())], names=["a", "b"])
-
-    return rows.mapInArrow(run, "a long, b long").filter("a != b")
+    spark = nodes.sparkSession
+    parts = max(shuffle_partitions(spark), -(-n * len(choices) // TASK_ROWS))
+    rows = nodes.select("node", "fp", F.posexplode(F.array(*keys)).alias("choice", "key"))
+    # bits of the key agree, so the others are compared first, and alone
+    orders = []
+    for c in choices:
+        inside = {b for k in c for b in range(blocks[k][0], sum(blocks[k]))}
+        orders.append([b for b in range(BITS) if b not in inside])
+
+    def run(limit: int | None):
+        """Over rows sorted by bucket: whole buckets are compared together; one of more than ``limit`` rows is only told: its choice, its key, its size."""
+
+        def compared(keys: list[np.ndarray], node: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+            begin = np.flatnonzero(_begins(keys))
+            size = np.diff(np.append(begin, len(node)))
+            if limit is not None and (size > limit).any():
+                big = begin[size > limit]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[0][big].astype(np.int64)), pa.array(keys[1][big]), pa.array(size[size > limit])], names=["a", "b", "n"])
+            fits = (size > 1) & (size <= (limit or size.max()))
+            keep = np.repeat(fits, size)
+            choice = keys[0][keep]
+            node, fp, ends = node[keep], fp[keep], np.repeat(np.cumsum(size[fits]), size[fits])
+            for c in np.unique(choice):
+                low, high = np.searchsorted(choice, [c, c + 1])
+                found = forest(ends[low:high] - low, fp[low:high].view(np.uint64), orders[c], radius) + low
+                if len(found):
+                    yield pa.RecordBatch.from_arrays([pa.array(node[found[:, 0]]), pa.array(node[found[:, 1]]), pa.nulls(len(found), pa.int64())], names=["a", "b", "n"])
+
+        def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, rows_held, over = [], 0, None  # over: a bucket that is too large, its rows so far
+            for batch in batches:
+                columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+                if over is not None:
+                    n = int(np.searchsorted((columns[0] != over[0]) | (columns[1] != over[1]), True))
+                    over[2] += n
+                    if n == batch.num_rows:
+                        continue
+                    yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in over], names=["a", "b", "n"])
+                    over, columns = None, [c[n:] for c in columns]
+                held.append(columns)
+                rows_held += len(columns[0])
+                if rows_held < TOGETHER:
+                    continue
+                columns = [np.concatenate(x) for x in zip(*held)]
+                last = int(np.flatnonzero(_begins(columns[:2] + columns[4:]))[-1])  # the last bucket may go on
+                if last:
+                    yield from compared([c[:last] for c in columns[:2] + columns[4:]], columns[2][:last], columns[3][:last])
+                    columns = [c[last:] for c in columns]
+                held, rows_held = [columns], len(columns[0])
+                if limit is not None and rows_held > limit:
+                    over, held, rows_held = [int(columns[0][0]), int(columns[1][0]), rows_held], [], 0
+            if over is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in over], names=["a", "b", "n"])
+            if held and rows_held:
+                columns = [np.concatenate(x) for x in zip(*held)]
+                yield from compared(columns[:2] + columns[4:], columns[2], columns[3])
+
+        return go
+
+    def told(rows: DataFrame, by: list[str], limit: int | None) -> DataFrame:
+        return rows.repartition(parts, *by).sortWithinPartitions(*by).select("choice", "key", "node", "fp", *by[2:]).mapInArrow(run(limit), "a long, b long, n long")
+
+    found = work.write(told(rows, ["choice", "key"], LARGE), "found")
+    small = found.filter("n IS NULL").select("a", "b")
+    large = found.filter("n IS NOT NULL").select(F.col("a").cast("int").alias("choice"), F.col("b").alias("key"), F.ceil(F.col("n") * 2 / LARGE).cast("int").alias("cuts"))
+    many = large.limit(BROADCAST_ROWS + 1).count()
+    if not many:
+        return small.filter("a != b")
+    # large buckets: cut into parts of half a task's rows; every two parts are a task
+    spread = rows.join(F.broadcast(large) if many <= BROADCAST_ROWS else large, ["choice", "key"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
+    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).filter("own != other")
+    spread = spread.select("choice", "key", "node", "fp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    return small.unionByName(told(spread, ["choice", "key", "low", "high"], None).select("a", "b")).filter("a != b")
+
+
+def _begins(keys: list[np.ndarray]) -> np.ndarray:
+    """Where a bucket begins among sorted rows."""
+    out = np.zeros(len(keys[0]), bool)
+    out[:1] = True
+    for k in keys:
+        out[1:] |= k[1:] != k[:-1]
+    return out
 
 
 def components(edges: DataFrame, work: Workspace) -> DataFrame:
@@ -231,15 +303,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``doc_id, fp, component_id``: every document's fingerprint and the smallest doc_id it is linked to, over any number of links."""
     work = Workspace(docs.sparkSession, "simhash")
     prints = work.write(fingerprints(docs, id_col, text_col, words), "prints")
-    owned = prints.filter("doc_id IS NOT NULL")
-    nodes = work.write(owned.groupBy("fp").agg(F.min("doc_id").alias("low")).select(F.col("fp").alias("node"), "fp", "low"), "nodes")
+    nodes = work.write(prints.groupBy("fp").agg(F.min("doc_id").alias("low")).select(F.col("fp").alias("node"), "fp", "low"), "nodes")
     # a doc_id on rows of different texts links their fingerprints
-    by_id = owned.groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).filter("a != z").select("doc_id", "a")
-    twice = owned.join(by_id, "doc_id").filter("a != fp").select("a", F.col("fp").alias("b")).distinct()
-    comps = components(links(nodes.select("node", "fp"), nodes.count(), radius).union(twice), work)
+    by_id = prints.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).filter("a != z").select("doc_id", "a")
+    twice = prints.join(by_id, "doc_id").filter("a != fp").select("a", F.col("fp").alias("b")).distinct()
+    comps = components(links(nodes.select("node", "fp"), nodes.count(), work, radius).union(twice), work)
     parts = nodes.join(comps, "node", "left").select("fp", "low", F.coalesce("component_id", "node").alias("part"))
     told = parts.join(parts.groupBy("part").agg(F.min("low").alias("component_id")), "part").select("fp", "component_id")
-    return prints.join(told, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    return prints.join(told, "fp", "left").select("doc_id", "fp", "component_id")
 
 
 def query(spark, sf_dir):
