@@ -31,10 +31,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; one of our own only where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``. A folder of our own only where that is unset and Spark runs on one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if "dir" not in _own:
         _own["dir"] = tempfile.mkdtemp(prefix="sitegrain-")
         atexit.register(shutil.rmtree, _own["dir"], ignore_errors=True)
@@ -45,12 +47,16 @@ class Workspace:
     """Written tables of one operator run, in a folder of its own below the shared folder.
 
     A written table cuts lineage: a lost executor costs a re-read, not a
-    recomputation of everything before it.
+    recomputation of everything before it. Results are read from these tables,
+    so they stay until ``clear`` is called, when the results are written.
     """
 
+    made: list[Workspace] = []
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/sitegrain/{name}-{uuid.uuid4().hex}"
+        Workspace.made.append(self)
 
     def write(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
         df.write.option("compression", codec).parquet(f"{self.path}/{name}")
@@ -63,6 +69,12 @@ class Workspace:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def clear() -> None:
+    """Delete what all operator runs of this process have written; call it once their results are written elsewhere."""
+    while Workspace.made:
+        Workspace.made.pop().drop()
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner remove shuffle files whose plans are no longer referenced."""
     spark._jvm.System.gc()
