@@ -75,11 +75,6 @@ def clear() -> None:
         Workspace.made.pop().drop()
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner remove shuffle files whose plans are no longer referenced."""
-    spark._jvm.System.gc()
-
-
 def raw(col: str | Column) -> Column:
     """A string column as its UTF-8 bytes, null as empty: what Python workers get, so that bad UTF-8 can't fail a task."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit("")).cast("binary")

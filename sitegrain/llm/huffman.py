@@ -11,12 +11,13 @@ trailer ``TRAILER``. A block stands alone:
 Beside the blocks, ``codes`` holds the code length of every id (u8 each); the
 canonical code follows from lengths alone. Blocks hold documents in ascending
 doc_id order and never split one; a block's place in the corpus is in its
-header, so blocks may be read and decoded independently and in any order.
+header, so blocks may be read and decoded independently and in any order; a
+file has ``FILE_BLOCKS`` of them at most.
 Spark's text writer puts the blocks into any store (the trailer is its line
 separator) and its binary reader gets them back.
 
 Edge cases: a null text is an empty document (its end id alone); rows that
-repeat a doc_id are separate documents; a null doc_id sorts first; an empty
+repeat a doc_id are separate documents, in an order of their own; a null doc_id sorts first; an empty
 table gives no block and an empty result; extra columns are ignored.
 """
 
@@ -32,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, raw, read_table, release_shuffles, shuffle_partitions
+from .common import Workspace, raw, read_table, shuffle_partitions
 from .tokens import END, default_path, encoder
 
 MAGIC, TRAILER = b"SGH1", b"\n-end-of-block-\n"
@@ -41,6 +42,8 @@ HEAD = "<4sIIIQQ"
 LIMIT = 18
 EVERY = 512
 BLOCK_IDS = 1 << 16
+#: Blocks of a file: some 20 MB, so that a file is a small unit of reading however large the corpus is.
+FILE_BLOCKS = 256
 #: Ids decoded side by side.
 AT_ONCE = 1 << 22
 
@@ -134,23 +137,34 @@ def decode(payload: bytes, offsets: np.ndarray, counts: np.ndarray, table: tuple
 
 
 def write_files(docs: DataFrame, work: Workspace, tokenizer: str, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> str:
-    """Tokenize, count, code, write; returns the folder with ``blocks`` and ``codes``."""
+    """Tokenize, sort, count, code, write; returns the folder with ``blocks`` and ``codes``.
+
+    Texts are tokenized where they are read; only ids are sorted (a third of
+    the bytes). Rows of one doc_id are parted by a hash of their text and their
+    place in the table, so that a doc_id which very many rows repeat isn't one task.
+    """
     spark = docs.sparkSession
+    width = encoder(tokenizer).dtype.itemsize
+    kind = np.dtype(f"<u{width}")
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part = encoder(tokenizer), TaskContext.get().partitionId()
+        enc = encoder(tokenizer)
         last = np.array([end], enc.dtype).tobytes()
-        keys, sizes, data, held, before = [], [], [], 0, 0
+        for batch in batches:
+            own = pa.array([enc.ids(x.as_py()) + last for x in batch.column(3)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], own], names=["doc_id", "tie", "row", "ids"])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, keys, sizes, data, held, before = TaskContext.get().partitionId(), [], [], [], 0, 0
 
         def block() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([keys], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())), pa.array([held], pa.int64()), pa.array([b"".join(data)], pa.binary())], names=["part", "before", "keys", "sizes", "n", "ids"])
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = enc.ids(text) + last
+            for key, own in zip(batch.column(0).to_pylist(), batch.column(1)):
                 keys.append(key)
-                data.append(own)
-                sizes.append(len(own) // enc.dtype.itemsize)
+                data.append(own.as_py())
+                sizes.append(len(data[-1]) // width)
                 held += sizes[-1]
                 if held >= BLOCK_IDS:
                     yield block()
@@ -158,12 +172,13 @@ def write_files(docs: DataFrame, work: Workspace, tokenizer: str, end: int = END
         if keys:
             yield block()
 
-    width = encoder(tokenizer).dtype.itemsize
-    kind = np.dtype(f"<u{width}")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), raw(text_col).alias("text")).repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    ids = work.write(rows.mapInArrow(tokenize, "part int, before long, keys array<long>, sizes array<long>, n long, ids binary"), "ids")
-    del rows
-    release_shuffles(spark)
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), F.monotonically_increasing_id().alias("row"), raw(text).alias("text"))
+    read = work.write(rows.mapInArrow(tokenize, "doc_id long, tie long, row long, ids binary"), "read")
+    order = ["doc_id", "tie", "row"]
+    placed = read.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order).select("doc_id", "ids")
+    ids = work.write(placed.mapInArrow(gather, "part int, before long, keys array<long>, sizes array<long>, n long, ids binary"), "ids")
+    work.drop("read")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
@@ -197,7 +212,7 @@ def write_files(docs: DataFrame, work: Workspace, tokenizer: str, end: int = END
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["block"])
 
     as_text = F.col("block").cast("string")  # bytes as they are; the text writer copies them
-    ids.mapInArrow(code, "block binary").select(as_text).write.option("lineSep", TRAILER.decode()).text(f"{work.path}/blocks")
+    ids.mapInArrow(code, "block binary").select(as_text).write.option("lineSep", TRAILER.decode()).option("maxRecordsPerFile", FILE_BLOCKS).text(f"{work.path}/blocks")
     held = spark.createDataFrame([(bytearray(lengths.tobytes()),)], "block binary").coalesce(1)
     held.select(as_text).write.option("lineSep", TRAILER.decode()).text(f"{work.path}/codes")
     work.drop("ids")

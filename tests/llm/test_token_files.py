@@ -28,20 +28,45 @@ def test_encoder_equals_library(text):
 
 
 def ordered(data):
-    return sorted(((i, t or "") for i, t, *_ in data), key=lambda r: (r[0], r[1].encode()))
+    return sorted(((i, t or "") for i, t, *_ in data), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+
+
+def in_order(got):
+    """Rows of documents in ascending doc_id order (null first), one after the other without gaps; rows of one id in any order."""
+    got = sorted(got, key=lambda r: r.start)
+    assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
+    ids = [r.doc_id for r in got]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
+    return got
 
 
 def test_huffman_query(spark, tmp_path):
-    got = sorted(map(tuple, huffman.query(spark, save(spark, tmp_path)).collect()))
-    want, start = [], 0
+    got = in_order(huffman.query(spark, save(spark, tmp_path)).collect())
+    want = []
     for i, t in ordered(rows()):
         ids = [*library(t), tokens.END]
-        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
-        start += len(ids)
-    assert got == sorted(want)
+        want.append((i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    assert sorted(map(str, want)) == sorted(str((r.doc_id, r.n_tokens, r.ids_crc32)) for r in got)
     assert huffman.query(spark, save(spark, tmp_path / "none", [])).collect() == []
 
 
+def test_files_are_small_and_many(spark, tmp_path, monkeypatch):
+    """Blocks of some hundred ids, two a file; a doc_id that most rows repeat is spread over the partitions."""
+    monkeypatch.setattr(huffman, "BLOCK_IDS", 300)
+    monkeypatch.setattr(huffman, "FILE_BLOCKS", 2)
+    data = [(7, f"the same id {i} again and again", "en", "hot", None) for i in range(400)] + rows()
+    docs = spark.read.parquet(save(spark, tmp_path, data) + "/documents.parquet")
+    path = huffman.write_files(docs, Workspace(spark, "t"), tokens.default_path())
+    files = [r for r in spark.read.format("binaryFile").load(f"{path}/blocks").select("path", "content").collect() if r.content]
+    per = [list(huffman.blocks_of(bytes(r.content))) for r in files]
+    assert len(files) > 8 and all(1 <= len(blocks) <= 2 for blocks in per)
+    assert all(n < 300 or len(keys) == 1 or sum(sizes[:-1]) < 300 for blocks in per for keys, sizes, _, _, _, n in blocks)
+    got = in_order(huffman.read_files(spark, path).collect())
+    assert sorted(str((r.doc_id, np.frombuffer(r.ids, "<u4").tolist())) for r in got) == sorted(str((i, [*library(t), tokens.END])) for i, t in ordered(data))
+    parts = {r.path.split("part-")[1].split("-")[0] for r, blocks in zip(files, per) for keys, *_ in blocks if set(keys) == {7}}
+    assert len(parts) > 1
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 10**6), min_size=1, max_size=300), st.integers(0, 2**31))
 def test_code_lengths_are_prefix_free_and_optimal(counts, seed):
@@ -85,6 +110,7 @@ def test_packing_query(spark, tmp_path):
             pieces = sorted((r.start, r.length, r.ids_crc32) for r in got if r.doc_id == i and r.doc_tokens == len(ids))
             assert [p[0] for p in pieces] == [0, *np.cumsum([p[1] for p in pieces])[:-1].tolist()]
             assert all(zlib.crc32(ids[s : s + n].tobytes()) == c for s, n, c in pieces) and sum(p[1] for p in pieces) == len(ids)
+    assert sum(r.length for r in got if r.doc_id is None) == 1 + len(library("no id here")) + 1
     by = {}
     for r in got:
         by.setdefault(r.sequence_id, []).append(r)
@@ -119,8 +145,8 @@ def test_groups_are_balanced():
 
 def test_separators_query(spark, tmp_path):
     got = separators.query(spark, save(spark, tmp_path)).collect()
-    want = sorted((i, len(library(t, special=False)) + 1) for i, t in ordered(rows()))
-    assert sorted((r.doc_id, r.n_tokens) for r in got) == want
+    want = sorted(str((i, len(library(t, special=False)) + 1)) for i, t in ordered(rows()))
+    assert sorted(str((r.doc_id, r.n_tokens)) for r in got) == want
     got.sort(key=lambda r: r.ordinal)
     assert [r.ordinal for r in got] == list(range(len(want)))
     assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
