@@ -6,8 +6,9 @@ holds it. Tiers are packed from the longest: a tail opens a window of its
 tier, the gap is filled with the largest shorter tails that fit, and what then
 remains is filled by cutting one more tail, so every window is exactly full.
 What is too little for a window of its tier goes down the tiers; less than the
-shortest tier is left of a partition, and these ends are packed together in a
-second, small step. Only the very last window is padded.
+shortest tier is left of a partition, and these ends are packed together in
+rounds: the ends of ``FAN`` partitions in a task, what they leave in the next
+round, until one task is left. Only the very last window is padded.
 
 Windows of a tier are dealt into step groups of equal token counts, so that
 the groups of a round have about the same attention cost (the sum of squared
@@ -42,8 +43,10 @@ BATCH = 1 << 20
 GROUP, ROUND = 32 * 4096, 8
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, window long, step_group long, ids binary"
 NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
-#: sequence_id and step_group: the partition in the upper half; the second step's partition.
-SHIFT, ENDS = 32, 1 << 30
+#: Partitions whose ends one task of a round packs.
+FAN = 1024
+#: sequence_id and step_group: the partition in the upper part, above it the round.
+SHIFT, ROUND_SHIFT = 28, 56
 
 
 class Piece:
@@ -111,8 +114,8 @@ class Packer:
 class Dealer:
     """Numbers windows, deals them into step groups, and makes rows."""
 
-    def __init__(self, part: int, with_ids: bool):
-        self.base, self.with_ids, self.windows, self.groups, self.waiting, self.out = part << SHIFT, with_ids, 0, 0, {}, []
+    def __init__(self, part: int, with_ids: bool, turn: int = 0):
+        self.base, self.with_ids, self.windows, self.groups, self.waiting, self.out = (turn << ROUND_SHIFT) + (part << SHIFT), with_ids, 0, 0, {}, []
 
     def take(self, window: list[Piece], size: int) -> None:
         own = self.waiting.setdefault(size, [])
@@ -152,45 +155,59 @@ def pack(docs: DataFrame, tokenizer: str, end: int = END, with_ids: bool = True,
 
     No shuffle of texts: each partition packs what it reads, in pools of a
     bounded number of ids. Only ends shorter than the shortest tier, one a
-    partition, go to a second step in one task.
+    partition, go on to the rounds; a task of a round gets at most ``FAN`` of them.
     """
     work = Workspace(docs.sparkSession, "pack")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part = encoder(tokenizer), TaskContext.get().partitionId()
-        last = np.array([end], enc.dtype).tobytes()
-        packer, dealer = Packer(), Dealer(part, with_ids)
-        for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.frombuffer(enc.ids(text.as_py()) + last, enc.dtype)
-                for window in packer.add(Piece(key, len(ids), 0, ids)):
-                    dealer.take(window, sum(len(p.ids) for p in window))
-            yield from dealer.flush()
-        for window in packer.pack(last=True):
-            dealer.take(window, sum(len(p.ids) for p in window))
-        yield from dealer.flush(last=True)
-        rest = packer.rest()
-        if rest:  # no sequence yet; window holds the partition, for the order
-            yield pa.RecordBatch.from_arrays([pa.array([p.doc for p in rest], pa.int64()), pa.array([p.start for p in rest], pa.int64()), pa.array([len(p.ids) for p in rest], pa.int64()), pa.nulls(len(rest), pa.int64()), pa.array([p.total for p in rest], pa.int64()), pa.nulls(len(rest), pa.int64()), pa.nulls(len(rest), pa.int64()), pa.array([part] * len(rest), pa.int64()), pa.nulls(len(rest), pa.int64()), pa.array([p.ids.astype("<u4").tobytes() for p in rest], pa.binary())], names=NAMES)
-
-    rows = work.write(docs.select(F.col(id_col).cast("long").alias("doc_id"), raw(text_col).alias("text")).mapInArrow(run, SCHEMA), "pieces")
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, dealer = Packer(), Dealer(ENDS, with_ids)
-        for batch in batches:
-            for doc, start, total, data in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                for window in packer.add(Piece(doc, total, start, np.frombuffer(data, "<u4"))):
-                    dealer.take(window, sum(len(p.ids) for p in window))
-            yield from dealer.flush()
-        for window in packer.pack(last=True):
-            dealer.take(window, sum(len(p.ids) for p in window))
-        if packer.rest():
-            dealer.take(packer.rest(), TIERS[-1])  # padded
-        yield from dealer.flush(last=True)
-
-    # fewer than 512 ids a partition of the input, in a few rows
-    ends = rows.filter("sequence_id IS NULL").select("doc_id", "start", "doc_tokens", "ids", "window").repartition(1).sortWithinPartitions("window", "doc_id", "start", F.crc32("ids")).drop("window")
-    return rows.filter("sequence_id IS NOT NULL").unionByName(ends.mapInArrow(finish, SCHEMA))
+    def packed(turn: int, pieces_of, last: bool):
+        """Packs a task's pieces; what is left is padded in the last round, else told without a sequence, ``window`` naming the task."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            part = TaskContext.get().partitionId()
+            packer, dealer = Packer(), Dealer(part, with_ids, turn)
+            for batch in batches:
+                for piece in pieces_of(batch):
+                    for window in packer.add(piece):
+                        dealer.take(window, sum(len(p.ids) for p in window))
+                    yield from dealer.flush()
+            for window in packer.pack(last=True):
+                dealer.take(window, sum(len(p.ids) for p in window))
+            rest = packer.rest()
+            if rest and last:
+                dealer.take(rest, TIERS[-1])
+            yield from dealer.flush(last=True)
+            if rest and not last:
+                whole, none = (lambda v: pa.array(v, pa.int64())), pa.nulls(len(rest), pa.int64())
+                yield pa.RecordBatch.from_arrays([whole([p.doc for p in rest]), whole([p.start for p in rest]), whole([len(p.ids) for p in rest]), none, whole([p.total for p in rest]), none, none, whole([part] * len(rest)), none, pa.array([p.ids.astype("<u4").tobytes() for p in rest], pa.binary())], names=NAMES)
+
+        return run
+
+    def texts(batch: pa.RecordBatch) -> Iterator[Piece]:
+        enc = encoder(tokenizer)
+        mark = np.array([end], enc.dtype).tobytes()
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ids = np.frombuffer(enc.ids(text.as_py()) + mark, enc.dtype)
+            yield Piece(key, len(ids), 0, ids)
+
+    def ends(batch: pa.RecordBatch) -> Iterator[Piece]:
+        for doc, start, total, data in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            yield Piece(doc, total, start, np.frombuffer(data, "<u4"))
+
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), raw(F.col(f"`{text_col}`")).alias("text"))
+    done, turn = work.write(rows.mapInArrow(packed(0, texts, False), SCHEMA), "pieces0"), 0
+    out = done.filter("sequence_id IS NOT NULL")
+    while True:
+        left = done.filter("sequence_id IS NULL")
+        tasks = -(-((left.agg(F.max("window")).first()[0] or 0) + 1) // FAN)
+        turn += 1
+        # fewer than 512 ids a task of the round before, in a few rows; FAN of those tasks in a row are one task now
+        own = left.select("doc_id", "start", "doc_tokens", "ids", "window", F.expr(f"cast(window div {FAN} as int)").alias("task"))
+        dealt = own.repartition(1) if tasks == 1 else own.repartitionByRange(tasks, "task")
+        dealt = dealt.sortWithinPartitions("task", "window", "doc_id", "start", F.crc32("ids")).drop("window", "task")
+        done = work.write(dealt.mapInArrow(packed(turn, ends, tasks == 1), SCHEMA), f"pieces{turn}")
+        out = out.unionByName(done.filter("sequence_id IS NOT NULL"))
+        if tasks == 1:
+            return out
 
 
 def query(spark, sf_dir, tokenizer: str | None = None):

@@ -2,9 +2,13 @@
 
 A flat token file holds ids of fixed width and nothing else: no index, no
 header. Blocks of a file are searched for the end id vectorised; documents may
-run across blocks and across files, so the lengths at block ends are stitched
-by a prefix sum: within a file over its blocks, across files over one short
-row a file (its ids, its ends, its open tail).
+run across blocks and across files, so block boundaries are stitched by a
+prefix scan: a row a block (its ids, its ends, the place of its last end) is
+put in order by range, scanned within each range by window functions, and over
+the ranges by one short row a range on the driver.
+
+Spark's binary reader gives a file whole, of up to 2 GB; ``write_flat`` makes
+files no larger than what a task reads.
 
 Edge cases: files without an end id are part of a longer document; ids after
 the last end are an unfinished document, told by ``ended``; empty files and
@@ -19,57 +23,76 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, Workspace, raw, read_table
+from .common import BROADCAST_ROWS, Workspace, raw, read_table, shuffle_partitions
 from .tokens import default_path, encoder
 
-#: Ids searched at once.
+#: Ids of a block.
 BLOCK = 1 << 20
 #: The public vocabulary's end-of-text id: no ordinary text has it, so it can part documents.
 SEPARATOR = 49407
 
 
-def ends_of(ids: np.ndarray, end: int, block: int = BLOCK) -> np.ndarray:
-    """Positions just past every end id, block by block."""
-    found = [np.flatnonzero(ids[k : k + block] == end) + (k + 1) for k in range(0, len(ids), block)]
-    return np.concatenate(found) if found else np.empty(0, np.int64)
-
+def ends_of(ids: np.ndarray, end: int) -> np.ndarray:
+    """Positions just past every end id."""
+    return np.flatnonzero(ids == end) + 1
 
-def scan(spark, path: str, end: int = SEPARATOR, dtype: str = "<u2") -> DataFrame:
-    """``file, nth, ordinal, start, n_tokens, ended`` of every document in the files below a path, in order of their names.
 
-    ``nth`` counts the documents that end in that file, ``ordinal`` all;
-    ``start`` is the number of ids before, ``n_tokens`` includes the end id.
-    """
-    work = Workspace(spark, "scan")
+def blocks_of(spark, path: str, end: int, dtype: str, block: int) -> DataFrame:
+    """``file, block, ids, ends``: how many ids a block of a file has, and the positions just past its ends."""
     width = np.dtype(dtype).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = np.frombuffer(content.as_buffer(), dtype)
-                ends = ends_of(data, end)
-                marks = np.append(ends, len(data))  # the last segment is the open tail, perhaps of no id
-                begins = np.insert(ends, 0, 0)
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(marks), pa.string()), pa.array(np.arange(len(marks)), pa.int64()), pa.array(begins, pa.int64()), pa.array(marks - begins, pa.int64()), pa.array(np.arange(len(marks)) < len(ends), pa.bool_())], names=["file", "nth", "begin", "n", "ended"])
+                data = np.frombuffer(content.as_buffer(), dtype, len(content.as_buffer()) // width)
+                for k in range(0, len(data), block):
+                    own = data[k : k + block]
+                    yield pa.RecordBatch.from_arrays([pa.array([name], pa.string()), pa.array([k // block], pa.int64()), pa.array([len(own)], pa.int64()), pa.array([ends_of(own, end)], pa.list_(pa.int64()))], names=["file", "block", "ids", "ends"])
 
     files = spark.read.format("binaryFile").load(path).filter(f"length >= {width}").select("path", "content")
-    segments = work.write(files.mapInArrow(run, "file string, nth long, begin long, n long, ended boolean"), "segments")
-    per = segments.groupBy("file").agg(F.sum("n").alias("ids"), F.count_if("ended").alias("docs"), F.max(F.when(~F.col("ended"), F.col("n"))).alias("tail"))
-    rows = sorted(tuple(r) for r in per.collect())  # a row a file
-    ids, docs, tails = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
-    start, ordinal = np.cumsum(ids) - ids, np.cumsum(docs) - docs
-    # ids open at a file's begin: those after the last end before it
-    total, since = np.cumsum(ids), np.maximum.accumulate(np.where(docs > 0, np.cumsum(ids) - tails, 0)) if rows else ids
-    carry = np.append(0, (total - since)[:-1]) if rows else ids
-    summary = spark.createDataFrame([(r[0], int(s), int(o), int(c), k == len(rows) - 1) for k, (r, s, o, c) in enumerate(zip(rows, start, ordinal, carry))], "file string, base long, before long, carry long, final boolean")
-    joined = segments.join(F.broadcast(summary) if len(rows) <= BROADCAST_ROWS else summary, "file")
-    held = F.when(F.col("nth") == 0, F.col("carry")).otherwise(0)
-    # open tails go on in a later file, but for the very last
-    found = joined.filter(F.col("ended") | F.col("final") & (F.col("n") + held > 0))
-    return found.select("file", "nth", (F.col("before") + F.col("nth")).alias("ordinal"), (F.col("base") + F.col("begin") - held).alias("start"), (F.col("n") + held).alias("n_tokens"), "ended")
+    return files.mapInArrow(run, "file string, block long, ids long, ends array<long>")
+
+
+def prefix_scan(blocks: DataFrame, work: Workspace) -> DataFrame:
+    """Adds to every block ``base`` (ids before it), ``before`` (ends before it) and ``since`` (where the last end before it stands among all ids, 0 if there is none)."""
+    order = ["file", "block"]
+    ranged = work.write(blocks.repartitionByRange(shuffle_partitions(work.spark), *order).withColumn("part", F.spark_partition_id()), "ranged")
+    w = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = ranged.withColumns({"base": F.coalesce(F.sum("ids").over(w), F.lit(0)), "before": F.coalesce(F.sum(F.size("ends")).over(w), F.lit(0)).cast("long")})
+    last = F.when(F.size("ends") > 0, F.col("base") + F.element_at("ends", -1))
+    inside = inside.withColumn("last", last).withColumn("since", F.max("last").over(w))
+    totals = sorted(inside.groupBy("part").agg(F.sum("ids"), F.sum(F.size("ends")), F.max("last")).collect())  # a row a range
+    rows, base, before, since = [], 0, 0, 0
+    for part, ids, ends, last_end in totals:
+        rows.append((part, base, before, since))
+        since = base + last_end if last_end is not None else since
+        base, before = base + ids, before + ends
+    carried = work.spark.createDataFrame(rows, "part int, base0 long, before0 long, since0 long")
+    told = inside.join(F.broadcast(carried), "part")
+    return told.select("file", "block", "ids", "ends", (F.col("base") + F.col("base0")).alias("base"), (F.col("before") + F.col("before0")).alias("before"), F.coalesce(F.col("since") + F.col("base0"), F.col("since0")).alias("since"))
+
+
+def scan(spark, path: str, end: int = SEPARATOR, dtype: str = "<u2", block: int = BLOCK) -> DataFrame:
+    """``file, nth, ordinal, start, n_tokens, ended`` of every document in the files below a path, in order of their names.
+
+    ``nth`` counts the documents that end in that file, ``ordinal`` all;
+    ``start`` is the number of ids before, ``n_tokens`` includes the end id.
+    """
+    work = Workspace(spark, "scan")
+    placed = work.write(prefix_scan(blocks_of(spark, path, end, dtype, block), work), "placed")
+    first = placed.groupBy("file").agg(F.min("before").alias("first"))
+    few = first.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    rows = placed.join(F.broadcast(first) if few else first, "file").select("file", "first", "base", "before", "since", "ends", F.posexplode("ends").alias("k", "at"))
+    start = F.when(F.col("k") == 0, F.col("since")).otherwise(F.col("base") + F.element_at("ends", F.greatest("k", F.lit(1))))
+    ordinal = F.col("before") + F.col("k")
+    found = rows.select("file", (ordinal - F.col("first")).alias("nth"), ordinal.alias("ordinal"), start.alias("start"), (F.col("base") + F.col("at") - start).alias("n_tokens"), F.lit(True).alias("ended"))
+    # ids after the last end of all are one unfinished document, of the last file
+    tail = placed.agg(F.max("file").alias("file"), F.max(F.col("base") + F.col("ids")).alias("total"), F.max(F.col("before") + F.size("ends")).alias("ordinal"), F.max(F.greatest("since", F.when(F.size("ends") > 0, F.col("base") + F.element_at("ends", -1)))).alias("start"))
+    tail = tail.filter("total > start").join(F.broadcast(first) if few else first, "file")
+    return found.unionByName(tail.select("file", (F.col("ordinal") - F.col("first")).alias("nth"), "ordinal", "start", (F.col("total") - F.col("start")).alias("n_tokens"), F.lit(False).alias("ended")))
 
 
 def write_flat(docs: DataFrame, path: str, tokenizer: str, end: int = SEPARATOR, id_col: str = "doc_id", text_col: str = "text") -> None:

@@ -125,6 +125,27 @@ def test_packing_query(spark, tmp_path):
     assert packing.query(spark, save(spark, tmp_path / "none", [])).collect() == []
 
 
+def test_ends_are_packed_in_rounds(spark, tmp_path, monkeypatch):
+    """300 partitions of a few words each, the ends of 7 in a task: three rounds, one padded window."""
+    monkeypatch.setattr(packing, "FAN", 7)
+    texts = {i: " ".join(f"word{i} {k}" for k in range(1 + i % 40)) for i in range(900)}
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string").repartition(300)
+    out = packing.pack(docs, tokens.default_path())
+    got = out.collect()
+    whole = {i: np.array([*library(t), tokens.END], "<u4") for i, t in texts.items()}
+    back = {}
+    for r in sorted(got, key=lambda r: r.start):
+        back.setdefault(r.doc_id, []).append(np.frombuffer(r.ids, "<u4"))
+    assert all((np.concatenate(back[i]) == whole[i]).all() for i in whole) and back.keys() == whole.keys()
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append(r)
+    sizes = [sum(r.length for r in own) for own in by.values()]
+    assert all(sorted(r.offset for r in own) == [0, *np.cumsum([r.length for r in sorted(own, key=lambda r: r.offset)])[:-1].tolist()] for own in by.values())
+    assert all(n in packing.TIERS for n in sorted(sizes)[1:]) and len({s >> packing.ROUND_SHIFT for s in by}) >= 3
+    assert sorted(map(str, got)) == sorted(map(str, out.collect()))
+
+
 def test_groups_are_balanced():
     rng = random.Random(3)
     packer, dealer = packing.Packer(), packing.Dealer(0, False)
@@ -162,11 +183,16 @@ def test_scan_stitches_across_files(spark, tmp_path, seed):
     cuts = [0, *sorted(rng.integers(0, 2000, 9).tolist()), 2000]
     for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
         (tmp_path / f"f{k:02}.bin").write_bytes(ids[a:b].tobytes())
-    got = sorted((r.ordinal, r.start, r.n_tokens, r.ended) for r in separators.scan(spark, f"file://{tmp_path}", end=5).collect())
+    rows_ = separators.scan(spark, f"file://{tmp_path}", end=5, block=[7, 64, 5000][seed]).collect()  # documents run across blocks, files and ranges
+    got = sorted((r.ordinal, r.start, r.n_tokens, r.ended) for r in rows_)
+    per = {}
+    for r in sorted(rows_, key=lambda r: r.ordinal):
+        assert r.nth == per.setdefault(r.file, 0)
+        per[r.file] += 1
     ends = (np.flatnonzero(ids == 5) + 1).tolist()
     marks = [0, *ends] + ([2000] if ends[-1] < 2000 else [])
     assert got == [(k, a, b - a, b in ends) for k, (a, b) in enumerate(zip(marks, marks[1:]))]
-    assert separators.ends_of(ids, 5, block=7).tolist() == ends
+    assert separators.ends_of(ids, 5).tolist() == ends
 
 
 def test_files_are_readable_alone(spark, tmp_path):
