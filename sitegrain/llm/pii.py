@@ -6,10 +6,16 @@ emails, national phone numbers, card-like numbers, social security numbers,
 IBANs, names after a title or an introduction). Five labelers vote on each: its
 shape, a gazetteer, context words before it, contrary context words, its
 borders. Expectation-maximisation over counts of vote patterns estimates the
-labelers' reliabilities, and a logistic classifier over kind and votes learns
-from the posterior; a candidate becomes a span if its score is at least one
-half. What reaches the driver is the table of vote patterns, whose size is
-fixed by the number of kinds and labelers.
+labelers' reliabilities. The span classifier learns from the posterior: a
+logistic part over kind and votes, and a part of its own over what the
+labelers don't see (hashed words left and right, layout of letters and
+digits, length, the character before), whose weights are damped log-odds of
+soft counts. A candidate becomes a span if its score is at least one half.
+What reaches the driver is the table of vote patterns and the table of
+features' soft counts, whose sizes are fixed.
+
+Texts are searched once: base spans and candidates, with votes and features,
+are written, the model is fitted on what was written and applied to it.
 
 Positions are code points, ends exclusive. Patterns are written without
 backtracking (possessive, anchored at the begin of a run), so very long runs
@@ -28,7 +34,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import Workspace, read_table
 
 KINDS = ("email", "ip", "card", "phone", "ssn", "iban", "name")
 BASE = KINDS[:4]
@@ -56,9 +62,15 @@ SIGN = (
     r"|(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Sr|Sra|Mme)\.? [A-ZÀ-Þ]|y name is|ch hei|'appelle|e llamo"
 )
 # Gazetteers and context words.
-TLDS = ("com", "org", "net", "edu", "gov", "info", "io", "co", "de", "fr", "es", "uk", "eu")
-FIRST_NAMES = ("james", "mary", "john", "linda", "robert", "anna", "maria", "peter", "hans", "karl", "sophie", "marie", "jean", "pierre", "jose", "juan", "carmen", "luis", "david", "sarah", "michael", "laura", "thomas", "julia")
-COUNTRIES = ("DE", "FR", "ES", "GB", "IT", "NL", "BE", "AT", "CH", "PT", "IE", "LU", "PL", "SE", "DK", "FI", "NO")
+TLDS = ("com", "org", "net", "edu", "gov", "mil", "int", "info", "biz", "io", "ai", "app", "dev", "me", "tv", "co", "us", "ca", "uk", "ie", "de", "at", "ch", "fr", "be", "lu", "nl", "es", "pt", "it", "pl", "cz", "se", "no", "dk", "fi", "gr", "eu", "au", "nz", "jp", "cn", "in", "br", "mx", "ar", "ru")
+FIRST_NAMES = tuple(
+    "james mary john linda robert anna maria peter hans karl sophie marie jean pierre jose juan carmen luis david sarah michael laura thomas julia "
+    "william richard joseph charles christopher daniel matthew anthony mark paul steven andrew george kevin brian edward susan jessica karen nancy lisa emily emma olivia sophia grace alice helen ruth "
+    "klaus jürgen wolfgang stefan andreas markus sabine petra monika ursula heike claudia katharina lena jonas lukas felix max "
+    "michel jacques françois philippe nicolas julien antoine isabelle catherine nathalie camille chloé claire "
+    "carlos miguel antonio manuel francisco javier pedro alejandro sofía lucía isabel elena pilar rosa ana".split()
+)
+COUNTRIES = ("DE", "FR", "ES", "GB", "IT", "NL", "BE", "AT", "CH", "PT", "IE", "LU", "PL", "SE", "DK", "FI", "NO", "AD", "BG", "CY", "CZ", "EE", "GR", "HR", "HU", "IS", "LI", "LT", "LV", "MC", "MT", "RO", "SI", "SK", "SM")
 CUES = {
     "email": r"e-?mail|contact|write|reach|mailto|schreib|correo|courriel",
     "card": r"card|visa|mastercard|amex|credit|debit|karte|carte|tarjeta",
@@ -70,21 +82,29 @@ CUES = {
 CONTRARY = r"order|invoice|version|isbn|serial|ref|part|model|item|fig|page|id[:=#]|sku|token|hash|build"
 
 
+FOUND = "array<struct<start:bigint,end:bigint,value:string,before:string,after:string>>"
+
+
 def matches(text: Column, pattern: str) -> Column:
-    """All matches, leftmost first, without overlaps: ``start, end, value, before`` (the text since the last match, its last 40 code points)."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    pairs = F.arrays_zip(F.transform(found, lambda m: m).alias("m"), F.slice(gaps, 1, F.greatest(F.size(found), F.lit(0))).alias("g"))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,end:long,value:string,before:string>>").alias("out"))
+    """All matches, leftmost first, without overlaps: ``start, end, value, before, after`` (at most 40 code points since the last match, 24 up to the next).
+
+    The text is searched once: matches are put between two control characters
+    (the text's own give way to a third, which no pattern tells from them) and
+    the text is parted there.
+    """
+    marked = F.regexp_replace(F.translate(text, "\x01\x02", "\x03\x03"), pattern, "\x01$0\x02")
+    parts = F.split(marked, "\x01", -1)
+    first = F.element_at(parts, 1)
+    start = F.struct(F.length(first).cast("long").alias("at"), F.right(first, F.lit(40)).alias("before"), F.array().cast(FOUND).alias("out"))
 
-    def step(acc: Column, pair: Column) -> Column:
-        m, g = pair["m"], pair["g"]
-        begin = acc["at"] + F.length(g)
-        end = begin + F.length(m)
-        one = F.struct(begin.alias("start"), end.alias("end"), m.alias("value"), F.right(g, F.lit(40)).alias("before"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+    def step(acc: Column, part: Column) -> Column:
+        m = F.substring_index(part, "\x02", 1)
+        gap = F.substring(part, F.length(m) + 2, F.length(part))
+        end = acc["at"] + F.length(m)
+        one = F.struct(acc["at"].alias("start"), end.alias("end"), m.alias("value"), acc["before"].alias("before"), F.left(gap, F.lit(24)).alias("after"))
+        return F.struct((end + F.length(gap)).alias("at"), F.right(gap, F.lit(40)).alias("before"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+    return F.aggregate(F.slice(parts, 2, F.size(parts)), start, step, lambda acc: acc["out"])
 
 
 def digits(value: Column) -> Column:
@@ -154,14 +174,28 @@ def votes_of(c: Column) -> list[Column]:
 
 
 N_VOTES = 5
+#: Bins of a feature a kind; soft counts that stand against a bin's own; the share of a feature's log-odds that counts.
+BINS, PRIOR, DAMP = 64, 20.0, 0.5
+
+
+def features_of(c: Column) -> list[Column]:
+    """Bins of what the labelers don't see: the two words before, the word after, the layout, the length, the character before."""
+    before, after = F.lower(c["before"]), F.lower(c["after"])
+    layout = F.regexp_replace(F.regexp_replace(F.regexp_replace(c["value"], "[0-9]", "9"), "[A-ZÀ-ÖØ-Þ]", "A"), "[a-zà-öø-ÿ]+", "a")
+    words = [F.regexp_extract(before, r"([a-zà-ÿ]+)[^a-zà-ÿ]*$", 1), F.regexp_extract(before, r"([a-zà-ÿ]+)[^a-zà-ÿ]+[a-zà-ÿ]+[^a-zà-ÿ]*$", 1), F.regexp_extract(after, r"^[^a-zà-ÿ]*([a-zà-ÿ]+)", 1)]
+    hashed = [F.pmod(F.xxhash64(x), F.lit(BINS)).cast("int") for x in (*words, layout, F.right(before, F.lit(1)))]
+    return [*hashed, F.least(F.length(c["value"]), F.lit(BINS - 1))]
+
+
+N_FEATURES = 6
 
 
 def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds ``__sg_more``: candidates that don't overlap a certain span, as ``start, rank, end, kind, v0..v4``."""
+    """Adds ``__sg_more``: candidates that don't overlap a certain span, as ``start, rank, end, kind, v0..v4, bins``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     pattern = "|".join(f"(?:{p})" for _, p in CANDIDATES)
     sign = text.rlike(SIGN)
-    docs = docs.withColumn("__sg_found", F.when(sign, matches(text, pattern)).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,value:string,before:string>>")))
+    docs = docs.withColumn("__sg_found", F.when(sign, matches(text, pattern)).otherwise(F.array().cast(FOUND)))
 
     def kind_of(v: Column) -> Column:
         out = None
@@ -171,13 +205,13 @@ def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return out.otherwise("name")
 
     apart = F.filter("__sg_found", lambda s: ~F.exists("__sg_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    kinds = F.transform(apart, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), s["before"].alias("before"), kind_of(s["value"]).alias("kind")))
+    kinds = F.transform(apart, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), s["before"].alias("before"), s["after"].alias("after"), kind_of(s["value"]).alias("kind")))
 
     def told(c: Column) -> Column:
         rank = F.lit(len(KINDS))
         for k, kind in enumerate(KINDS):
             rank = F.when(c["kind"] == kind, k).otherwise(rank)
-        return F.struct(c["start"].alias("start"), rank.alias("rank"), c["end"].alias("end"), c["kind"].alias("kind"), *[v.alias(f"v{k}") for k, v in enumerate(votes_of(c))])
+        return F.struct(c["start"].alias("start"), rank.alias("rank"), c["end"].alias("end"), c["kind"].alias("kind"), *[v.alias(f"v{k}") for k, v in enumerate(votes_of(c))], F.array(*features_of(c)).alias("bins"))
 
     return docs.withColumn("__sg_kinds", kinds).withColumn("__sg_more", F.transform("__sg_kinds", told))
 
@@ -227,16 +261,47 @@ def train(patterns: list[tuple], rounds: int = 400) -> dict:
     return weights
 
 
-def fit(docs: DataFrame, text_col: str = "text") -> dict:
-    """The classifier, from counts of vote patterns over all documents."""
-    seen = with_candidates(with_base(docs.select(text_col), text_col), text_col).select(F.explode("__sg_more").alias("c"))
-    votes = [f"c.v{k}" for k in range(N_VOTES)]
-    counts = seen.groupBy("c.kind", *votes).agg(F.count(F.lit(1)).alias("n")).collect()  # kinds times 3**5 rows at most
-    return train(sorted((r[0], tuple(r[1 : 1 + N_VOTES]), r.n) for r in counts))
+def extract(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Adds the certain kinds' spans and the candidates; the one search of the texts."""
+    rows = with_candidates(with_base(docs, text_col), text_col)
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], *[f"__sg_{k}" for k in BASE], "__sg_base", "__sg_more")
 
 
-def find(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
-    """Adds ``__sg_base`` and ``__sg_spans`` (all spans), arrays of ``start, rank, end`` by start, then kind."""
+def fit(found: DataFrame) -> dict:
+    """The classifier, from counts of vote patterns and features over all documents' candidates (rows of ``extract``)."""
+    seen = found.select(F.explode("__sg_more").alias("c"))
+    votes = [f"c.v{k}" for k in range(N_VOTES)]
+    counts = seen.groupBy("c.kind", *votes).agg(F.count(F.lit(1)).alias("n")).collect()  # kinds times 3**5 rows at most
+    patterns = sorted((r[0], tuple(r[1 : 1 + N_VOTES]), r.n) for r in counts)
+    model = train(patterns)
+    if patterns:
+        belief = {f"{kind}:{','.join(map(str, votes))}": q for (kind, votes, _), q in zip(patterns, reliabilities(patterns))}
+        held = F.create_map(*[F.lit(x) for kv in belief.items() for x in kv])
+        pattern = F.concat(F.col("c.kind"), F.lit(":"), F.concat_ws(",", *[F.col(v).cast("string") for v in votes]))
+        soft = seen.select("c.kind", held[pattern].alias("q"), F.posexplode("c.bins").alias("feature", "bin")).groupBy("kind", "feature", "bin").agg(F.sum("q").alias("yes"), F.sum(1 - F.col("q")).alias("no"))
+        model["features"] = feature_weights(soft.collect())  # kinds times features times bins at most
+    return model
+
+
+def feature_weights(rows) -> list[list[float]]:
+    """For each feature, the weight of every bin of every kind: its log-odds over the kind's, both soft counts, damped."""
+    out = [[0.0] * (len(KINDS) * BINS) for _ in range(N_FEATURES)]
+    whole: dict[tuple, list[float]] = {}
+    for r in rows:
+        own = whole.setdefault((r.kind, r.feature), [0.0, 0.0])
+        own[0] += r.yes
+        own[1] += r.no
+    for r in rows:
+        yes, no = whole[r.kind, r.feature]
+        share = (yes + 1e-3) / (yes + no + 2e-3)
+        odds = math.log((r.yes + PRIOR * share) / (r.no + PRIOR * (1 - share))) - math.log(share / (1 - share))
+        out[r.feature][KINDS.index(r.kind) * BINS + r.bin] = DAMP * max(-2.0, min(2.0, odds))
+    return out
+
+
+def spans(found: DataFrame, model: dict) -> DataFrame:
+    """Adds ``__sg_spans`` (all spans) to rows of ``extract``: arrays of ``start, rank, end`` by start, then kind."""
+    tables = [F.array(*[F.lit(w) for w in own]) for own in model["features"]] if model.get("features") else []
 
     def score(c: Column) -> Column:
         z = F.lit(0.0)
@@ -245,22 +310,32 @@ def find(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
         for k in range(N_VOTES):
             for v in (-1, 0, 1):
                 z = z + F.when(c[f"v{k}"] == v, model[k, v]).otherwise(0.0)
+        for k, table in enumerate(tables):
+            z = z + F.element_at(table, c["rank"] * BINS + c["bins"][k] + 1)
         return z
 
     plain = lambda c: F.struct(c["start"].alias("start"), c["rank"].cast("int").alias("rank"), c["end"].alias("end"))
-    rows = with_candidates(with_base(docs, text_col), text_col)
-    return rows.withColumn("__sg_spans", F.array_sort(F.concat("__sg_base", F.transform(F.filter("__sg_more", lambda c: score(c) >= 0), plain))))
+    return found.withColumn("__sg_spans", F.array_sort(F.concat("__sg_base", F.transform(F.filter("__sg_more", lambda c: score(c) >= 0), plain))))
+
+
+def find(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
+    """The documents with ``__sg_base`` and ``__sg_spans``, under a given model."""
+    return spans(extract(docs, text_col), model)
 
 
-def told(spans: Column) -> Column:
+def told(found: Column) -> Column:
     """``kind:start:end`` by start, then kind, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["rank"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return F.array_join(F.transform(found, lambda s: F.concat_ws(":", F.element_at(names, s["rank"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
 def redact(docs: DataFrame, model: dict | None = None, text_col: str = "text") -> DataFrame:
     """The documents with every span replaced by its kind, as ``<EMAIL>``; all columns stay."""
-    found = find(docs, model if model is not None else fit(docs, text_col), text_col)
+    if model is None:  # search once, learn from what was found, then redact
+        found = Workspace(docs.sparkSession, "pii").write(extract(docs, text_col).drop(*[f"__sg_{k}" for k in BASE]), "found")
+        found = spans(found, fit(found))
+    else:
+        found = find(docs, model, text_col)
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<skip:bigint,start:bigint,rank:int,end:bigint>>").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -283,6 +358,7 @@ def redact(docs: DataFrame, model: dict | None = None, text_col: str = "text") -
 def query(spark, sf_dir):
     """op5: personal data in every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = find(docs, fit(docs))
+    found = Workspace(spark, "op5").write(extract(docs).drop("text"), "found")
+    found = spans(found, fit(found))
     counts = [F.size(f"__sg_{k}").cast("long").alias(f"n_{k}") for k in BASE]
     return found.select("doc_id", *counts, F.sha2(told(F.col("__sg_base")), 256).alias("base_sha256"), told(F.col("__sg_spans")).alias("spans"))
