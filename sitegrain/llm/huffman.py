@@ -139,31 +139,26 @@ def decode(payload: bytes, offsets: np.ndarray, counts: np.ndarray, table: tuple
 def write_files(docs: DataFrame, work: Workspace, tokenizer: str, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Tokenize, sort, count, code, write; returns the folder with ``blocks`` and ``codes``.
 
-    Texts are tokenized where they are read; only ids are sorted (a third of
-    the bytes). Rows of one doc_id are parted by a hash of their text and their
-    place in the table, so that a doc_id which very many rows repeat isn't one task.
+    Rows of one doc_id are parted by a hash of their text and their place in
+    the table, so that a doc_id which very many rows repeat isn't one task.
+    (Ids take about as many bytes as texts here, so texts are sorted: sorting
+    ids, written where texts are read, took a third more time.)
     """
     spark = docs.sparkSession
     width = encoder(tokenizer).dtype.itemsize
     kind = np.dtype(f"<u{width}")
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc, part, keys, sizes, data, held, before = encoder(tokenizer), TaskContext.get().partitionId(), [], [], [], 0, 0
         last = np.array([end], enc.dtype).tobytes()
-        for batch in batches:
-            own = pa.array([enc.ids(x.as_py()) + last for x in batch.column(3)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], own], names=["doc_id", "tie", "row", "ids"])
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, keys, sizes, data, held, before = TaskContext.get().partitionId(), [], [], [], 0, 0
 
         def block() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([keys], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())), pa.array([held], pa.int64()), pa.array([b"".join(data)], pa.binary())], names=["part", "before", "keys", "sizes", "n", "ids"])
 
         for batch in batches:
-            for key, own in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 keys.append(key)
-                data.append(own.as_py())
+                data.append(enc.ids(text.as_py()) + last)
                 sizes.append(len(data[-1]) // width)
                 held += sizes[-1]
                 if held >= BLOCK_IDS:
@@ -174,11 +169,9 @@ def write_files(docs: DataFrame, work: Workspace, tokenizer: str, end: int = END
 
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), F.monotonically_increasing_id().alias("row"), raw(text).alias("text"))
-    read = work.write(rows.mapInArrow(tokenize, "doc_id long, tie long, row long, ids binary"), "read")
     order = ["doc_id", "tie", "row"]
-    placed = read.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order).select("doc_id", "ids")
-    ids = work.write(placed.mapInArrow(gather, "part int, before long, keys array<long>, sizes array<long>, n long, ids binary"), "ids")
-    work.drop("read")
+    placed = rows.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order).select("doc_id", "text")
+    ids = work.write(placed.mapInArrow(tokenize, "part int, before long, keys array<long>, sizes array<long>, n long, ids binary"), "ids")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
