@@ -137,7 +137,7 @@ def decode(payload: bytes, offsets: np.ndarray, counts: np.ndarray, table: tuple
 
 
 def write_files(docs: DataFrame, work: Workspace, tokenizer: str, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> str:
-    """Tokenize, sort, count, code, write; returns the folder with ``blocks`` and ``codes``.
+    """Sort, tokenize and count, code, write; returns the folder with ``blocks`` and ``codes``.
 
     Rows of one doc_id are parted by a hash of their text and their place in
     the table, so that a doc_id which very many rows repeat isn't one task.
@@ -150,10 +150,18 @@ def write_files(docs: DataFrame, work: Workspace, tokenizer: str, end: int = END
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, keys, sizes, data, held, before = encoder(tokenizer), TaskContext.get().partitionId(), [], [], [], 0, 0
-        last = np.array([end], enc.dtype).tobytes()
+        last, total = np.array([end], enc.dtype).tobytes(), np.zeros(1, np.int64)
 
         def block() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([keys], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())), pa.array([held], pa.int64()), pa.array([b"".join(data)], pa.binary())], names=["part", "before", "keys", "sizes", "n", "ids"])
+            nonlocal total
+            own = b"".join(data)
+            more = np.bincount(np.frombuffer(own, kind), minlength=len(total))
+            more[: len(total)] += total
+            total = more
+            return row(part, before, keys, sizes, held, own)
+
+        def row(*values) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, (pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary()))], names=["part", "before", "keys", "sizes", "n", "ids"])
 
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -166,6 +174,9 @@ def write_files(docs: DataFrame, work: Workspace, tokenizer: str, end: int = END
                     keys, sizes, data, before, held = [], [], [], before + held, 0
         if keys:
             yield block()
+        # the task's counts: ids that occur, and how often
+        used = np.flatnonzero(total)
+        yield row(None, None, used.tolist(), total[used].tolist(), None, None)
 
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), F.monotonically_increasing_id().alias("row"), raw(text).alias("text"))
@@ -173,17 +184,9 @@ def write_files(docs: DataFrame, work: Workspace, tokenizer: str, end: int = END
     placed = rows.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order).select("doc_id", "text")
     ids = work.write(placed.mapInArrow(tokenize, "part int, before long, keys array<long>, sizes array<long>, n long, ids binary"), "ids")
 
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, np.int64)
-        for batch in batches:
-            for data in batch.column(0):
-                more = np.bincount(np.frombuffer(data.as_buffer(), kind), minlength=len(total))
-                more[: len(total)] += total
-                total = more
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "n"])
-
-    counts = ids.select("ids").mapInArrow(tally, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # a row an id of the vocabulary
+    pairs = ids.filter("part IS NULL").select(F.explode(F.arrays_zip("keys", "sizes")).alias("x"))
+    counts = pairs.groupBy(F.col("x.keys").alias("id")).agg(F.sum("x.sizes").alias("n")).collect()  # a row an id of the vocabulary
+    ids = ids.filter("part IS NOT NULL")
     table = np.zeros(max((r.id for r in counts), default=0) + 1, np.int64)
     for r in counts:
         table[r.id] = r.n
