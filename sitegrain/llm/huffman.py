@@ -42,10 +42,10 @@ HEAD = "<4sIIIQQ"
 LIMIT = 18
 EVERY = 512
 BLOCK_IDS = 1 << 16
-#: Blocks of a file: some 20 MB, so that a file is a small unit of reading however large the corpus is.
-FILE_BLOCKS = 256
+#: Blocks of a file: some 10 MB, so that a file is a small unit of reading however large the corpus is.
+FILE_BLOCKS = 128
 #: Ids decoded side by side.
-AT_ONCE = 1 << 22
+AT_ONCE = 1 << 20
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
