@@ -82,7 +82,8 @@ def scan(spark, path: str, end: int = SEPARATOR, dtype: str = "<u2", block: int
     ``start`` is the number of ids before, ``n_tokens`` includes the end id.
     """
     work = Workspace(spark, "scan")
-    placed = work.write(prefix_scan(blocks_of(spark, path, end, dtype, block), work), "placed")
+    blocks = work.write(blocks_of(spark, path, end, dtype, block), "blocks")  # files are read once
+    placed = work.write(prefix_scan(blocks, work), "placed")
     first = placed.groupBy("file").agg(F.min("before").alias("first"))
     few = first.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     rows = placed.join(F.broadcast(first) if few else first, "file").select("file", "first", "base", "before", "since", "ends", F.posexplode("ends").alias("k", "at"))
