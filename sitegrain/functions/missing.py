@@ -39,11 +39,6 @@ def present(col: Column | str, policy: str = "qa") -> Column:
     return F.when(~is_missing(c, policy), c)
 
 
-def first_present(policy: str, *cols: Column | str) -> Column:
-    """The first value of several that isn't missing."""
-    return F.coalesce(*[present(c, policy) for c in cols])
-
-
 def whole_number(col: Column | str) -> Column:
     """A count out of loose text, truncated ("3.0" is 3); NULL if it isn't a number."""
     c = F.col(col) if isinstance(col, str) else col

@@ -51,15 +51,67 @@ def best_link(people: DataFrame, links: DataFrame, key: list[str], name: str = "
     return pairs.groupBy(*key, name).agg(F.max_by(F.struct("href", "score"), F.struct(F.col("score"), -F.col("pos"))).alias("b")).select(*key, name, "b.href", "b.score")
 
 
+# Paths of accounts, which sitemaps list and nobody needs.
+MEMBER_PATHS = r"/m/|/members/|/login|/reset|/create-account"
+
+
 def sitemap_links(xml: Column, host: Column) -> Column:
-    """Addresses of a sitemap on the same host, without files."""
-    found = F.regexp_extract_all(xml, F.lit(r"(?s)<loc>\s*([^<\s]+)\s*</loc>"), F.lit(1))
+    """Addresses of a sitemap on the same host, without files and accounts."""
     from ..functions.urls import domain_key
 
-    return F.filter(found, lambda u: (domain_key(u) == host) & ~F.lower(u).rlike(UNWANTED))
+    found = F.regexp_extract_all(xml, F.lit(r"(?s)<url>.*?<loc>\s*([^<\s]+)\s*</loc>"), F.lit(1))
+    return F.filter(found, lambda u: (domain_key(u) == host) & ~F.lower(u).rlike(UNWANTED) & ~F.lower(u).rlike(MEMBER_PATHS))
 
 
 def sitemap_children(xml: Column) -> Column:
     """An index's sitemaps, those of pages first."""
     found = F.regexp_extract_all(xml, F.lit(r"(?s)<sitemap>.*?<loc>\s*([^<\s]+)\s*</loc>"), F.lit(1))
-    return F.concat(F.filter(found, lambda u: F.contains(u, F.lit("page"))), F.filter(found, lambda u: ~F.contains(u, F.lit("page"))))
+    return F.concat(F.filter(found, lambda u: F.contains(u, F.lit("pages"))), F.filter(found, lambda u: ~F.contains(u, F.lit("pages"))))
+
+
+def sitemap_pages(sitemaps: DataFrame, roots: DataFrame, depth: int = 4) -> DataFrame:
+    """``host, url`` of all pages that stored sitemaps (``url, xml``) list below the roots (``host, url``), over indexes of indexes up to a depth.
+
+    A level is one join by address; an address is opened once a host.
+    """
+    level = roots.select("host", "url")
+    seen, out = level, None
+    for k in range(depth + 1):
+        opened = level.join(sitemaps.select("url", "xml"), "url")
+        found = opened.select("host", F.explode(sitemap_links(F.col("xml"), F.col("host"))).alias("url"))
+        out = found if out is None else out.unionByName(found)
+        if k < depth:
+            level = opened.select("host", F.explode(sitemap_children(F.col("xml"))).alias("url")).distinct().join(seen, ["host", "url"], "left_anti")
+            seen = seen.unionByName(level)
+    return out.distinct()
+
+
+def provider_names(links: DataFrame, pages: DataFrame, key: list[str], most: int = 12) -> DataFrame:
+    """``key, name``: the doctor each linked provider page (of a key the first ``most`` by address) names, once a key.
+
+    ``links`` has the key, ``page_url`` and ``href``; ``pages`` the ``url`` and ``text`` of stored pages.
+    """
+    from ..functions.urls import domain_key
+
+    url = F.regexp_replace(F.regexp_replace("href", r"[?#].*$", ""), "/+$", "")
+    own = links.filter(F.contains("href", F.lit("/providers/")) & (domain_key("href") == domain_key("page_url"))).select(*key, url.alias("url")).distinct()
+    first = own.withColumn("__k", F.row_number().over(Window.partitionBy(*key).orderBy("url"))).filter(F.col("__k") <= most)
+    name = F.regexp_extract(F.regexp_replace("text", r"\s+", " "), r"Dr\. ([A-Z][a-z]+(?: [A-Z][a-z]+){1,3})", 1)
+    found = first.join(pages.select(F.regexp_replace("url", "/+$", "").alias("url"), name.alias("name")).filter("name <> ''"), "url")
+    return found.groupBy(*key, F.lower("name").alias("__low")).agg(F.min_by("name", "__k").alias("name")).drop("__low")
+
+
+# Where an email is looked for, in order.
+EMAIL_PATHS = ("/contact", "/contact-us", "/contact-us/", "/about", "/about-us", "/reach-us", "/get-in-touch", "/")
+
+
+def email_by_paths(pages: DataFrame, key: list[str]) -> DataFrame:
+    """``key, email``: of a site's stored pages (``url, html, text, hidden``) at the paths where addresses stand, the first good one: in the markup, a hidden link, the text."""
+    from ..functions.text import decode_hidden_email, first_email, is_bad_email, once
+    from ..functions.urls import path
+
+    at = F.array_position(F.array(*[F.lit(p) for p in EMAIL_PATHS]), F.when(path("url") == "", F.lit("/")).otherwise(path("url")))
+    good = lambda c: once(first_email(c, "plain"), lambda e: F.when(~is_bad_email(e, True), e))
+    hidden = F.try_element_at(F.filter(F.transform("hidden", decode_hidden_email), lambda e: F.coalesce(~is_bad_email(e), F.lit(False))), F.lit(1))
+    rows = pages.select(*key, at.alias("__at"), F.coalesce(good("html"), hidden, good("text")).alias("email")).filter("__at > 0 AND email IS NOT NULL")
+    return rows.groupBy(*key).agg(F.min_by("email", "__at").alias("email"))

@@ -72,3 +72,34 @@ def new_names(have: Column, found: Column) -> Column:
     """Names found that aren't there yet, without case."""
     low = F.transform(F.coalesce(have, F.array().cast("array<string>")), lambda n: F.lower(n))
     return F.filter(F.coalesce(found, F.array().cast("array<string>")), lambda n: ~F.array_contains(low, F.lower(n)))
+
+
+def call_once(rows: DataFrame, inputs: list[str], call, result: str = "string", name: str = "answer", batch: int = 64) -> DataFrame:
+    """Adds what a callable says of some columns, asked once for every distinct input (a model, a service); without one the column is NULL.
+
+    ``call`` takes a list of tuples and returns a list of values. It runs in
+    Arrow batches; a retried task asks again, so it should not change anything.
+    """
+    if call is None:
+        return rows.withColumn(name, F.lit(None).cast(result))
+    import pyarrow as pa
+    from pyspark.sql.types import StructType
+
+    asked = rows.select(*inputs).distinct()
+    schema = StructType(list(asked.schema.fields)).add(name, result)
+
+    def run(batches):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        kind = to_arrow_schema(schema).field(name).type
+        for b in batches:
+            values = list(zip(*(c.to_pylist() for c in b.columns)))
+            told = [x for k in range(0, len(values), batch) for x in call(values[k : k + batch])]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(told, kind)], names=[*inputs, name])
+
+    told = asked.mapInArrow(run, schema).select(*[F.col(c).alias(f"__in_{c}") for c in inputs], name)
+    on = None
+    for c in inputs:
+        same = F.col(c).eqNullSafe(F.col(f"__in_{c}"))
+        on = same if on is None else on & same
+    return rows.join(told, on, "left").drop(*[f"__in_{c}" for c in inputs])

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import formats, names, signals, text, urls
+from ..functions import formats, names, people, signals, text, urls
 from ..functions.missing import is_missing, render
 from ..operators import diff, entity, features, frontier, match, merge, qa
 from ..sources import listings, sinks
@@ -666,6 +666,79 @@ def _(spark, sf):
     return match.match_cards(places, cards).select("idx", "title", F.col("score").cast("long").alias("score"))
 
 
+# ---- operators on made-up texts, one CASE branch a text; the SQL side knows the answers alone ------------
+
+SAID = """
+SELECT c_custkey AS k, CASE c_custkey % 8
+  WHEN 0 THEN 'A proud member of the ADA and of the Academy of General Dentistry. We specialize in smiles.'
+  WHEN 1 THEN 'adaptive care, no codes: adagio. A family practice for all ages, with general dentistry'
+  WHEN 2 THEN 'She graduated from UCLA; AzDA and AAO. An orthodontist who offers root canal therapy and dental implants'
+  WHEN 3 THEN 'UCLA fans welcome. Expertise in laser work while we care. Gold Plus provider: Smithson'
+  WHEN 4 THEN 'Certified in oral surgery, board certified. 3 convenient offices. Platinum is what Weberling has'
+  WHEN 5 THEN 'We have two locations. Bronze Plus only, ' || repeat('x', 700) || ' Weberling. Diamond'
+  WHEN 6 THEN 'Call (210) 555-01' || lpad(CAST(c_custkey % 100 AS STRING), 2, '0') || '; 4.' || CAST(c_custkey % 10 AS STRING) || ' stars. Veneers, root canal. choose your location'
+  ELSE '' END AS said
+FROM customer"""
+
+
+def said(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(SAID.replace("FROM customer", "FROM {customer}"), customer=load(spark, sf_dir, "customer"))
+
+
+@query("membership_codes", "SELECT c_custkey AS k, CASE c_custkey % 8 WHEN 0 THEN 'ADA, AGD' WHEN 2 THEN 'AAO, AzDA, UCLA' ELSE '' END AS codes FROM customer")
+def _(spark, sf):
+    return said(spark, sf).select("k", F.array_join(features.associations(F.col("said")), ", ").alias("codes"))
+
+
+@query("specialty_labels", "SELECT c_custkey AS k, CASE c_custkey % 8 WHEN 0 THEN 'General Dentistry' WHEN 1 THEN 'Family Dentistry / General Dentistry' WHEN 2 THEN 'Implants / Orthodontics / Endodontics' WHEN 3 THEN 'Laser Work' WHEN 4 THEN 'Oral Surgery' ELSE 'Not Found' END AS specialty FROM customer")
+def _(spark, sf):
+    return said(spark, sf).select("k", features.specialty(F.col("said")).alias("specialty"))
+
+
+@query("provider_tiers", "SELECT c_custkey AS k, CASE c_custkey % 8 WHEN 3 THEN 'Gold Plus (verify name match)' WHEN 4 THEN 'Platinum' WHEN 5 THEN 'Diamond' END AS tier FROM customer")
+def _(spark, sf):
+    return said(spark, sf).select("k", signals.tier("said", F.lit("Dr. Ann Weberling")).alias("tier"))
+
+
+@query("place_counts", "SELECT c_custkey AS k, CASE c_custkey % 8 WHEN 4 THEN '3' WHEN 5 THEN '2' WHEN 6 THEN 'Multiple' ELSE '1' END AS places FROM customer")
+def _(spark, sf):
+    return said(spark, sf).select("k", text.locations("said").alias("places"))
+
+
+@query("text_dumps", "SELECT c_custkey AS k, CASE WHEN c_custkey % 8 = 6 THEN '(210) 555-01' || lpad(CAST(c_custkey % 100 AS VARCHAR), 2, '0') END AS phone, CAST(CASE WHEN c_custkey % 8 = 6 THEN 4 + (c_custkey % 10) / 10.0 END AS DOUBLE) AS rating, CASE c_custkey % 8 WHEN 2 THEN 'Dental implants, Root canal' WHEN 4 THEN 'Oral surgery' WHEN 6 THEN 'Root canal, Veneers' END AS services FROM customer")
+def _(spark, sf):
+    return said(spark, sf).select("k", people.dump_fields("said").alias("d")).select("k", "d.phone", "d.rating", "d.services")
+
+
+@query("person_checks", """SELECT c_custkey AS k, [true, false, false, true, false, false, true, false][c_custkey % 8 + 1] AS person, [true, false, false, false, false, false, true, false][c_custkey % 8 + 1] AS found,
+ [NULL, 'Business term(s): Dental, Care', 'All uppercase', NULL, 'Contains digits', 'Single word — no first + last name', NULL, 'Empty / Not Found'][c_custkey % 8 + 1] AS reason FROM customer""")
+def _(spark, sf):
+    given = F.element_at(F.array(*[F.lit(n) for n in ("Dr. Anna Li, DDS", "Bright Dental Care Membership", "JOHN SMITH", "Anna Carey", "May 4 Smith", "Dentistry", "John Smith III", "")]), (F.col("c_custkey") % 8 + 1).cast("int"))
+    return load(spark, sf, "customer").select(F.col("c_custkey").alias("k"), given.alias("n")).select("k", names.is_person("n").alias("person"), names.is_found_name("n").alias("found"), names.bad_reason("n").alias("reason"))
+
+
+@query("staff_links", f"""
+WITH l AS (SELECT {HOST} AS host, regexp_replace(unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)), '#.*$', '') AS url FROM pages),
+ u AS (SELECT DISTINCT host, url FROM l WHERE regexp_matches(lower(url), 'team|doctor|staff|about|meet|provider|dentist|[05]') AND NOT regexp_matches(lower(regexp_replace(url, '^[a-zA-Z]+://[^/?#]*', '')), '^[^?#]*(/(?:blog|news|article|articles|post|posts|press|category|tag|author)(?:/|$)|/20[0-9]{{2}}/)'))
+SELECT host, url, rank FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY url) AS rank FROM u) WHERE rank <= 12""")
+def _(spark, sf):
+    links = load(spark, sf, "pages").select(urls.domain_key("url").alias("host"), F.explode(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1))).alias("href"))
+    # the made-up pages have few pages of teams: a mark in the text stands for one
+    links = links.withColumn("text", F.when(F.col("href").rlike("[05]"), F.lit("our team")).otherwise(F.lit("")))
+    return frontier.staff_links(links, ["host"])
+
+
+@query("fallback_cascade", f"""WITH b AS (SELECT pos, website, doctor_name, email, try_cast(invisalign AS INT) AS invisalign FROM ({BATCH})), p AS (SELECT *, (NOT {sql_missing('website', 'bypass')} AND {sql_missing('doctor_name', 'bypass')} AND {sql_missing('email', 'bypass')}) OR ({sql_missing('doctor_name', 'bypass')} AND {sql_missing('email', 'bypass')} AND coalesce(invisalign, 0) = 0) AS poor FROM b)
+SELECT pos, CASE WHEN poor AND {sql_missing('doctor_name', 'bypass')} THEN CASE WHEN pos % 2 = 0 THEN 'Dr. B' ELSE 'Dr. C' END WHEN poor THEN doctor_name ELSE doctor_name END AS doctor_name, CASE WHEN poor THEN 'c@x.org' ELSE email END AS email, CASE WHEN poor THEN 2 ELSE 0 END AS filled_from FROM p""")
+def _(spark, sf):
+    from .pipelines import cascade
+
+    first = batch(spark, sf).select("pos", "website", "doctor_name", "email", F.col("invisalign").try_cast("int").alias("invisalign"))
+    second = first.select("pos", F.when(F.col("pos") % 2 == 0, "Dr. B").alias("doctor_name"))
+    third = first.select("pos", F.lit("Dr. C").alias("doctor_name"), F.lit("c@x.org").alias("email"))
+    return cascade(first, second, third, key="pos").select("pos", "doctor_name", "email", "filled_from")
+
+
 # ---- what SQL can't express: parser, clusters (tested against brute force) ----------------------------
 
 

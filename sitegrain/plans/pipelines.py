@@ -163,3 +163,30 @@ def chain_locations(pages: DataFrame, states: DataFrame, people: DataFrame | Non
         rows = rows.join(people.groupBy(key).agg(F.sort_array(F.collect_set("person")).alias("d")), key, "left")
     lists = [F.when(F.size(c) > 0, F.col(c)) for c in ("a", "b", "c", *(["d"] if people is not None else []))]
     return rows.select(key, *fields, F.coalesce(*lists, F.array().cast("array<string>")).alias("people"))
+
+
+def cascade(primary: DataFrame, *fallbacks: DataFrame, key: str = "idx", policy: str = "bypass") -> DataFrame:
+    """Fallback acquisitions in order of trust: a practice that the first couldn't reach or found nothing of takes each missing field from the first fallback that has it.
+
+    Adds ``filled_from``: how many sources were needed (0: the first alone).
+    Practices that the first reached stay as they are.
+    """
+    from ..functions.missing import is_missing
+    from ..sources.listings import blocked, empty_result
+
+    counts = tuple(c for c in ("implants", "veneers", "invisalign", "whitening", "sedation") if c in primary.columns)
+    poor = primary.filter(blocked(primary, policy) | empty_result(counts, policy))
+    fields = [c for c in primary.columns if c != key]
+    filled = merge.fill_empty(poor, *[f.join(poor.select(key), key, "left_semi") for f in fallbacks], key=[key], policy=policy)
+    rank = None
+    for k, f in enumerate(fallbacks, 1):
+        known = F.lit(False)
+        for c in fields:
+            if c in f.columns:
+                known = known | ~is_missing(F.col(c), policy)
+        own = f.select(key, F.when(known, F.lit(k)).alias("k"))
+        rank = own if rank is None else rank.unionByName(own)
+    used = rank.groupBy(key).agg(F.max("k").alias("filled_from"))
+    rows = filled.select(key, *[F.col(c).cast(primary.schema[c].dataType).alias(c) for c in fields]).join(used, key, "left").withColumn("filled_from", F.coalesce("filled_from", F.lit(0)))
+    kept = primary.join(poor.select(key), key, "left_anti").withColumn("filled_from", F.lit(0))
+    return kept.unionByName(rows)

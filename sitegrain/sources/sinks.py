@@ -33,10 +33,6 @@ def rendered(rows: DataFrame) -> DataFrame:
     return rows.select(*[show(name, kind).alias(header) for header, name, kind, _ in WIDE])
 
 
-def doctor_names(doctors: Column | str) -> Column:
-    return F.array_join(F.transform(doctors, lambda d: d["name"]), ", ")
-
-
 def write_batch(rows: DataFrame, path: str) -> None:
     rendered(rows).write.mode("overwrite").option("header", True).csv(path)
 
