@@ -6,8 +6,9 @@ Two texts are the same document if they agree after Unicode normalisation
 documents: inside a bucket of equal hashes the bytes themselves are compared.
 
 Edge cases: a null text counts as empty; all texts without a visible character
-share one fingerprint; rows that repeat a ``doc_id`` are separate documents
-ordered by their text; a null ``doc_id`` sorts first; an empty table gives an
+share one fingerprint; rows that repeat a ``doc_id`` are separate documents,
+ordered by a hash of their text; a null ``doc_id`` sorts first and names no
+class (theirs is the smallest id of it, null if there is none); an empty table gives an
 empty result; extra columns are ignored.
 """
 
@@ -93,7 +94,7 @@ def exact_classes(docs: DataFrame, prints: DataFrame, id_col: str = "doc_id", te
     classes = classes.join(rank, "fingerprint").select("fingerprint", "canon", F.col("class_id").alias("__class"), F.concat(F.lit("-"), F.array_position("all", F.col("canon")).cast("string")).alias("__suffix"))
     told = split.join(classes, ["fingerprint", "canon"]).groupBy(F.col(id_col).alias("__id"), F.col("fingerprint").alias("__print")).agg(F.min("__suffix").alias("__suffix"), F.min("__class").alias("__class"))
     rows = merged.join(told, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("fingerprint") == F.col("__print")), "left")
-    new = {"fingerprint": F.concat("fingerprint", F.coalesce("__suffix", F.lit(""))).alias("fingerprint"), "class_id": F.coalesce("__class", "class_id").alias("class_id")}
+    new = {"fingerprint": F.concat("fingerprint", F.coalesce("__suffix", F.lit(""))).alias("fingerprint"), "class_id": F.when(F.col("__suffix").isNotNull(), F.col("__class")).otherwise(F.col("class_id")).alias("class_id")}
     return rows.select(*[new.get(c, F.col(c)) for c in merged.columns])
 
 
@@ -137,7 +138,10 @@ def spliced_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             yield batch_of(out)
 
     schema = "part int, doc_id long, n_chars long, fingerprint string, edited_sha256 string, edited_fingerprint string, near_edited double, near_next double, first boolean, last boolean, text binary"
-    sorted_docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), raw(text_col).alias("text")).repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one doc_id are parted by a hash of their text and their place in the table: no id makes a task of its own
+    order = ["doc_id", "tie", "row"]
+    keyed = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("tie"), F.monotonically_increasing_id().alias("row"), raw(F.col(f"`{text_col}`")).alias("text"))
+    sorted_docs = keyed.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order).select("doc_id", "text")
     rows = work.write(sorted_docs.mapInArrow(run, schema), "rows")
     chain = [r[0] for r in rows.filter("first").select("part").orderBy("part").collect()]  # one int a partition
     after = spark.createDataFrame(list(zip(chain, chain[1:] + chain[:1])), "part int, next_part int")
