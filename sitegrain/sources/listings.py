@@ -14,19 +14,28 @@ from ..schema import ALIASES, MANIFEST, NPI, PLACES, WIDE
 
 
 def with_position(rows: DataFrame, *order: str, name: str = "pos") -> DataFrame:
-    """Numbers rows from 1 by the given columns. The global order is the caller's wish (slices of a listing); a listing is small."""
-    return rows.withColumn(name, F.row_number().over(Window.orderBy(*order)))
-
-
-def canonical(rows: DataFrame, aliases: dict[str, list[str]] = ALIASES) -> DataFrame:
-    """Columns under their own names, whatever header they came with; missing ones are null, rows without an index go."""
+    """Numbers rows from 1 by the given columns, range by range: the ranges' sizes (a row a range) are counted first, then rows are numbered within each."""
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parted = rows.repartitionByRange(ranges, *order).withColumn("__part", F.spark_partition_id())
+    sizes = {r[0]: r[1] for r in parted.groupBy("__part").count().collect()}
+    before, total = [], 0
+    for k in range(ranges):
+        before.append(total)
+        total += sizes.get(k, 0)
+    offset = F.element_at(F.array(*[F.lit(n) for n in before]), F.col("__part") + 1)
+    within = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    return parted.withColumn(name, (offset + within).cast("long")).drop("__part")
+
+
+def canonical(rows: DataFrame, aliases: dict[str, list[str]] = ALIASES, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Columns under their own names, whatever header they came with; missing ones are null, rows without an index go; columns to ``keep`` stay."""
     have = {c.strip().lower(): c for c in rows.columns}
     cols = []
     for name, others in aliases.items():
         found = [F.col(f"`{have[a.lower()]}`").cast("string") for a in [name, *others] if a.lower() in have]
         value = F.coalesce(*found) if found else F.lit(None).cast("string")
         cols.append((value.try_cast("double").cast("int") if name == "idx" else F.trim(value)).alias(name))
-    return rows.select(*cols).filter("idx IS NOT NULL")
+    return rows.select(*cols, *keep).filter("idx IS NOT NULL")
 
 
 def read_practices(spark: SparkSession, path: str, start: int = 1, end: int | None = None) -> DataFrame:
@@ -35,16 +44,19 @@ def read_practices(spark: SparkSession, path: str, start: int = 1, end: int | No
     return rows.filter(F.col("pos").between(start, end if end is not None else 2**31 - 1))
 
 
+def batch_columns(texts: dict[str, Column]) -> list[Column]:
+    """The wide table's columns, typed, from its cells as texts."""
+    flag = lambda c: F.coalesce(F.upper(F.trim(c)).isin("X", "TRUE", "YES"), F.lit(False))
+    typed = lambda c, kind: flag(c) if kind == "boolean" else c.try_cast("double").cast(kind) if kind in ("int", "double") else c
+    return [typed(texts[name], kind).alias(name) for _, name, kind, _ in WIDE]
+
+
 def read_batch(spark: SparkSession, *paths: str) -> DataFrame:
     """Batch tables (CSV, wide headers) as typed rows; every file keeps its rows' order."""
     raw = spark.read.option("header", True).option("recursiveFileLookup", True).csv(list(paths))
     have = {c.strip().lower(): c for c in raw.columns}
-    flag = lambda c: F.upper(F.trim(c)).isin("X", "TRUE", "YES")
-    cols = []
-    for header, name, kind, _ in WIDE:
-        at = have.get(header.lower()) or have.get(name)
-        c = F.col(f"`{at}`") if at else F.lit(None).cast("string")
-        cols.append((F.coalesce(flag(c), F.lit(False)) if kind == "boolean" else c.try_cast("double").cast(kind) if kind in ("int", "double") else c).alias(name))
+    at = {name: have.get(header.lower()) or have.get(name) for header, name, _, _ in WIDE}
+    cols = batch_columns({name: F.col(f"`{c}`") if c else F.lit(None).cast("string") for name, c in at.items()})
     return raw.select(*cols, F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("pos")).filter("idx IS NOT NULL")
 
 

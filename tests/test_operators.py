@@ -190,6 +190,12 @@ def test_readers_and_writers(spark, tmp_path):
     assert sorted(r.url for r in listings.read_urls(lines).collect()) == ["http://a", "https://b"]
 
 
+def test_positions_over_ranges(spark):
+    rows = spark.range(0, 1000).selectExpr("(id * 7919) % 1000 AS v", "id % 3 AS tie").repartition(6)
+    got = sorted((r.pos, r.v) for r in listings.with_position(rows, "v", "tie").collect())
+    assert got == [(k + 1, k) for k in range(1000)]
+
+
 def test_batch_slices(spark):
     rows = spark.range(1, 401).withColumnRenamed("id", "pos")
     span = lambda *a: [f(r.pos for r in listings.batch_slice(rows, *a).collect()) for f in (min, max)]
