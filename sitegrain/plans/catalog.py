@@ -770,6 +770,27 @@ def _(spark, sf):
     return out.select("host", *[c for c in out.columns if c not in ("host", "doctors")], F.size("doctors").alias("n_doctors"))
 
 
+MADE_PAGES = """
+SELECT k, 1 AS page_ord, 'https://smile.co/' AS url, '<html><body><nav><a href="/services/implants">Implants</a></nav><p>Dental implant and veneer. ' || repeat('implant ', CAST(k % 8 AS INT)) || CASE WHEN k % 2 = 0 THEN 'We use CEREC.' ELSE 'Laser therapy.' END
+ || '</p><a href="mailto:' || CASE WHEN k % 3 = 0 THEN 'noreply@x.org' ELSE 'front' || CAST(k AS STRING) || '@smile.co' END || '">m</a><p>Call (210) 555-01' || lpad(CAST(k % 100 AS STRING), 2, '0') || '</p><a href="https://facebook.com/smile' || CAST(k AS STRING)
+ || '">f</a><div class="testimonial">Great ' || CAST(k % 2 AS STRING) || '</div><div class="testimonial">Great ' || CAST(k % 2 AS STRING) || '</div><div class="review">Loved it</div></body></html>' AS html FROM (SELECT c_custkey AS k FROM customer)
+UNION ALL SELECT k, 2, 'https://smile.co/team', '<html><body><h2>Dr. Jane Li, DDS</h2><p>An orthodontist. ADA member.</p>' || CASE WHEN k % 2 = 0 THEN '<h2>Dr. Bob Ray</h2><p>nothing</p>' ELSE '' END || '<h2>Our Office</h2><div class="team-member">Anna Lee, RDH our hygienist of many years</div></body></html>' FROM (SELECT c_custkey AS k FROM customer)
+UNION ALL SELECT k, 5000000, 'https://smile.co/#top', '<p>implant implant implant laser</p>' FROM (SELECT c_custkey AS k FROM customer)"""
+
+
+@query("made_extraction", """
+WITH c AS (SELECT c_custkey AS k, 1 + c_custkey % 8 AS n FROM customer)
+SELECT k, greatest(least(n, 5) + least(n + 1, 5), 3 + least(n + 1, 3)) AS implants, 2::BIGINT AS veneers, k % 2 = 0 AS cerec, true AS lasers, CASE WHEN k % 3 > 0 THEN 'front' || k || '@smile.co' END AS email, '(210) 555-01' || lpad(CAST(k % 100 AS VARCHAR), 2, '0') AS phone,
+ 'https://facebook.com/smile' || k AS facebook_url, 2 AS testimonials, 1::BIGINT AS hygienists, '1' AS locations_count, CASE WHEN k % 2 = 0 THEN 'Jane Li: Orthodontics (ADA) | Bob Ray:  ()' ELSE 'Jane Li: Orthodontics (ADA)' END AS doctors FROM c""")
+def _(spark, sf):
+    """Three stored pages a customer, one of them the first again under a fragment (its counts don't come twice, its flags do)."""
+    from .pipelines import extract
+
+    pages = spark.sql(MADE_PAGES.replace("FROM customer", "FROM {customer}"), customer=load(spark, sf, "customer"))
+    shown = F.array_join(F.transform("doctors", lambda d: F.concat(d["name"], F.lit(": "), F.coalesce(d["specialty"], F.lit("")), F.lit(" ("), F.array_join(d["associations"], ", "), F.lit(")"))), " | ")
+    return extract(pages, ["k"]).select("k", "implants", "veneers", "cerec", "lasers", "email", "phone", "facebook_url", "testimonials", "hygienists", "locations_count", shown.alias("doctors"))
+
+
 @query("batch_dedup")
 def _(spark, sf):
     from .pipelines import dedup_doctors
