@@ -719,12 +719,12 @@ def _(spark, sf):
 
 @query("staff_links", f"""
 WITH l AS (SELECT {HOST} AS host, regexp_replace(unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)), '#.*$', '') AS url FROM pages),
- u AS (SELECT DISTINCT host, url FROM l WHERE regexp_matches(lower(url), 'team|doctor|staff|about|meet|provider|dentist|[05]') AND NOT regexp_matches(lower(regexp_replace(url, '^[a-zA-Z]+://[^/?#]*', '')), '^[^?#]*(/(?:blog|news|article|articles|post|posts|press|category|tag|author)(?:/|$)|/20[0-9]{{2}}/)'))
+ u AS (SELECT DISTINCT host, url FROM l WHERE regexp_matches(lower(url), 'team|doctor|staff|about|meet|provider|dentist|th|de') AND NOT regexp_matches(lower(regexp_replace(url, '^[a-zA-Z]+://[^/?#]*', '')), '^[^?#]*(/(?:blog|news|article|articles|post|posts|press|category|tag|author)(?:/|$)|/20[0-9]{{2}}/)'))
 SELECT host, url, rank FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY url) AS rank FROM u) WHERE rank <= 12""")
 def _(spark, sf):
     links = load(spark, sf, "pages").select(urls.domain_key("url").alias("host"), F.explode(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1))).alias("href"))
     # the made-up pages have few pages of teams: a mark in the text stands for one
-    links = links.withColumn("text", F.when(F.col("href").rlike("[05]"), F.lit("our team")).otherwise(F.lit("")))
+    links = links.withColumn("text", F.when(F.lower("href").rlike("th|de"), F.lit("our team")).otherwise(F.lit("")))
     return frontier.staff_links(links, ["host"])
 
 
