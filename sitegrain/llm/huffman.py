@@ -233,8 +233,8 @@ def blocks_of(content: bytes) -> Iterator[tuple]:
         at += size + len(TRAILER)
 
 
-def read_files(spark, path: str) -> DataFrame:
-    """Every document of the files: ``doc_id, start, n_tokens, ids`` (little-endian u32)."""
+def read_files(spark, path: str, with_ids: bool = True) -> DataFrame:
+    """Every document of the files: ``doc_id, start, n_tokens, ids_crc32, ids`` (little-endian u32; null unless ``with_ids``)."""
     read = spark.read.format("binaryFile")
     lengths = np.frombuffer(read.load(f"{path}/codes").filter("length > 0").select("content").first()[0], np.uint8)[: -len(TRAILER)]  # a byte an id of the vocabulary
 
@@ -247,15 +247,15 @@ def read_files(spark, path: str) -> DataFrame:
                     held.append(block)
                     n += block[5]
                     if n >= AT_ONCE:
-                        yield documents_of(held, table)
+                        yield documents_of(held, table, with_ids)
                         held, n = [], 0
                 if held:
-                    yield documents_of(held, table)
+                    yield documents_of(held, table, with_ids)
 
-    return read.load(f"{path}/blocks").filter("length > 0").select("content").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return read.load(f"{path}/blocks").filter("length > 0").select("content").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
 
-def documents_of(blocks: list[tuple], table) -> pa.RecordBatch:
+def documents_of(blocks: list[tuple], table, with_ids: bool = True) -> pa.RecordBatch:
     base, offsets, counts = 0, [], []
     for _, _, _, payload, marks, n in blocks:
         offsets.append(marks.astype(np.int64) + 8 * base)
@@ -265,12 +265,13 @@ def documents_of(blocks: list[tuple], table) -> pa.RecordBatch:
     keys = [k for b in blocks for k in b[0]]
     sizes = np.concatenate([b[1] for b in blocks]).astype(np.int64)
     starts = np.concatenate([b[2] + np.cumsum(b[1].astype(np.int64)) - b[1] for b in blocks])
-    data, ends = ids.astype("<u4").tobytes(), np.cumsum(sizes) * 4
-    out = [data[e - 4 * s : e] for s, e in zip(sizes.tolist(), ends.tolist())]
-    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(out, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
+    data, ends = memoryview(ids.astype("<u4").tobytes()), np.cumsum(sizes) * 4
+    own = [data[e - 4 * s : e] for s, e in zip(sizes.tolist(), ends.tolist())]
+    out = pa.array([bytes(x) for x in own], pa.binary()) if with_ids else pa.nulls(len(own), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array([zlib.crc32(x) for x in own], pa.int64()), out], names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
 
 
 def query(spark, sf_dir, tokenizer: str | None = None):
     """op3: ids of every document, written to files and read back."""
     path = write_files(read_table(spark, sf_dir, "documents"), Workspace(spark, "op3"), tokenizer or default_path())
-    return read_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return read_files(spark, path, with_ids=False).drop("ids")
