@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import fingerprint, huffman, language, mixing, neighbours, packing, pii, separators, simhash, toxicity
+from . import fingerprint, huffman, language, mixing, neighbours, packing, pii, quantiles, separators, simhash, toxicity
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_neighbours": neighbours.query,
     "op9_separators": separators.query,
     "op10_toxicity": toxicity.query,
+    "op12_quantiles": quantiles.query,
 }
 
 #: The others compute hashes, token ids or learned models that SQL has no function for; tests hold them against brute force.
