@@ -13,7 +13,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Number of rows up to which a keyed table of a few longs may be broadcast
@@ -89,3 +89,21 @@ def once(value: Column, make: Callable[[Column], Column]) -> Column:
 def bucket_of(id_col: str, modulus: int) -> Column:
     """crc32 of the id as text, mod a number: the fold of a row; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def running(df: DataFrame, keys: list[str], order: list[str], work: Workspace, name: str, **what: tuple[Callable, Column]) -> DataFrame:
+    """Adds running aggregates over each key's rows in an order, a row's own included: ``column=(F.sum or F.bit_xor, of what)``.
+
+    A key's rows need not fit a task: rows are dealt by ranges of key and
+    order and added up in each range; what the ranges before hold of a key, a
+    row a key and range, comes on top. ``order`` should tell all rows of a key
+    apart, as equal rows share a task. Needs no column named ``range``.
+    """
+    ranged = work.write(df.repartitionByRange(shuffle_partitions(work.spark), *keys, *order).withColumn("range", F.spark_partition_id()), name)
+    inside = Window.partitionBy("range", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("range", *keys).agg(*[f(c).alias(n) for n, (f, c) in what.items()], F.lit(1).alias("__sg_one"))
+    totals = totals.select("range", *keys, *[f(n).over(before).alias(f"__sg_{n}") for n, (f, _) in what.items()], F.sum("__sg_one").over(before).alias("__sg_on")).filter("__sg_on is not null").drop("__sg_on")
+    rows = ranged.withColumns({n: f(c).over(inside) for n, (f, c) in what.items()}).join(totals, ["range", *keys], "left")
+    own = {n: F.col(n).bitwiseXOR(F.coalesce(f"__sg_{n}", F.lit(0))) if f is F.bit_xor else F.col(n) + F.coalesce(f"__sg_{n}", F.lit(0)) for n, (f, _) in what.items()}
+    return rows.withColumns(own).select(*df.columns, *what)

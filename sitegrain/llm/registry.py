@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import fingerprint, huffman, language, mixing, neighbours, packing, pii, quantiles, separators, simhash, toxicity
+from . import fingerprint, huffman, language, mixing, neighbours, packing, pii, quantiles, separators, simhash, toxicity, trie
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -19,7 +19,8 @@ QUERIES = {
     "op9_separators": separators.query,
     "op10_toxicity": toxicity.query,
     "op12_quantiles": quantiles.query,
+    "op13_trie": trie.query,
 }
 
 #: The others compute hashes, token ids or learned models that SQL has no function for; tests hold them against brute force.
-ORACLES: dict[str, str] = {"op8_neighbours": neighbours.ORACLE}
+ORACLES: dict[str, str] = {"op8_neighbours": neighbours.ORACLE, "op13_trie": trie.ORACLE}
