@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import fingerprint, huffman, language, mixing, neighbours, packing, pii, quantiles, separators, simhash, toxicity, trie
+from . import fingerprint, huffman, language, language_model, mixing, neighbours, packing, pii, quantiles, separators, simhash, toxicity, trie
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_neighbours": neighbours.query,
     "op9_separators": separators.query,
     "op10_toxicity": toxicity.query,
+    "op11_log_bilinear": language_model.query,
     "op12_quantiles": quantiles.query,
     "op13_trie": trie.query,
 }
