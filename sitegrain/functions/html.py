@@ -19,12 +19,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..rules import REVIEW_DATA_MARKS, REVIEW_MARKS
+
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCK = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table ul".split())
 SILENT = frozenset(("script", "style", "noscript"))
 CHROME = frozenset(("nav", "header", "footer"))
 CHROME_CLASS = re.compile(r"(?:^|[-_ ])(?:menu|nav|navbar|sidebar|breadcrumb|footer|header)(?:$|[-_ ])")
-REVIEW_CLASS = re.compile(r"testimonial|review|quote|feedback")
+#: What may mark a testimonial under any policy: a class or id, a data attribute's value, an item property. ``rules`` has the policies' own.
+REVIEW_MARK = re.compile("|".join(REVIEW_MARKS), re.I)
+REVIEW_DATA = re.compile("|".join((*REVIEW_MARKS, *REVIEW_DATA_MARKS)), re.I)
+REVIEW_CHARS = 200
 CARD_CLASS = re.compile(r"team|staff|member|provider|doctor|bio|person|profile")
 ATTRIBUTES = ("title", "aria-label", "alt", "placeholder", "data-title", "data-label")
 META = ("description", "keywords", "og:title", "og:description", "twitter:title", "twitter:description")
@@ -33,8 +38,9 @@ EMAIL = re.compile(r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}")
 HIDDEN = re.compile(r"(?:data-cfemail=\"|/email-protection#)([0-9a-fA-F]+)")
 
 SCHEMA = (
-    "title string, text string, body_text string, aug_text string, headings array<struct<level:int,text:string,after:string>>, links array<struct<href:string,text:string,same_host:boolean>>,"
-    " mailtos array<string>, hidden array<string>, jsonld array<string>, reviews array<struct<tag:string,mark:string,text:string>>, quotes array<string>, cards array<string>, contacts array<string>"
+    "title string, text string, body_text string, aug_text string, headings array<struct<level:int,text:string,after:string>>, links array<struct<href:string,text:string,same_host:boolean,pre:int>>,"
+    " mailtos array<string>, hidden array<string>, jsonld array<string>, reviews array<struct<tag:string,cls:string,id:string,data:string,item:string,text:string>>, quotes array<string>, cards array<string>, contacts array<string>,"
+    " elements array<struct<pre:int,last:int,depth:int,tag:string,cls:string,start:int,stop:int>>"
 )
 SPACE = re.compile(r"\s+")
 
@@ -44,18 +50,23 @@ def squeeze(text: str) -> str:
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parts", "chrome")
+    __slots__ = ("tag", "attrs", "parts", "chrome", "pre", "first")
 
-    def __init__(self, tag: str, attrs: dict, chrome: bool):
-        self.tag, self.attrs, self.parts, self.chrome = tag, attrs, [], chrome
+    def __init__(self, tag: str, attrs: dict, chrome: bool, pre: int = 0, first: int = 0):
+        self.tag, self.attrs, self.parts, self.chrome, self.pre, self.first = tag, attrs, [], chrome, pre, first
 
 
 class Page(HTMLParser):
-    """Collects texts per open element; an element's text goes to its parent when it closes."""
+    """Collects texts per open element; an element's text goes to its parent when it closes.
+
+    Elements are numbered in the order they open; a closed one is told with the
+    number of the last element inside it and with its parts of the page's text,
+    so that what lies in what is a comparison of numbers.
+    """
 
     def __init__(self, url: str = ""):
         super().__init__(convert_charrefs=True)
-        self.url, self.stack = url, [Node("", {}, False)]
+        self.url, self.stack, self.opened, self.elements = url, [Node("", {}, False)], 0, []
         self.silent, self.script = 0, None
         self.text, self.body, self.extra = [], [], []
         self.title, self.headings, self.links, self.mailtos, self.hidden = [], [], [], [], []
@@ -79,7 +90,8 @@ class Page(HTMLParser):
             self.hidden.append(own["data-cfemail"])
         if tag not in VOID:
             chrome = self.stack[-1].chrome or tag in CHROME or bool(CHROME_CLASS.search(own.get("class", "").lower()))
-            self.stack.append(Node(tag, own, chrome))
+            self.opened += 1
+            self.stack.append(Node(tag, own, chrome, self.opened, len(self.text)))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -116,6 +128,7 @@ class Page(HTMLParser):
             node = self.stack.pop()
             text = " ".join(node.parts)
             self.stack[-1].parts += node.parts
+            self.elements.append((node.pre, self.opened, len(self.stack), node.tag, node.attrs.get("class", "").lower(), node.first, len(self.text)))
             self.done(node, text)
 
     def done(self, node: Node, text: str) -> None:
@@ -136,13 +149,13 @@ class Page(HTMLParser):
                 except ValueError:
                     full, same = href, False
                 if not href.lower().startswith(("javascript:", "tel:")):
-                    self.links.append((full, text, same))
+                    self.links.append((full, text, same, node.pre))
                     if same:
                         self.extra += [w for w in re.split(r"[^A-Za-z]+", urlsplit(full).path) if w]
         if text:
-            mark = " ".join([attrs.get("class", ""), attrs.get("id", ""), *(f"{a}={v}" for a, v in attrs.items() if a.startswith("data-")), "itemprop-review" if attrs.get("itemprop") == "review" else ""]).strip().lower()
-            if mark and REVIEW_CLASS.search(mark):
-                self.reviews.append((tag, mark, text))
+            cls, ident, data, item = attrs.get("class", ""), attrs.get("id", ""), "\n".join(v for a, v in attrs.items() if a.startswith("data-")), attrs.get("itemprop", "")
+            if REVIEW_MARK.search(cls) or REVIEW_MARK.search(ident) or REVIEW_DATA.search(data) or "review" in item.lower():
+                self.reviews.append((tag, cls.lower(), ident.lower(), data.lower(), item.lower(), text[:REVIEW_CHARS]))
             if tag == "blockquote":
                 self.quotes.append(text)
             if tag in ("div", "section", "footer") and CONTACT_CLASS.search(attrs.get("class", "").lower()) and (found := EMAIL.search(text)):
@@ -198,11 +211,16 @@ def parse(html: str | None, url: str | None = "") -> dict:
         except (ValueError, RecursionError):
             continue
     page.extra += [w for w in re.split(r"[^A-Za-z]+", urlsplit(url or "").path) if w] if url else []
-    text = " ".join(page.text)
+    text, at, ends = " ".join(page.text), [0], [0]
+    for part in page.text:  # where parts begin and end in the text
+        ends.append(at[-1] + len(part))
+        at.append(ends[-1] + 1)
+    elements = [(pre, last, depth, tag, cls, at[a] if b > a else min(at[a], len(text)), ends[b] if b > a else min(at[a], len(text))) for pre, last, depth, tag, cls, a, b in sorted(page.elements)]
     return {
         "title": " ".join(page.title) or None, "text": text, "body_text": " ".join(page.body).lower(), "aug_text": squeeze(" ".join([text, *page.extra])).lower(),
-        "headings": [{"level": a, "text": b, "after": c.strip()} for a, b, c in page.headings], "links": [{"href": a, "text": b, "same_host": c} for a, b, c in page.links],
-        "mailtos": page.mailtos, "hidden": page.hidden, "jsonld": page.jsonld, "reviews": [{"tag": a, "mark": b, "text": c} for a, b, c in page.reviews], "quotes": page.quotes, "cards": page.cards, "contacts": page.contacts,
+        "headings": [{"level": a, "text": b, "after": c.strip()} for a, b, c in page.headings], "links": [dict(zip(("href", "text", "same_host", "pre"), x)) for x in page.links],
+        "mailtos": page.mailtos, "hidden": page.hidden, "jsonld": page.jsonld, "reviews": [dict(zip(("tag", "cls", "id", "data", "item", "text"), x)) for x in page.reviews], "quotes": page.quotes, "cards": page.cards, "contacts": page.contacts,
+        "elements": [dict(zip(("pre", "last", "depth", "tag", "cls", "start", "stop"), x)) for x in elements],
     }
 
 

@@ -11,10 +11,17 @@ from .text import once
 NAME = r"[A-ZÀ-Þ][a-zà-ÿ'-]+(?: [A-ZÀ-Þ]\.?)?(?: [A-ZÀ-Þ][a-zà-ÿ'-]+){1,2}"
 TITLED = rf"Dr\.? +({NAME})"
 CREDENTIALED = rf"({NAME}),? +(?:DDS|DMD|D\.D\.S\.?|D\.M\.D\.?)(?:[^A-Za-z]|$)"
-#: Headings of articles, not of people.
-ARTICLE = r"(?i)^(?:how|why|what|when|where|top|best|[0-9]+ (?:ways|tips|reasons|things|signs)|the (?:benefits|importance)|benefits of|guide to|understanding)\b|\?$"
-HINT_STEMS = r"dent|dont|implant|surg|orth|cosmetic|pediatric|prostho|perio|endo|general"
-HINT_NAV = r"(?i)^(?:home|menu|about|contact|services|our team|meet|learn more|read more|book|call)"
+# Phrases of articles' headings; stems that tell a field; parts of navigation; credentials that end a name.
+ARTICLE_PHRASES = (
+    "conversation with", "interview with", "Q&A with", "QA with", "candid talk with", "written by", "featuring dr", "spotlight on", "in the words of", "a chat with", "a day in the life of", "behind the mask",
+    "behind the desk", "getting to know dr", "ask the dr", "ask dr",
+)
+HINT_STEMS = (
+    "dentistry", "dentist", "dds", "dmd", "orthodon", "periodon", "endodon", "prosthodon", "oral surg", "hygien", "implant", "cosmetic", "pediatric", "restorat", "preventi", "specialist", "surgeon", "general", "family",
+    "comprehensive", "aesthetic", "esthetic", "holistic", "biolog", "invisalign", "aligner", "prosthet",
+)
+NAVIGATION = ("about us", "our dent", "our doctor", "meet the", "meet our", "our team", "our staff", "our provider", "patient portal", "request appoint")
+NAME_ENDS = ("DDS", "DMD", "MD", "MS", "FAGD", "MAGD", "FICOI")
 
 
 def _col(c: Column | str) -> Column:
@@ -78,35 +85,25 @@ def names_in_headings(headings: Column | str, most: int = 12) -> Column:
     return names_in(F.array_join(F.transform(own, lambda h: h["text"]), " ; "), most)
 
 
-def is_article(heading: Column | str) -> Column:
-    return F.coalesce(_col(heading).rlike(ARTICLE), F.lit(False))
-
-
-def is_hint(text: Column | str) -> Column:
-    """Whether a short line after a name can tell a field: a telling stem, no navigation, no credential alone."""
-    t = F.trim(F.coalesce(_col(text), F.lit("")))
-    return (t != "") & (F.length(t) <= 90) & F.lower(t).rlike(HINT_STEMS) & ~t.rlike(HINT_NAV) & ~t.rlike(r"^(?:DDS|DMD|MD|PhD)[., ]*$")
-
-
-def hint_after(heading: Column) -> Column:
-    """The first sentence after a heading, if it is a hint."""
-    first = F.trim(F.regexp_extract(heading["after"], r"^([^.|•\n]{0,90})", 1))
-    return F.when(is_hint(first), first)
+def _plain(text: Column | str) -> Column:
+    return F.lower(F.regexp_replace(F.trim(F.coalesce(_col(text), F.lit(""))), r"\s+", " "))
 
 
-def bio_block(blocks: Column | str, name: Column | str, page_chars: Column | int, most: int = 200) -> Column:
-    """The first of a page's blocks that speaks of a person: over 100 characters, less than 85 % of the page."""
-    last = last_name(name)
-    whole = F.lit(page_chars) if isinstance(page_chars, int) else page_chars
-    fits = F.filter(F.slice(_col(blocks), 1, most), lambda b: (last != "") & F.contains(F.lower(b), last) & (F.length(b) > 100) & (F.length(b) < whole * 0.85))
-    return F.try_element_at(fits, F.lit(1))
+def is_article(heading: Column | str) -> Column:
+    """Whether a heading is an article's: one of the phrases stands in it, as words."""
+    phrases = "|".join(p.lower().replace("dr", "dr\\.?") if p.endswith("dr") else p.lower() for p in ARTICLE_PHRASES)
+    return _plain(heading).rlike(rf"(^|[^a-z0-9])(?:{phrases})($|[^a-z0-9])")
 
 
-def scoped_text(headings: Column | str, name: Column | str) -> Column:
-    """What stands between the heading with a person's last name and the next heading."""
-    last = last_name(name)
-    own = F.filter(_col(headings), lambda h: (last != "") & F.contains(F.lower(h["text"]), last))
-    return F.when(F.size(own) > 0, F.element_at(own, 1)["after"])
+def is_hint(text: Column | str) -> Column:
+    """Whether a short line beside a name can tell a field: 5 to 90 characters, a word with a telling stem, no navigation, no name with its credential.
+
+    Stems may have endings ("orthodontist"), which a whole-word search would miss.
+    """
+    t = _plain(text)
+    told = F.exists(F.array(*[F.lit(f" {s}") for s in HINT_STEMS]), lambda s: F.contains(F.concat(F.lit(" "), F.regexp_replace(t, "[^a-z]+", " ")), s))
+    passed = F.exists(F.array(*[F.lit(x) for x in NAVIGATION]), lambda x: F.contains(t, x)) | t.rlike(r"(^|[^a-z])home($|[^a-z])")
+    return F.length(t).between(5, 90) & told & ~passed & ~t.rlike(rf",\s*(?:{'|'.join(NAME_ENDS).lower()})($|[^a-z])")
 
 
 def fuller_name(name: Column | str, headings: Column | str) -> Column:

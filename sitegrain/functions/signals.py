@@ -104,16 +104,22 @@ def place_text_pick(candidates: Column | str, city: Column | str, state: Column
     return F.when(F.size(near) > 0, F.element_at(near, 1))
 
 
-FOLLOWER_KEYS = ("follower_count", "followers_count", "fan_count", "subscriber_count", "edge_followed_by.count", "followerCount", "page_likers", "likers_count", "global_likers_count")
+# What stands before a page's number of followers in its data, in order of trust.
+FOLLOWER_MARKS = (
+    r'"followers_count"\s*:\s*', r'"fan_count"\s*:\s*', r'"subscriber_count"\s*:\s*', r'"like_count"\s*:\s*', r'"page_likers"\s*:\s*\{"count"\s*:\s*', r'"likers"\s*:\s*\{"count"\s*:\s*',
+    r'"profile_plus_follower_count"\s*:\s*', r'"connected_users_count"\s*:\s*',
+)
+SOCIAL_CONTEXT = r'(?i)"social_context"[^}]*?"([0-9]+)\s*(?:people\s+)?follow'
 
 
 def facebook_followers(html: Column | str) -> Column:
-    """JSON keys in order (above 0), then "N followers", then "N likes"; compact forms count."""
+    """Numbers in data in order (each mark's first, above 0), then "N followers", then "N likes"; compact forms count."""
     from .formats import from_compact
 
     h = F.coalesce(_col(html), F.lit(""))
-    keys = [F.when(_count(_one(h, rf'"{k}"\s*:\s*"?([0-9]+)')) > 0, _count(_one(h, rf'"{k}"\s*:\s*"?([0-9]+)'))) for k in FOLLOWER_KEYS]
-    return F.coalesce(*keys, from_compact(_one(h, r"(?i)([0-9][0-9.,]*[KMB]?) followers")), from_compact(_one(h, r"(?i)([0-9][0-9.,]*[KMB]?) likes")))
+    told = [_one(h, rf"(?i){mark}([0-9]+)") for mark in FOLLOWER_MARKS] + [_one(h, SOCIAL_CONTEXT)]
+    seen = lambda verb: from_compact(_one(h, rf"(?i)([0-9,]+(?:\.[0-9]+)?[KMB]?)\s*(?:people\s+)?{verb}"))
+    return F.coalesce(*[_bound(_count(n), lambda v: v > 0) for n in told], seen("follow"), seen("like"))
 
 
 def instagram_counts(html: Column | str) -> Column:
@@ -164,18 +170,25 @@ def tier(text: Column | str, name: Column | str, reach: int = 600) -> Column:
     return once(F.struct(F.lower(F.coalesce(_col(text), F.lit(""))).alias("low"), words.alias("words")), told)
 
 
+# How texts tell a number of hygienists, and a hygienist's credential.
+HYGIENIST_NUMBERS = (
+    r"\b([0-9]+)\s+(?:registered\s+)?(?:dental\s+)?hygienists?", r"\b([0-9]+)\s+r\.?d\.?h\.?s?\b", r"hygienists?\s*(?:on\s+(?:staff|our\s+team|the\s+team))?[:\s]+([0-9]+)",
+    r"\b([0-9]+)\s+(?:licensed\s+)?dental\s+hygiene\s+(?:specialists?|therapists?|professionals?)",
+)
+HYGIENIST_TITLE = r"(?i:R\.?D\.?H\.?|BSDH|RDHAP|Registered\s+Dental\s+Hygienist|Licensed\s+Dental\s+Hygienist|Dental\s+Hygienist)"
+FULL_NAME = r"[A-Z][a-z]+(?:\s+[A-Z]\.?)?\s+[A-Z][a-z]+"
+
+
 def hygienists(text: Column | str) -> Column:
-    """Number of hygienists a text tells: a number, else distinct full names, else distinct first names with the credential; NULL if none.
+    """Number of hygienists a text tells: a number, else distinct full names before the credential, else distinct first names before it; NULL if none.
 
-    Names are looked for in cased text.
+    Names are looked for in cased text, so a sentence about "our gentle dental
+    hygienist" names nobody.
     """
     t = F.coalesce(_col(text), F.lit(""))
-    said = _count(_one(F.lower(t), r"([0-9]{1,2}) (?:dental |registered |experienced )*hygienists"))
-    words = ("two", "three", "four", "five", "six", "seven", "eight", "nine", "ten")
-    word = F.array_position(F.array(*[F.lit(w) for w in words]), F.regexp_extract(F.lower(t), rf"({'|'.join(words)}) (?:dental |registered |experienced )*hygienists", 1)) + 1
-    names = lambda p: F.size(F.array_distinct(F.transform(F.regexp_extract_all(t, F.lit(p), F.lit(1)), lambda n: F.lower(n))))
-    full, first = names(r"([A-Z][a-z]+ [A-Z][a-z]+),? (?:RDH|R\.D\.H\.)"), names(r"([A-Z][a-z]+),? (?:RDH|R\.D\.H\.)")
-    return F.coalesce(said, F.when(word > 1, word), F.when(full > 0, full), F.when(first > 0, first)).cast("long")
+    said = F.coalesce(*[_count(_one(t, f"(?i){p}")) for p in HYGIENIST_NUMBERS])
+    names = lambda p: F.nullif(F.size(F.array_distinct(F.transform(F.regexp_extract_all(t, F.lit(p), F.lit(1)), lambda n: F.lower(n)))), F.lit(0))
+    return F.coalesce(said, names(rf"({FULL_NAME})\s*,?\s*{HYGIENIST_TITLE}"), names(rf"\b([A-Z][a-z]{{2,}})\s*,?\s+{HYGIENIST_TITLE}")).cast("long")
 
 
 def json_find(json: Column | str, key: str, paths: tuple[str, ...] = ()) -> Column:

@@ -125,7 +125,10 @@ def first_street(text: Column | str) -> Column:
 # Statuses and marks of pages that a guard put in the page's place.
 BLOCKED_STATUS = (202, 403, 429, 503)
 CHALLENGE_MARKS = ("sgcaptcha", "robot challenge", "just a moment", "checking your browser", "cloudflare", "cf-ray", "enable javascript", "web server is returning an unknown error")
-LOGIN_MARKS = {"facebook": ("you must log in to continue", "log in to facebook"), "instagram": ("log in to instagram", "loginform")}
+LOGIN_MARKS = {
+    "facebook": ("log in to facebook", "log into facebook", "you must log in", "you must be logged in", '"loginrequired":true', "checkpoint/block"),
+    "instagram": ("log in to instagram", "loginform"),
+}
 
 
 def is_challenge(html: Column | str, status: Column | None = None, url: Column | None = None, reach: int = 2000) -> Column:

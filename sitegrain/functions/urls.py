@@ -38,9 +38,15 @@ def path(url: Column | str) -> Column:
 
 
 def variants(url: Column | str) -> Column:
-    """Spellings to try, in order: as given, with and without www, over http."""
-    bare = F.concat(domain_key(url), path(url))
-    return F.array_distinct(F.array(with_scheme(url), F.concat(F.lit("https://www."), bare), F.concat(F.lit("https://"), bare), F.concat(F.lit("http://www."), bare), F.concat(F.lit("http://"), bare)))
+    """Spellings to try, in order: as given; the other of www and bare over https; both over http; with "dental." where a host says "dent."."""
+    host = F.regexp_extract(with_scheme(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)
+    bare, rest = F.regexp_replace(host, r"^www\.", ""), F.when(path(url) == "", F.lit("/")).otherwise(path(url))
+    made = lambda scheme, h: F.concat(F.lit(scheme), h, rest)
+    www = F.concat(F.lit("www."), bare)
+    other = F.when(host == bare, F.array(made("https://", www), made("http://", bare), made("http://", www))).otherwise(F.array(made("https://", bare), made("http://", bare), made("http://", www)))
+    full = F.regexp_replace(bare, r"^(.*?)dent\.", "$1dental.")
+    longer = F.when(F.contains(bare, F.lit("dent.")) & ~F.contains(bare, F.lit("dental.")), F.array(made("https://", full), made("https://www.", full))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(F.array(with_scheme(url)), other, longer))
 
 
 def username(url: Column | str) -> Column:
@@ -70,43 +76,59 @@ def slug_address(slug: Column | str) -> Column:
     return F.array_join(F.transform(F.filter(F.split(F.lower(_col(slug)), "-"), lambda w: w != ""), lambda w: F.coalesce(words[w], F.initcap(w))), " ")
 
 
-# Hosts and paths of profile pages, and what isn't a profile.
-PROFILE_HOSTS = {"facebook": r"(?:[a-z-]+\.)?(?:facebook|fb)\.com", "instagram": r"(?:www\.)?instagram\.com", "tiktok": r"(?:www\.)?tiktok\.com", "linkedin": r"(?:[a-z]{2,3}\.)?linkedin\.com"}
-NOT_PROFILES = ("sharer", "share", "plugins", "dialog", "intent", "tr", "login", "explore", "p", "reel", "watch", "events", "groups", "hashtag", "policies", "help", "wix", "squarespace", "godaddy", "wordpress")
-CORPORATE_SLUGS = ("linkedin", "microsoft", "google", "facebook", "wix-com", "squarespace", "godaddy")
-
-
-def profile_pattern(site: str) -> str:
-    return rf"https?://(?:www\.)?{PROFILE_HOSTS[site]}/[A-Za-z0-9@._/-]+"
+SITES = ("facebook", "instagram", "tiktok", "linkedin")
+# Begins of paths that are no profile (a trailing $ marks a whole path).
+NOT_PROFILES = (
+    "/plugins/", "/feeds/", "/tr/", "/events$", "/events/$", "/groups$", "/groups/$", "/pages$", "/pages/$", "/photo/", "/video/", "/watch", "/gaming", "/marketplace", "/dialog/", "/l.php", "/login", "/policy",
+    "/explore", "/reels$", "/reels/$",
+)
+# Parts of addresses in raw markup that share something or belong to a builder of sites.
+NOT_OWN = ("sharer", "/share", "intent/tweet", "api.", "/policy", "/help", "/login", "/signup", "/apps", "oauth", "/squarespace", "/wix.com", "/weebly", "/godaddy", "/wordpress", "/webflow", "/jimdo")
+# Companies above practices, as LinkedIn names them.
+PARENT_COMPANIES = (
+    "smile-brands-inc", "smile-brands", "dental-care-alliance", "dental-care-alliance-inc", "heartland-dental", "aspen-dental-management", "pacific-dental-services", "midwest-dental", "western-dental-services",
+    "dentalworks", "great-expressions-dental-centers", "kool-smiles", "mb2-dental", "mb2-dental-solutions", "sage-dental", "advantage-dental", "brident-dental", "bright-now-dental", "castle-dental", "monarch-dental",
+    "comfort-dental", "greenberg-dental", "christie-dental", "leap-kids-dental", "merit-dental", "familia-dental", "dental-depot", "perfect-teeth", "western-dental", "towncare-dental", "smiledirectclub", "dentalcorp",
+    "clear-choice-dental-implant-centers", "affordable-care",
+)
 
 
 def is_profile(url: Column | str, site: str) -> Column:
-    u = F.lower(_col(url))
-    first = F.regexp_extract(path(u), r"^/@?([a-z0-9._-]+)", 1)
-    fine = u.rlike(f"^{profile_pattern(site).lower()}$".replace("a-za-z", "a-z")) & (first != "") & ~first.isin(*NOT_PROFILES)
+    """Whether an address is a profile on a site: a path whose first part has a letter, no path of the site's own, no parent company."""
+    low = F.lower(F.coalesce(_col(url), F.lit("")))
+    way = F.regexp_extract(low, r"^(?:[a-z][a-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
+    first = F.element_at(F.split(F.regexp_replace(way, "^/+", ""), "/"), 1)
+    own = F.exists(F.array(*[F.lit(p) for p in NOT_PROFILES]), lambda p: F.when(F.endswith(p, F.lit("$")), way == F.rtrim(p, F.lit("$"))).otherwise(F.startswith(way, p)))
+    fine = F.contains(low, F.lit(f"{site}.com")) & first.rlike("[a-z]") & ~way.rlike("^/[0-9]{4}/") & ~own
     if site == "linkedin":
-        fine = fine & path(u).rlike("^/(?:company|in|school)/[a-z0-9%._-]+") & ~F.regexp_extract(path(u), r"^/(?:company|in|school)/([a-z0-9%._-]+)", 1).isin(*CORPORATE_SLUGS)
-    return F.coalesce(fine, F.lit(False))
+        fine = fine & ~F.rtrim(F.regexp_replace(F.regexp_extract(low, r"linkedin\.com/company/([^/?#]+)", 1), r"^\.+|\.+$", ""), F.lit("-")).isin(*PARENT_COMPANIES)
+    return fine
 
 
 def first_profile(html: Column | str, site: str) -> Column:
-    """The first valid profile address in raw markup."""
-    found = F.regexp_extract_all(F.coalesce(_col(html), F.lit("")), F.lit(f"({profile_pattern(site)})"), F.lit(1))
-    found = F.filter(found, lambda u: is_profile(u, site))
-    return F.when(F.size(found) > 0, F.element_at(found, 1))
+    """The first profile's address in raw markup that shares nothing and is no builder's."""
+    found = F.regexp_extract_all(F.coalesce(_col(html), F.lit("")), F.lit(rf"((?i)https?://(?:www\.)?{site}\.com/[a-z0-9._\-/@%]+)"), F.lit(1))
+    found = F.transform(found, lambda u: F.rtrim(u, F.lit("/")))
+    strange = lambda u: F.exists(F.array(*[F.lit(x) for x in NOT_OWN]), lambda x: F.contains(F.lower(u), x))
+    return F.try_element_at(F.filter(found, lambda u: is_profile(u, site) & ~strange(u)), F.lit(1))
 
 
-CONTENT_PATH = r"/(?:blog|news|article|articles|post|posts|press|category|tag|author)(?:/|$)|/20[0-9]{2}/"
-PORTAL_HOST = r"(?:^|\.)(?:facebook|yelp|google|healthgrades|zocdoc|yellowpages|mapquest|linkedin|instagram|webmd)\.[a-z.]+$"
+# Parts of paths under which articles stand, and of addresses that aren't a practice's own site.
+CONTENT_PARTS = (
+    "news", "blog", "blogs", "article", "articles", "post", "posts", "press-release", "press", "media", "updates", "announcements", "events", "resources", "newsletter", "podcast", "dental-tips", "dental-blog",
+    "health-tips", "patient-education", "dental-care-tips", "case-stud",
+)
+PORTALS = ("kaiser", "healthgrades", "zocdoc", "vitals.com", "yelp.com", "google.com", "doctors-locations", "find-a-physician", "find-a-doctor", "kyruus", "adventhealth.com/find", "mdvip", "webmd")
 
 
 def is_content(url: Column | str) -> Column:
     """Blog and news pages: not a place to look for staff."""
-    return F.coalesce(F.lower(path(url)).rlike(CONTENT_PATH), F.lit(False))
+    return F.coalesce(F.lower(_col(url)).rlike(f"/(?:{'|'.join(CONTENT_PARTS)})(?:/|$)"), F.lit(False))
 
 
 def is_portal(url: Column | str) -> Column:
-    return F.coalesce(netloc(url).rlike(PORTAL_HOST), F.lit(False))
+    """Addresses of portals and directories."""
+    return F.coalesce(F.exists(F.array(*[F.lit(p) for p in PORTALS]), lambda p: F.contains(F.lower(_col(url)), p)), F.lit(False))
 
 
 def folder_slug(name: Column | str, index: Column | None = None) -> Column:

@@ -1,7 +1,7 @@
 """Features of a practice out of its pages' texts, by rule packs and policies.
 
 Input is a table with a row a page: a key, an order, ``url``, and texts. Counts
-and flags are computed per page with array literals of the vocabulary (no row
+and flags are computed per page by one pass of all words over its texts (no row
 blow-up, no join), then summed by key with map-side partial aggregation.
 """
 
@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.formats import title
-from ..functions.text import any_keyword, count_keyword, keyword_sum, once, whole_word
+from ..functions.keywords import capped_sum, hits, listed, of_category
+from ..functions.text import any_keyword, keyword_sum, once, whole_word
 from ..functions.urls import without_fragment
 from ..rules import ASSOCIATIONS, BROAD_SPECIALTIES, CASED_CODES, COUNT_POLICIES, EDUCATION, EDUCATION_WORDS, FALLBACK, FLAG_POLICIES, NO_CODES, SERVICES, SPECIALTIES, TECHNOLOGY, TESTIMONIAL_POLICIES, WHOLE_WORDS
 
@@ -27,27 +28,37 @@ def one_per_page(pages: DataFrame, key: list[str], policy: str, url: str = "url"
     return kept.select(*key, "__first.*")
 
 
-def prepared(pages: DataFrame, body: str = "body_text", full: str = "text", augmented: str = "aug_text") -> DataFrame:
-    """Adds the texts that keywords are looked for in, each made once a page: ``__body``, ``__full``, ``__aug`` lower-cased, ``__spaced`` with hyphens as spaces."""
+def prepared(pages: DataFrame, body: str = "body_text", full: str = "text", augmented: str = "aug_text", services: dict[str, list[str]] = SERVICES, technology: dict[str, list[str]] = TECHNOLOGY) -> DataFrame:
+    """Adds the texts that keywords are looked for in, each made once a page: ``__body``, ``__full``, ``__aug`` lower-cased, ``__spaced`` with hyphens as spaces.
+
+    And what of the vocabularies occurs in them, each text read once for all
+    words (a text nobody asks about isn't read).
+    """
     whole = F.col(augmented) if augmented in pages.columns else F.col(full)
     rows = pages.withColumns({"__body": F.lower(body), "__full": F.lower(full), "__aug": F.lower(whole)})
-    return rows.withColumn("__spaced", F.regexp_replace("__aug", "-", " "))
+    rows = rows.withColumn("__spaced", F.regexp_replace("__aug", "-", " "))
+    words, tools = listed(services)[0], listed(technology)[0]
+    own = {f"__words{t}": hits(t, words) for t in ("__body", "__full", "__aug")}
+    own |= {"__tools__full": hits("__full", [w.lower() for w in tools]), "__tools__spaced": hits("__spaced", [w.lower().replace("-", " ") for w in tools])}
+    return rows.withColumns(own)
 
 
 def page_counts(policy: str, services: dict[str, list[str]] = SERVICES) -> list[Column]:
     """A prepared page's capped mentions: ``b_<category>`` in its body, ``f_<category>`` in its whole text; ``words``: every word's count in the whole text, where a policy asks for it."""
     p = COUNT_POLICIES[policy]
-    whole = "__aug" if p["augmented"] else "__full"
+    words, spans = listed(services)
+    whole = F.col("__words__aug" if p["augmented"] else "__words__full")
     if p["combine"] == "best_word":
-        return [F.array_max(F.transform(F.array(*[F.lit(w) for w in words]), lambda w: count_keyword(whole, w, p["full_cap"]))).alias(f"f_{c}") for c, words in services.items()]
-    out = [keyword_sum(whole, words, p["full_cap"]).alias(f"f_{c}") for c, words in services.items()]
+        most = lambda c: F.array_max(F.transform(of_category(whole, spans[c]), lambda x: F.least(x["n"], F.lit(p["full_cap"]))))
+        return [F.coalesce(most(c), F.lit(0)).cast("long").alias(f"f_{c}") for c in services]
+    out = [capped_sum(whole, spans[c], p["full_cap"]).alias(f"f_{c}") for c in services]
     if p["combine"] != "full":
-        out += [keyword_sum("__body", words, p["body_cap"]).alias(f"b_{c}") for c, words in services.items()]
+        out += [capped_sum(F.col("__words__body"), spans[c], p["body_cap"]).alias(f"b_{c}") for c in services]
     if p.get("extra_page"):
         most = max(p["body_cap"], p["full_cap"])
-        flat = [F.struct(F.lit(c).alias("c"), F.lit(w).alias("w")) for c, words in services.items() for w in words]
-        counted = F.transform(F.array(*flat), lambda x: F.struct(x["c"].alias("c"), x["w"].alias("w"), count_keyword("__full", x["w"], most).alias("n")))
-        out.append(F.filter(counted, lambda x: x["n"] > 0).alias("words"))
+        names = F.array(*[F.lit(c) for c in services for _ in services[c]])
+        literal = F.array(*[F.lit(w) for w in words])
+        out.append(F.transform("__words__full", lambda x: F.struct(names[x["w"]].alias("c"), literal[x["w"]].alias("w"), F.least(x["n"], F.lit(most)).cast("long").alias("n"))).alias("words"))
     return out
 
 
@@ -86,7 +97,7 @@ def sum_counts(pages: DataFrame, key: list[str], policy: str, categories: list[s
 
 def service_counts(pages: DataFrame, key: list[str], policy: str = "scrape", services: dict[str, list[str]] = SERVICES, body: str = "body_text", full: str = "text", augmented: str = "aug_text", url: str = "url", order: str = "page_ord") -> DataFrame:
     """A row a key: mentions of every category over its distinct pages."""
-    rows = prepared(pages, body, full, augmented).select(*key, url, order, *page_counts(policy, services))
+    rows = prepared(pages, body, full, augmented, services).select(*key, url, order, *page_counts(policy, services))
     return sum_counts(rows, key, policy, list(services), url, order)
 
 
@@ -100,10 +111,9 @@ def page_flags(policy: str = "scrape", technology: dict[str, list[str]] = TECHNO
     """Whether a prepared page speaks of each category. Text and words take the same form."""
     p = FLAG_POLICIES[policy]
     text = "__spaced" if p["spaced"] else "__full"
-    form = (lambda w: w.lower().replace("-", " ")) if p["spaced"] else str.lower
-    flags = []
-    for c, words in technology.items():
-        hit = any_keyword(text, [form(w) for w in words])
+    flags, (_, spans) = [], listed(technology)
+    for c in technology:
+        hit = F.size(of_category(F.col(f"__tools{text}"), spans[c])) > 0
         if p["whole_words"] and c in whole_words:
             hit = hit | whole_word(text, whole_words[c])
         flags.append(hit.alias(c))
@@ -112,7 +122,7 @@ def page_flags(policy: str = "scrape", technology: dict[str, list[str]] = TECHNO
 
 def technology_flags(pages: DataFrame, key: list[str], policy: str = "scrape", technology: dict[str, list[str]] = TECHNOLOGY, whole_words: dict[str, str] = WHOLE_WORDS, body: str = "body_text", full: str = "text", augmented: str = "aug_text") -> DataFrame:
     """A row a key: whether any of its pages speaks of each category."""
-    rows = prepared(pages, body, full, augmented).select(*key, *page_flags(policy, technology, whole_words))
+    rows = prepared(pages, body, full, augmented, technology=technology).select(*key, *page_flags(policy, technology, whole_words))
     return rows.groupBy(*key).agg(*[F.max(c).alias(c) for c in technology])
 
 
@@ -123,8 +133,10 @@ def mentioned(count: Column) -> Column:
 def page_testimonials(policy: str = "scrape") -> Column:
     """A page's testimonials: whether marked as such, and the begin of the text."""
     p = TESTIMONIAL_POLICIES[policy]
-    marked = F.filter("reviews", lambda r: r["tag"].isin(*p["tags"]) & any_keyword(r["mark"], list(p["marks"])))
-    begin = lambda t: F.left(F.lower(F.trim(t)), F.lit(p["prefix"]))
+    has = lambda c, marks: c.rlike("|".join(marks)) if marks else F.lit(False)
+    of_item = lambda r: F.contains(r["item"], F.lit("review")) if p["item"] else F.lit(False)
+    marked = F.filter("reviews", lambda r: (r["tag"].isin(*p["tags"]) & has(r["cls"], p["marks"])) | has(r["data"], p["data"]) | has(r["id"], p["id"]) | of_item(r))
+    begin = lambda t: F.left(F.trim(t), F.lit(p["prefix"]))
     return F.array_distinct(F.concat(F.transform(marked, lambda r: F.struct(F.lit(True).alias("m"), begin(r["text"]).alias("t"))), F.transform("quotes", lambda q: F.struct(F.lit(False).alias("m"), begin(q).alias("t")))))
 
 
@@ -138,15 +150,6 @@ def testimonials(pages: DataFrame, key: list[str], policy: str = "scrape") -> Da
     return count_testimonials(pages.select(*key, page_testimonials(policy).alias("said")), key)
 
 
-HYGIENIST = r"^([A-Z][A-Za-z'-]+(?: [A-Z][A-Za-z'-]+)?)"
-
-
-def card_hygienists(cards: Column | str) -> Column:
-    """Distinct names on staff cards that speak of a hygienist: the name first, the role after it."""
-    own = F.filter(cards, lambda c: F.lower(c).rlike(r"hygienist|\brdh\b"))
-    return F.array_distinct(F.filter(F.transform(own, lambda c: F.lower(F.regexp_extract(c, HYGIENIST, 1))), lambda n: n != ""))
-
-
 def associations(text: Column, rules: dict[str, list[str]] = ASSOCIATIONS, sections: bool = False) -> Column:
     """Codes of memberships a text names: a code alone in capitals or a full name, in rule order; then schools, in a text about somebody's education.
 
@@ -171,33 +174,60 @@ def associations(text: Column, rules: dict[str, list[str]] = ASSOCIATIONS, secti
 #: A heading of memberships and up to twenty lines after it.
 SECTION = r"(?i)(?:member(?:ship)?s?|associations?|affiliations?|credentials?|professional organi[sz]ations?)(?:\s+(?:of|in))?\s*[:–-]?\s*((?:[^\n]{2,200}\n?){1,20})"
 
-# Phrases that name a field (the text after them, and how long it may be), what it must speak of, and what it can't be.
-PHRASES = (
-    (r"(?:earned?|completed?|received?|holds?|has)\s+certificat(?:es?|ation)?\s+in\s+", 120), (r"certificat(?:es?|ation)?\s+in\s+", 120), (r"certif(?:ied|ication)\s+in\s+", 100), (r"additional\s+training\s+in\s+", 100),
-    (r"training\s+in\s+", 100), (r"continuing\s+education\s+in\s+", 100), (r"areas?\s+of\s+(?:specialty|specialization|focus|interest|expertise)[:\s]+(?:includes?\s+)?", 90), (r"specializ(?:es?|ing|ation)\s+in\s+", 80),
-    (r"specialty\s+(?:is\b|includes?\b|:)\s*", 70), (r"specialist\s+in\s+", 70), (r"board[- ]certified\s+(?:in\s+)?", 70), (r"expertise\s+in\s+", 70),
+# What a sentence says before it names a field, in order of trust, and how many characters of the field are read.
+FIELD_TRIGGERS = (
+    ("certificate in", 120), ("certificates in", 120), ("certification in", 120), ("certified in", 100), ("additional training in", 100), ("training in", 100), ("continuing education in", 100),
+    ("area of specialty", 90), ("area of specialization", 90), ("area of focus", 90), ("area of interest", 90), ("area of expertise", 90),
+    ("areas of specialty", 90), ("areas of specialization", 90), ("areas of focus", 90), ("areas of interest", 90), ("areas of expertise", 90),
+    ("specializes in", 80), ("specialize in", 80), ("specializing in", 80), ("specialization in", 80), ("specialty is", 70), ("specialty includes", 70), ("specialty include", 70), ("specialty:", 70), ("specialist in", 70),
+    ("board-certified", 70), ("board certified", 70), ("expertise in", 70),
 )
-FIELD_WORDS = (
-    r"implant|cosmetic|esthetic|orthodont|invisalign|aligner|periodon|endodon|prosthodon|oral\s+surg|pediat|sleep\s+apnea|tmj|root\s+canal|extract|veneer|whitening|crown|bridge|laser|sedation|restorat|preventi|preventa|"
-    r"biomimetic|holistic|biolog|clear\s+aligner|dental\s+implant"
+# Stems of words that a field has one of; words and begins of phrases that it has none of; whole texts that are no field; what ends it.
+FIELD_STEMS = (
+    "implant", "cosmetic", "esthetic", "orthodont", "invisalign", "aligner", "periodon", "endodon", "prosthodon", "oral surg", "pediat", "sleep apnea", "tmj", "root canal", "extract", "veneer", "whitening", "crown",
+    "bridge", "laser", "sedation", "restorat", "preventi", "preventa", "biomimetic", "holistic", "biolog", "clear aligner", "dental implant",
 )
-NO_FIELD = (
-    r"dr\.|dds|dmd|md\b|c-fnp|np\b|pa\b|lisw|lcsw|aprn|view\s+profile|healthsource|schedule|appointment|aspects\b|every\s+age|every\s+patient|for\s+all\s+ages|of\s+all\s+ages|all\s+ages|highest\s+standard|highest\s+level|"
-    r"constant\s+pursuit|committed\s+to|commitment\s+to|continuing\s+education\b|patient\s+care|our\s+team|our\s+practice|throughout\s+my|throughout\s+her|throughout\s+his|i\s+have\s+found|career\b|rewarding|challenging|"
-    r"from\s+the|at\s+the|institute\b|university\b|and\s+is\s+committ|and\s+has\s+spoken|quote\b|passionate\s+about|dedicated\s+to|mission\s+is|believe\s+in|goal\s+is|philosophy|i\s+am\s+very"
+NO_FIELD_WORDS = ("dr.", "dds", "dmd", "md", "c-fnp", "np", "pa", "lisw", "lcsw", "aprn", "aspects", "continuing education", "career", "institute", "university", "quote")
+NO_FIELD_BEGINS = (
+    "view profile", "healthsource", "schedule", "appointment", "every age", "every patient", "for all ages", "of all ages", "all ages", "highest standard", "highest level", "constant pursuit", "committed to",
+    "commitment to", "patient care", "our team", "our practice", "throughout my", "throughout her", "throughout his", "i have found", "rewarding", "challenging", "from the", "at the", "and is committ", "and has spoken",
+    "passionate about", "dedicated to", "mission is", "believe in", "goal is", "philosophy", "i am very",
 )
 FILLER = ("dentistry", "dental care", "dental health", "patients", "all patients", "our patients", "patient care", "the best care", "quality care", "comprehensive care", "the community")
-PHRASE_END = r"\s+(?:while|as well as|in addition to|for every|when\s+(?:he|she|they)\b|and\s+is\b|and\s+has\b|and\s+was\b).*$"
+FIELD_ENDS = ("while", "as well as", "in addition to", "for every", "when he", "when she", "when they", "and is", "and has", "and was")
 
 
 def specialty_phrase(text: Column, cap: int = 80, words: int = 9) -> Column:
-    """The first phrase in which a text names its field, of each pattern's first match: cut where a sentence goes on, of a field, no prose, of limited length."""
-    trimmed = lambda c: F.regexp_replace(F.trim(c), "[ ,;.]+$", "")
-    found = once(F.lower(F.coalesce(text, F.lit(""))), lambda low: F.array(*[trimmed(F.regexp_extract(low, rf"{p}([^.;\n]{{5,{n}}})", 1)) for p, n in PHRASES]))
+    """The field a text names after one of the triggers, the first in their order that is one.
+
+    A field is what follows a trigger's first place up to the sentence's end,
+    cut where the sentence goes on. It has a word that begins with one of the
+    stems (whatever its ending: "implants", "orthodontics"), nothing that prose
+    has, at least five characters and at most ``words`` words.
+    """
+    literals = lambda values: F.array(*[F.lit(v) for v in values])
+    tidy = lambda c: F.regexp_replace(c, r"^[\s:,;.]+|[\s,;.]+$", "")
+
+    def after(low: Column, trigger: Column) -> Column:
+        at = F.instr(low, trigger["words"])
+        clause = F.split(F.substring(low, at + F.length(trigger["words"]), trigger["reach"]), r"[.;\n]", 2)[0]
+        return F.when(at > 0, tidy(F.regexp_replace(tidy(clause), r"^(?:in|includes?)\s+", "")))
+
+    def ended(c: Column) -> Column:
+        c = F.concat(c, F.lit(" "))
+        for end in FIELD_ENDS:
+            c = F.substring_index(c, f" {end} ", 1)
+        return tidy(F.left(tidy(c), F.lit(cap)))
+
+    def fine(c: Column) -> Column:
+        padded = F.concat(F.lit(" "), F.regexp_replace(c, r"[\s,:()/]+", " "), F.lit(" "))
+        begins = lambda values: F.exists(literals([f" {v}" for v in values]), lambda v: F.contains(padded, v))
+        return begins(FIELD_STEMS) & ~begins(NO_FIELD_BEGINS) & ~begins([f"{w} " for w in NO_FIELD_WORDS]) & (F.size(F.split(c, r"\s+")) <= words)
+
+    triggers = F.array(*[F.struct(F.lit(w).alias("words"), F.lit(n).alias("reach")) for w, n in FIELD_TRIGGERS])
+    found = once(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[ \t]+", " "), lambda low: F.transform(triggers, lambda t: after(low, t)))
     whole = F.filter(found, lambda c: (F.length(c) >= 5) & ~c.isin(*FILLER))
-    cut = F.transform(whole, lambda c: trimmed(F.left(F.regexp_replace(c, PHRASE_END, ""), F.lit(cap))))
-    fine = F.filter(cut, lambda c: ~c.rlike(rf"\b(?:{NO_FIELD})\b") & c.rlike(rf"\b(?:{FIELD_WORDS})\b") & (F.size(F.split(c, r"\s+")) <= words))
-    return title(F.try_element_at(fine, F.lit(1)))
+    return title(F.try_element_at(F.filter(F.transform(whole, ended), fine), F.lit(1)))
 
 
 def specialty(text: Column, rules: list[tuple[str, list[str]]] = SPECIALTIES, policy: str = "labels5") -> Column:

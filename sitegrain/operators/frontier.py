@@ -5,26 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.urls import is_content, is_portal, without_fragment
-
-# What a link's address or text says of its page, in order of interest; budgets a level (full, small).
-SERVICE, TEAM, TESTIMONIAL = r"service|treatment|procedure|implant|cosmetic|invisalign|technolog", r"team|doctor|staff|about|meet|provider|dentist", r"testimonial|review"
+from ..functions.urls import is_content, is_portal, path, without_fragment
+
+# Begins of path parts that tell a page of services, of the team, of testimonials; words of links to the team; budgets a level (full, small).
+SERVICE = ("service", "treatment", "technology", "tech", "procedure", "offer", "speciali", "invisalign", "implant", "veneer", "whitening", "cerec", "laser", "sedation", "cbct", "intraoral", "aligner")
+TEAM = ("team", "staff", "about", "hygien", "doctor", "provider", "meet")
+TESTIMONIAL = ("testimonial", "review", "patient", "feedback")
+TEAM_TEXTS = (
+    "our dentist", "our doctor", "meet the team", "meet our team", "meet the doctor", "our team", "our provider", "our staff", "the team", "about the doctor", "our doctors", "about us", "about our team", "our hygienist",
+    "meet your dentist", "meet our dentist", "our location", "our physicians", "our practitioners", "our providers", "dental team", "dental staff", "clinical team", "meet our doctors", "meet the dentist", "meet dr",
+    "our associates", "our specialists",
+)
+TEAM_ADDRESSES = (
+    "doctor", "dentist", "team", "provider", "staff", "meet-the", "about-us", "about_us", "who-we-are", "our-doctor", "our-dentist", "hygienist", "hygiene-team", "about", "physician", "practitioner", "clinician",
+    "associate", "dental-team", "our-team", "meet-dr", "our-provider", "/location/", "/locations/", "/office/", "/offices/", "/our-location", "/our-office", "/find-us", "/visit-us",
+)
 BUDGETS = {"nav": (60, 20), "sitemap": (40, 15), "level1": (60, 20), "level2": (40, 12), "level3": (30, 8)}
 UNWANTED = r"\.(?:pdf|jpe?g|png|gif|svg|webp|zip|docx?|mp4)(?:$|\?)|/(?:wp-login|cart|checkout|login|feed)"
+OTHER = 9
 
 
-def priority(href: Column, text: Column) -> Column:
-    """1 services, 2 team, 3 testimonials, 9 the rest."""
-    both = F.lower(F.concat_ws(" ", href, text))
-    return F.when(both.rlike(SERVICE), 1).when(both.rlike(TEAM), 2).when(both.rlike(TESTIMONIAL), 3).otherwise(9)
+def priority(url: Column) -> Column:
+    """1 services, 2 team, 3 testimonials, 9 the rest: by what begins a part of the path."""
+    way = F.lower(F.when(url.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*://"), path(url)).otherwise(F.regexp_extract(url, "^([^?#]*)", 1)))
+    of = lambda words: F.exists(F.array(*[F.lit(f"/{w}") for w in words]), lambda w: F.contains(way, w))
+    return F.when(of(SERVICE), 1).when(of(TEAM), 2).when(of(TESTIMONIAL), 3).otherwise(OTHER)
 
 
-def select_links(links: DataFrame, key: list[str], limit: int = 10, keep_rest: bool = False, href: str = "href", text: str = "text", seen: DataFrame | None = None) -> DataFrame:
+def select_links(links: DataFrame, key: list[str], limit: int = 10, keep_rest: bool = False, href: str = "href", seen: DataFrame | None = None) -> DataFrame:
     """The pages to visit next of each key: by priority, then address; the others only fill up if asked for."""
     rows = links.withColumn("url", without_fragment(href)).filter(~F.lower(F.col("url")).rlike(UNWANTED) & ~is_portal("url"))
-    rows = rows.withColumn("priority", priority(F.col("url"), F.col(text)))
+    rows = rows.withColumn("priority", priority(F.col("url")))
     if not keep_rest:
-        rows = rows.filter("priority < 9")
+        rows = rows.filter(F.col("priority") < OTHER)
     rows = rows.groupBy(*key, "url").agg(F.min("priority").alias("priority"))
     if seen is not None:
         rows = rows.join(seen.select(*key, "url").distinct(), [*key, "url"], "left_anti")
@@ -36,11 +49,13 @@ def budget(level: str, small: bool = False) -> int:
     return BUDGETS[level][int(small)]
 
 
-def staff_links(links: DataFrame, key: list[str], limit: int = 12, href: str = "href", text: str = "text") -> DataFrame:
-    """Pages that may show staff: no blogs or news."""
-    rows = links.filter(~is_content(href) & F.lower(F.concat_ws(" ", href, text)).rlike(TEAM)).withColumn("url", without_fragment(href))
-    w = Window.partitionBy(*key).orderBy("url")
-    return rows.select(*key, "url").distinct().withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
+def staff_links(links: DataFrame, key: list[str], limit: int = 12, href: str = "href", text: str = "text", pos: str | None = None) -> DataFrame:
+    """Pages that may show staff, in the order of their links (``pos``; by address without it): a phrase in the link's text or a word in its address; no blogs or news."""
+    has = lambda c, words: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(F.lower(F.coalesce(F.col(c), F.lit(""))), w))
+    rows = links.filter(~is_content(href) & (has(text, TEAM_TEXTS) | has(href, TEAM_ADDRESSES))).withColumn("url", without_fragment(href))
+    first = rows.groupBy(*key, "url").agg((F.min(pos) if pos else F.lit(0)).alias("first"))
+    w = Window.partitionBy(*key).orderBy("first", "url")
+    return first.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit).select(*key, "url", "rank")
 
 
 def best_link(people: DataFrame, links: DataFrame, key: list[str], name: str = "name", least: int = 8) -> DataFrame:

@@ -176,7 +176,7 @@ def _(spark, sf):
     return load(spark, sf, "pages").groupBy(urls.domain_key("url").alias("host")).agg(F.count(F.lit(1)).alias("pages"), F.sum(n).cast("long").alias("links"))
 
 
-@query("url_parts", f"SELECT page_id, {HOST} AS host, regexp_extract(url, '^([a-zA-Z]+)://', 1) || '://' || {NETLOC} || '/' AS home, regexp_replace(url, '#.*$', '') AS page, regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_matches(lower(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1)), '/(?:blog|news|article|articles|post|posts|press|category|tag|author)(?:/|$)|/20[0-9]{{2}}/') AS content FROM pages")
+@query("url_parts", f"SELECT page_id, {HOST} AS host, regexp_extract(url, '^([a-zA-Z]+)://', 1) || '://' || {NETLOC} || '/' AS home, regexp_replace(url, '#.*$', '') AS page, regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_matches(url, '(?i)/(?:news|blog|blogs|article|articles|post|posts|press-release|press|media|updates|announcements|events|resources|newsletter|podcast|dental-tips|dental-blog|health-tips|patient-education|dental-care-tips|case-stud)(?:/|$)') AS content FROM pages")
 def _(spark, sf):
     return load(spark, sf, "pages").select("page_id", urls.domain_key("url").alias("host"), urls.homepage("url").alias("home"), urls.without_fragment("url").alias("page"), urls.path("url").alias("path"), urls.is_content("url").alias("content"))
 
@@ -186,9 +186,18 @@ def _(spark, sf):
     return load(spark, sf, "pages").groupBy(urls.domain_key("url").alias("host"), urls.path("url").alias("path")).agg(F.min("page_id").alias("first_page"), F.count(F.lit(1)).alias("copies"))
 
 
-@query("url_variants", f"SELECT page_id, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ' ') AS spellings FROM (SELECT page_id, [url, 'https://www.' || {HOST} || p, 'https://' || {HOST} || p, 'http://www.' || {HOST} || p, 'http://' || {HOST} || p] AS l FROM (SELECT *, regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1) AS p FROM pages))")
+@query("url_variants", """
+WITH u AS (SELECT page_id, url, regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1) AS host, coalesce(nullif(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1), ''), '/') AS p FROM
+  (SELECT page_id, CASE page_id % 3 WHEN 0 THEN url WHEN 1 THEN regexp_replace(url, '://(?:www[.])?([^./]*)', '://www.\\1dent') ELSE regexp_replace(url, '://(?:www[.])?([^./]*)', '://\\1dent') END AS url FROM pages)),
+ a AS (SELECT *, CASE WHEN starts_with(host, 'www.') THEN substr(host, 5) ELSE host END AS bare FROM u),
+ l AS (SELECT page_id, list_concat([url], CASE WHEN host <> bare THEN ['https://' || bare || p, 'http://' || bare || p, 'http://' || host || p] ELSE ['https://www.' || host || p, 'http://' || host || p, 'http://www.' || host || p] END,
+  CASE WHEN contains(bare, 'dent.') AND NOT contains(bare, 'dental.') THEN ['https://' || regexp_replace(bare, 'dent[.]', 'dental.') || p, 'https://www.' || regexp_replace(bare, 'dent[.]', 'dental.') || p] ELSE [] END) AS l FROM a)
+SELECT page_id, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ' ') AS spellings FROM l""")
 def _(spark, sf):
-    return load(spark, sf, "pages").select("page_id", F.array_join(urls.variants("url"), " ").alias("spellings"))
+    """Every page's address, two of three with a host that ends in "dent"."""
+    k = F.col("page_id") % 3
+    made = F.when(k == 0, F.col("url")).when(k == 1, F.regexp_replace("url", r"://(?:www[.])?([^./]*)", "://www.$1dent")).otherwise(F.regexp_replace("url", r"://(?:www[.])?([^./]*)", "://$1dent"))
+    return load(spark, sf, "pages").select("page_id", F.array_join(urls.variants(made), " ").alias("spellings"))
 
 
 @query("page_challenges", """SELECT page_id, list_aggregate(list_transform(['sgcaptcha', 'robot challenge', 'just a moment', 'checking your browser', 'cloudflare', 'cf-ray', 'enable javascript', 'web server is returning an unknown error'], lambda m: contains(lower(substr(h, 1, 2000)), m)), 'bool_or') AS challenge,
@@ -202,11 +211,13 @@ def _(spark, sf):
 
 
 @query("link_frontier", f"""
-WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="(/[^"#?]+)', 1)) AS href FROM pages),
- p AS (SELECT DISTINCT page_id, href AS url, CASE WHEN regexp_matches(lower(href), 'service|treatment|procedure|implant|cosmetic|invisalign|technolog') THEN 1 WHEN regexp_matches(lower(href), 'team|doctor|staff|about|meet|provider|dentist') THEN 2 WHEN regexp_matches(lower(href), 'testimonial|review') THEN 3 ELSE 9 END AS priority FROM l WHERE NOT regexp_matches(lower(href), '\\.(?:pdf|jpe?g|png|gif|svg|webp|zip|docx?|mp4)(?:$|\\?)|/(?:wp-login|cart|checkout|login|feed)')),
+WITH l AS (SELECT page_id, ['', '/whitening', '/sedation', '/patient-feedback', '/meet', '/offers'][page_id % 6 + 1] || unnest(regexp_extract_all(html, 'href="(/[^"#?]+)', 1)) AS href FROM pages),
+ p AS (SELECT DISTINCT page_id, href AS url, CASE WHEN regexp_matches(href, '(?i)/(service|treatment|technology|tech|procedure|offer|speciali|invisalign|implant|veneer|whitening|cerec|laser|sedation|cbct|intraoral|aligner)') THEN 1 WHEN regexp_matches(href, '(?i)/(team|staff|about|hygien|doctor|provider|meet)') THEN 2 WHEN regexp_matches(href, '(?i)/(testimonial|review|patient|feedback)') THEN 3 ELSE 9 END AS priority FROM l WHERE NOT regexp_matches(lower(href), '\\.(?:pdf|jpe?g|png|gif|svg|webp|zip|docx?|mp4)(?:$|\\?)|/(?:wp-login|cart|checkout|login|feed)')),
  r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY priority, url) AS rank FROM p) SELECT page_id, url, priority, rank FROM r WHERE rank <= 5""")
 def _(spark, sf):
-    links = load(spark, sf, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="(/[^"#?]+)'), F.lit(1))).alias("href")).withColumn("text", F.lit(""))
+    links = load(spark, sf, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="(/[^"#?]+)'), F.lit(1))).alias("href"))
+    before = F.element_at(F.array(*[F.lit(x) for x in ("", "/whitening", "/sedation", "/patient-feedback", "/meet", "/offers")]), (F.col("page_id") % 6 + 1).cast("int"))
+    links = links.withColumn("href", F.concat(before, "href"))
     return frontier.select_links(links, ["page_id"], 5, keep_rest=True).select("page_id", "url", "priority", "rank")
 
 
@@ -616,14 +627,74 @@ def _(spark, sf):
     return markup(spark, sf).select("k", signals.rating("html").alias("r")).select("k", "r.rating", "r.reviews", "r.method")
 
 
-@query("social_signals", "SELECT o_orderkey AS k, CAST(CASE WHEN o_orderkey % 6 = 4 THEN (o_orderkey % 90 + 1) * 1000 + 500 END AS BIGINT) AS followers, CASE WHEN o_orderkey % 6 = 4 THEN 'https://www.instagram.com/smile' || o_orderkey END AS profile FROM orders")
+#: What followers, profiles and hygienists are read from: the answer beside each text is told by the rules it is made for.
+TOLD = [
+    ('"fan_count": 0, <n>.5K followers', "(<n> * 1000 + 500)"), ('"like_count": <n>', "<n>"), ('"page_likers":{"count": <n>}', "<n>"), ('"likers": {"count":<n>} "followers_count":1', "1"),
+    ('"profile_plus_follower_count":<n>', "<n>"), ('"connected_users_count" : <n>', "<n>"), ('"social_context":{"text":"<n> people follow"}', "<n>"), ("<n> likes", "<n>"), ('"follower_count": <n>', "NULL"),
+]
+PROFILES = [
+    ('<a href="https://www.instagram.com/explore/x"></a><a href="https://www.instagram.com/smile<n>"></a>', "'https://www.instagram.com/smile' || <n>"), ("https://www.instagram.com/2008/fbml https://instagram.com/x<n>/", "'https://instagram.com/x' || <n>"),
+    ("https://www.instagram.com/wix.com http://instagram.com/a.<n>?b=1", "'http://instagram.com/a.' || <n>"), ("https://instagram.com/reels/", "NULL"), ("instagram.com/<n>", "NULL"),
+]
+COMPANIES = [("heartland-dental", "false"), ("oak-dental-<n>", "true"), ("Aspen-Dental-Management/about", "false"), ("comfort-dental-", "false"), ("comfort-dental-of-<n>", "true")]
+HYGIENISTS = [
+    ("<n> RDH on staff", "<n>"), ("<n> dental hygienist", "<n>"), ("Hygienists on our team: <n>", "<n>"), ("<n> licensed dental hygiene professionals", "<n>"), ("Jane M. Smith, Registered Dental Hygienist and Bo Ray RDH", "2"),
+    ("Dawn, RDH; Dawn, RDH; Eve RDHAP", "2"), ("our gentle dental hygienist", "NULL"), ("two hygienists", "NULL"),
+]
+
+
+def _cases(pairs: list, k: str, n: str, sql: bool) -> str:
+    """One of the pairs a row, by a column: the answers for SQL, the texts for Spark."""
+    texts = [f"{lit(t).replace('<n>', chr(39) + ' || CAST(' + n + ' AS STRING) || ' + chr(39))}" for t, _ in pairs]
+    return f"CASE {k} % {len(pairs)} " + " ".join(f"WHEN {i} THEN {a.replace('<n>', n) if sql else t}" for i, ((_, a), t) in enumerate(zip(pairs, texts))) + " END"
+
+
+@query("social_signals", f"SELECT o_orderkey AS k, CAST({_cases(TOLD, 'o_orderkey', '(o_orderkey % 900 + 1)', True)} AS BIGINT) AS followers, {_cases(PROFILES, 'o_orderkey', 'o_orderkey', True)} AS profile, {_cases(COMPANIES, 'o_orderkey', 'o_orderkey', True)} AS company FROM orders")
+def _(spark, sf):
+    rows = load(spark, sf, "orders").selectExpr("o_orderkey AS k", f"{_cases(TOLD, 'o_orderkey', '(o_orderkey % 900 + 1)', False)} AS told", f"{_cases(PROFILES, 'o_orderkey', 'o_orderkey', False)} AS links", f"{_cases(COMPANIES, 'o_orderkey', 'o_orderkey', False)} AS company")
+    return rows.select("k", signals.facebook_followers("told").alias("followers"), urls.first_profile("links", "instagram").alias("profile"), urls.is_profile(F.concat(F.lit("https://www.linkedin.com/company/"), "company"), "linkedin").alias("company"))
+
+
+@query("site_counts", f"SELECT o_orderkey AS k, CASE WHEN o_orderkey % 6 = 5 AND o_orderkey % 40 BETWEEN 1 AND 25 THEN CAST(o_orderkey % 40 AS VARCHAR) ELSE '1' END AS locations, CAST({_cases(HYGIENISTS, 'o_orderkey', '(o_orderkey % 9 + 1)', True)} AS BIGINT) AS hygienists FROM orders")
+def _(spark, sf):
+    told = load(spark, sf, "orders").selectExpr("o_orderkey AS k", f"{_cases(HYGIENISTS, 'o_orderkey', '(o_orderkey % 9 + 1)', False)} AS told")
+    return markup(spark, sf).join(told, "k").select("k", text.locations("html").alias("locations"), signals.hygienists("told").alias("hygienists"))
+
+
+#: Markup of testimonials, and how many each policy counts in it.
+REVIEWS = [
+    ('<div class="client-say">A <n></div><div class="client-say">A <n></div><div class="Success_Story">B</div>', ("2", "NULL", "1")), ('<li class="patient story">A</li><p class="review">B</p>', ("1", "NULL", "2")),
+    ('<span data-type="5 Star">A</span><span data-start="patients">B</span><span data-x="y">C</span>', ("2", "NULL", "NULL")), ('<p id="feedback-<n>">A</p><b itemprop="Review">B</b>', ("NULL", "NULL", "2")),
+    ('<blockquote>A <n></blockquote><blockquote>B</blockquote><blockquote>B</blockquote>', ("2", "2", "2")), ('<blockquote>A</blockquote><section class="x quote">B</section>', ("1", "1", "1")),
+    ('<div class="birdeye">A</div><div class="carousel-item">B</div>', ("2", "NULL", "1")), ('<p>nothing</p><div class="testimonials"> </div>', ("NULL", "NULL", "NULL")),
+]
+
+
+@query("testimonial_counts", "SELECT o_orderkey AS k, " + ", ".join(f"CAST({_cases([(h, a[i]) for h, a in REVIEWS], 'o_orderkey', 'o_orderkey', True)} AS INT) AS {p}" for i, p in enumerate(("scrape", "reprocess", "refresh"))) + " FROM orders WHERE o_orderkey % 10 = 1")
 def _(spark, sf):
-    return markup(spark, sf).select("k", signals.facebook_followers("html").alias("followers"), urls.first_profile("html", "instagram").alias("profile"))
+    """Made-up markup for every order of a key that ends in 1, counted by each policy."""
+    from ..functions.html import parse_pages
+
+    pages = load(spark, sf, "orders").filter("o_orderkey % 10 = 1").selectExpr("o_orderkey AS k", f"{_cases([(h, '') for h, _ in REVIEWS], 'o_orderkey', 'o_orderkey', False)} AS html", "'https://x.co/' AS url")
+    said_ = parse_pages(pages, keep=["k"]).select("k", *[features.page_testimonials(p).alias(p) for p in ("scrape", "reprocess", "refresh")])
+    out = said_.select("k")
+    for p in ("scrape", "reprocess", "refresh"):
+        out = out.join(features.count_testimonials(said_, ["k"], p).withColumnRenamed("testimonials", p), "k", "left")
+    return out
+
+
+#: Sentences that name a field, and what is told of it.
+SENTENCES = [
+    ("Dr. <n> specializes in dental implants and orthodontics.", "'Dental Implants And Orthodontics'"), ("She earned a certificate in conscious sedation; he has expertise in lasers", "'Conscious Sedation'"), ("expertise in gardening. Training in veneers while travelling", "'Veneers'"),
+    ("areas of interest: root canals", "'Root Canals'"), ("board-certified in pediatric dentistry", "'Pediatric Dentistry'"), ("specialist in implants at the university", "NULL"), ("specializing in patient care", "NULL"), ("specialty is crowns & bridges, and is loved", "'Crowns & Bridges'"),
+    ("nothing to tell, case <n>", "NULL"),
+]
 
 
-@query("site_counts", "SELECT o_orderkey AS k, CASE WHEN o_orderkey % 6 = 5 AND o_orderkey % 40 BETWEEN 1 AND 25 THEN CAST(o_orderkey % 40 AS VARCHAR) ELSE '1' END AS locations, CAST(CASE WHEN o_orderkey % 6 = 5 THEN o_orderkey % 9 + 1 END AS BIGINT) AS hygienists FROM orders")
+@query("field_phrases", f"SELECT o_orderkey AS k, {_cases(SENTENCES, 'o_orderkey', 'o_orderkey', True)} AS field FROM orders")
 def _(spark, sf):
-    return markup(spark, sf).select("k", text.locations("html").alias("locations"), signals.hygienists("html").alias("hygienists"))
+    told = load(spark, sf, "orders").selectExpr("o_orderkey AS k", f"{_cases(SENTENCES, 'o_orderkey', 'o_orderkey', False)} AS told")
+    return told.select("k", features.specialty_phrase(F.col("told")).alias("field"))
 
 
 @query("place_pick", "SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'b' ELSE 'a' END AS place, CASE WHEN s_suppkey % 3 = 0 THEN 4.5 WHEN s_suppkey % 3 = 1 THEN NULL ELSE 4.1 END::DOUBLE AS rating FROM supplier")
@@ -648,15 +719,15 @@ def _(spark, sf):
     return merge.runs(load(spark, sf, "orders").select("o_orderstatus", "o_orderkey"), "o_orderstatus", "o_orderkey").groupBy("o_orderstatus", "run").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("link_scores", f"""WITH b AS (SELECT pos, {PLAIN} AS plain, CAST(floor(pos / 9) AS BIGINT) % 3 + 1 AS k FROM ({BATCH})),
- l AS (SELECT pos, plain, string_split(plain, ' ')[-1] AS last, replace(plain, ' ', '-') AS slug, ['/team/anna-weber', '/doctors/maria-de-la-cruz', '/john-smith/carter'][k] AS href, ['dr. weber', 'meet dr. cruz', 'single carter'][k] AS txt FROM b)
-SELECT pos, CASE WHEN last <> '' AND contains(href, last) THEN 10 ELSE 0 END + CASE WHEN last <> '' AND contains(txt, last) THEN 8 ELSE 0 END + CASE WHEN slug <> '' AND contains(href, slug) THEN 15 ELSE 0 END
- + CASE WHEN regexp_matches(href, 'doctor|team|staff|about|provider|bio') THEN 3 ELSE 0 END + CASE WHEN regexp_matches(' ' || txt, ' dr[.]? ') THEN 2 ELSE 0 END AS score FROM l""")
+@query("link_scores", f"""WITH b AS (SELECT pos, {PLAIN} AS plain, CAST(floor(pos / 9) AS BIGINT) % 4 + 1 AS k FROM ({BATCH})),
+ l AS (SELECT pos, string_split(plain, ' ')[-1] AS last, list_filter(string_split(plain, ' '), lambda w: w <> '') AS words, ['/team/weber-anna', '/doctors/maria-de-la-cruz', '/john-smith/carter', '/profile/1'][k] AS href, ['dr. weber', 'meet dr. cruz', 'single carter', 'anna weber, dds'][k] AS txt FROM b)
+SELECT pos, CASE WHEN last <> '' AND contains(href, last) THEN 10 ELSE 0 END + CASE WHEN last <> '' AND contains(txt, last) THEN 8 ELSE 0 END + CASE WHEN len(words) >= 2 AND len(list_filter(words, lambda w: NOT contains(href, w))) = 0 THEN 15 ELSE 0 END
+ + CASE WHEN regexp_matches(href, 'bio|profile|doctor|team|provider|dentist|meet|about|dr-|/dr/|staff') THEN 3 ELSE 0 END + CASE WHEN regexp_matches(txt, '\\b(dr|dds|dmd)\\b') THEN 2 ELSE 0 END AS score FROM l""")
 def _(spark, sf):
-    """Every row of the batch with one of three links."""
-    link = (F.floor(F.col("pos") / 9) % 3).cast("int")
+    """Every row of the batch with one of four links."""
+    link = (F.floor(F.col("pos") / 9) % 4).cast("int")
     of = lambda *values: F.element_at(F.array(*[F.lit(v) for v in values]), link + 1)
-    return batch(spark, sf).select("pos", names.link_score("doctor_name", of("/team/anna-weber", "/doctors/maria-de-la-cruz", "/john-smith/carter"), of("Dr. Weber", "meet Dr. Cruz", "Single Carter")).alias("score"))
+    return batch(spark, sf).select("pos", names.link_score("doctor_name", of("/team/weber-anna", "/doctors/maria-de-la-cruz", "/john-smith/carter", "/profile/1"), of("Dr. Weber", "meet Dr. Cruz", "Single Carter", "Anna Weber, DDS")).alias("score"))
 
 
 @query("listing_cards", "WITH c AS (SELECT p_partkey % 40 AS idx, p_partkey // 40 AS pos, p_name AS title FROM part WHERE p_partkey // 40 <= 8), s AS (SELECT *, len(list_intersect(list_distinct(string_split(title, ' ')), ['red', 'small', 'bolt'])) AS score FROM c) SELECT idx, arg_min(title, {'s': -score, 'p': pos}) AS title, max(score) AS score FROM s WHERE score > 0 GROUP BY idx")
@@ -690,7 +761,7 @@ def _(spark, sf):
     return said(spark, sf).select("k", F.array_join(features.associations(F.col("said")), ", ").alias("codes"))
 
 
-@query("specialty_labels", "SELECT c_custkey AS k, CASE c_custkey % 8 WHEN 0 THEN 'General Dentistry' WHEN 1 THEN 'Family Dentistry / General Dentistry' WHEN 2 THEN 'Implants / Orthodontics / Endodontics' WHEN 3 THEN 'Laser Work' WHEN 4 THEN 'Oral Surgery' ELSE 'Not Found' END AS specialty FROM customer")
+@query("specialty_labels", "SELECT c_custkey AS k, CASE c_custkey % 8 WHEN 0 THEN 'General Dentistry' WHEN 1 THEN 'Family Dentistry / General Dentistry' WHEN 2 THEN 'Implants / Orthodontics / Endodontics' WHEN 3 THEN 'Laser Work' WHEN 4 THEN 'Oral Surgery, Board Certified' ELSE 'Not Found' END AS specialty FROM customer")
 def _(spark, sf):
     return said(spark, sf).select("k", features.specialty(F.col("said")).alias("specialty"))
 
@@ -718,14 +789,17 @@ def _(spark, sf):
 
 
 @query("staff_links", f"""
-WITH l AS (SELECT {HOST} AS host, regexp_replace(unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)), '#.*$', '') AS url FROM pages),
- u AS (SELECT DISTINCT host, url FROM l WHERE regexp_matches(lower(url), 'team|doctor|staff|about|meet|provider|dentist|th|de') AND NOT regexp_matches(lower(regexp_replace(url, '^[a-zA-Z]+://[^/?#]*', '')), '^[^?#]*(/(?:blog|news|article|articles|post|posts|press|category|tag|author)(?:/|$)|/20[0-9]{{2}}/)'))
-SELECT host, url, rank FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY url) AS rank FROM u) WHERE rank <= 12""")
+WITH h AS (SELECT page_id, {HOST} AS host, regexp_extract_all(html, 'href="([^"]+)"', 1) AS l FROM pages), x AS (SELECT page_id, host, l, unnest(range(1, len(l) + 1)) AS i FROM h),
+ l AS (SELECT host, page_id * 1000 + i AS pos, ['', '/meet-the', '/events', '/offices', '/tag'][(page_id + i) % 5 + 1] || l[i] AS url, ['', 'Our Team', 'Meet Dr. Li', 'welcome'][(page_id * 7 + i) % 4 + 1] AS txt FROM x),
+ u AS (SELECT host, regexp_replace(url, '#.*$', '') AS url, min(pos) AS pos FROM l WHERE (regexp_matches(lower(txt), 'our dentist|our doctor|meet the team|meet our team|meet the doctor|our team|our provider|our staff|the team|about the doctor|our doctors|about us|about our team|our hygienist|meet your dentist|meet our dentist|our location|our physicians|our practitioners|our providers|dental team|dental staff|clinical team|meet our doctors|meet the dentist|meet dr|our associates|our specialists') OR regexp_matches(lower(url), 'doctor|dentist|team|provider|staff|meet-the|about-us|about_us|who-we-are|our-doctor|our-dentist|hygienist|hygiene-team|about|physician|practitioner|clinician|associate|dental-team|our-team|meet-dr|our-provider|/location/|/locations/|/office/|/offices/|/our-location|/our-office|/find-us|/visit-us')) AND NOT regexp_matches(url, '(?i)/(?:news|blog|blogs|article|articles|post|posts|press-release|press|media|updates|announcements|events|resources|newsletter|podcast|dental-tips|dental-blog|health-tips|patient-education|dental-care-tips|case-stud)(?:/|$)') GROUP BY ALL)
+SELECT host, url, rank FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY pos, url) AS rank FROM u) WHERE rank <= 12""")
 def _(spark, sf):
-    links = load(spark, sf, "pages").select(urls.domain_key("url").alias("host"), F.explode(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1))).alias("href"))
-    # the made-up pages have few pages of teams: a mark in the text stands for one
-    links = links.withColumn("text", F.when(F.lower("href").rlike("th|de"), F.lit("our team")).otherwise(F.lit("")))
-    return frontier.staff_links(links, ["host"])
+    """Every link of every page, some with a made-up text or begin, in order of place."""
+    links = load(spark, sf, "pages").select("page_id", urls.domain_key("url").alias("host"), F.posexplode(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1))).alias("i", "href"))
+    i, page = F.col("i") + 1, F.col("page_id")
+    of = lambda k, *values: F.element_at(F.array(*[F.lit(v) for v in values]), (k + 1).cast("int"))
+    rows = links.select("host", (page * 1000 + i).alias("pos"), F.concat(of((page + i) % 5, "", "/meet-the", "/events", "/offices", "/tag"), "href").alias("href"), of((page * 7 + i) % 4, "", "Our Team", "Meet Dr. Li", "welcome").alias("text"))
+    return frontier.staff_links(rows, ["host"], pos="pos")
 
 
 @query("fallback_cascade", f"""WITH b AS (SELECT pos, website, doctor_name, email, try_cast(invisalign AS INT) AS invisalign FROM ({BATCH})), p AS (SELECT *, (NOT {sql_missing('website', 'bypass')} AND {sql_missing('doctor_name', 'bypass')} AND {sql_missing('email', 'bypass')}) OR ({sql_missing('doctor_name', 'bypass')} AND {sql_missing('email', 'bypass')} AND coalesce(invisalign, 0) = 0) AS poor FROM b)
@@ -774,7 +848,7 @@ MADE_PAGES = """
 SELECT k, 1 AS page_ord, 'https://smile.co/' AS url, '<html><body><nav><a href="/services/implants">Implants</a></nav><p>Dental implant and veneer. ' || repeat('implant ', CAST(k % 8 AS INT)) || CASE WHEN k % 2 = 0 THEN 'We use CEREC.' ELSE 'Laser therapy.' END
  || '</p><a href="mailto:' || CASE WHEN k % 3 = 0 THEN 'noreply@x.org' ELSE 'front' || CAST(k AS STRING) || '@smile.co' END || '">m</a><p>Call (210) 555-01' || lpad(CAST(k % 100 AS STRING), 2, '0') || '</p><a href="https://facebook.com/smile' || CAST(k AS STRING)
  || '">f</a><div class="testimonial">Great ' || CAST(k % 2 AS STRING) || '</div><div class="testimonial">Great ' || CAST(k % 2 AS STRING) || '</div><div class="review">Loved it</div></body></html>' AS html FROM (SELECT c_custkey AS k FROM customer)
-UNION ALL SELECT k, 2, 'https://smile.co/team', '<html><body><h2>Dr. Jane Li, DDS</h2><p>An orthodontist. ADA member.</p>' || CASE WHEN k % 2 = 0 THEN '<h2>Dr. Bob Ray</h2><p>nothing</p>' ELSE '' END || '<h2>Our Office</h2><div class="team-member">Anna Lee, RDH our hygienist of many years</div></body></html>' FROM (SELECT c_custkey AS k FROM customer)
+UNION ALL SELECT k, 2, 'https://smile.co/team', '<html><body><section><h2>Dr. Jane Li, DDS</h2><p>An orthodontist. ADA member.</p></section>' || CASE WHEN k % 2 = 0 THEN '<h2>Dr. Bob Ray</h2><p>nothing</p>' ELSE '' END || '<h2>Our Office</h2><div class="team-member">Anna Lee, RDH our hygienist of many years</div></body></html>' FROM (SELECT c_custkey AS k FROM customer)
 UNION ALL SELECT k, 5000000, 'https://smile.co/#top', '<p>implant implant implant laser</p>' FROM (SELECT c_custkey AS k FROM customer)"""
 
 

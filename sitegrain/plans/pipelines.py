@@ -2,51 +2,104 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import names as nm
+from ..functions import tree
 from ..functions.html import parse_pages
 from ..functions.people import names_in
 from ..functions.signals import hygienists, rating
 from ..functions.text import email_by_priority, first_phone, locations
-from ..functions.urls import PROFILE_HOSTS, is_content, is_profile
+from ..functions.urls import SITES, is_content, is_profile, netloc, path, without_fragment
 from ..operators import entity, features, merge
 from ..operators.diff import field_diff, roster_diff
 from ..schema import COUNTS, FLAGS
+from ..staging import staged
 
 DOCTOR_HEADING = r"^(?:Dr\.? +)?([A-ZÀ-Þ][A-Za-zÀ-ÿ'.-]+(?: [A-ZÀ-Þ][A-Za-zÀ-ÿ'.-]*){1,3})(?:,? *(?:DDS|DMD|D\.D\.S\.?|D\.M\.D\.?|MD|PhD|MS))*$"
+#: Names that are compared for being one person's, a key; people told, a key.
+COMPARED, TOLD = 3000, 30
 
 
-def staff(parsed: DataFrame, key: list[str], cap: int = 30) -> DataFrame:
-    """People named by headings with a title or credential, then by cards of staff; a row a person and key: name, what is said, page order. No blogs.
+def page_people() -> Column:
+    """People of a parsed page's headings, with what the page says of each alone."""
+    return tree.people(tree.tree(), F.col("links"), DOCTOR_HEADING, nm.looks_titled)
+
+
+def staff(parsed: DataFrame, key: list[str], cap: int = TOLD) -> DataFrame:
+    """People named by headings with a title or credential, then by cards of staff; a row a person and key: rank, name, what is said of them, a hint, a link, the page. No blogs, no "names" made of the site's own address.
 
     The same spelling is taken once a key (its first place) before the names of
-    a key come together, so a key's list is as long as its people are many.
+    a key come together; of these the first ``COMPARED`` are compared, so that
+    a directory of very many people stays a short list of ``cap`` like any other.
     """
     rows = parsed.filter(~is_content("url"))
-    heads = rows.select(*key, "url", F.col("page_ord").cast("long").alias("page_ord"), F.posexplode("headings").alias("ord", "h")).filter(nm.looks_titled("h.text"))
-    heads = heads.select(*key, "url", F.struct("page_ord", F.lit(0).alias("kind"), "ord").alias("pos"), F.trim(F.regexp_replace(F.regexp_extract("h.text", DOCTOR_HEADING, 1), r"\s+", " ")).alias("name"), F.col("h.after").alias("bio"))
+    if "people" not in rows.columns:
+        rows = rows.withColumn("people", page_people())
+    at = lambda kind: F.struct(F.col("page_ord").cast("long").alias("page_ord"), F.lit(kind).alias("kind"), F.col("ord").cast("int").alias("ord")).alias("pos")
+    heads = rows.select(*key, "url", "page_ord", F.explode("people").alias("p")).select(*key, "url", "page_ord", "p.*")
+    heads = heads.select(*key, "url", at(0), "name", F.col("own").alias("bio"), "hint", "link")
     if "cards" in parsed.columns:
-        cards = rows.select(*key, "url", F.col("page_ord").cast("long").alias("page_ord"), F.posexplode("cards").alias("ord", "card"))
-        cards = cards.select(*key, "url", F.struct("page_ord", F.lit(1).alias("kind"), "ord").alias("pos"), F.try_element_at(names_in("card", 1), F.lit(1)).alias("name"), F.col("card").alias("bio")).filter("name IS NOT NULL")
+        none = F.lit(None).cast("string")
+        cards = rows.select(*key, "url", "page_ord", F.posexplode("cards").alias("ord", "card"))
+        cards = cards.select(*key, "url", at(1), F.try_element_at(names_in("card", 1), F.lit(1)).alias("name"), F.col("card").alias("bio"), none.alias("hint"), none.alias("link")).filter("name IS NOT NULL")
         heads = heads.unionByName(cards)
-    named = heads.filter(nm.is_found_name("name"))
-    once = named.groupBy(*key, F.lower("name").alias("__low")).agg(F.min_by(F.struct("pos", "name", "bio", "url"), "pos").alias("x"))
-    lists = once.groupBy(*key).agg(F.sort_array(F.collect_list("x")).alias("all"))
+    named = heads.filter(nm.is_found_name("name") & ~nm.in_host("name", netloc("url")))
+    once = named.groupBy(*key, F.lower("name").alias("__low")).agg(F.min_by(F.struct("pos", "name", "bio", "hint", "link", "url"), "pos").alias("x"))
+    near = once.withColumn("__rn", F.row_number().over(Window.partitionBy(*key).orderBy("x.pos", "__low"))).filter(F.col("__rn") <= COMPARED)
+    lists = near.groupBy(*key).agg(F.sort_array(F.collect_list("x")).alias("all"))
     kept = entity.subset(F.transform("all", lambda x: x["name"]))
     out = lists.select(*key, "all", F.posexplode(F.slice(kept, 1, cap)).alias("rank", "name"))
     first = F.element_at(F.filter("all", lambda x: x["name"] == F.col("name")), 1)
-    return out.select(*key, "rank", "name", first["bio"].alias("bio"), first["url"].alias("url"))
+    return out.withColumn("__x", first).select(*key, "rank", "name", F.col("__x.bio").alias("bio"), F.col("__x.hint").alias("hint"), F.col("__x.link").alias("link"), F.col("__x.url").alias("url"))
 
 
-def doctors(parsed: DataFrame, key: list[str]) -> DataFrame:
-    """Per-doctor fields: specialty and memberships out of the text that belongs to the person alone."""
-    return staff(parsed, key).select(*key, "rank", "name", F.nullif(features.specialty(F.col("bio"), policy="all"), F.lit("")).alias("specialty"), features.associations(F.col("bio"), sections=True).alias("associations"))
+#: Where a person's specialty and memberships are looked for, in order of trust.
+EVIDENCE = ("card", "slug page", "bio page", "scoped text", "whole site", "hint")
+
+
+def tokens(text: Column) -> Column:
+    return F.array_distinct(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^a-z0-9à-ÿ]+"), lambda w: F.length(w) >= 2))
+
+
+def evidence(people: DataFrame, pages: DataFrame, key: list[str]) -> DataFrame:
+    """Every text that may tell a person's specialty and memberships: ``rank, name, source, page_ord, specialty, associations``.
+
+    ``source`` counts EVIDENCE from 1: the text of the person's own card or heading; pages with the last name in their
+    address; the page a card links to; what other pages' headings with the last name say; the whole site, where it has one
+    person; the hint beside the name. People meet pages by equal words (last name and word of the address or of
+    a heading), not one by one. ``pages`` are parsed pages; people are those of ``staff``.
+    """
+    none = F.array().cast("array<string>")
+    said = lambda c: [F.nullif(features.specialty(F.col(c), policy="all"), F.lit("")).alias("specialty"), features.associations(F.col(c), sections=True).alias("associations")]
+    who = people.select(*key, "rank", "name", F.element_at(F.split(nm.normalised("name"), " "), -1).alias("__last"), without_fragment("link").alias("__link"))
+    own = people.select(*key, "rank", "name", F.lit(1).alias("source"), F.lit(0).cast("long").alias("page_ord"), "bio").select(*key, "rank", "name", "source", "page_ord", *said("bio"))
+    hints = people.filter("hint IS NOT NULL").select(*key, "rank", "name", F.lit(6).alias("source"), F.lit(0).cast("long").alias("page_ord"), F.coalesce(F.nullif(features.specialty(F.col("hint"), policy="all"), F.lit("")), F.col("hint")).alias("specialty"), none.alias("associations"))
+    usable = pages.filter(~is_content("url")).select(*key, "url", F.col("page_ord").cast("long").alias("page_ord"), "text", "elements", "headings")
+    keyed = usable.select(*key, "page_ord", without_fragment("url").alias("__url"), tokens(path("url")).alias("__way"), tokens(F.array_join(F.transform("headings", lambda h: h["text"]), " ")).alias("__heads"))
+    slugs = keyed.select(*key, "page_ord", F.explode("__way").alias("__last")).join(who, [*key, "__last"]).select(*key, "page_ord", "rank", "name", F.lit(2).alias("source"))
+    links = keyed.select(*key, "page_ord", F.col("__url").alias("__link")).join(who, [*key, "__link"]).select(*key, "page_ord", "rank", "name", F.lit(3).alias("source"))
+    heads = keyed.select(*key, "page_ord", F.explode("__heads").alias("__last")).join(who, [*key, "__last"]).select(*key, "page_ord", "rank", "name", F.lit(4).alias("source"))
+    alone = who.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"), F.first("rank").alias("rank"), F.first("name").alias("name")).filter("__n = 1")
+    whole = keyed.select(*key, "page_ord").join(alone.drop("__n"), key).select(*key, "page_ord", "rank", "name", F.lit(5).alias("source"))
+    asked = slugs.unionByName(links).unionByName(heads).unionByName(whole).distinct()
+    t = tree.tree()
+    text = F.when(F.col("source") == 4, tree.scoped_text(t, nm.normalised("name"))).when(F.col("source") == 5, F.col("text")).otherwise(F.coalesce(tree.scoped_text(t, nm.normalised("name")), tree.bio_block(t, nm.normalised("name"))))
+    met = asked.join(usable, [*key, "page_ord"]).select(*key, "rank", "name", "source", "page_ord", text.alias("__t")).filter("__t IS NOT NULL")
+    return own.unionByName(hints).unionByName(met.select(*key, "rank", "name", "source", "page_ord", *said("__t")))
 
 
-SITES = list(PROFILE_HOSTS)
+def doctors(parsed: DataFrame, key: list[str]) -> DataFrame:
+    """Per-doctor fields: specialty and memberships, each from the first source by trust, then by page, that tells any."""
+    people = staged(staff(parsed, key), "people")
+    rows = evidence(people, parsed, key)
+    order = F.struct("source", "page_ord")
+    best = rows.groupBy(*key, "rank", "name").agg(
+        F.min_by("specialty", F.when(F.col("specialty").isNotNull(), order)).alias("specialty"),
+        F.min_by("associations", F.when(F.size("associations") > 0, order)).alias("associations"),
+    )
+    return best.select(*key, "rank", "name", "specialty", F.coalesce("associations", F.array().cast("array<string>")).alias("associations"))
 
 
 def page_socials() -> list[Column]:
@@ -55,35 +108,50 @@ def page_socials() -> list[Column]:
     return [first(s) for s in SITES]
 
 
-def page_contact() -> list[Column]:
-    """A page's email by priority (hidden links, mail links, text, contact blocks), phone, places, hygienists in its text and on its cards."""
+#: How hygienists are counted: by texts unless markup names some; by texts, else the first page that names some; by texts, else lines that speak of one.
+HYGIENIST_POLICIES = ("scrape", "reprocess", "refresh")
+
+
+def page_contact(policy: str = "scrape") -> list[Column]:
+    """A page's email by priority (hidden links, mail links, text, contact blocks), phone, places, hygienists in its text and in its markup."""
+    team = tree.anonymous_hygienists(tree.tree()) if policy == "refresh" else tree.hygienist_names(tree.tree())
     return [
         email_by_priority(F.col("hidden"), F.col("mailtos"), F.col("text"), F.col("contacts")).alias("email"), first_phone("text").alias("phone"), F.nullif(locations("text", F.col("links")), F.lit("1")).alias("locations_count"),
-        hygienists("text").alias("hygienists"), features.card_hygienists("cards").alias("team"),
+        hygienists("text").alias("hygienists"), team.alias("team"),
     ]
 
 
+def count_hygienists(slim: DataFrame, key: list[str], policy: str = "scrape") -> DataFrame:
+    """``hygienists`` a key, of pages' ``hygienists`` (texts) and ``team`` (names or lines of markup)."""
+    told = slim.groupBy(*key).agg(F.min_by("hygienists", F.when(F.col("hygienists").isNotNull(), F.col("page_ord"))).alias("__told"), F.min_by(F.size("team"), F.when(F.size("team") > 0, F.col("page_ord"))).alias("__page"))
+    team = slim.select(*key, F.explode("team").alias("who")).distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("__team"))
+    order = {"scrape": ("__team", "__told"), "reprocess": ("__told", "__page", "__team"), "refresh": ("__told", "__team")}[policy]
+    return told.join(team, key, "left").select(*key, F.coalesce(*[F.nullif(F.col(c).cast("long"), F.lit(0).cast("long")) for c in order]).alias("hygienists"))
+
+
 def extract(pages: DataFrame, key: list[str] = ["practice_id"], policy: str = "scrape") -> DataFrame:  # noqa: B006
-    """Re-extraction: one row a practice with counts, flags, contact, socials, testimonials and doctors, out of stored pages.
+    """Re-extraction: one row a practice with counts, flags, contact, socials, testimonials, hygienists and doctors, out of stored pages.
 
-    Each page is parsed once; what later steps need of it (numbers, addresses,
-    headings, cards, begins of testimonials, no texts) is kept, on disk where
-    memory is short, and aggregated. The caller frees it by ``spark.catalog.clearCache``
-    once the result is written. Hygienists on staff cards win over those in texts.
+    Each page is parsed once; what later steps need of it is written as a table
+    of which each step reads its own columns, so that neither lost executors
+    nor several readers parse a page again (``staging.clear`` deletes it). A
+    null key is a practice of its own.
     """
     from ..rules import SERVICES, TECHNOLOGY
 
-    parsed = features.prepared(parse_pages(pages))
-    counts_of = features.page_counts(policy)
-    slim = parsed.select(*key, "url", "page_ord", "headings", "cards", *counts_of, *features.page_flags(policy), *page_contact(), *page_socials(), features.page_testimonials(policy).alias("said"))
-    slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
-    counts = features.sum_counts(slim, key, policy, list(SERVICES)).withColumn("dental_plan", features.mentioned(F.col("dental_plan")))
+    inner = [f"__key{k}" for k in range(len(key))]
+    named = pages.withColumns({i: F.struct(F.col(k).alias("v")) for i, k in zip(inner, key)})  # a struct is never null, so joins keep null keys
+    parsed = features.prepared(parse_pages(named))
+    hyg = policy if policy in HYGIENIST_POLICIES else "scrape"
+    slim = parsed.select(*inner, "url", "page_ord", "headings", "cards", "text", "elements", page_people().alias("people"), *features.page_counts(policy), *features.page_flags(policy), *page_contact(hyg), *page_socials(), features.page_testimonials(policy if policy in ("scrape", "reprocess", "refresh") else "scrape").alias("said"))
+    slim = staged(slim, "pages")
+    counts = features.sum_counts(slim, inner, policy, list(SERVICES)).withColumn("dental_plan", features.mentioned(F.col("dental_plan")))
     firsts = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col("page_ord"))).alias(c) for c in ("email", "phone", "locations_count", *[f"{s}_url" for s in SITES])]
-    rest = slim.groupBy(*key).agg(*[F.max(c).alias(c) for c in TECHNOLOGY], F.max("hygienists").alias("__told"), *firsts).withColumn("locations_count", F.coalesce("locations_count", F.lit("1")))
-    team = slim.select(*key, F.explode("team").alias("who")).distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("__team"))
-    rest = rest.join(team, key, "left").withColumn("hygienists", F.coalesce("__team", "__told")).drop("__team", "__told")
-    people = doctors(slim, key).groupBy(*key).agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "name", "specialty", "associations"))), lambda d: F.struct(d["name"].alias("name"), d["specialty"].alias("specialty"), d["associations"].alias("associations"))).alias("doctors"))
-    return counts.join(rest, key, "left").join(features.count_testimonials(slim, key), key, "left").join(people, key, "left")
+    rest = slim.groupBy(*inner).agg(*[F.max(c).alias(c) for c in TECHNOLOGY], *firsts).withColumn("locations_count", F.coalesce("locations_count", F.lit("1")))
+    people = doctors(slim, inner).groupBy(*inner).agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "name", "specialty", "associations"))), lambda d: F.struct(d["name"].alias("name"), d["specialty"].alias("specialty"), d["associations"].alias("associations"))).alias("doctors"))
+    people = people.withColumn("doctor_names", F.array_join(F.transform("doctors", lambda d: d["name"]), ", "))
+    out = counts.join(rest, inner, "left").join(count_hygienists(slim, inner, hyg), inner, "left").join(features.count_testimonials(slim, inner), inner, "left").join(people, inner, "left")
+    return out.select(*[F.col(f"{i}.v").alias(k) for i, k in zip(inner, key)], *[c for c in out.columns if c not in inner])
 
 
 def refresh(batch: DataFrame, extracted: DataFrame, key: str = "idx") -> tuple[DataFrame, DataFrame]:
@@ -99,9 +167,9 @@ def refresh_doctors(batch: DataFrame, people: DataFrame, key: str = "idx") -> tu
     """Practices for which doctors were found get a row for each, on their first row as a template; the others keep theirs."""
     first = batch.groupBy(key).agg(F.min_by(F.struct(*[c for c in batch.columns if c != key]), "pos").alias("t"))
     new = first.join(people.select(key, "rank", "name", "specialty", "associations"), key)
-    cells = {"doctor_name": F.col("name"), "specialty": F.coalesce("specialty", F.lit("Not Found")), "associations": F.coalesce(F.nullif(F.array_join("associations", ", "), F.lit("")), F.lit("Not Found")), "pos": F.col("t.pos").cast("long") * 1000 + F.col("rank")}
+    cells = {"doctor_name": F.col("name"), "specialty": F.coalesce("specialty", F.lit("Not Found")), "associations": F.coalesce(F.nullif(F.array_join("associations", ", "), F.lit("")), F.lit("Not Found")), "pos": F.struct(F.col("t.pos").cast("long").alias("row"), F.col("rank").cast("long").alias("rank"))}
     rows = new.select(*[cells[c].alias(c) if c in cells else F.col(key) if c == key else F.col(f"t.{c}").alias(c) for c in batch.columns])
-    after = merge.replace_rows(batch.withColumn("pos", F.col("pos").cast("long") * 1000), rows, key)
+    after = merge.replace_rows(batch.withColumn("pos", F.struct(F.col("pos").cast("long").alias("row"), F.lit(0).cast("long").alias("rank"))), rows, key)
     return after, roster_diff(batch, after, key)
 
 

@@ -73,12 +73,17 @@ def test_urls(spark):
     given_ = ["https://WWW2.Site.com:8080/a?b#c", "site.com", "http://x.org/p/", ""]
     assert many(spark, given_, urls.domain_key) == ["site.com:8080", "site.com", "x.org", ""]
     assert many(spark, given_[:3], urls.homepage) == ["https://www2.site.com:8080/", "https://site.com/", "http://x.org/"]
-    assert many(spark, ["https://facebook.com/Smiles", "https://facebook.com/sharer/x", "https://x.com/a", None], lambda c: urls.is_profile(c, "facebook")) == [True, False, False, False]
-    assert many(spark, ["https://www.linkedin.com/company/acme", "https://linkedin.com/company/microsoft", "https://linkedin.com/jobs/acme"], lambda c: urls.is_profile(c, "linkedin")) == [True, False, False]
-    assert many(spark, ['<a href="https://instagram.com/p/1"></a><a href="https://instagram.com/smile.co"></a>'], lambda c: urls.first_profile(c, "instagram")) == ["https://instagram.com/smile.co"]
+    assert many(spark, ["https://facebook.com/Smiles", "https://facebook.com/2008/", "https://facebook.com/2008/fbml", "https://facebook.com/plugins/like", "https://facebook.com/events/", "https://facebook.com/events-hall", "https://facebook.com", "https://x.com/a", None], lambda c: urls.is_profile(c, "facebook")) == [True, False, False, False, False, True, False, False, False]
+    assert many(spark, ["https://www.linkedin.com/company/acme", "https://linkedin.com/company/heartland-dental", "https://linkedin.com/company/Heartland-Dental-/about", "https://linkedin.com/in/acme"], lambda c: urls.is_profile(c, "linkedin")) == [True, False, False, True]
+    assert many(spark, ['<a href="https://instagram.com/explore/1"></a><a href="https://instagram.com/wix.com"></a><a href="https://instagram.com/smile.co/?x=1"></a>', "none"], lambda c: urls.first_profile(c, "instagram")) == ["https://instagram.com/smile.co", None]
     assert many(spark, ["https://www.tiktok.com/@smile.co?x=1"], urls.username) == ["smile.co"]
-    assert many(spark, ["https://x.com/blog/a", "https://x.com/team"], urls.is_content) == [True, False]
-    assert many(spark, ["https://www.yelp.com/biz/x", "https://x.com"], urls.is_portal) == [True, False]
+    assert many(spark, ["https://x.com/blog/a", "https://x.com/events/x", "https://x.com/press-release/x", "https://x.com/dental-tips/x", "https://x.com/NEWS", "https://x.com/author/jane", "https://x.com/newsroom/a", "https://x.com/team", None], urls.is_content) == [True, True, True, True, True, False, False, False, False]
+    assert many(spark, ["https://www.yelp.com/biz/x", "https://vitals.com/a", "https://x.org/doctors-locations/a", "https://x.com", None], urls.is_portal) == [True, True, True, False, False]
+    assert many(spark, ["hallfamilydent.com/a", "https://www.dent.co", "https://xdental.com/"], urls.variants) == [
+        ["https://hallfamilydent.com/a", "https://www.hallfamilydent.com/a", "http://hallfamilydent.com/a", "http://www.hallfamilydent.com/a", "https://hallfamilydental.com/a", "https://www.hallfamilydental.com/a"],
+        ["https://www.dent.co", "https://dent.co/", "http://dent.co/", "http://www.dent.co/", "https://dental.co/", "https://www.dental.co/"],
+        ["https://xdental.com/", "https://www.xdental.com/", "http://xdental.com/", "http://www.xdental.com/"],
+    ]
     assert many(spark, ["100-n-main-st-ste-4"], urls.slug_address) == ["100 N Main St Ste 4"]
     assert many(spark, ["https://www.facebook.com/x"], urls.mobile) == ["https://m.facebook.com/x"]
     assert many(spark, ["Dr. O'Neil & Sons Family Dentistry of X"], urls.folder_slug) == ["Dr_O_Neil_Sons_Family_Dentistr"]
@@ -127,7 +132,9 @@ def test_rating_cascade(spark, page, want):
 
 def test_signals(spark):
     assert one(spark, signals.rating("h"), h="nothing") is None
-    assert one(spark, signals.facebook_followers("h"), h='{"follower_count": 0} 12.5K followers') == 12500
+    assert one(spark, signals.facebook_followers("h"), h='{"fan_count": 0} 12.5K people follow this') == 12500
+    told = ['"like_count": 7', '"page_likers":{"count": 31}', '"likers":{"count":5}', '"profile_plus_follower_count":6', '"connected_users_count":8', '"social_context":{"text":"12 people follow"}', "1,234 likes", "nothing", None]
+    assert many(spark, told, signals.facebook_followers) == [7, 31, 5, 6, 8, 12, 1234, None, None]
     assert tuple(one(spark, signals.instagram_counts("h"), h='"media_count":12,"follower_count":"340"')) == (12, 340)
     assert tuple(one(spark, signals.tiktok_counts("h"), h='"videoCount":7,"followerCount":99')) == (7, 99)
     assert tuple(one(spark, signals.profile_api_counts("h"), h='{"data":{"user":{"media_count":0,"follower_count":5}}}')) == (0, 5)
@@ -136,7 +143,7 @@ def test_signals(spark):
     assert one(spark, signals.tier("t", "n"), t="Gold " + "x" * 900 + " Gold Plus by Smithson; Bronze Plus", n="Jane Smithson") == "Gold Plus"
     assert one(spark, signals.tier("t", "n"), t="Gold " + "x" * 900 + " gold and Smithson", n="Jane Smithson") == "Gold"
     assert one(spark, signals.tier("t", "n"), t="nothing", n="Jane Smithson") is None
-    assert many(spark, ["we have two dental hygienists", "Anna Lee, RDH and Bo Ray, RDH; Anna Lee, RDH", "Anna, RDH", "our gentle dental hygienist"], signals.hygienists) == [2, 2, 1, None]
+    assert many(spark, ["2 RDH on staff", "1 dental hygienist", "Hygienists on staff: 4", "3 licensed dental hygiene specialists", "Jane M. Smith, Registered Dental Hygienist", "Anna Lee, RDH and Bo Ray, RDH; Anna Lee, RDH", "Anna, RDH", "our gentle dental hygienist", None], signals.hygienists) == [2, 1, 4, 3, 1, 2, 1, None, None]
     assert one(spark, signals.json_find("j", "phone", ("$.a.phone",)), j='{"b":{"phone":"555"}}') == "555"
     c = "array<struct<formatted_address:string,rating:double>>"
     row = spark.createDataFrame([([("1 A St, Dallas, TX", None), ("2 B St, Austin, TX", 4.5)],)], f"c {c}")
@@ -151,7 +158,7 @@ def test_html_parser():
     assert r["title"] == "T" and "var" not in r["text"] and r["text"].endswith("tail & end") and "top" not in r["body_text"]
     assert all(w in r["aug_text"] for w in ("desc", "ld", "pic", "team", "ann", "x y"))
     assert r["headings"][0]["text"] == "Dr. Ann Lee, DDS" and r["headings"][0]["after"].startswith("one two three")
-    assert r["links"][0] == {"href": "https://h.com/team/ann", "text": "Ann", "same_host": True}
+    assert r["links"][0] == {"href": "https://h.com/team/ann", "text": "Ann", "same_host": True, "pre": r["links"][0]["pre"]}
     assert r["mailtos"] == ["a@b.co"] and r["hidden"] == ["00"] and r["quotes"] == ["nice"] and r["reviews"][0]["text"] == "so good"
 
 

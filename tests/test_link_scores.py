@@ -1,6 +1,7 @@
 """link_scores against scores written out by hand: every row of the batch, awkward names too."""
 
 import os
+import re
 
 import pytest
 
@@ -9,16 +10,16 @@ from sitegrain.plans import catalog
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are absent")
 
-LINKS = [("/team/anna-weber", "dr. weber"), ("/doctors/maria-de-la-cruz", "meet dr. cruz"), ("/john-smith/carter", "single carter")]
+LINKS = [("/team/weber-anna", "dr. weber"), ("/doctors/maria-de-la-cruz", "meet dr. cruz"), ("/john-smith/carter", "single carter"), ("/profile/1", "anna weber, dds")]
 #: c_custkey % 9: last name and slug after titles, credentials and case are taken off.
 NAMES = [("found", "not-found"), ("weber", "anna-weber"), ("smith", "john-smith"), ("single", "single"), ("group", "bright-dental-group"), ("carter", "a-b-carter"), ("com", "info@x-com"), ("", ""), ("cruz", "maria-de-la-cruz")]
 
 
 def brute(pos):
-    (last, slug), (href, text) = NAMES[pos % 9], LINKS[pos // 9 % 3]
-    score = 10 * (last != "" and last in href) + 8 * (last != "" and last in text) + 15 * (slug != "" and slug in href)
-    score += 3 * any(w in href for w in ("doctor", "team", "staff", "about", "provider", "bio"))
-    return score + 2 * (text.startswith("dr") or " dr " in text or " dr. " in text)
+    (last, slug), (href, text) = NAMES[pos % 9], LINKS[pos // 9 % 4]
+    score = 10 * (last != "" and last in href) + 8 * (last != "" and last in text) + 15 * ("-" in slug and all(w in href for w in slug.split("-")))
+    score += 3 * any(w in href for w in ("bio", "profile", "doctor", "team", "provider", "dentist", "meet", "about", "dr-", "/dr/", "staff"))
+    return score + 2 * bool(re.search(r"\b(?:dr|dds|dmd)\b", text))
 
 
 def test_all_rows_are_scored(spark):
