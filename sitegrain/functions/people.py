@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .names import is_found_name, last_name
-from .text import once
+from .text import literals, once
 
 NAME = r"[A-ZÀ-Þ][a-zà-ÿ'-]+(?: [A-ZÀ-Þ]\.?)?(?: [A-ZÀ-Þ][a-zà-ÿ'-]+){1,2}"
 TITLED = rf"Dr\.? +({NAME})"
@@ -48,7 +48,7 @@ def extended_names(text: Column | str, most: int = 30) -> Column:
     """Distinct names with a credential, with the given names that stand before what a name usually has; words of roles before them are left out."""
     t = F.coalesce(_col(text), F.lit(""))
     found = F.regexp_extract_all(t, F.lit(rf"((?:[A-Z][a-z]{{1,20}} ){{0,4}}{NAME}),? +(?:DDS|DMD|D\.D\.S\.?|D\.M\.D\.?)(?:[^A-Za-z]|$)"), F.lit(1))
-    roles = F.array(*[F.lit(w) for w in ROLE_WORDS])
+    roles = literals(ROLE_WORDS)
 
     def bare(name: Column) -> Column:
         words = F.split(name, " ")
@@ -101,8 +101,8 @@ def is_hint(text: Column | str) -> Column:
     Stems may have endings ("orthodontist"), which a whole-word search would miss.
     """
     t = _plain(text)
-    told = F.exists(F.array(*[F.lit(f" {s}") for s in HINT_STEMS]), lambda s: F.contains(F.concat(F.lit(" "), F.regexp_replace(t, "[^a-z]+", " ")), s))
-    passed = F.exists(F.array(*[F.lit(x) for x in NAVIGATION]), lambda x: F.contains(t, x)) | t.rlike(r"(^|[^a-z])home($|[^a-z])")
+    told = F.exists(literals([f" {s}" for s in HINT_STEMS]), lambda s: F.contains(F.concat(F.lit(" "), F.regexp_replace(t, "[^a-z]+", " ")), s))
+    passed = F.exists(literals(NAVIGATION), lambda x: F.contains(t, x)) | t.rlike(r"(^|[^a-z])home($|[^a-z])")
     return F.length(t).between(5, 90) & told & ~passed & ~t.rlike(rf",\s*(?:{'|'.join(NAME_ENDS).lower()})($|[^a-z])")
 
 

@@ -28,6 +28,16 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def quoted(value: str) -> str:
+    """A string as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literals(values) -> Column:
+    """An array of strings as one literal: a vocabulary is one node of a plan, not one a word."""
+    return F.expr(f"array({', '.join(map(quoted, values))})") if len(values) else F.array().cast("array<string>")
+
+
 def visible_text(html: Column | str, body: bool = False) -> Column:
     """Lower-cased text of a page without tags, scripts and comments; body: without navigation, header and footer too.
 
@@ -50,13 +60,13 @@ def count_keyword(text: Column | str, word: Column | str, cap: int | None = None
 
 def keyword_sum(text: Column | str, words: list[str], cap: int | None = None) -> Column:
     """Sum of capped counts over words. Words may overlap on purpose; each counts."""
-    return F.aggregate(F.array(*[F.lit(w) for w in words]), F.lit(0).cast("long"), lambda a, w: a + count_keyword(text, w, cap)) if words else F.lit(0).cast("long")
+    return F.aggregate(literals(words), F.lit(0).cast("long"), lambda a, w: a + count_keyword(text, w, cap)) if words else F.lit(0).cast("long")
 
 
 def any_keyword(text: Column | str, words: list[str]) -> Column:
     """Whether any literal occurs."""
     t = _col(text)
-    return F.coalesce(F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(t, w)), F.lit(False)) if words else F.lit(False)
+    return F.coalesce(F.exists(literals(words), lambda w: F.contains(t, w)), F.lit(False)) if words else F.lit(False)
 
 
 def spaced(text: Column | str) -> Column:

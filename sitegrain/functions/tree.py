@@ -178,7 +178,8 @@ def hygienist_names(t: Column) -> Column:
     lines = F.filter(t["all"], lambda r: r["tag"].isin(*LINES) & size(r).between(1, 200) & said(t, r).rlike(ROLE))
     none = F.array().cast("array<string>")
     in_cards = once(roles, lambda r: F.when(F.size(r) > 0, carded(r)).otherwise(none))
-    return F.array_distinct(F.array_compact(F.concat(in_cards, F.transform(lines, lambda r: name_in(said(t, r))))))
+    found = F.array_distinct(F.array_compact(F.concat(in_cards, F.transform(lines, lambda r: name_in(said(t, r))))))
+    return F.when(t["text"].rlike(ROLE), found).otherwise(none)  # most pages speak of nobody: one search spares a look at every element
 
 
 def anonymous_hygienists(t: Column) -> Column:
@@ -186,7 +187,8 @@ def anonymous_hygienists(t: Column) -> Column:
     tags = ("h1", "h2", "h3", "h4", "h5", "p", "span", "div", "li", "a", "strong", "b")
     lines = F.filter(t["all"], lambda r: r["tag"].isin(*tags) & size(r).between(1, 200) & said(t, r).rlike(ROLE))
     name = lambda s: F.try_element_at(F.filter(F.transform(F.regexp_extract_all(s, F.lit(f"({FULL_NAME})"), F.lit(1)), lambda n: F.lower(n)), lambda n: ~n.rlike(ROLE_WORDS)), F.lit(1))
-    return F.array_distinct(F.transform(lines, lambda r: F.coalesce(name(said(t, r)), F.left(F.lower(F.regexp_replace(said(t, r), r"\s+", " ")), F.lit(60)))))
+    found = F.array_distinct(F.transform(lines, lambda r: F.coalesce(name(said(t, r)), F.left(F.lower(F.regexp_replace(said(t, r), r"\s+", " ")), F.lit(60)))))
+    return F.when(t["text"].rlike(ROLE), found).otherwise(F.array().cast("array<string>"))
 
 
 def people(t: Column, links: Column, pattern: str, titled) -> Column:
@@ -194,13 +196,14 @@ def people(t: Column, links: Column, pattern: str, titled) -> Column:
 
     ``pattern`` takes the name out of a heading, ``titled`` tells which headings can have one.
     """
-    heads = F.filter(t["all"], lambda h: h["tag"].isin(*HEADINGS) & titled(said(t, h)) & ~is_article(said(t, h)))
+    heads = F.filter(F.filter(t["all"], lambda h: h["tag"].isin(*HEADINGS)), lambda h: titled(said(t, h)) & ~is_article(said(t, h)))
+    nobody = F.array().cast("array<struct<name:string,ord:int,own:string,hint:string,link:string>>")
 
-    def of(d: Column) -> Column:
+    def of(heads: Column, d: Column) -> Column:
         def told(h: Column) -> Column:
             name = F.trim(F.regexp_replace(F.regexp_extract(said(t, h), pattern, 1), r"\s+", " "))
             return F.struct(name.alias("name"), h["pre"].alias("ord"), own_text(t, h, size(h) + 40, d).alias("own"), hint(t, h).alias("hint"), person_link(t, h, links, name).alias("link"))
 
         return F.transform(heads, told)
 
-    return once(doctor_headings(t), of)
+    return once(heads, lambda own: F.when(F.size(own) > 0, once(doctor_headings(t), lambda d: of(own, d))).otherwise(nobody))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import literals
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -98,10 +99,10 @@ def is_profile(url: Column | str, site: str) -> Column:
     low = F.lower(F.coalesce(_col(url), F.lit("")))
     way = F.regexp_extract(low, r"^(?:[a-z][a-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
     first = F.element_at(F.split(F.regexp_replace(way, "^/+", ""), "/"), 1)
-    own = F.exists(F.array(*[F.lit(p) for p in NOT_PROFILES]), lambda p: F.when(F.endswith(p, F.lit("$")), way == F.rtrim(p, F.lit("$"))).otherwise(F.startswith(way, p)))
+    own = F.exists(literals(NOT_PROFILES), lambda p: F.when(F.endswith(p, F.lit("$")), way == F.rtrim(p, F.lit("$"))).otherwise(F.startswith(way, p)))
     fine = F.contains(low, F.lit(f"{site}.com")) & first.rlike("[a-z]") & ~way.rlike("^/[0-9]{4}/") & ~own
     if site == "linkedin":
-        fine = fine & ~F.rtrim(F.regexp_replace(F.regexp_extract(low, r"linkedin\.com/company/([^/?#]+)", 1), r"^\.+|\.+$", ""), F.lit("-")).isin(*PARENT_COMPANIES)
+        fine = fine & ~F.array_contains(literals(PARENT_COMPANIES), F.rtrim(F.regexp_replace(F.regexp_extract(low, r"linkedin\.com/company/([^/?#]+)", 1), r"^\.+|\.+$", ""), F.lit("-")))
     return fine
 
 
@@ -109,7 +110,7 @@ def first_profile(html: Column | str, site: str) -> Column:
     """The first profile's address in raw markup that shares nothing and is no builder's."""
     found = F.regexp_extract_all(F.coalesce(_col(html), F.lit("")), F.lit(rf"((?i)https?://(?:www\.)?{site}\.com/[a-z0-9._\-/@%]+)"), F.lit(1))
     found = F.transform(found, lambda u: F.rtrim(u, F.lit("/")))
-    strange = lambda u: F.exists(F.array(*[F.lit(x) for x in NOT_OWN]), lambda x: F.contains(F.lower(u), x))
+    strange = lambda u: F.exists(literals(NOT_OWN), lambda x: F.contains(F.lower(u), x))
     return F.try_element_at(F.filter(found, lambda u: is_profile(u, site) & ~strange(u)), F.lit(1))
 
 
@@ -128,7 +129,7 @@ def is_content(url: Column | str) -> Column:
 
 def is_portal(url: Column | str) -> Column:
     """Addresses of portals and directories."""
-    return F.coalesce(F.exists(F.array(*[F.lit(p) for p in PORTALS]), lambda p: F.contains(F.lower(_col(url)), p)), F.lit(False))
+    return F.coalesce(F.exists(literals(PORTALS), lambda p: F.contains(F.lower(_col(url)), p)), F.lit(False))
 
 
 def folder_slug(name: Column | str, index: Column | None = None) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.formats import title
 from ..functions.keywords import capped_sum, hits, listed, of_category
-from ..functions.text import any_keyword, keyword_sum, once, whole_word
+from ..functions.text import keyword_sum, literals, once, quoted, whole_word
 from ..functions.urls import without_fragment
 from ..rules import ASSOCIATIONS, BROAD_SPECIALTIES, CASED_CODES, COUNT_POLICIES, EDUCATION, EDUCATION_WORDS, FALLBACK, FLAG_POLICIES, NO_CODES, SERVICES, SPECIALTIES, TECHNOLOGY, TESTIMONIAL_POLICIES, WHOLE_WORDS
 
@@ -56,8 +56,7 @@ def page_counts(policy: str, services: dict[str, list[str]] = SERVICES) -> list[
         out += [capped_sum(F.col("__words__body"), spans[c], p["body_cap"]).alias(f"b_{c}") for c in services]
     if p.get("extra_page"):
         most = max(p["body_cap"], p["full_cap"])
-        names = F.array(*[F.lit(c) for c in services for _ in services[c]])
-        literal = F.array(*[F.lit(w) for w in words])
+        names, literal = literals([c for c in services for _ in services[c]]), literals(words)
         out.append(F.transform("__words__full", lambda x: F.struct(names[x["w"]].alias("c"), literal[x["w"]].alias("w"), F.least(x["n"], F.lit(most)).cast("long").alias("n"))).alias("words"))
     return out
 
@@ -150,6 +149,10 @@ def testimonials(pages: DataFrame, key: list[str], policy: str = "scrape") -> Da
     return count_testimonials(pages.select(*key, page_testimonials(policy).alias("said")), key)
 
 
+def quoted_list(values) -> str:
+    return ", ".join(map(quoted, values))
+
+
 def associations(text: Column, rules: dict[str, list[str]] = ASSOCIATIONS, sections: bool = False) -> Column:
     """Codes of memberships a text names: a code alone in capitals or a full name, in rule order; then schools, in a text about somebody's education.
 
@@ -158,13 +161,19 @@ def associations(text: Column, rules: dict[str, list[str]] = ASSOCIATIONS, secti
     """
 
     def told(s: Column) -> Column:
-        code_in = lambda code: F.array_contains(s["cased"], code) if code in CASED_CODES else F.array_contains(s["capitals"], code.upper())
-        hit = lambda rules: F.array_compact(F.array(*[F.when(code_in(code) | any_keyword(s["low"], names), F.lit(code)) for code, names in rules.items()]))
+        def hit(rules: dict[str, list[str]]) -> Column:
+            # codes in the text's words by one intersection; then, in rule order, those or their full names
+            plain = F.array_intersect(literals([c.upper() for c in rules if c not in CASED_CODES]), s["capitals"])
+            present = F.concat(plain, F.array_intersect(literals([c for c in rules if c in CASED_CODES]), s["cased"]))
+            forms = {c: c if c in CASED_CODES else c.upper() for c in rules}
+            rows = F.expr(f"array({', '.join(f'struct({quoted(c)} AS code, {quoted(forms[c])} AS form, array({quoted_list(names)}) AS names)' for c, names in rules.items())})")
+            return F.transform(F.filter(rows, lambda r: F.array_contains(present, r["form"]) | F.exists(r["names"], lambda n: F.contains(s["low"], n))), lambda r: r["code"])
+
         schooled = s["low"].rlike(rf"\b(?:{'|'.join(EDUCATION_WORDS[:10])})\b|\b(?:{'|'.join(EDUCATION_WORDS[10:])})")
         found = F.concat(hit(rules), F.when(schooled, hit(EDUCATION)).otherwise(F.array().cast("array<string>")))
         if sections:
             words = F.flatten(F.transform(F.regexp_extract_all(s["text"], F.lit(SECTION), F.lit(1)), lambda x: F.regexp_extract_all(x, F.lit(r"\b([A-Z]{2,7})\b"), F.lit(1))))
-            found = F.concat(found, F.filter(words, lambda w: ~w.isin(*NO_CODES)))
+            found = F.concat(found, F.filter(words, lambda w: ~F.array_contains(literals(NO_CODES), w)))
         return F.array_distinct(found)
 
     t = F.coalesce(text, F.lit(""))
@@ -205,7 +214,6 @@ def specialty_phrase(text: Column, cap: int = 80, words: int = 9) -> Column:
     stems (whatever its ending: "implants", "orthodontics"), nothing that prose
     has, at least five characters and at most ``words`` words.
     """
-    literals = lambda values: F.array(*[F.lit(v) for v in values])
     tidy = lambda c: F.regexp_replace(c, r"^[\s:,;.]+|[\s,;.]+$", "")
 
     def after(low: Column, trigger: Column) -> Column:
@@ -224,9 +232,9 @@ def specialty_phrase(text: Column, cap: int = 80, words: int = 9) -> Column:
         begins = lambda values: F.exists(literals([f" {v}" for v in values]), lambda v: F.contains(padded, v))
         return begins(FIELD_STEMS) & ~begins(NO_FIELD_BEGINS) & ~begins([f"{w} " for w in NO_FIELD_WORDS]) & (F.size(F.split(c, r"\s+")) <= words)
 
-    triggers = F.array(*[F.struct(F.lit(w).alias("words"), F.lit(n).alias("reach")) for w, n in FIELD_TRIGGERS])
+    triggers = F.expr(f"array({', '.join(f'struct({quoted(w)} AS words, {n} AS reach)' for w, n in FIELD_TRIGGERS)})")
     found = once(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[ \t]+", " "), lambda low: F.transform(triggers, lambda t: after(low, t)))
-    whole = F.filter(found, lambda c: (F.length(c) >= 5) & ~c.isin(*FILLER))
+    whole = F.filter(found, lambda c: (F.length(c) >= 5) & ~F.array_contains(literals(FILLER), c))
     return title(F.try_element_at(F.filter(F.transform(whole, ended), fine), F.lit(1)))
 
 
@@ -236,7 +244,8 @@ def specialty(text: Column, rules: list[tuple[str, list[str]]] = SPECIALTIES, po
     ``labels5``: a phrase wins; the broad labels go where two others are; five
     at most; "Not Found" if none. ``all``: every label, "" if none.
     """
-    found = once(F.lower(F.coalesce(text, F.lit(""))), lambda low: F.array_compact(F.array(*[F.when(any_keyword(low, words), F.lit(label)) for label, words in rules])))
+    labels = F.expr(f"array({', '.join(f'struct({quoted(label)} AS label, array({quoted_list(words)}) AS words)' for label, words in rules)})")
+    found = once(F.lower(F.coalesce(text, F.lit(""))), lambda low: F.transform(F.filter(labels, lambda r: F.exists(r["words"], lambda w: F.contains(low, w))), lambda r: r["label"]))
     if policy == "all":
         return F.array_join(found, " / ")
     narrow = F.filter(found, lambda x: ~x.isin(*BROAD_SPECIALTIES))

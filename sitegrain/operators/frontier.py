@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import literals
 from ..functions.urls import is_content, is_portal, path, without_fragment
 
 # Begins of path parts that tell a page of services, of the team, of testimonials; words of links to the team; budgets a level (full, small).
@@ -28,7 +29,7 @@ OTHER = 9
 def priority(url: Column) -> Column:
     """1 services, 2 team, 3 testimonials, 9 the rest: by what begins a part of the path."""
     way = F.lower(F.when(url.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*://"), path(url)).otherwise(F.regexp_extract(url, "^([^?#]*)", 1)))
-    of = lambda words: F.exists(F.array(*[F.lit(f"/{w}") for w in words]), lambda w: F.contains(way, w))
+    of = lambda words: F.exists(literals([f"/{w}" for w in words]), lambda w: F.contains(way, w))
     return F.when(of(SERVICE), 1).when(of(TEAM), 2).when(of(TESTIMONIAL), 3).otherwise(OTHER)
 
 
@@ -51,7 +52,7 @@ def budget(level: str, small: bool = False) -> int:
 
 def staff_links(links: DataFrame, key: list[str], limit: int = 12, href: str = "href", text: str = "text", pos: str | None = None) -> DataFrame:
     """Pages that may show staff, in the order of their links (``pos``; by address without it): a phrase in the link's text or a word in its address; no blogs or news."""
-    has = lambda c, words: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(F.lower(F.coalesce(F.col(c), F.lit(""))), w))
+    has = lambda c, words: F.exists(literals(words), lambda w: F.contains(F.lower(F.coalesce(F.col(c), F.lit(""))), w))
     rows = links.filter(~is_content(href) & (has(text, TEAM_TEXTS) | has(href, TEAM_ADDRESSES))).withColumn("url", without_fragment(href))
     first = rows.groupBy(*key, "url").agg((F.min(pos) if pos else F.lit(0)).alias("first"))
     w = Window.partitionBy(*key).orderBy("first", "url")

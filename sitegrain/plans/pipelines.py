@@ -66,27 +66,29 @@ def tokens(text: Column) -> Column:
 def evidence(people: DataFrame, pages: DataFrame, key: list[str]) -> DataFrame:
     """Every text that may tell a person's specialty and memberships: ``rank, name, source, page_ord, specialty, associations``.
 
-    ``source`` counts EVIDENCE from 1: the text of the person's own card or heading; pages with the last name in their
+    Who is told in full by their own card is looked for nowhere else. ``source`` counts EVIDENCE from 1: the text of the person's own card or heading; pages with the last name in their
     address; the page a card links to; what other pages' headings with the last name say; the whole site, where it has one
     person; the hint beside the name. People meet pages by equal words (last name and word of the address or of
     a heading), not one by one. ``pages`` are parsed pages; people are those of ``staff``.
     """
     none = F.array().cast("array<string>")
     said = lambda c: [F.nullif(features.specialty(F.col(c), policy="all"), F.lit("")).alias("specialty"), features.associations(F.col(c), sections=True).alias("associations")]
-    who = people.select(*key, "rank", "name", F.element_at(F.split(nm.normalised("name"), " "), -1).alias("__last"), without_fragment("link").alias("__link"))
-    own = people.select(*key, "rank", "name", F.lit(1).alias("source"), F.lit(0).cast("long").alias("page_ord"), "bio").select(*key, "rank", "name", "source", "page_ord", *said("bio"))
-    hints = people.filter("hint IS NOT NULL").select(*key, "rank", "name", F.lit(6).alias("source"), F.lit(0).cast("long").alias("page_ord"), F.coalesce(F.nullif(features.specialty(F.col("hint"), policy="all"), F.lit("")), F.col("hint")).alias("specialty"), none.alias("associations"))
+    cards = staged(people.select(*key, "rank", "name", F.lit(1).alias("source"), F.lit(0).cast("long").alias("page_ord"), "hint", "link", *said("bio")), "cards")
+    own = cards.drop("hint", "link")
+    rest = cards.filter("specialty IS NULL OR size(associations) = 0")
+    who = rest.select(*key, "rank", "name", F.element_at(F.split(nm.normalised("name"), " "), -1).alias("__last"), without_fragment("link").alias("__link"))
+    hints = rest.filter("hint IS NOT NULL").select(*key, "rank", "name", F.lit(6).alias("source"), F.lit(0).cast("long").alias("page_ord"), F.coalesce(F.nullif(features.specialty(F.col("hint"), policy="all"), F.lit("")), F.col("hint")).alias("specialty"), none.alias("associations"))
     usable = pages.filter(~is_content("url")).select(*key, "url", F.col("page_ord").cast("long").alias("page_ord"), "text", "elements", "headings")
     keyed = usable.select(*key, "page_ord", without_fragment("url").alias("__url"), tokens(path("url")).alias("__way"), tokens(F.array_join(F.transform("headings", lambda h: h["text"]), " ")).alias("__heads"))
     slugs = keyed.select(*key, "page_ord", F.explode("__way").alias("__last")).join(who, [*key, "__last"]).select(*key, "page_ord", "rank", "name", F.lit(2).alias("source"))
     links = keyed.select(*key, "page_ord", F.col("__url").alias("__link")).join(who, [*key, "__link"]).select(*key, "page_ord", "rank", "name", F.lit(3).alias("source"))
     heads = keyed.select(*key, "page_ord", F.explode("__heads").alias("__last")).join(who, [*key, "__last"]).select(*key, "page_ord", "rank", "name", F.lit(4).alias("source"))
-    alone = who.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"), F.first("rank").alias("rank"), F.first("name").alias("name")).filter("__n = 1")
+    alone = cards.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"), F.first("rank").alias("rank"), F.first("name").alias("name")).filter("__n = 1").join(who.select(*key), key, "left_semi")
     whole = keyed.select(*key, "page_ord").join(alone.drop("__n"), key).select(*key, "page_ord", "rank", "name", F.lit(5).alias("source"))
     asked = slugs.unionByName(links).unionByName(heads).unionByName(whole).distinct()
     t = tree.tree()
     text = F.when(F.col("source") == 4, tree.scoped_text(t, nm.normalised("name"))).when(F.col("source") == 5, F.col("text")).otherwise(F.coalesce(tree.scoped_text(t, nm.normalised("name")), tree.bio_block(t, nm.normalised("name"))))
-    met = asked.join(usable, [*key, "page_ord"]).select(*key, "rank", "name", "source", "page_ord", text.alias("__t")).filter("__t IS NOT NULL")
+    met = asked.join(usable, [*key, "page_ord"]).select(*key, "rank", "name", "source", "page_ord", F.coalesce(text, F.lit("")).alias("__t"))
     return own.unionByName(hints).unionByName(met.select(*key, "rank", "name", "source", "page_ord", *said("__t")))
 
 
