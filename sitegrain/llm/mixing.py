@@ -13,21 +13,24 @@ by more than the offers takes a superset of a smaller one: thresholds nest.
 
 Edge cases: a null or blank text has size 0 and takes 0; a null source is a
 source of its own, last in order; rows that repeat an id, or id and text, are
-decided one by one (the place of a row is its file's and its row's there, so
-the table must not change between its two readings); an empty table gives an
-empty result.
+decided one by one (the place of a row is its file and its number there, so
+the table must not change between its two readings, but may be split otherwise
+among tasks); rows that share all bits of the hash, which 32 bits of place make
+rare, are taken alike; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Workspace, read_table
 
 #: Hash bits a refinement uses, refinements at most, and the bits of the content among them (the others part equal rows).
-LEVEL_BITS, LEVELS, CONTENT = 12, 5, 36
+LEVEL_BITS, LEVELS, CONTENT = 12, 5, 28
 ROW = LEVEL_BITS * LEVELS - CONTENT
+PLACE = "__sg_place"
 #: Rows beyond the threshold that the rest of a budget is offered to.
 OFFER = 32
 #: Sources up to which the table of thresholds is broadcast (a row of a few numbers each).
@@ -73,10 +76,23 @@ def mix_plan(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most:
     return [(name, s, t) for (name, s), t in zip(rows, targets)]
 
 
+def placed(docs: DataFrame) -> DataFrame:
+    """Adds every row's place: its file and its number there, the same however files are split among tasks.
+
+    Only a Parquet scan can tell that; other tables are written first.
+    """
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(PLACE)
+    try:
+        return docs.select(*[F.col(f"`{c}`") for c in docs.columns], place)
+    except AnalysisException:  # no scan of Parquet files
+        written = Workspace(docs.sparkSession, "mix_docs").write(docs, "docs")
+        return written.select(*[F.col(f"`{c}`") for c in docs.columns], place)
+
+
 def hash_of(id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """A row's hash of LEVEL_BITS * LEVELS bits."""
+    """A placed row's hash of LEVEL_BITS * LEVELS bits; rows equal in id and text (and the few that share the content's bits) are told apart by place."""
     content = F.shiftrightunsigned(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), 64 - CONTENT)
-    return F.shiftleft(content, ROW).bitwiseOR(F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 64 - ROW))
+    return F.shiftleft(content, ROW).bitwiseOR(F.shiftrightunsigned(F.col(PLACE), 64 - ROW))
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -84,7 +100,7 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def thresholds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0) -> tuple[DataFrame, DataFrame, int]:
-    """Documents as ``doc_id, source, size, h``; plans ``goal, source_size, target, whole, cut, extra`` (the hashes beyond the cut that are taken too); the number of sources.
+    """Of placed documents: ``doc_id, source, size, h``; plans ``goal, source_size, target, whole, cut, extra`` (the hashes beyond the cut that are taken too); the number of sources.
 
     One pass over the texts counts words into a narrow written table; all
     histograms run on that. Hot sources cost nothing special: histograms are
@@ -139,7 +155,7 @@ def copies_of(h: Column, most: float, p: str = "") -> Column:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies, h``: how often the mix takes each document."""
-    slim, plans, n = thresholds(docs, id_col, text_col, source_col, weights, share, most)
+    slim, plans, n = thresholds(placed(docs), id_col, text_col, source_col, weights, share, most)
     rows = slim.join(_small(plans, n), F.col("source").eqNullSafe(F.col("goal")))
     return rows.select("doc_id", "source", "size", "source_size", "target", copies_of(F.col("h"), most).alias("copies"), "h")
 
@@ -150,12 +166,13 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     The texts aren't shuffled: a row's hash is worked out again, and the plan
     of each source joins as a small table.
     """
+    names, docs = docs.columns, placed(docs)
     _, plans, n = thresholds(docs, id_col, text_col, source_col, weights, share, most)
     plans = plans.select(*[F.col(c).alias(f"__sg_{c}") for c in ("goal", "whole", "cut", "extra")])
     rows = docs.withColumn("__sg_h", hash_of(id_col, text_col)).join(_small(plans, n), F.col(f"`{source_col}`").eqNullSafe(F.col("__sg_goal")))
     copies = copies_of(F.col("__sg_h"), most, "__sg_")
     rows = rows.withColumn("__sg_copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies)).otherwise(F.array().cast("array<int>"))))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.select(*[F.col(f"`{c}`") for c in names])
 
 
 def query(spark, sf_dir):

@@ -328,7 +328,7 @@ def one_row_each(docs: DataFrame, kept: DataFrame) -> DataFrame:
     if many:
         twice = F.broadcast(twice) if many <= BROADCAST_ROWS else twice
         every = [F.col(f"`{c}`") for c in docs.columns]
-        again = rows.join(twice, F.col("doc_id") == F.col("__sg_id"), "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*every), F.xxhash64(*every)).alias("__sg_row"))
+        again = rows.join(twice, F.col("doc_id") == F.col("__sg_id"), "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*every), F.xxhash64(F.to_json(F.struct(*every)))).alias("__sg_row"))
         rows = rows.join(twice, F.col("doc_id") == F.col("__sg_id"), "left_anti").unionByName(again.select("__sg_row.*"))
     return rows.unionByName(docs.filter("doc_id IS NULL"))
 

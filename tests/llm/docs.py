@@ -21,6 +21,7 @@ def frame(spark, data=None, extra=True):
     if extra:  # columns that clash with what operators name their own
         for name in ("fingerprint", "size", "h", "part", "first", "component_id", "score", "spans", "ids", "n", "lang_pred", "lang_score", "copies", "cut", "goal", "target"):
             df = df.selectExpr("*", f"'clash' AS {name}")
+        df = df.selectExpr("*", "map('a', doc_id) AS tags")  # a type that can't be hashed, grouped or compared
     return df
 
 

@@ -95,5 +95,36 @@ def test_repeated_takes_the_same(spark, tmp_path):
     assert got == {k: n for k, n in want.items() if n}
 
 
+def test_choices_do_not_depend_on_splits(spark, tmp_path):
+    """Planned with files read whole, taken from the same files in many splits: the same rows, those that repeat others included."""
+    data = [(i % 60, "w " * (i % 9), None, "ab"[i % 2], None) for i in range(900)]
+    frame(spark, data, extra=False).repartition(2).write.option("parquet.block.size", 2048).parquet(f"{tmp_path}/t.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/t.parquet")
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    before = {n: spark.conf.get(n, None) for n in names}
+
+    def rows_of(df):
+        return sorted((r.doc_id, r.text, r.source) for r in df.collect())
+
+    try:
+        want = rows_of(mixing.repeated(docs))
+        hashes = sorted((r.doc_id, r.h, r.copies) for r in mixing.mix(docs).collect())
+        again = mixing.repeated(docs)  # planned here
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        assert spark.read.parquet(f"{tmp_path}/t.parquet").rdd.getNumPartitions() > 4
+        assert rows_of(again) == want and sorted((r.doc_id, r.h, r.copies) for r in mixing.mix(docs).collect()) == hashes
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+def test_sources_without_a_name_and_named_nothing(spark):
+    docs = frame(spark, [(i, "w " * 5, None, None if i % 2 else "", None) for i in range(100)])
+    got = mixing.mix(docs, weights=(1.0, 3.0), share=1.0).collect()
+    taken = {s: sum(r["size"] * r.copies for r in got if r.source == s) for s in ("", None)}
+    assert {r.source_size for r in got} == {250} and abs(taken[""] - 125) <= 5 and abs(taken[None] - 375) <= 5
+
+
 def test_empty(spark, tmp_path):
     assert mixing.query(spark, save(spark, tmp_path, [])).collect() == []
