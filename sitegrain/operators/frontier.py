@@ -131,3 +131,40 @@ def email_by_paths(pages: DataFrame, key: list[str]) -> DataFrame:
     hidden = F.try_element_at(F.filter(F.transform("hidden", decode_hidden_email), lambda e: F.coalesce(~is_bad_email(e), F.lit(False))), F.lit(1))
     rows = pages.select(*key, at.alias("__at"), F.coalesce(good("html"), hidden, good("text")).alias("email")).filter("__at > 0 AND email IS NOT NULL")
     return rows.groupBy(*key).agg(F.min_by("email", "__at").alias("email"))
+
+
+def best_first(starts: DataFrame, links: DataFrame, key: list[str], limit: int = 10, pages: DataFrame | None = None) -> DataFrame:
+    """``key, rank, priority, url``: the pages a crawl of each site visits, always the best it knows of, up to ``limit``.
+
+    A site's queue begins with its start (``key, url``); the page of the best
+    priority, then smallest address, leaves it; the page's links on the same
+    host that lead to services, team or testimonials join it, unless they were
+    visited. All sites go a step at a time: a step is an aggregation (each
+    site's best) and a join by page (what the best ones link to), so a site of
+    very many links is spread like any other. ``links``: ``key, page, href``
+    (whole addresses). With ``pages`` (``key, url``), what isn't stored counts
+    as not answering: it takes no place among the pages. Starts on portals
+    aren't followed.
+    """
+    from ..functions.urls import domain_key
+    from ..staging import staged
+
+    plain = lambda c: F.rtrim(without_fragment(c), F.lit("/"))
+    begin = starts.filter(~is_portal("url")).select(*key, plain("url").alias("url")).filter("url <> ''").distinct().withColumn("priority", F.lit(0))
+    edges = links.filter(~F.lower("href").rlike("^(?:mailto|tel):") & (domain_key("page") == domain_key("href")))
+    edges = edges.select(*key, plain("page").alias("from"), plain("href").alias("url")).withColumn("priority", priority(F.col("url"))).filter((F.col("priority") < OTHER) & (F.col("url") != "")).distinct()
+    if pages is not None:
+        stored = pages.select(*key, plain("url").alias("url")).distinct()
+        begin, edges = begin.join(stored, [*key, "url"], "left_semi"), edges.join(stored, [*key, "url"], "left_semi")
+    edges, open_, visited = staged(edges, "edges"), staged(begin, "queue"), None
+    for rank in range(1, limit + 1):
+        best = staged(open_.groupBy(*key).agg(F.min(F.struct("priority", "url")).alias("b")).select(*key, F.lit(rank).alias("rank"), "b.priority", "b.url"), "best")
+        if rank > 1 and best.isEmpty():
+            break
+        visited = best if visited is None else visited.unionByName(best)
+        if rank == limit:
+            break
+        found = best.select(*key, F.col("url").alias("from")).join(edges, [*key, "from"]).select(*key, "url", "priority")
+        rest = open_.unionByName(found).groupBy(*key, "url").agg(F.min("priority").alias("priority"))
+        open_ = staged(rest.join(visited.select(*key, "url"), [*key, "url"], "left_anti"), "queue")
+    return visited

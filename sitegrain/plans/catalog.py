@@ -824,6 +824,15 @@ def _(spark, sf):
     return parse_pages(pages, keep=["page_id", "url"]).select("page_id", "title", F.length("text").alias("n_text"), F.length("body_text").alias("n_body"), F.length("aug_text").alias("n_aug"), F.size("links").alias("n_links"), F.size("headings").alias("n_headings"))
 
 
+@query("best_first_pages")
+def _(spark, sf):
+    """Every host's site from its first page on: its links resolved, the ten best pages in the order of a crawl."""
+    pages = load(spark, sf, "pages").select(urls.domain_key("url").alias("host"), "url", F.explode(F.regexp_extract_all("html", F.lit('href="([^"#?]+)"'), F.lit(1))).alias("href"))
+    links = pages.select("host", F.col("url").alias("page"), F.when(F.startswith("href", F.lit("/")), F.concat(F.rtrim(urls.homepage("url"), F.lit("/")), "href")).otherwise(F.col("href")).alias("href"))
+    starts = pages.groupBy("host").agg(F.min("url").alias("url"))
+    return frontier.best_first(starts, links, ["host"])
+
+
 @query("person_dedupe")
 def _(spark, sf):
     return entity.person(batch(spark, sf).select("idx", "pos", F.col("doctor_name").alias("name")), "idx")

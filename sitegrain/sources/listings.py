@@ -51,13 +51,29 @@ def batch_columns(texts: dict[str, Column]) -> list[Column]:
     return [typed(texts[name], kind).alias(name) for _, name, kind, _ in WIDE]
 
 
+def in_file_order(rows: DataFrame, *columns) -> DataFrame:
+    """Rows of a file scan with ``file`` and ``pos``: their number, from 1, over the files in order of their paths, as they stand there.
+
+    Spark deals splits of files by size; a row's place follows from its file,
+    where its split begins and its number in it. Splits are counted and added
+    up before them, so positions need no global sort and rows of one split
+    stay together.
+    """
+    placed = rows.select(*columns, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__seen"))
+    numbered = placed.withColumn("__in", F.row_number().over(Window.partitionBy("file", "__block").orderBy("__seen")))
+    splits = rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("__block")).groupBy("file", "__block").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("file", "__block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    return numbered.join(offsets, ["file", "__block"]).withColumn("pos", F.col("__off") + F.col("__in")).drop("__block", "__seen", "__in", "__off")
+
+
 def read_batch(spark: SparkSession, *paths: str) -> DataFrame:
-    """Batch tables (CSV, wide headers) as typed rows; every file keeps its rows' order."""
+    """Batch tables (CSV, wide headers) as typed rows, in the order of the files and of their rows."""
     raw = spark.read.option("header", True).option("recursiveFileLookup", True).csv(list(paths))
     have = {c.strip().lower(): c for c in raw.columns}
     at = {name: have.get(header.lower()) or have.get(name) for header, name, _, _ in WIDE}
     cols = batch_columns({name: F.col(f"`{c}`") if c else F.lit(None).cast("string") for name, c in at.items()})
-    return raw.select(*cols, F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("pos")).filter("idx IS NOT NULL")
+    return in_file_order(raw, *cols).filter("idx IS NOT NULL")
 
 
 def read_pages(spark: SparkSession, root: str, least: int = 200, manifest: bool = False) -> DataFrame:

@@ -243,6 +243,99 @@ def test_associations(spark):
     assert list(row) == [["ADA", "AACD", "FACD", "ACD", "AzDA"], [], ["OSU", "UCLA"], ["ADA"], [], ["ADA", "XYZW", "ABC"]]
 
 
+def test_stream_counts_pages_whatever_the_batches(spark, tmp_path):
+    """Pages of a practice in one batch, in two, twice, out of order: the table is that of all pages at once."""
+    import random
+
+    from sitegrain.streaming import snapshots
+
+    rng = random.Random(5)
+    said = ["implant veneer", "implant implant implant laser", "whitening sedation cbct", "veneers and implants", ""]
+    rows = [(k % 3, "sub", f"https://h.co/p{k % 5}{'#a' if k % 4 == 0 else ''}", f"<p>{rng.choice(said)} {rng.choice(said)}</p>", "t", k) for k in range(24)]
+    all_pages = spark.createDataFrame(rows, PAGE)
+    want = {r.practice_id: r.asDict() for r in snapshots.page_features(all_pages).collect()}
+    assert any(r["implants"] > 3 for r in want.values())
+    for n, policy in enumerate(("two", "shuffled", "repeated")):
+        table = str(tmp_path / policy)
+        own = rows if policy == "two" else rng.sample(rows, len(rows))
+        batches = [own[:11], own[11:], own[5:15]] if policy == "repeated" else [own[:9], own[9:]]
+        for epoch, batch in enumerate(batches):
+            snapshots.merge_batch(table)(spark.createDataFrame(batch, PAGE), epoch)
+            snapshots.merge_batch(table)(spark.createDataFrame(batch, PAGE), epoch)  # a batch that is retried
+        got = {r.practice_id: r.asDict() for r in spark.read.parquet(f"{table}/v={len(batches) - 1}").collect()}
+        assert got == want
+
+
+def test_best_first_equals_a_heap(spark):
+    """Random sites with loops, ties, fragments, pages that aren't stored, and one site of very many links."""
+    import heapq
+    import random
+
+    rng = random.Random(3)
+    names = ["services/a", "team", "reviews", "about/x", "misc", "implants", "patient/1", "service-b", "meet-us", "laser"]
+    starts, links, stored = [], [], []
+    for site in range(12):
+        home = f"https://s{site}.co"
+        urls_ = [home, *(f"{home}/{n}{i}" for n in names for i in range(40 if site == 0 else 2))]
+        starts.append((site, home + "/"))
+        stored += [(site, u) for u in urls_ if u == home or rng.random() < 0.7]
+        for _ in range(3000 if site == 0 else 60):
+            links.append((site, rng.choice(urls_), rng.choice(urls_) + rng.choice(["", "/", "#top"])))
+        links += [(site, home, "mailto:a@b.co"), (site, home, "https://other.co/team"), (site, home, f"{home}/team0")]
+    starts.append((50, "https://www.yelp.com/team"))
+
+    def rank(u):
+        way = u.split("/", 3)[3] if u.count("/") > 2 else ""
+        for p, words in ((1, frontier.SERVICE), (2, frontier.TEAM), (3, frontier.TESTIMONIAL)):
+            if any(f"/{w}" in f"/{way}" for w in words):
+                return p
+        return 9
+
+    def heap(site, start, limit, known):
+        queue, seen, out = [(0, start.split("#")[0].rstrip("/"))], set(), []
+        while queue and len(out) < limit:
+            p, u = heapq.heappop(queue)
+            if u in seen:
+                continue
+            seen.add(u)
+            if known is not None and u not in known:
+                continue
+            out.append((site, len(out) + 1, p, u))
+            for s, page, href in links:
+                v = href.split("#")[0].rstrip("/")
+                if s == site and page.rstrip("/") == u and v.startswith(f"https://s{site}.co") and rank(v) < 9 and v not in seen:
+                    heapq.heappush(queue, (rank(v), v))
+        return out
+
+    s = spark.createDataFrame(starts, "k int, url string")
+    e = spark.createDataFrame(links, "k int, page string, href string")
+    p = spark.createDataFrame(stored, "k int, url string")
+    for known in (None, p):
+        got = sorted(tuple(r) for r in frontier.best_first(s, e, ["k"], 6, known).collect())
+        want = [x for site, start in starts[:-1] for x in heap(site, start, 6, None if known is None else {u for k, u in stored if k == site})]
+        assert got == sorted(want) and any(r[1] == 6 for r in got)
+
+
+def test_positions_follow_files_not_splits(spark, tmp_path):
+    """Files of unequal size in several splits: rows keep the order of files and of lines; the first file wins."""
+    want = []
+    for name, n in (("b_2", 400), ("a_1", 30), ("c_3", 5)):
+        lines = ["Index,Practice Name,Doctor Name"] + [f"{k % 350},{name},Dr. {name} {k}{'x' * (k % 50)}" for k in range(n)]
+        (tmp_path / f"{name}.csv").write_text("\n".join(lines))
+    for name, n in (("a_1", 30), ("b_2", 400), ("c_3", 5)):
+        want += [(k % 350, name) for k in range(n)]
+    sizes = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {c: spark.conf.get(c) for c in sizes}
+    try:
+        spark.conf.set(sizes[0], "2000")
+        spark.conf.set(sizes[1], "1")
+        rows = listings.read_batch(spark, str(tmp_path)).select("pos", "idx", "practice_name", "doctor_name").orderBy("pos").collect()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert [(r.idx, r.practice_name) for r in rows] == want and [r.pos for r in rows] == list(range(1, 436))
+
+
 def test_stream_merges_snapshots_once(spark, tmp_path):
     from sitegrain.streaming import snapshots
 
