@@ -60,10 +60,19 @@ def staff_links(links: DataFrame, key: list[str], limit: int = 12, href: str = "
 
 
 def best_link(people: DataFrame, links: DataFrame, key: list[str], name: str = "name", least: int = 8) -> DataFrame:
-    """The link that fits each person best, the first of equals, if it scores enough."""
-    from ..functions.names import link_score
+    """The link that fits each person best, the first of equals, if it scores enough.
 
-    pairs = people.join(links, key).withColumn("score", link_score(F.col(name), F.col("href"), F.col("text"))).filter(F.col("score") >= least)
+    What scores enough has the last name in its address or text, so people meet
+    links by the first letters of it, which are a piece of those texts; a key's
+    people and links aren't multiplied.
+    """
+    from ..functions.names import link_score, normalised
+    from .match import grams
+
+    last = F.element_at(F.split(normalised(name), " "), -1)
+    told = F.concat_ws(" ", F.lower("href"), F.lower("text"))
+    met = people.withColumn("__gram", grams(last, False)).filter("__gram <> ''").join(links.withColumn("__gram", F.explode(grams(told))), [*key, "__gram"]).drop("__gram")
+    pairs = met.withColumn("score", link_score(F.col(name), F.col("href"), F.col("text"))).filter(F.col("score") >= least)
     return pairs.groupBy(*key, name).agg(F.max_by(F.struct("href", "score"), F.struct(F.col("score"), -F.col("pos"))).alias("b")).select(*key, name, "b.href", "b.score")
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import functools
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import overlap
+from ..staging import staged
 
 LEVELS = ("organisation", "street_and_number", "number", "city")
 
@@ -21,25 +24,51 @@ def npi_people(records: DataFrame) -> DataFrame:
     return records.filter(F.coalesce(F.col("basic.status"), F.lit("A")) == "A").select("number", name.alias("person"), F.regexp_replace(F.coalesce("basic.credential", F.lit("")), r"\.", "").alias("credential"), at["address_1"].alias("street"), at["city"].alias("city"), at["state"].alias("state"), at["organization_name"].alias("organisation"), at["telephone_number"].alias("phone"), F.try_element_at("taxonomies", F.lit(1))["desc"].alias("taxonomy"))
 
 
+def grams(text: Column, whole: bool = True) -> Column:
+    """Distinct pieces of one to three letters of a text, or the one a word begins with: whatever a text contains shares its first piece with it."""
+    if not whole:
+        return F.left(text, F.lit(3))
+    n = F.length(text)
+    at = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.flatten(F.transform(at, lambda k: F.array(F.substring(text, k, F.lit(1)), F.substring(text, k, F.lit(2)), F.substring(text, k, F.lit(3))))))
+
+
 def match_people(places: DataFrame, people: DataFrame, key: str = "idx", most_in_city: int = 15) -> DataFrame:
     """People of the best level that a place has any of.
 
     Levels: the organisation's name contains the place's; same street number
     and a word of the street; same number; all of the city if they are few.
-    One equi-join on city and state; the level is an expression.
+    Each level is a join of its own by what it asks for equal (a piece of the
+    name, number and word, number, a city of few), for the places that no level
+    before has found anything for; no place meets all people of a large city.
     """
-    p = people.select(F.col("number"), "person", F.col("street").alias("p_street"), F.lower("city").alias("c"), F.upper("state").alias("s"), F.lower(F.coalesce("organisation", F.lit(""))).alias("org"))
-    rows = places.select(key, "practice_name", "street", F.lower("city").alias("c"), F.upper("state").alias("s")).join(p, ["c", "s"])
     number = lambda c: F.regexp_extract(F.coalesce(F.col(c), F.lit("")), "^([0-9]+)", 1)
-    same_number = (number("street") != "") & (number("street") == number("p_street"))
-    long = lambda c: F.filter(_words(F.col(c)), lambda w: (F.length(w) > 3) & ~w.rlike("^[0-9]"))
-    same_word = F.arrays_overlap(long("street"), long("p_street"))
-    own = F.lower(F.coalesce("practice_name", F.lit("")))
-    level = F.when((own != "") & F.contains(F.col("org"), own), 1).when(same_number & same_word, 2).when(same_number, 3).otherwise(4)
-    rows = rows.withColumn("level", level)
-    w = Window.partitionBy(key)
-    rows = rows.withColumn("best", F.min("level").over(w)).withColumn("n", F.count(F.lit(1)).over(w)).filter((F.col("level") == F.col("best")) & ((F.col("best") < 4) | (F.col("n") <= most_in_city)))
-    return rows.select(key, "number", "person", F.element_at(F.array(*[F.lit(x) for x in LEVELS]), F.col("best")).alias("match"))
+    long = lambda c: F.array_distinct(F.filter(_words(F.col(c)), lambda w: (F.length(w) > 3) & ~w.rlike("^[0-9]")))
+    low = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
+    area = ["c", "s"]
+    p = people.select("number", "person", F.lower("city").alias("c"), F.upper("state").alias("s"), low("organisation").alias("org"), number("street").alias("no"), long("street").alias("words"))
+    open_ = places.select(key, F.lower("city").alias("c"), F.upper("state").alias("s"), low("practice_name").alias("own"), number("street").alias("no"), long("street").alias("words"))
+    few = p.groupBy(*area).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= most_in_city).select(*area)
+
+    def level(k: int, left: DataFrame) -> DataFrame:
+        if k == 1:
+            found = left.filter("own <> ''").withColumn("gram", grams(F.col("own"), False)).join(p.select(*area, "number", "person", "org", F.explode(grams(F.col("org"))).alias("gram")), [*area, "gram"]).filter(F.contains("org", F.col("own")))
+        elif k == 2:
+            found = left.filter("no <> ''").select(key, *area, "no", F.explode("words").alias("word")).join(p.select(*area, "no", "number", "person", F.explode("words").alias("word")), [*area, "no", "word"])
+        elif k == 3:
+            found = left.filter("no <> ''").select(key, *area, "no").join(p.select(*area, "no", "number", "person"), [*area, "no"])
+        else:
+            found = left.select(key, *area).join(p.join(few, area, "left_semi").select(*area, "number", "person"), area)
+        # a person who meets a place by several words is told once a registry row
+        return found.groupBy(key, "number", "person").agg(F.lit(LEVELS[k - 1]).alias("match")) if k == 2 else found.select(key, "number", "person", F.lit(LEVELS[k - 1]).alias("match"))
+
+    out = None
+    for k in range(1, 5):
+        found = staged(level(k, open_), f"level{k}")
+        out = found if out is None else out.unionByName(found)
+        if k < 4:
+            open_ = open_.join(found.select(key).distinct(), key, "left_anti")
+    return out
 
 
 def match_cards(places: DataFrame, cards: DataFrame, key: str = "idx", first: int = 8) -> DataFrame:
@@ -74,19 +103,39 @@ def new_names(have: Column, found: Column) -> Column:
     return F.filter(F.coalesce(found, F.array().cast("array<string>")), lambda n: ~F.array_contains(low, F.lower(n)))
 
 
-def call_once(rows: DataFrame, inputs: list[str], call, result: str = "string", name: str = "answer", batch: int = 64) -> DataFrame:
+def call_once(rows: DataFrame, inputs: list[str], call, result: str = "string", name: str = "answer", batch: int = 64, memo: str | None = None, default=None) -> DataFrame:
     """Adds what a callable says of some columns, asked once for every distinct input (a model, a service); without one the column is NULL.
 
     ``call`` takes a list of tuples and returns a list of values. It runs in
-    Arrow batches; a retried task asks again, so it should not change anything.
+    Arrow batches. A call that raises fails no task: its inputs are asked one
+    by one, and those that raise get ``default``. With ``memo``, a folder all
+    executors reach, answers are kept there and a later run asks only for what
+    isn't among them; inputs that raised are asked again.
     """
     if call is None:
         return rows.withColumn(name, F.lit(None).cast(result))
     import pyarrow as pa
+    from pyspark.errors import AnalysisException
     from pyspark.sql.types import StructType
 
-    asked = rows.select(*inputs).distinct()
+    spark, asked, known = rows.sparkSession, rows.select(*inputs).distinct(), None
     schema = StructType(list(asked.schema.fields)).add(name, result)
+    same = lambda p: functools.reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"{p}{c}")) for c in inputs])
+    renamed = lambda df, p, *more: df.select(*[F.col(c).alias(f"{p}{c}") for c in inputs], *more)
+    if memo is not None:
+        try:
+            known = spark.read.schema(schema).parquet(memo)
+            asked = asked.join(renamed(known, "__known_"), same("__known_"), "left_anti")
+        except AnalysisException:  # nothing is kept yet
+            known = None
+
+    def careful(values: list[tuple]) -> list[tuple]:
+        try:
+            return [(x, True) for x in call(values)]
+        except Exception:  # noqa: BLE001  whatever a callable raises
+            if len(values) == 1:
+                return [(default, False)]
+            return [t for v in values for t in careful([v])]
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -94,12 +143,13 @@ def call_once(rows: DataFrame, inputs: list[str], call, result: str = "string",
         kind = to_arrow_schema(schema).field(name).type
         for b in batches:
             values = list(zip(*(c.to_pylist() for c in b.columns)))
-            told = [x for k in range(0, len(values), batch) for x in call(values[k : k + batch])]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(told, kind)], names=[*inputs, name])
-
-    told = asked.mapInArrow(run, schema).select(*[F.col(c).alias(f"__in_{c}") for c in inputs], name)
-    on = None
-    for c in inputs:
-        same = F.col(c).eqNullSafe(F.col(f"__in_{c}"))
-        on = same if on is None else on & same
-    return rows.join(told, on, "left").drop(*[f"__in_{c}" for c in inputs])
+            told = [x for k in range(0, len(values), batch) for x in careful(values[k : k + batch])]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([v for v, _ in told], kind), pa.array([ok for _, ok in told], pa.bool_())], names=[*inputs, name, "__ok"])
+
+    told = asked.mapInArrow(run, StructType(list(schema.fields)).add("__ok", "boolean"))
+    if memo is not None:
+        told = staged(told, "answers")
+        told.filter("__ok").drop("__ok").write.mode("append").parquet(memo)
+        if known is not None:
+            told = told.drop("__ok").unionByName(staged(known.join(renamed(told, "__told_"), same("__told_"), "left_anti").dropDuplicates(inputs), "known"))
+    return rows.join(renamed(told, "__in_", name), same("__in_"), "left").drop(*[f"__in_{c}" for c in inputs])

@@ -63,6 +63,25 @@ def test_calls_are_made_once(spark):
     assert [r.answer for r in match.call_once(rows, ["s"], None).collect()] == [None] * 4
 
 
+def test_calls_are_remembered_and_fail_open(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a", None), (2, "a", None), (3, None, "x"), (4, "b", "x"), (5, "bad", "x")], "k int, s string, t string")
+    count, memo = spark.sparkContext.accumulator(0), f"file://{tmp_path}/memo"
+
+    def ask(values):
+        if any(s == "bad" for s, _ in values):
+            raise ValueError("no answer")
+        count.add(len(values))
+        return [f"{s}-{t}" for s, t in values]
+
+    want = {1: "a-None", 2: "a-None", 3: "None-x", 4: "b-x", 5: "none"}
+    assert {r.k: r.answer for r in match.call_once(rows, ["s", "t"], ask, memo=memo, default="none").collect()} == want
+    assert count.value == 3
+    more = rows.unionByName(spark.createDataFrame([(6, "c", None)], rows.schema))
+    assert {r.k: r.answer for r in match.call_once(more, ["s", "t"], ask, memo=memo, default="none").collect()} == {**want, 6: "c-None"}
+    assert count.value == 4  # only what isn't remembered was asked, what raised again
+    assert {r.k: r.answer for r in match.call_once(rows, ["s", "t"], ask).collect()} == {**want, 5: None}
+
+
 def test_fallbacks_fill_what_wasn_t_reached(spark):
     cols = "idx int, website string, doctor_name string, email string, phone string, implants int"
     first = spark.createDataFrame([(1, "w", "Dr. A", "a@x", None, 3), (2, "w", "Not Found", "N/A", "1", 0), (3, "", None, None, None, 0)], cols)

@@ -223,6 +223,52 @@ def test_registry_levels(spark):
     assert match.match_people(places, people, most_in_city=2).filter("idx = 3").count() == 0
 
 
+def test_registry_levels_against_all_pairs(spark):
+    """Random places and people of two cities, one with more people than are told by city."""
+    import random
+    import re
+
+    rng = random.Random(8)
+    words = ["Oak", "Maple", "Elm", "Fir", "St", "Old"]
+    street = lambda: rng.choice(["", f"{rng.randint(1, 9)} {rng.choice(words)} {rng.choice(words)} Street", f"{rng.randint(1, 9)} {rng.choice(words)} Rd"])
+    city = lambda: rng.choice(["Waco", "waco", "Reno"])
+    places = [(k, rng.choice(["Bright", "Dim Smile", "Q", "", None, "Zed"]), street(), city(), "TX") for k in range(60)]
+    people = [(str(k), f"P{k}", street() or None, city() if k < 60 else "Reno", rng.choice(["TX", "tx"]), rng.choice([None, "Bright LLC", "The Dim Smile", "Aq", "x"]) if k % 4 == 0 else None) for k in range(80)] + [("s", "S", "1 Oak Rd", "Ely", "TX", None)]
+    places.append((99, "Lone", "", "Ely", "TX"))
+    long = lambda s: {w for w in re.split("[^a-z0-9]+", (s or "").lower()) if len(w) > 3 and not w[0].isdigit()}
+    no = lambda s: (re.match("[0-9]+", s or "") or [""])[0]
+    want = set()
+    for k, name, at, town, state in places:
+        near = []
+        for n, person, p_at, p_town, p_state, org in people:
+            if (town.lower(), state.upper()) == (p_town.lower(), p_state.upper()):
+                own = (name or "").lower()
+                level = 1 if own and own in (org or "").lower() else 3 if no(at) and no(at) == no(p_at) else 4
+                near.append((2 if level == 3 and long(at) & long(p_at) else level, n, person))
+        best = min((x[0] for x in near), default=9)
+        if best < 4 or len(near) <= 15:
+            want |= {(k, n, person, match.LEVELS[best - 1]) for lv, n, person in near if lv == best}
+    df = spark.createDataFrame(places, "idx int, practice_name string, street string, city string, state string")
+    who = spark.createDataFrame(people, "number string, person string, street string, city string, state string, organisation string")
+    got = [(r.idx, r.number, r.person, r.match) for r in match.match_people(df, who).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and {m for *_, m in want} == set(match.LEVELS)
+
+
+def test_best_links_equal_all_pairs(spark):
+    import random
+
+    from sitegrain.functions.names import link_score
+
+    rng = random.Random(2)
+    names_ = ["Jane Smith", "Bo Li", "Ann O", "Maria de la Cruz", "Dr. Cy Russell, DDS", ""]
+    links = [(k, f"https://x.co/{rng.choice(['team/', '', 'dr-'])}{rng.choice(['smith', 'jane-smith', 'li', 'russell', 'cruz', 'o', 'misc'])}{p}", rng.choice(["Dr. Smith", "meet us", "Cruz DDS", ""]), p) for k in (1, 2) for p in range(40)]
+    people = spark.createDataFrame([(k, n) for k in (1, 2) for n in names_], "k int, name string")
+    df = spark.createDataFrame(links, "k int, href string, text string, pos int")
+    pairs = people.join(df, "k").withColumn("score", link_score("name", "href", "text")).filter("score >= 8")
+    want = {(r.k, r.name): (r.b.href, r.b.score) for r in pairs.groupBy("k", "name").agg(F.max_by(F.struct("href", "score"), F.struct(F.col("score"), -F.col("pos"))).alias("b")).collect()}
+    assert {(r.k, r.name): (r.href, r.score) for r in frontier.best_link(people, df, ["k"]).collect()} == want and len(want) > 6
+
+
 def test_specialty_policies(spark):
     t = "we do root canal therapy, are orthodontists, for general dentistry and family dentistry"
     row = spark.createDataFrame([(t, "She specializes in cosmetic fillings as well as more. She has a degree", "nothing")], "a string, b string, c string").select(features.specialty(F.col("a")), features.specialty(F.col("a"), policy="all"), features.specialty(F.col("b")), features.specialty(F.col("c")), features.specialty(F.col("c"), policy="all")).first()
