@@ -118,9 +118,9 @@ def scoped_text(t: Column, name: Column) -> Column:
 
 
 def hint(t: Column, e: Column) -> Column:
-    """The first short line after a heading that tells a field; a text of over 200 characters ends the search."""
+    """The first short line after a heading that tells a field; the next heading, or a text of over 200 characters, ends the search."""
     lines = F.filter(siblings(t, e), lambda s: size(s) >= 5)
-    long = F.transform(F.filter(lines, lambda s: size(s) > 200), lambda s: s["pre"])
+    long = F.transform(F.filter(lines, lambda s: (size(s) > 200) | s["tag"].isin(*HEADINGS)), lambda s: s["pre"])
     near = F.filter(lines, lambda s: (s["pre"] < F.coalesce(F.array_min(long), F.lit(2**31 - 1))) & is_hint(said(t, s)))
     return once(F.try_element_at(near, F.lit(1)), lambda s: F.when(s.isNotNull(), F.trim(said(t, s))))
 
