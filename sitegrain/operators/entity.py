@@ -1,18 +1,22 @@
 """Which rows are the same person. The relations aren't transitive, so clusters are greedy, in a stated order.
 
-EXACT and SUBSET are expressions. PERSON and UPGRADE depend on the order of
-rows: each partition is sorted by key and order and passes by once; a key's
-state is its distinct names and one row a person, so a key with very many rows
-costs memory by its people, not by its rows.
+EXACT and SUBSET are joins and aggregations, of which no task gets a key whole.
+PERSON and UPGRADE depend on the order of rows: each partition is sorted by key
+and order and passes by once; a key's state is its distinct names and one row a
+person, so a key with very many rows costs memory by its people, not by its
+rows. A name is held only against those that an index over pieces of names,
+last names and words proposes, not against all before it.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,16 +44,32 @@ def exact(rows: DataFrame, key: list[str], name: str = "name", order: str = "pos
     return rows.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
-def subset(names: Column) -> Column:
-    """Of an array of names, those whose words aren't a subset (or superset) of a longer one kept before; longest first."""
-    own = F.transform(names, lambda n, k: F.struct((-F.size(F.split(normalised(n), " "))).alias("less"), k.alias("pos"), n.alias("name"), F.split(normalised(n), " ").alias("words")))
+#: Words up to which all subsets of a name's words are listed (255 at most).
+FEW_WORDS = 8
 
-    def step(kept: Column, one: Column) -> Column:
-        same = F.exists(kept, lambda k: (F.size(F.array_except(one["words"], k["words"])) == 0) | (F.size(F.array_except(k["words"], one["words"])) == 0))
-        return F.when(same, kept).otherwise(F.concat(kept, F.array(one)))
 
-    kept = F.aggregate(F.array_sort(own), F.filter(own, lambda x: F.lit(False)), step)
-    return F.transform(kept, lambda k: k["name"])
+def longest(rows: DataFrame, key: list[str], name: str = "name", order: str = "pos") -> DataFrame:
+    """The rows of each key whose name's words aren't all in a longer name's; of equal sets of words the first by order, then by name.
+
+    Adds ``n_words``. Words are distinct ones of the normalised name, so "longer" has no ties between different sets
+    and the rule needs no order of work: every name tells all proper subsets of its words, and names that are among
+    them go (an anti join on key and words, so a key with very many names is spread over tasks). Names of more than
+    FEW_WORDS words meet the others by one word of those. A null key is a key of its own; a null name has no word,
+    like an empty one.
+    """
+    words = F.array_sort(F.array_distinct(F.split(normalised(name), " ")))
+    named = rows.select(F.struct(*key).alias("__key"), words.alias("__words"), F.struct(*rows.columns).alias("__row"))
+    own = named.groupBy("__key", "__words").agg(F.min_by("__row", F.struct(f"__row.{order}", f"__row.{name}")).alias("__row"))
+    none = F.array(F.array().cast("array<string>"))
+    parts = F.aggregate("__words", none, lambda made, w: F.concat(made, F.transform(made, lambda m: F.concat(m, F.array(w)))))
+    proper = F.filter(parts, lambda m: (F.size(m) > 0) & (F.size(m) < F.size("__words")))
+    told = own.filter(F.size("__words").between(2, FEW_WORDS)).select("__key", F.explode(proper).alias("__words")).distinct()
+    kept = own.join(told, ["__key", "__words"], "left_anti")
+    long = own.filter(F.size("__words") > FEW_WORDS).select("__key", F.explode("__words").alias("__one"), F.col("__words").alias("__more"))
+    inside = (F.size("__words") < F.size("__more")) & (F.size(F.array_except("__words", "__more")) == 0)
+    met = kept.withColumn("__one", F.array_max(F.transform("__words", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"])
+    kept = met.alias("a").join(long.alias("b"), (F.col("a.__key") == F.col("b.__key")) & (F.col("a.__one") == F.col("b.__one")) & inside, "left_anti")
+    return kept.select("__row.*", F.size("__words").alias("n_words"))
 
 
 def same_person(a: str, b: str) -> bool:
@@ -70,30 +90,98 @@ def same_person(a: str, b: str) -> bool:
     return len(x) == 1 or len(y) == 1 or x[0].startswith(y[0]) or y[0].startswith(x[0])
 
 
+class Pieces:
+    """Strings in the order they came, found by what they contain or lie in: positions, from those of three letters in a row."""
+
+    def __init__(self):
+        self.items, self.grams, self.lengths, self.first = [], {}, set(), {}
+
+    def add(self, text: str) -> None:
+        for gram in {text[k : k + 3] for k in range(len(text) - 2)}:
+            self.grams.setdefault(gram, []).append(len(self.items))
+        self.lengths.add(len(text))
+        self.first.setdefault(text, len(self.items))
+        self.items.append(text)
+
+    def around(self, text: str, since: int) -> Iterator[int]:
+        """Positions, from one on, of strings that contain a text."""
+        if len(text) < 3:
+            rare = range(since, len(self.items))
+        else:
+            rare = min((self.grams.get(text[k : k + 3], []) for k in range(len(text) - 2)), key=len)
+            rare = rare[bisect_left(rare, since) :]
+        return (i for i in rare if text in self.items[i])
+
+    def inside(self, text: str) -> list[str]:
+        """The strings that a text contains."""
+        lengths = [n for n in self.lengths if n <= len(text)]
+        if len(text) * len(lengths) > len(self.first):
+            return [t for t in self.first if t in text]
+        return list({text[k : k + n] for n in lengths for k in range(len(text) - n + 1)} & self.first.keys())
+
+
 class Clusters:
     """Greedy clusters of names in row order: the first cluster any of whose members is the same person.
 
-    Each pair of distinct forms is compared once at most: what a form was held
-    against already can't match it later. Empty forms are alone.
+    ``same_person`` over an index, so that what is looked up doesn't grow with
+    the people of a key: whole forms by containment; last names by
+    containment (one with a letter more contains the other), and below a last
+    name the first cluster of each first name, of each beginning of one, of
+    lone last names and of all. A form that comes again is held only against
+    whole forms that came since. Empty forms are alone.
     """
 
     def __init__(self):
-        self.count, self.log, self.seen, self.members = 0, [], {}, set()
+        self.count, self.seen, self.members = 0, {}, set()
+        self.forms, self.at, self.least = Pieces(), [], {}
+        self.lasts, self.below, self.alike = Pieces(), {}, {}
 
     def place(self, form: str) -> int:
+        if not form:
+            self.count += 1
+            return self.count - 1
         best, done = self.seen.get(form, (None, 0))
-        for k, other in self.log[done:]:
-            if (best is None or k < best) and same_person(form, other):
-                best = k
+        if best is None or done < len(self.at):
+            found = [] if best is None else [best]
+            found += [self.at[i] for i in self.forms.around(form, done)]
+            found += [self.least[t] for t in self.forms.inside(form)]
+            best = min(found + self._by_last(form.split()), default=None)
         if best is None:
             best, self.count = self.count, self.count + 1
-        if form:
-            if (best, form) not in self.members:
-                self.members.add((best, form))
-                self.log.append((best, form))
-            self.seen[form] = (best, len(self.log))
+        if (best, form) not in self.members:
+            self._add(best, form)
+        self.seen[form] = (best, len(self.at))
         return best
 
+    def _by_last(self, words: list[str]) -> list[int]:
+        last, first = words[-1], words[0]
+        longer, done = self.alike.get(last, ([], 0))
+        longer.extend(self.lasts.items[i] for i in self.lasts.around(last, done))
+        self.alike[last] = (longer, len(self.lasts.items))
+        found = []
+        for other in {*longer, *self.lasts.inside(last)}:
+            own = self.below[other]
+            if len(words) == 1:
+                found.append(own["all"])
+            else:
+                found += [own[k] for k in ["lone", ("begins", first), *[("is", first[:n]) for n in range(1, len(first) + 1)]] if k in own]
+        return found
+
+    def _add(self, cluster: int, form: str) -> None:
+        self.members.add((cluster, form))
+        self.forms.add(form)
+        self.at.append(cluster)
+        self.least[form] = min(cluster, self.least.get(form, cluster))
+        words = form.split()
+        first, last = words[0], words[-1]
+        if last not in self.below:
+            self.below[last] = {}
+            self.lasts.add(last)
+        own = self.below[last]
+        keys = ["all", "lone"] if len(words) == 1 else ["all", ("is", first), *[("begins", first[:n]) for n in range(1, len(first) + 1)]]
+        for k in keys:
+            own[k] = min(cluster, own.get(k, cluster))
+
 
 def person_clusters(names: list[str]) -> list[int]:
     """A cluster for each name, in row order."""
@@ -101,6 +189,38 @@ def person_clusters(names: list[str]) -> list[int]:
     return [own.place(person_form(n)) for n in names]
 
 
+class WordSets:
+    """Numbered sets of words; which of them hold, or lie in, another set."""
+
+    def __init__(self):
+        self.sets, self.numbers, self.having = {}, {}, {}
+
+    def put(self, at: int, words: frozenset) -> None:
+        """Sets a number's words, in place of those it had."""
+        if at in self.sets:
+            self.numbers[self.sets[at]].discard(at)
+            for w in self.sets[at]:
+                self.having[w].discard(at)
+        self.sets[at] = words
+        self.numbers.setdefault(words, set()).add(at)
+        for w in words:
+            self.having.setdefault(w, set()).add(at)
+
+    def first(self, words: frozenset) -> int | None:
+        """The smallest number whose set holds these words or lies in them; none for no words."""
+        if not words:
+            return None
+        lists = [self.having.get(w, set()) for w in words]
+        found = {i for i in min(lists, key=len) if words <= self.sets[i]}
+        if len(words) <= FEW_WORDS:
+            for n in range(1, len(words) + 1):
+                for part in combinations(words, n):
+                    found |= self.numbers.get(frozenset(part), set())
+        else:
+            found |= {i for i in set().union(*lists) if self.sets[i] <= words}
+        return min(found, default=None)
+
+
 def _by_key(rows: DataFrame, key: str, order: str, schema: T.StructType, fold: Callable[[Iterator[dict]], list[dict]]) -> DataFrame:
     """A fold over each key's rows in order; the rows pass by in sorted batches."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -142,14 +262,17 @@ def upgrade(rows: DataFrame, key: str, name: str = "name", score: str = "score",
     """In page order, a name whose words contain or are contained in a kept one's is the same; the better score replaces it, keeping what else is known."""
 
     def fold(own: Iterator[dict]) -> list[dict]:
-        kept: list[tuple[set, dict]] = []
+        kept: list[dict] = []
+        sets = WordSets()
         for row in own:
-            words = set(normalise(row[name]).split())
-            at = next((i for i, (w, _) in enumerate(kept) if words and w and (words <= w or w <= words)), None)
+            words = frozenset(normalise(row[name]).split())
+            at = sets.first(words)
             if at is None:
-                kept.append((words, row))
-            elif row[score] > kept[at][1][score]:
-                kept[at] = (words, {**kept[at][1], **{c: v for c, v in row.items() if c != order and v is not None}})
-        return [row for _, row in kept]
+                sets.put(len(kept), words)
+                kept.append(row)
+            elif row[score] > kept[at][score]:
+                sets.put(at, words)
+                kept[at] = {**kept[at], **{c: v for c, v in row.items() if c != order and v is not None}}
+        return kept
 
     return _by_key(rows, key, order, rows.schema, fold)

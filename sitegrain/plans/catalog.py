@@ -838,10 +838,38 @@ def _(spark, sf):
     return entity.person(batch(spark, sf).select("idx", "pos", F.col("doctor_name").alias("name")), "idx")
 
 
-@query("subset_dedupe")
+LONGEST = f"w AS (SELECT *, list_distinct(string_split({PLAIN}, ' ')) AS words FROM b), kept AS (SELECT * FROM w AS own WHERE NOT EXISTS (SELECT 1 FROM w AS other WHERE other.idx IS NOT DISTINCT FROM own.idx AND list_has_all(other.words, own.words) AND (len(other.words) > len(own.words) OR (len(other.words) = len(own.words) AND (other.pos < own.pos OR (other.pos = own.pos AND other.doctor_name < own.doctor_name))))))"
+
+
+@query("subset_dedupe", f"WITH b AS ({BATCH}), {LONGEST} SELECT idx, string_agg(doctor_name, ', ' ORDER BY -len(words), pos) AS names FROM kept GROUP BY idx")
+def _(spark, sf):
+    rows = entity.longest(batch(spark, sf).select("idx", "pos", "doctor_name"), ["idx"], "doctor_name")
+    names = F.transform(F.sort_array(F.collect_list(F.struct(-F.col("n_words"), "pos", "doctor_name"))), lambda x: x["doctor_name"])
+    return rows.groupBy("idx").agg(F.array_join(names, ", ").alias("names"))
+
+
+@query("city_longest_names", f"WITH b AS (SELECT DISTINCT city AS idx, client_id AS pos, name AS doctor_name FROM clients WHERE name IS NOT NULL AND client_id IS NOT NULL), {LONGEST} SELECT idx AS city, pos AS client_id, doctor_name AS name, CAST(len(words) AS INT) AS n_words FROM kept")
 def _(spark, sf):
-    rows = batch(spark, sf).groupBy("idx").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "doctor_name"))), lambda x: x["doctor_name"]).alias("names"))
-    return rows.select("idx", F.array_join(entity.subset("names"), ", ").alias("names"))
+    """Clients of a city whose name isn't told in full by a longer one there; a city may hold a third of all."""
+    rows = load(spark, sf, "clients").filter("name IS NOT NULL AND client_id IS NOT NULL").select("city", "client_id", "name").distinct()
+    return entity.longest(rows, ["city"], order="client_id")
+
+
+NEWEST = "valid_at DESC NULLS LAST, seq DESC NULLS LAST, change_id DESC NULLS LAST, op DESC NULLS LAST, source DESC NULLS LAST, segment DESC NULLS LAST, city DESC NULLS LAST, balance DESC NULLS LAST"
+
+
+@query("client_upserts", f"SELECT client_id, change_id, seq, op, valid_at, source, segment, city, balance FROM (SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY {NEWEST}) AS rn FROM client_changes) WHERE rn = 1")
+def _(spark, sf):
+    """Changes upserted by client, newest first so that late ones must not win; the table as of the last version."""
+    from ..sources import versions
+    from ..staging import workplace
+
+    rows = load(spark, sf, "client_changes").select("client_id", "change_id", "seq", "op", "valid_at", "source", "segment", "city", "balance")
+    path = workplace(spark, "clients")
+    order = ["valid_at", "seq", "change_id", "op", "source", "segment", "city", "balance"]
+    for batch_of in ("valid_at >= '2024-03-01'", "valid_at < '2024-03-01'", "valid_at IS NULL"):
+        versions.upsert(rows.filter(batch_of), path, ["client_id"], order, batch=batch_of, parts=16)
+    return versions.table(spark, path)
 
 
 @query("practice_extraction")

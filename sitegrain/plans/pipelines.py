@@ -18,8 +18,8 @@ from ..schema import COUNTS, FLAGS
 from ..staging import staged
 
 DOCTOR_HEADING = r"^(?:Dr\.? +)?([A-ZÀ-Þ][A-Za-zÀ-ÿ'.-]+(?: [A-ZÀ-Þ][A-Za-zÀ-ÿ'.-]*){1,3})(?:,? *(?:DDS|DMD|D\.D\.S\.?|D\.M\.D\.?|MD|PhD|MS))*$"
-#: Names that are compared for being one person's, a key; people told, a key.
-COMPARED, TOLD = 3000, 30
+#: People told, a key.
+TOLD = 30
 
 
 def page_people() -> Column:
@@ -30,9 +30,10 @@ def page_people() -> Column:
 def staff(parsed: DataFrame, key: list[str], cap: int = TOLD) -> DataFrame:
     """People named by headings with a title or credential, then by cards of staff; a row a person and key: rank, name, what is said of them, a hint, a link, the page. No blogs, no "names" made of the site's own address.
 
-    The same spelling is taken once a key (its first place) before the names of
-    a key come together; of these the first ``COMPARED`` are compared, so that
-    a directory of very many people stays a short list of ``cap`` like any other.
+    The same spelling is taken once a key (its first place); names whose words
+    are all in a longer one go. Neither step brings a key's names together, so a
+    directory of very many people is spread over tasks until its first ``cap``,
+    longest names first, are left.
     """
     rows = parsed.filter(~is_content("url"))
     if "people" not in rows.columns:
@@ -47,12 +48,10 @@ def staff(parsed: DataFrame, key: list[str], cap: int = TOLD) -> DataFrame:
         heads = heads.unionByName(cards)
     named = heads.filter(nm.is_found_name("name") & ~nm.in_host("name", netloc("url")))
     once = named.groupBy(*key, F.lower("name").alias("__low")).agg(F.min_by(F.struct("pos", "name", "bio", "hint", "link", "url"), "pos").alias("x"))
-    near = once.withColumn("__rn", F.row_number().over(Window.partitionBy(*key).orderBy("x.pos", "__low"))).filter(F.col("__rn") <= COMPARED)
-    lists = near.groupBy(*key).agg(F.sort_array(F.collect_list("x")).alias("all"))
-    kept = entity.subset(F.transform("all", lambda x: x["name"]))
-    out = lists.select(*key, "all", F.posexplode(F.slice(kept, 1, cap)).alias("rank", "name"))
-    first = F.element_at(F.filter("all", lambda x: x["name"] == F.col("name")), 1)
-    return out.withColumn("__x", first).select(*key, "rank", "name", F.col("__x.bio").alias("bio"), F.col("__x.hint").alias("hint"), F.col("__x.link").alias("link"), F.col("__x.url").alias("url"))
+    kept = entity.longest(once.select(*key, "x.*"), key)
+    first = Window.partitionBy(*key).orderBy(F.desc("n_words"), "pos", "name")
+    ranked = kept.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= cap)
+    return ranked.select(*key, (F.col("rank") - 1).alias("rank"), "name", "bio", "hint", "link", "url")
 
 
 #: Where a person's specialty and memberships are looked for, in order of trust.

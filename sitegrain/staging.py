@@ -31,12 +31,18 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{_own['dir']}"
 
 
+def workplace(spark: SparkSession, name: str) -> str:
+    """A new folder's path that all executors share; ``clear`` deletes it."""
+    path = f"{shared_folder(spark)}/sitegrain-staged/{name}-{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    return path
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The rows, written and to be read again column by column; ``clear`` deletes them once results are written."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/sitegrain-staged/{name}-{uuid.uuid4().hex}"
+    path = workplace(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    _made.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 

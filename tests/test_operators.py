@@ -69,8 +69,8 @@ def test_entity_policies(spark):
     rows = spark.createDataFrame([(1, 1, "Jane Smith"), (1, 2, "jane smith "), (1, 3, "Dr. Jane A. Smith, DDS"), (1, 4, "Bob Ray"), (2, 1, None)], "k int, pos int, name string")
     assert sorted((r.k, r.pos) for r in entity.exact(rows, ["k"]).collect()) == [(1, 1), (1, 3), (1, 4), (2, 1)]
     assert sorted((r.k, r.name) for r in entity.person(rows, "k").collect() if r.name) == [(1, "Bob Ray"), (1, "Dr. Jane A. Smith, DDS")]
-    arrays = spark.createDataFrame([(["Jane Smith", "Dr. Jane A. Smith", "Bob Ray", "Ray"],)], "n array<string>")
-    assert arrays.select(entity.subset("n")).first()[0] == ["Dr. Jane A. Smith", "Bob Ray"]
+    listed = spark.createDataFrame([(1, n, x) for n, x in enumerate(["Jane Smith", "Dr. Jane A. Smith", "Bob Ray", "Ray"])], "k int, pos int, name string")
+    assert [r.name for r in entity.longest(listed, ["k"]).orderBy(F.desc("n_words"), "pos").collect()] == ["Dr. Jane A. Smith", "Bob Ray"]
     scored = spark.createDataFrame([(1, 1, "Jane Smith", 2, "u1"), (1, 2, "Dr. Jane Smith, DDS", 9, None), (1, 3, "Bob Ray", 2, "u3")], "k int, pos int, name string, score int, url string")
     assert sorted((r.name, r.url) for r in entity.upgrade(scored, "k").collect()) == [("Bob Ray", "u3"), ("Dr. Jane Smith, DDS", "u1")]
 
