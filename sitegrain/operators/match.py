@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.names import overlap
 from ..staging import staged
 
+#: Parts that the people of a street number are dealt into.
+SHARES = 16
 LEVELS = ("organisation", "street_and_number", "number", "city")
 
 
@@ -41,6 +43,10 @@ def match_people(places: DataFrame, people: DataFrame, key: str = "idx", most_in
     Each level is a join of its own by what it asks for equal (a piece of the
     name, number and word, number, a city of few), for the places that no level
     before has found anything for; no place meets all people of a large city.
+    Only the places still open are written between levels. A city's number may
+    have very many people and places, and every pair of them is a row: its
+    people are dealt into ``SHARES`` that a place meets one by one, so that no
+    task makes all rows of a number.
     """
     number = lambda c: F.regexp_extract(F.coalesce(F.col(c), F.lit("")), "^([0-9]+)", 1)
     long = lambda c: F.array_distinct(F.filter(_words(F.col(c)), lambda w: (F.length(w) > 3) & ~w.rlike("^[0-9]")))
@@ -50,24 +56,37 @@ def match_people(places: DataFrame, people: DataFrame, key: str = "idx", most_in
     open_ = places.select(key, F.lower("city").alias("c"), F.upper("state").alias("s"), low("practice_name").alias("own"), number("street").alias("no"), long("street").alias("words"))
     few = p.groupBy(*area).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= most_in_city).select(*area)
 
+    share = F.pmod(F.xxhash64("number"), F.lit(SHARES)).cast("int").alias("share")
+    every = F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))).alias("share")
+
     def level(k: int, left: DataFrame) -> DataFrame:
         if k == 1:
             found = left.filter("own <> ''").withColumn("gram", grams(F.col("own"), False)).join(p.select(*area, "number", "person", "org", F.explode(grams(F.col("org"))).alias("gram")), [*area, "gram"]).filter(F.contains("org", F.col("own")))
         elif k == 2:
-            found = left.filter("no <> ''").select(key, *area, "no", F.explode("words").alias("word")).join(p.select(*area, "no", "number", "person", F.explode("words").alias("word")), [*area, "no", "word"])
+            asked = left.filter("no <> ''").select(key, *area, "no", F.explode("words").alias("word")).select("*", every)
+            found = asked.join(p.select(*area, "no", "number", "person", share, F.explode("words").alias("word")).hint("merge"), [*area, "no", "word", "share"])
         elif k == 3:
-            found = left.filter("no <> ''").select(key, *area, "no").join(p.select(*area, "no", "number", "person"), [*area, "no"])
+            asked = left.filter("no <> ''").select(key, *area, "no", every)
+            found = asked.join(p.select(*area, "no", "number", "person", share).hint("merge"), [*area, "no", "share"])
         else:
             found = left.select(key, *area).join(p.join(few, area, "left_semi").select(*area, "number", "person"), area)
         # a person who meets a place by several words is told once a registry row
         return found.groupBy(key, "number", "person").agg(F.lit(LEVELS[k - 1]).alias("match")) if k == 2 else found.select(key, "number", "person", F.lit(LEVELS[k - 1]).alias("match"))
 
+    def answered(k: int, left: DataFrame) -> DataFrame:
+        """The places that a level finds anybody for, without the pairs."""
+        if k == 1:
+            return level(1, left).select(key)
+        if k == 2:
+            return left.filter("no <> ''").select(key, *area, "no", F.explode("words").alias("word")).join(p.select(*area, "no", F.explode("words").alias("word")).distinct(), [*area, "no", "word"], "left_semi").select(key)
+        return left.filter("no <> ''").join(p.select(*area, "no").distinct(), [*area, "no"], "left_semi").select(key)
+
     out = None
     for k in range(1, 5):
-        found = staged(level(k, open_), f"level{k}")
+        found = level(k, open_)
         out = found if out is None else out.unionByName(found)
         if k < 4:
-            open_ = open_.join(found.select(key).distinct(), key, "left_anti")
+            open_ = staged(open_.join(answered(k, open_).distinct(), key, "left_anti"), f"open{k}")
     return out
 
 
