@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.missing import is_missing, present, whole_number
 from ..schema import COUNTS, FLAGS
+from ..staging import staged
 
 
 def first_value(value: Column, order: Column | str, policy: str) -> Column:
@@ -109,15 +110,28 @@ def replace_rows(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
+#: Rows of a range that one task numbers, at most about.
+RANGE_ROWS = 1 << 19
+
+
 def runs(rows: DataFrame, value: str, order: str = "pos") -> DataFrame:
     """Rows in a row with the same value: ``run`` numbers them, so a value that comes again later is another run.
 
-    Partitioned by the value (gaps and islands), no global sort: rows of a
-    value are in one run as long as their positions follow each other.
+    Gaps and islands: rows of a value are in one run as long as their positions
+    follow each other. A value may have a third of all rows, so rows are dealt
+    by ranges of value and position, numbered in each range, and the numbers of
+    the ranges before come on top (a row a range and value). A run's begin is
+    aggregated and joined back, as a run may be as long.
     """
     from pyspark.sql import Window
 
-    w = Window.partitionBy(value).orderBy(order)
-    numbered = rows.withColumn("__gap", F.col(order) - F.row_number().over(w))
-    first = Window.partitionBy(value, "__gap")
-    return numbered.withColumn("run", F.min(order).over(first)).drop("__gap")
+    spark = rows.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // RANGE_ROWS))
+    ranged = staged(rows.repartitionByRange(parts, value, order).withColumn("__range", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy("__value").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("__range", F.col(value).alias("__value")).agg(F.count(F.lit(1)).alias("n")).select("__range", "__value", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
+    inside = Window.partitionBy("__range", value).orderBy(order)
+    local = ranged.withColumn("__row", F.row_number().over(inside)).alias("r").join(totals.alias("t"), (F.col("r.__range") == F.col("t.__range")) & F.col(value).eqNullSafe(F.col("__value")))
+    numbered = local.select("r.*", (F.col(order) - (F.col("__row") + F.col("__before"))).alias("__gap"))
+    first = numbered.groupBy(F.col(value).alias("__value"), F.col("__gap").alias("__of")).agg(F.min(order).alias("run"))
+    return numbered.join(first, F.col(value).eqNullSafe(F.col("__value")) & F.col("__gap").eqNullSafe(F.col("__of"))).select(*rows.columns, "run")
