@@ -1,7 +1,8 @@
 """Near copies by shingle sets: documents whose five-word shingles have a Jaccard similarity of 0.8 or more.
 
-MinHash bands propose pairs, the shingle sets themselves decide. A pair of
-similarity s shares a band with chance ``1 - (1 - s**DEPTH)**BANDS``: 0.9999
+SimHash fingerprints of five-word shingles, linked as in ``simhash``, propose
+pairs; so do MinHash bands, for what 64 bits can't see at a similarity of 0.8;
+the shingle sets themselves decide. A pair of similarity s shares a band with chance ``1 - (1 - s**DEPTH)**BANDS``: 0.9999
 at 0.8, more above. Equal sets are one node from the start. A bucket of up to
 ``ALL`` nodes proposes all its pairs; a larger one first its pairs with
 ``LEADERS`` of them, then all pairs that these links leave in different
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, Workspace, raw, shuffle_partitions
-from .simhash import SEED, TASK_ROWS, components, one_row_each
+from .simhash import SEED, TASK_ROWS, components, links, one_row_each, simhash
 
 WORDS, SHARE = 5, (4, 5)
 BANDS, DEPTH = 30, 6
@@ -73,22 +74,23 @@ def signed(values) -> pa.Array:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, node`` (a hash of the shingle set), band keys and 16 bits of every MinHash value; no shuffle."""
+    """``doc_id, node`` (a hash of the shingle set), band keys, 16 bits of every MinHash value and the SimHash fingerprint ``fp``; no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, keys, sketches = [], [], []
+            nodes, keys, sketches, fps = [], [], [], []
             for x in batch.column(1):
                 own = shingles(x.as_py())
+                fps.append(simhash(x.as_py(), WORDS))
                 low = minhash(own)
                 nodes.append(name_of(own))
                 bands = [xxhash.xxh64_intdigest(b.tobytes(), k) for k, b in enumerate(low.reshape(BANDS, DEPTH))] if len(own) else []
                 keys.append(np.array(bands, np.uint64).view(np.int64))
                 sketches.append((low >> np.uint64(40)).astype(np.uint16).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), signed(nodes), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], names=["doc_id", "node", "keys", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), signed(nodes), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary()), signed(fps)], names=["doc_id", "node", "keys", "sketch", "fp"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw("text"))
-    return rows.mapInArrow(run, "doc_id long, node long, keys array<long>, sketch binary")
+    return rows.mapInArrow(run, "doc_id long, node long, keys array<long>, sketch binary, fp long")
 
 
 def _told(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -120,6 +122,15 @@ def first_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from _told(columns[1][at[k : k + some, None] + i].ravel(), columns[1][at[k : k + some, None] + j].ravel())
 
 
+def simhash_pairs(nodes: DataFrame, work: Workspace) -> DataFrame:
+    """Pairs of sets whose fingerprints are linked: those that span the links of different fingerprints, and every set with the smallest of its fingerprint."""
+    first = work.write(nodes.groupBy("fp").agg(F.min("node").alias("first")), "fingerprints")
+    met = links(first.select(F.col("fp").alias("node"), "fp"), first.count(), work)
+    x, y = (first.select(F.col("fp").alias(c), F.col("first").alias(f"__{c}")) for c in ("a", "b"))
+    pairs = met.join(x, "a").join(y, "b").select("__a", "__b").union(nodes.join(first, "fp").filter("node != first").select("first", "node"))
+    return pairs.toDF("a", "b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def leader_pairs(rows: DataFrame) -> DataFrame:
     """Pairs of every row of large buckets with ``LEADERS`` of its bucket: the nodes of smallest hashes, found by aggregation."""
     leaders = rows.groupBy("key").agg(F.array_distinct(F.array(*[F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(LEADERS)])).alias("leaders"))
@@ -226,7 +237,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     work = Workspace(spark, "near_copies")
     prints = work.write(signatures(docs), "prints")
-    nodes = work.write(prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")), "nodes")
+    nodes = work.write(prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"), F.min("fp").alias("fp")), "nodes")
     parts = max(shuffle_partitions(spark), -(-nodes.count() * BANDS // TASK_ROWS))
     rows = nodes.select(F.explode("keys").alias("key"), "node")
     large = work.write(rows.groupBy("key").count().filter(F.col("count") > ALL), "large")
@@ -235,7 +246,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     pairs = rows.join(of_large, "key", "left_anti").repartition(parts, "key").mapInArrow(first_pairs, "a long, b long")
     if few:
         pairs = pairs.union(leader_pairs(rows.join(of_large, "key", "left_semi")))
-    found = linked(pairs, nodes, docs, work)
+    found = linked(pairs.union(simhash_pairs(nodes, work)), nodes, docs, work)
     # a doc_id on rows of different texts links their sets
     by_id = prints.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a != z").select("doc_id", "a")
     found = found.union(prints.join(by_id, "doc_id").filter("a != node").select("a", F.col("node").alias("b")).distinct())

@@ -129,3 +129,16 @@ def test_rows_without_an_id_carry_links(spark, tmp_path):
     texts = [" ".join(words[k : k + 80]) for k in (0, 6, 12)]  # neighbours share 70 of 82 shingles, the ends 64 of 88
     docs = spark.read.parquet(save(spark, tmp_path, [(7, texts[0], "en", "a", None), (None, texts[1], "en", "a", None), (9, texts[2], "en", "a", None), (11, "alone", "en", "a", None)]) + "/documents.parquet")
     assert sorted(str(r.doc_id) for r in nc.keep_one(docs).collect()) == ["11", "7", "None"]
+
+
+def test_simhash_proposes_pairs(spark, tmp_path, monkeypatch):
+    """Linked fingerprints are looked at without any band key; the sets still decide."""
+    plain = nc.signatures
+    monkeypatch.setattr(nc, "signatures", lambda docs: plain(docs).withColumn("keys", F.array(F.monotonically_increasing_id())))
+    rng = random.Random(5)
+    pairs = [edited(rng, 900, 1) for _ in range(12)]
+    pairs = [(a, b) for a, b in pairs if (nc.simhash(a.encode(), 5) ^ nc.simhash(b.encode(), 5)).bit_count() <= 4]
+    assert len(pairs) > 6
+    texts = [t for pair in pairs for t in pair] + ["a b c d e", "v w x y z"]
+    docs = spark.read.parquet(save(spark, tmp_path, [(i, t, "en", "a", None) for i, t in enumerate(texts)]) + "/documents.parquet")
+    assert sorted(r.doc_id for r in nc.keep_one(docs).collect()) == brute_kept(list(enumerate(texts)))
