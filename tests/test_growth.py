@@ -5,10 +5,10 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sitegrain import session
+from sitegrain import session, staging
 from sitegrain.functions import html, names, people, text, tree
 from sitegrain.operators import features, match, merge
-from sitegrain.plans import catalog
+from sitegrain.plans import catalog, pipelines
 
 
 def test_a_narrow_table_is_dealt_over_tasks(spark, monkeypatch, tmp_path):
@@ -84,3 +84,14 @@ def test_all_texts_of_a_page_are_searched_by_one_worker(spark):
     made = rows._jdf.queryExecution().executedPlan().toString()
     assert made.count("ArrowEvalPython") == 1
     assert [(r.f_implants, r.cerec) for r in rows.collect()] == [(1, False)]
+
+
+def test_written_pages_are_not_broadcast(spark):
+    """Files of pages written on the way are far smaller than their rows: no join may go by their size."""
+    pages = spark.createDataFrame([(k, 1, "https://x.co/team", "<h2>Dr. Jane Li, DDS</h2><p>An orthodontist.</p><h2>Dr. Bob Ray</h2><p>nothing</p>") for k in range(3)], "k int, page_ord int, url string, html string")
+    parsed = staging.staged(html.parse_pages(pages), "pages")
+    people_ = staging.staged(pipelines.staff(parsed, ["k"]), "people")
+    rows = pipelines.evidence(people_, parsed, ["k"])
+    made = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in made and made.count("SortMergeJoin") >= 6
+    assert {r.specialty for r in rows.filter("name LIKE '%Jane%' AND source = 1").collect()} == {"Orthodontics"}
