@@ -8,7 +8,7 @@ put in order by range, scanned within each range by window functions, and over
 the ranges by one short row a range on the driver.
 
 Spark's binary reader gives a file whole, of up to 2 GB; ``write_flat`` makes
-files no larger than what a task reads.
+files of some 8 MB (or of one document), however much a task writes.
 
 Edge cases: files without an end id are part of a longer document; ids after
 the last end are an unfinished document, told by ``ended``; empty files and
@@ -33,6 +33,8 @@ from .tokens import default_path, encoder
 BLOCK = 1 << 20
 #: The public vocabulary's end-of-text id: no ordinary text has it, so it can part documents.
 SEPARATOR = 49407
+#: Bytes of a file that ``write_flat`` makes, up to its last document: files are read whole, so a task's memory follows them.
+FILE_BYTES = 8 << 20
 
 
 def ends_of(ids: np.ndarray, end: int) -> np.ndarray:
@@ -99,24 +101,32 @@ def scan(spark, path: str, end: int = SEPARATOR, dtype: str = "<u2", block: int
 def write_flat(docs: DataFrame, path: str, tokenizer: str, end: int = SEPARATOR, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Flat token files in ``path/kind=ids`` and, in files of the same names in ``path/kind=docs``, the doc ids in order as text.
 
-    Spark's text writer writes them, to any store: a document's bytes are a
-    line, the end id is the line separator. One pass, no shuffle.
+    Spark's text writer writes them, to any store: the bytes of a file's
+    documents, parted by the end id, are its one line, and the end id is the
+    line separator. One pass, no shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, nth = encoder(tokenizer, special=False), 0
+        keys, own, held = [], [], 0
+
+        def filled() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(["ids", "docs"]), pa.array([nth, nth], pa.int64()), pa.array([mark.join(own), mark.join(keys)], pa.binary())], names=["kind", "nth", "line"])
+
         for batch in batches:
-            keys = ["" if k is None else str(k) for k in batch.column(0).to_pylist()]
-            own = [enc.ids(x.as_py()) for x in batch.column(1)]
-            n = len(keys)
-            order = pa.array(np.arange(nth, nth + n), pa.int64())
-            nth += n
-            yield pa.RecordBatch.from_arrays([pa.array(["ids"] * n), order, pa.array(own, pa.binary())], names=["kind", "nth", "line"])
-            yield pa.RecordBatch.from_arrays([pa.array(["docs"] * n), order, pa.array([k.encode() for k in keys], pa.binary())], names=["kind", "nth", "line"])
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                keys.append(b"" if key is None else str(key).encode())
+                own.append(enc.ids(text.as_py()))
+                held += len(keys[-1]) + len(own[-1]) + 2 * len(mark)
+                if held >= FILE_BYTES:
+                    yield filled()
+                    nth, keys, own, held = nth + 1, [], [], 0
+        if keys:
+            yield filled()
 
     mark = np.array([end], encoder(tokenizer, special=False).dtype).tobytes()
     lines = docs.select(F.col(id_col).cast("long"), raw(text_col)).mapInArrow(run, "kind string, nth long, line binary").sortWithinPartitions("kind", "nth")
-    lines.select("kind", F.col("line").cast("string").alias("line")).write.partitionBy("kind").option("encoding", "ISO-8859-1").option("lineSep", mark.decode("latin-1")).text(path)
+    lines.select("kind", F.col("line").cast("string").alias("line")).write.partitionBy("kind").option("encoding", "ISO-8859-1").option("lineSep", mark.decode("latin-1")).option("maxRecordsPerFile", 1).text(path)
 
 
 def doc_ids(spark, path: str, end: int = SEPARATOR, dtype: str = "<u2") -> DataFrame:
@@ -145,4 +155,5 @@ def query(spark, sf_dir, tokenizer: str | None = None):
     base = F.element_at(F.split("file", "/"), -1)
     found = scan(spark, f"{path}/kind=ids", dtype=dtype).withColumn("file", base)
     names = doc_ids(spark, path, dtype=dtype).withColumn("file", base)
-    return found.join(names, ["file", "nth"]).select("doc_id", "ordinal", "start", "n_tokens")
+    # both have a row a document, which the files they come from don't tell: no broadcast
+    return found.join(names.hint("merge"), ["file", "nth"]).select("doc_id", "ordinal", "start", "n_tokens")

@@ -174,6 +174,26 @@ def test_separators_query(spark, tmp_path):
     assert separators.query(spark, save(spark, tmp_path / "none", [])).collect() == []
 
 
+def test_flat_files_are_small(spark, tmp_path, monkeypatch):
+    """A task writes many files, each of some bytes or one document; none of their rows is broadcast."""
+    monkeypatch.setattr(separators, "FILE_BYTES", 400)
+    data = [(i, f"document {i} " * (1 + i % 30), "en", "a", None) for i in range(300)] + [(900, "long " * 3000, "en", "a", None)] + rows()
+    sf = save(spark, tmp_path / "t", data)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").coalesce(1)
+    path = f"file://{tmp_path}/flat"
+    separators.write_flat(docs, path, tokens.default_path())
+    held = {k: {r.name: r.length for r in spark.read.format("binaryFile").load(f"{path}/kind={k}").filter("length > 0").selectExpr("element_at(split(path, '/'), -1) AS name", "length").collect()} for k in ("ids", "docs")}
+    longest = 2 * max(len(library(t, special=False)) + 1 for _, t in ordered(data))
+    assert held["ids"].keys() == held["docs"].keys() and len(held["ids"]) > 20
+    assert max(held["ids"].values()) < 400 + longest and sorted(held["ids"].values())[-5] < 3000
+    made = separators.query(spark, sf)
+    got = sorted(made.collect(), key=lambda r: r.ordinal)
+    assert sorted(str((r.doc_id, r.n_tokens)) for r in got) == sorted(str((i, len(library(t, special=False)) + 1)) for i, t in ordered(data))
+    assert [r.ordinal for r in got] == list(range(len(data))) and [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
+    top = made._jdf.queryExecution().executedPlan().toString().split("Join")[0]
+    assert top.rstrip().endswith("SortMerge")
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_scan_stitches_across_files(spark, tmp_path, seed):
     rng = np.random.default_rng(seed)
