@@ -8,7 +8,7 @@ put in order by range, scanned within each range by window functions, and over
 the ranges by one short row a range on the driver.
 
 Spark's binary reader gives a file whole, of up to 2 GB; ``write_flat`` makes
-files of some 8 MB (or of one document), however much a task writes.
+files of some 2 MB (or of one document), however much a task writes.
 
 Edge cases: files without an end id are part of a longer document; ids after
 the last end are an unfinished document, told by ``ended``; empty files and
@@ -34,7 +34,7 @@ BLOCK = 1 << 20
 #: The public vocabulary's end-of-text id: no ordinary text has it, so it can part documents.
 SEPARATOR = 49407
 #: Bytes of a file that ``write_flat`` makes, up to its last document: files are read whole, so a task's memory follows them.
-FILE_BYTES = 8 << 20
+FILE_BYTES = 2 << 20
 
 
 def ends_of(ids: np.ndarray, end: int) -> np.ndarray:
